@@ -1,6 +1,7 @@
 """The corpus operators' queries, by name, and their SQL where SQL can express them."""
 
+from loopweaver.llm.bpe import op8_bpe_round_trip
 from loopweaver.llm.quality import op6_quality_rules
 
-QUERIES = {"op6_quality_rules": op6_quality_rules}
+QUERIES = {f.__name__: f for f in (op6_quality_rules, op8_bpe_round_trip)}
 ORACLE: dict[str, str] = {}
