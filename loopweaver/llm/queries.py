@@ -2,6 +2,7 @@
 
 from loopweaver.llm.bpe import op8_bpe_round_trip
 from loopweaver.llm.quality import op6_quality_rules
+from loopweaver.llm.toxicity import op3_toxic_passages
 
-QUERIES = {f.__name__: f for f in (op6_quality_rules, op8_bpe_round_trip)}
+QUERIES = {f.__name__: f for f in (op3_toxic_passages, op6_quality_rules, op8_bpe_round_trip)}
 ORACLE: dict[str, str] = {}
