@@ -1,8 +1,9 @@
 """The corpus operators' queries, by name, and their SQL where SQL can express them."""
 
 from loopweaver.llm.bpe import op8_bpe_round_trip
+from loopweaver.llm.licenses import op9_license_scan
 from loopweaver.llm.quality import op6_quality_rules
 from loopweaver.llm.toxicity import op3_toxic_passages
 
-QUERIES = {f.__name__: f for f in (op3_toxic_passages, op6_quality_rules, op8_bpe_round_trip)}
+QUERIES = {f.__name__: f for f in (op3_toxic_passages, op6_quality_rules, op8_bpe_round_trip, op9_license_scan)}
 ORACLE: dict[str, str] = {}
