@@ -3,7 +3,8 @@
 from loopweaver.llm.bpe import op8_bpe_round_trip
 from loopweaver.llm.licenses import op9_license_scan
 from loopweaver.llm.quality import op6_quality_rules
+from loopweaver.llm.secrets import op4_secret_scan
 from loopweaver.llm.toxicity import op3_toxic_passages
 
-QUERIES = {f.__name__: f for f in (op3_toxic_passages, op6_quality_rules, op8_bpe_round_trip, op9_license_scan)}
+QUERIES = {f.__name__: f for f in (op3_toxic_passages, op4_secret_scan, op6_quality_rules, op8_bpe_round_trip, op9_license_scan)}
 ORACLE: dict[str, str] = {}
