@@ -5,6 +5,7 @@ from loopweaver.llm.licenses import op9_license_scan
 from loopweaver.llm.quality import op6_quality_rules
 from loopweaver.llm.secrets import op4_secret_scan
 from loopweaver.llm.toxicity import op3_toxic_passages
+from loopweaver.llm.warc import op10_warc_round_trip
 
-QUERIES = {f.__name__: f for f in (op3_toxic_passages, op4_secret_scan, op6_quality_rules, op8_bpe_round_trip, op9_license_scan)}
+QUERIES = {f.__name__: f for f in (op3_toxic_passages, op4_secret_scan, op6_quality_rules, op8_bpe_round_trip, op9_license_scan, op10_warc_round_trip)}
 ORACLE: dict[str, str] = {}
