@@ -38,6 +38,13 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[str, int]:
+    """The usual letter for each byte in byte-level vocabularies: printable ones stand for themselves, others from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 #: Decimal ids joined by spaces, tokens joined by spaces, and their number.
 Entry = tuple[bytes, bytes, int]
 
