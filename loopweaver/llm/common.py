@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,10 +32,38 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+#: Arrow batches while a table is staged: long texts in batches of Spark's usual size fill an executor's direct memory.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Hold Arrow batches small for the jobs run inside."""
+    before = {k: spark.conf.get(k) for k in BATCHES}
+    for k, v in BATCHES.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def trim() -> None:
+    """At the end of a Python task: give freed memory back, as idle workers stay beside those of the next stage."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def stash(df: DataFrame, what: str = "stage") -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors, and is computed once."""
     path = new_path(df.sparkSession, what)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stash_path = path
     return out

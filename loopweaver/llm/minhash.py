@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopweaver.llm.common import stash, table, unstash
+from loopweaver.llm.common import stash, table, trim, unstash
 from loopweaver.llm.components import connected_components
 
 WORDS, PERCENT = 5, 75
@@ -37,7 +37,7 @@ CHUNK = 2_000
 #: Bits of the map that tells which texts are to be read again: a fixed size, whatever the corpus.
 MAP_BITS = 1 << 23
 _BITS_PER_MAP = 8 * 4096
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 _RNG = np.random.default_rng(5_640_075)
 _A, _B = (_RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1) for _ in range(2))
 _C = _RNG.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
@@ -123,6 +123,8 @@ def sketches(documents: DataFrame) -> DataFrame:
                 else:
                     rows.append((doc_id, 0, 0, 0, None, None))
             yield _table(_SKETCH, rows)
+        _kept.clear()
+        trim()
 
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, n bigint, d1 bigint, d2 bigint, bands binary, sig binary")
 
@@ -174,6 +176,8 @@ def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                 if len(s):
                     rows.append((*digest(s), s.tobytes()))
             yield _table([("d1", pa.int64()), ("d2", pa.int64()), ("set", pa.binary())], rows)
+        _kept.clear()
+        trim()
 
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null").select("doc_id", "text", place.alias("at"))
     made = docs.mapInArrow(run, "d1 bigint, d2 bigint, set binary")
