@@ -3,6 +3,7 @@
 from loopweaver.llm.bpe import op8_bpe_round_trip
 from loopweaver.llm.embed_dedup import op1_embedding_dedup
 from loopweaver.llm.licenses import op9_license_scan
+from loopweaver.llm.lm_score import op5_lm_score
 from loopweaver.llm.minhash import op2_minhash_dedup
 from loopweaver.llm.packing import op7_curve_packing
 from loopweaver.llm.quality import op6_quality_rules
@@ -10,5 +11,5 @@ from loopweaver.llm.secrets import op4_secret_scan
 from loopweaver.llm.toxicity import op3_toxic_passages
 from loopweaver.llm.warc import op10_warc_round_trip
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_minhash_dedup, op3_toxic_passages, op4_secret_scan, op6_quality_rules, op7_curve_packing, op8_bpe_round_trip, op9_license_scan, op10_warc_round_trip)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_minhash_dedup, op3_toxic_passages, op4_secret_scan, op5_lm_score, op6_quality_rules, op7_curve_packing, op8_bpe_round_trip, op9_license_scan, op10_warc_round_trip)}
 ORACLE: dict[str, str] = {}
