@@ -2,8 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on everything the stage before it kept; its result is written to the
 shared folder as Parquet and read again. All but the last return the columns of documents. Rows without text are rejected
-by the quality rules. Rows that repeat a doc_id are judged one by one until the near-duplicate stage, which keeps one row
-of each group. An empty table passes through as an empty table.
+by the quality rules. Rows that share a doc_id are judged one by one; equal rows become one in the near-duplicate stage, and rows
+with one doc_id but different texts stay if one of them is kept. An empty table passes through as an empty table.
 """
 
 from __future__ import annotations
@@ -17,21 +17,22 @@ from loopweaver.llm.common import stash, table
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return _without(docs, quality.quality_rules(docs).where("not kept"))
+    return _without(docs, quality.quality_rules(_by_row(docs)).where("not kept"))
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5 by the model learnt from the labelled ones among them."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, toxicity.score(docs, model).where("score >= 0.5"))
+    return _without(docs, toxicity.score(_by_row(docs), model).where("score >= 0.5"))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest doc_id."""
     found = stash(minhash.near_duplicates(docs), "dedup")
-    kept = _without(docs, found.where("not kept"))
-    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    return kept.dropDuplicates(["doc_id"]) if twice.head(1) else kept
+    by_id = found.where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    ids = stash(by_id.where("not kept or n > 1"), "rejected")
+    kept = docs.join(ids.where("not kept").select(F.col("doc_id").alias("_rejected")), F.col("doc_id") == F.col("_rejected"), "left_anti")
+    return kept.dropDuplicates(["doc_id", "text"]) if ids.where("kept").head(1) else kept
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,10 +45,18 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(docs)
 
 
+_ROW = F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text"))
+
+
+def _by_row(docs: DataFrame) -> DataFrame:
+    """The documents under a hash of doc_id and text, so that rows without an id, or under one id, are told apart."""
+    return docs.withColumn("doc_id", _ROW)
+
+
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows whose doc_id is not among the rejected. Only ids are compared; Spark broadcasts them where they are few."""
-    ids = stash(rejected.where("doc_id is not null").select(F.col("doc_id").alias("_rejected")).distinct(), "rejected")
-    return docs.join(ids, F.col("doc_id") == F.col("_rejected"), "left_anti")
+    """The rows that are not among the rejected ones. Only hashes are compared; Spark broadcasts them where they are few."""
+    rows = stash(rejected.select(F.col("doc_id").alias("_rejected")).distinct(), "rejected")
+    return docs.join(rows, _ROW == F.col("_rejected"), "left_anti")
 
 
 STAGES = [
