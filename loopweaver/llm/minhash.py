@@ -4,12 +4,15 @@ A document's set is its distinct 5-word shingles, as 64-bit hashes. One pass ove
 and a 128-bit digest of its set, BANDS * ROWS minima of universal hashes, and from them BANDS band keys. Documents with
 equal digests have equal sets and are one class; only class representatives go on.
 
-Two sets at the least similarity share a band key but for a chance of (1 - 0.75^5)^64, under 1e-7. Classes are linked in
-two rounds, so that no bucket's pairs are listed: first each class with one smaller class of a bucket it is in, which
-joins nearly all of a group of copies; then, in buckets that still hold several components, members of different ones.
-A pair becomes a candidate if the signatures agree well enough (true pairs lie six deviations above that bar), and a link
-if the full sets, made again from the texts, meet the threshold. Components come from alternating stars. Every pair that
-shares a band key and could join two components is verified, so none is lost by the rounds.
+Two sets at the least similarity share a band key but for a chance of (1 - 0.75^5)^64, under 1e-7. A pair becomes a
+candidate if the signatures agree well enough (true pairs lie six deviations above that bar), and a link if the full sets,
+made again from the texts, meet the threshold. Components come from alternating stars.
+
+Classes are linked in three rounds, so that no large bucket's pairs are listed: first each class with one smaller class of
+a bucket it is in; then, in buckets that still hold several components, the candidates that make a forest of the best
+agreement between components; last, where some are still apart, every candidate between members of different components.
+The last round leaves out only pairs within a component, so that none which could join two is lost, and the first two
+leave it little to do, as they join nearly all of a group of copies.
 
 A null doc_id links with nothing, is its own component (null) and kept. Null, empty and wordless texts have an empty set
 and link with nothing. Rows that repeat a doc_id take the component of their own text. An empty table gives an empty
@@ -200,8 +203,9 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(own("u"), "u").join(own("v"), "v").select("u", "v", "set_u", "set_v").mapInArrow(run, "u bigint, v bigint")
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Agreeing pairs of members of one bucket but different components. members: key, rep, comp, sig.
+def _across(members: DataFrame, forest: bool) -> DataFrame:
+    """Agreeing pairs of members of one bucket but different components; with forest, only those that would join two
+    components if the best agreement came first. members: key, rep, comp, sig.
 
     A bucket is dealt into chunks, and each pair of chunks is compared by itself, in memory; rows of one comparison follow
     each other in a partition and only agreeing pairs leave it.
@@ -213,13 +217,30 @@ def _across(members: DataFrame) -> DataFrame:
     def compare(group: list[tuple[np.ndarray, ...]], lo: int, hi: int) -> list[tuple[int, int]]:
         chunk, rep, comp, sig = (np.concatenate([g[k] for g in group]) for k in range(4))
         left, right = np.flatnonzero(chunk == lo), np.flatnonzero(chunk == hi)
-        out = []
+        found: list[tuple[float, int, int, int, int]] = []
         for i in left.tolist():
             others = right[right > i] if lo == hi else right
             others = others[comp[others] != comp[i]]
             if len(others):
-                good = others[(sig[others] == sig[i]).mean(1) >= AGREE]
-                out += [(int(min(rep[i], rep[j])), int(max(rep[i], rep[j]))) for j in good]
+                agree = (sig[others] == sig[i]).mean(1)
+                for j, x in zip(others[agree >= AGREE].tolist(), agree[agree >= AGREE].tolist(), strict=True):
+                    found.append((-x, int(min(rep[i], rep[j])), int(max(rep[i], rep[j])), int(comp[i]), int(comp[j])))
+        if not forest:
+            return [(u, v) for _, u, v, *_ in found]
+        up: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while up.get(c, c) != c:
+                up[c] = up.get(up[c], up[c])
+                c = up[c]
+            return c
+
+        out = []
+        for _, u, v, c, d in sorted(found):
+            c, d = root(c), root(d)
+            if c != d:
+                up[c] = d
+                out.append((u, v))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,18 +292,22 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     links = stash(_verified(pairs, sets), "links")
     comps = stash(connected_components(links), "comps")
 
-    now = shared.select("key", "rep").join(comps, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-    now = stash(now, "members")
-    open_keys = now.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("key")
-    members = now.join(open_keys, "key").join(classes.select("rep", "sig"), "rep").select("key", "rep", "comp", "sig")
-    more = stash(_across(members), "pairs")
-    unstash(shared)
-    if more.head(1):
+    for forest in (True, False):
+        now = shared.select("key", "rep").join(comps, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+        now = stash(now, "members")
+        open_keys = now.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("key")
+        members = now.join(open_keys, "key").join(classes.select("rep", "sig"), "rep").select("key", "rep", "comp", "sig")
+        more = stash(_across(members, forest), "pairs")
+        unstash(now)
+        if not more.head(1):
+            break
         missing = ends(more).join(sets.select("rep"), "rep", "left_anti").join(keys, "rep")
         both = stash(sets.union(_sets(documents, missing)), "sets")
-        links = links.union(stash(_verified(more, both), "links"))
         unstash(sets)
+        sets = both
+        links = links.union(stash(_verified(more, sets), "links"))
         comps = stash(connected_components(links), "comps")
+    unstash(shared)
     of_class = classes.select("d1", "d2", "rep").join(comps, F.col("rep") == F.col("node"), "left").select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), F.coalesce("component", "rep").alias("comp"))
     rows = sketched.select("doc_id", "n", "d1", "d2").join(of_class, (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
