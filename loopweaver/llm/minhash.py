@@ -8,11 +8,11 @@ Two sets at the least similarity share a band key but for a chance of (1 - 0.75^
 candidate if the signatures agree well enough (true pairs lie six deviations above that bar), and a link if the full sets,
 made again from the texts, meet the threshold. Components come from alternating stars.
 
-Classes are linked in three rounds, so that no large bucket's pairs are listed: first each class with one smaller class of
-a bucket it is in; then, in buckets that still hold several components, the candidates that make a forest of the best
-agreement between components; last, where some are still apart, every candidate between members of different components.
-The last round leaves out only pairs within a component, so that none which could join two is lost, and the first two
-leave it little to do, as they join nearly all of a group of copies.
+Classes are linked in three rounds, so that no bucket's pairs are listed: first each class with one smaller class of a
+bucket it is in; then, in buckets that still hold several components, the candidates that make a forest of the best
+agreement between components. These join nearly all of a group of copies. What the forests connect, verified or not, is a
+group that holds every remaining candidate; last, in groups that still hold several components, all members' sets are
+compared, chunk by chunk in memory, and only links leave a task. Only pairs within a component go unverified.
 
 A null doc_id links with nothing, is its own component (null) and kept. Null, empty and wordless texts have an empty set
 and link with nothing. Rows that repeat a doc_id take the component of their own text. An empty table gives an empty
@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ BANDS, ROWS = 64, 5
 AGREE = 0.60
 #: Members of a bucket that one task compares with each other or with as many others.
 CHUNK = 2_000
+#: Sets of a group that one task compares with each other or with as many others.
+CHUNK_SETS = 1_000
 #: Bits of the map that tells which texts are to be read again: a fixed size, whatever the corpus.
 MAP_BITS = 1 << 23
 _BITS_PER_MAP = 8 * 4096
@@ -203,9 +206,9 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(own("u"), "u").join(own("v"), "v").select("u", "v", "set_u", "set_v").mapInArrow(run, "u bigint, v bigint")
 
 
-def _across(members: DataFrame, forest: bool) -> DataFrame:
-    """Agreeing pairs of members of one bucket but different components; with forest, only those that would join two
-    components if the best agreement came first. members: key, rep, comp, sig.
+def _across(members: DataFrame) -> DataFrame:
+    """Agreeing pairs of members of one bucket but different components, of these a forest between components with the best
+    agreement first. members: key, rep, comp, sig.
 
     A bucket is dealt into chunks, and each pair of chunks is compared by itself, in memory; rows of one comparison follow
     each other in a partition and only agreeing pairs leave it.
@@ -225,8 +228,6 @@ def _across(members: DataFrame, forest: bool) -> DataFrame:
                 agree = (sig[others] == sig[i]).mean(1)
                 for j, x in zip(others[agree >= AGREE].tolist(), agree[agree >= AGREE].tolist(), strict=True):
                     found.append((-x, int(min(rep[i], rep[j])), int(max(rep[i], rep[j])), int(comp[i]), int(comp[j])))
-        if not forest:
-            return [(u, v) for _, u, v, *_ in found]
         up: dict[int, int] = {}
 
         def root(c: int) -> int:
@@ -270,6 +271,52 @@ def _across(members: DataFrame, forest: bool) -> DataFrame:
     return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(run, "u bigint, v bigint").distinct()
 
 
+def _within(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of one group but different components, as a forest for each pair of chunks. members: rep,
+    group, comp.
+
+    Every pair of a group's chunks is a task of at most 2 * CHUNK_SETS sets, which counts each set's common shingles with
+    all others at once.
+    """
+    apart = members.groupBy("group").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.ceil(F.count(F.lit(1)) / CHUNK_SETS).cast("int").alias("chunks")).where("a < b").select("group", "chunks")
+    dealt = members.join(apart, "group").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")).join(sets, "rep")
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    rows = dealt.select("group", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "rep", "comp", "set")
+
+    def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
+        _, lo, hi = key
+        chunk, rep, comp = (g[c].to_numpy() for c in ("chunk", "rep", "comp"))
+        held = [np.frombuffer(x, np.uint64) for x in g["set"]]
+        sizes = np.array([len(x) for x in held])
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        names, ids = np.unique(np.concatenate(held), return_inverse=True)
+        has = np.zeros(len(names), np.int32)
+        up: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while up.get(c, c) != c:
+                up[c] = up.get(up[c], up[c])
+                c = up[c]
+            return c
+
+        out = []
+        right = chunk == hi
+        for i in np.flatnonzero(chunk == lo).tolist():
+            own = ids[starts[i] : starts[i] + sizes[i]]
+            has[own] = 1
+            both = np.add.reduceat(has[ids], starts)
+            has[own] = 0
+            good = right & (comp != comp[i]) & (100 * both >= PERCENT * (sizes + sizes[i] - both))
+            for j in np.flatnonzero(good).tolist():
+                c, d = root(int(comp[i])), root(int(comp[j]))
+                if c != d:
+                    up[c] = d
+                    out.append((int(rep[i]), int(rep[j])))
+        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
+
+    return rows.groupBy("group", "lo", "hi").applyInPandas(run, "u bigint, v bigint")
+
+
 def classes_of(sketched: DataFrame) -> DataFrame:
     """rep (smallest doc_id), n, d1, d2, bands and sig of each different non-empty set."""
     some = sketched.where("n > 0 and doc_id is not null")
@@ -292,22 +339,25 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     links = stash(_verified(pairs, sets), "links")
     comps = stash(connected_components(links), "comps")
 
-    for forest in (True, False):
-        now = shared.select("key", "rep").join(comps, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-        now = stash(now, "members")
-        open_keys = now.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("key")
-        members = now.join(open_keys, "key").join(classes.select("rep", "sig"), "rep").select("key", "rep", "comp", "sig")
-        more = stash(_across(members, forest), "pairs")
-        unstash(now)
-        if not more.head(1):
-            break
+    comp_of = lambda df: df.join(comps, F.col("rep") == F.col("node"), "left").drop("node").withColumn("comp", F.coalesce("component", "rep")).drop("component")
+    now = stash(comp_of(shared.select("key", "rep")), "members")
+    open_keys = now.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("key")
+    members = now.join(open_keys, "key").join(classes.select("rep", "sig"), "rep").select("key", "rep", "comp", "sig")
+    more = stash(_across(members), "pairs")
+    unstash(now)
+    unstash(shared)
+    if more.head(1):
         missing = ends(more).join(sets.select("rep"), "rep", "left_anti").join(keys, "rep")
         both = stash(sets.union(_sets(documents, missing)), "sets")
         unstash(sets)
         sets = both
         links = links.union(stash(_verified(more, sets), "links"))
+        groups = stash(connected_components(links.union(more)).select(F.col("node").alias("rep"), F.col("component").alias("group")), "groups")
         comps = stash(connected_components(links), "comps")
-    unstash(shared)
+        last = stash(_within(comp_of(groups), sets), "links")
+        if last.head(1):
+            links = links.union(last)
+            comps = stash(connected_components(links), "comps")
     of_class = classes.select("d1", "d2", "rep").join(comps, F.col("rep") == F.col("node"), "left").select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), F.coalesce("component", "rep").alias("comp"))
     rows = sketched.select("doc_id", "n", "d1", "d2").join(of_class, (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
