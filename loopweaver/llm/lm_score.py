@@ -15,7 +15,8 @@ after the context without its first word; for single words it is count(w) / N, w
 
 Words are runs of bytes other than ASCII white space, lower-cased in A-Z. Null and empty texts have no words, a log_score
 of 0 and a null mean. Repeated rows count as further documents, and each gives a row. An empty table gives an empty
-result. Columns other than doc_id and text are ignored; texts are read whole. Hashes have HASH_BITS bits.
+result. Columns other than doc_id and text are ignored; texts are read whole. Hashes have SPARE_BITS bits more than number
+the corpus's n-grams, up to 63.
 """
 
 from __future__ import annotations
@@ -29,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopweaver.llm.common import stash, table, trim
+from loopweaver.llm.common import stash, table, trim, unstash
 
 ORDER, ALPHA = 3, 0.4
 BLOCK_BYTES = 6 << 20
-PARTITION_GRAMS = 1_500_000
-#: Chance that an n-gram shares its hash with another: distinct n-grams / 2^HASH_BITS.
-HASH_BITS = 50
+PARTITION_GRAMS = 1_000_000
+#: Bits of a hash beyond those that number the corpus's n-grams: one in 2^SPARE_BITS shares its hash at most.
+SPARE_BITS = 16
 _ODD = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
 
@@ -70,7 +71,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return _mix(h + (stop - start).astype(np.uint64)), np.searchsorted(ends, start, side="right")
 
 
-def gram_hashes(words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gram_hashes(words: np.ndarray, doc: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all n-grams, orders one after another, and for each order the position of its n-grams' last words."""
     out, at = [], []
     for n in range(1, ORDER + 1):
@@ -79,7 +80,7 @@ def gram_hashes(words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndar
         h = np.full(len(last), n, np.uint64)
         for k in range(n):
             h = _mix(h * np.uint64(_ODD) + words[last - (n - 1) + k])
-        out.append(h >> np.uint64(64 - HASH_BITS))
+        out.append(h >> np.uint64(64 - bits))
         at.append(last)
     return np.concatenate(out), at
 
@@ -139,20 +140,20 @@ def _open(body: bytes) -> tuple[list[int | None], list[bytes]]:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(body))
 
 
-def _bounds(partitions: int) -> np.ndarray:
+def _bounds(partitions: int, bits: int) -> np.ndarray:
     """Least hash of each partition and the end of the last."""
-    return np.array([(i << HASH_BITS) // partitions for i in range(partitions + 1)], np.uint64)
+    return np.array([(i << bits) // partitions for i in range(partitions + 1)], np.uint64)
 
 
-def requests(gathered: DataFrame, partitions: int) -> DataFrame:
+def requests(gathered: DataFrame, partitions: int, bits: int) -> DataFrame:
     """block, part, hashes and counts: a packed run of each block's distinct n-grams for each hash partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bounds = _bounds(partitions)
+        bounds = _bounds(partitions, bits)
         for b in batches:
             for block, body in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 words, doc = word_hashes(_open(body.as_py())[1])
-                grams, counts = np.unique(gram_hashes(words, doc)[0], return_counts=True)
+                grams, counts = np.unique(gram_hashes(words, doc, bits)[0], return_counts=True)
                 cut = np.searchsorted(grams, bounds)
                 rows = [(p, _squeeze(np.diff(grams[s:e], prepend=bounds[p])), _squeeze(counts[s:e])) for p, (s, e) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if e > s]
                 yield pa.RecordBatch.from_arrays(
@@ -170,11 +171,13 @@ def _answer(group: pd.DataFrame) -> pd.DataFrame:
     own = np.concatenate([_expand(x) for x in group["counts"]])
     total = np.bincount(inverse, own, len(hashes)).astype(np.uint64)[inverse]
     ends = np.cumsum([len(r) for r in runs])
+    del hashes, inverse, own, runs
     out = pd.DataFrame({"block": group["block"], "part": group["part"], "totals": [_squeeze(x) for x in np.split(total, ends[:-1])]})
+    trim()
     return out
 
 
-def _score(total_words: int):
+def _score(total_words: int, bits: int):
     def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         found: list[pd.DataFrame] = []
         for body in blocks["body"]:
@@ -182,17 +185,18 @@ def _score(total_words: int):
             words, doc = word_hashes(texts)
             n = np.bincount(doc, minlength=len(ids)).astype(np.int64)
             totals = np.concatenate([_expand(x) for x in answers.sort_values("part")["totals"]]).astype(np.int64) if len(answers) else np.zeros(0, np.int64)
-            grams, at = gram_hashes(words, doc)
-            inverse = np.unique(grams, return_inverse=True)[1]
-            owner = np.concatenate([doc[a] for a in at])
-            # Occurrences of the same n-gram in the same document, to be left out.
-            _, same, times = np.unique(owner * np.int64(max(1, len(totals))) + inverse, return_inverse=True, return_counts=True)
-            rest = totals[inverse] - times[same]
+            grams, at = gram_hashes(words, doc, bits)
+            inverse = np.unique(grams, return_inverse=True)[1].astype(np.int32)
+            del grams
             counts = np.zeros((ORDER + 1, len(words)), np.int64)  # of the n-gram that ends at each word
             lo = 0
             for k, a in enumerate(at, 1):
-                counts[k, a] = rest[lo : lo + len(a)]
+                own = inverse[lo : lo + len(a)]
+                # Occurrences of the same n-gram in the same document are left out.
+                _, same, times = np.unique(doc[a] * np.int64(max(1, len(totals))) + own, return_inverse=True, return_counts=True)
+                counts[k, a] = totals[own] - times[same]
                 lo += len(a)
+            del inverse, totals
             others = (total_words - n[doc]).astype(float)
             score = np.where(counts[1] > 0, np.log(np.maximum(counts[1], 1)) - np.log(np.maximum(others, 1)), -np.log(others + 1))
             for k in range(2, ORDER + 1):
@@ -204,6 +208,7 @@ def _score(total_words: int):
             sums = np.bincount(doc, score, len(ids))
             known = np.bincount(doc, counts[ORDER] > 0, len(ids)).astype(np.int64)
             found.append(pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "n_words": n, "n_seen": known, "log_score": sums, "mean_log": pd.array([s / k if k else None for s, k in zip(sums, n, strict=True)], "Float64")}))
+        trim()
         return pd.concat(found) if found else pd.DataFrame({"doc_id": [], "n_words": [], "n_seen": [], "log_score": [], "mean_log": []})
 
     return run
@@ -214,8 +219,12 @@ def score(documents: DataFrame) -> DataFrame:
     gathered = stash(blocks(documents), "blocks")
     total = gathered.agg(F.sum("words")).first()[0] or 0
     partitions = max(1, math.ceil(total * ORDER / PARTITION_GRAMS))
-    answers = requests(gathered, partitions).groupBy("part").applyInPandas(_answer, "block string, part int, totals binary")
-    return gathered.select("block", "body").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score(int(total)), "doc_id bigint, n_words bigint, n_seen bigint, log_score double, mean_log double")
+    bits = min(63, (total * ORDER).bit_length() + SPARE_BITS)
+    answers = requests(gathered, partitions, bits).groupBy("part").applyInPandas(_answer, "block string, part int, totals binary")
+    scored = gathered.select("block", "body").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score(int(total), bits), "doc_id bigint, n_words bigint, n_seen bigint, log_score double, mean_log double")
+    out = stash(scored, "scores")
+    unstash(gathered)
+    return out
 
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
