@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loopweaver.params import Params
+from loopweaver.staging import staged
 
 MEANS = ("circle", "donut", "horizontal", "vertical", "lower_left")
 
@@ -54,5 +55,6 @@ def blacklist_anti_join(candidates: DataFrame, regions: DataFrame, p: Params) ->
 
 
 def find_candidates(significances: DataFrame, cells: DataFrame, p: Params, regions: DataFrame | None = None) -> DataFrame:
+    significances = staged(significances, "significances")  # one row per place; read by the filter and by the neighbours
     found = enrichment_filter(neighbor_means(candidate_filter(significances, cells, p), significances, p), p)
     return found if regions is None else blacklist_anti_join(found, regions, p)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loopweaver.params import Params
+from loopweaver.staging import staged
 
 _TILE = 2048
 
@@ -96,7 +97,7 @@ def clustered(candidates: DataFrame, p: Params) -> DataFrame:
     Isolation and density are joins; what follows is sequential over one chromosome's candidates, which are few.
     Chromosomes with a single candidate, or only isolated ones, give no rows.
     """
-    dense = density(not_isolated(candidates), p)
+    dense = density(not_isolated(staged(candidates, "candidates")), p)
     gap = p.gap
 
     def run(g: pd.DataFrame) -> pd.DataFrame:

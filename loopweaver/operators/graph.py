@@ -20,7 +20,7 @@ def edges(binned: DataFrame, p: Params) -> DataFrame:
     """cell, chrom, u, v: contacts and the chain of neighbouring bins, both directions, distinct."""
     sizes = F.create_map(*(x for k in sorted(p.chrom_lengths) for x in (F.lit(k), F.lit(p.bins(k)))))
     groups = binned.select("cell", "chrom").distinct()
-    chain = groups.select("cell", "chrom", F.explode(F.sequence(F.lit(0), sizes[F.col("chrom")] - 2)).cast("bigint").alias("u")).select("cell", "chrom", "u", (F.col("u") + 1).alias("v"))
+    chain = groups.select("cell", "chrom", F.explode(F.sequence(F.lit(0).cast("bigint"), sizes[F.col("chrom")].cast("bigint") - 2)).alias("u")).select("cell", "chrom", "u", (F.col("u") + 1).alias("v"))
     # A contact spans two bins or more, so it is never a link of the chain: no distinct is needed.
     one = binned.select("cell", "chrom", F.col("i").alias("u"), F.col("j").alias("v")).union(chain)
     return one.select("cell", "chrom", F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("cell", "chrom", "e.u", "e.v")

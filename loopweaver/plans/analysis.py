@@ -119,8 +119,9 @@ def run(spark: SparkSession, p: Params, log: Callable[[str], None] = print) -> N
     if "postprocess" in p.steps:
         found = spark.read.parquet(at["interactions"])
         regions = sources.filter_regions(spark, p.filter_file) if p.filter_file else None
-        sinks.parquet(cluster.clustered(candidates.find_candidates(found, cells, p, regions), p), at["postprocessed"], "chrom")
-        done = spark.read.schema(cluster.clustered(candidates.find_candidates(found, cells, p, regions), p).schema).parquet(at["postprocessed"])
+        clustered = cluster.clustered(candidates.find_candidates(found, cells, p, regions), p)
+        clustered.write.mode("overwrite").parquet(at["postprocessed"])
+        done = spark.read.schema(clustered.schema).parquet(at["postprocessed"])
         sinks.loops(done, f"{p.outdir}/final", p)
         sinks.tsv(cluster.zscore_pivot(cluster.summit_scores(cluster.final_summits(done), z)), f"{p.outdir}/final/{p.prefix}.summits.zscores")
         log("postprocess: done")

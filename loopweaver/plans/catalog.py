@@ -13,6 +13,7 @@ from loopweaver.operators import background, binning, candidates, cluster, combi
 from loopweaver.params import Params
 from loopweaver.plans import analysis
 from loopweaver.sources import fixture
+from loopweaver.staging import staged
 
 P: Params = fixture.PARAMS
 SHARP = {"tail": "exponential"}
@@ -63,13 +64,24 @@ def _regions(spark):
 
 
 def _found(spark, d):
-    return candidates.neighbor_means(candidates.candidate_filter(_significances(spark, d), _cells(spark, d), P), _significances(spark, d), P)
+    found = staged(_significances(spark, d), "significances")
+    return candidates.neighbor_means(candidates.candidate_filter(found, _cells(spark, d), P), found, P)
+
+
+def _candidates(spark, d):
+    return staged(candidates.candidate_filter(_significances(spark, d), _cells(spark, d), P), "candidates")
 
 
 def _clustered(spark, d):
     return cluster.clustered(candidates.enrichment_filter(_found(spark, d), P), P)
 
 
+def _pivot(spark, d):
+    """Scores of the final summits, one column per cell. Summits are few and are staged before the pivot looks up cells."""
+    peaks = staged(cluster.final_summits(_clustered(spark, d)).select("chrom", "i", "j"), "summits")
+    return cluster.zscore_pivot(staged(cluster.summit_scores(peaks, _z(spark, d)), "scores"))
+
+
 def _method(name: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
         from dataclasses import replace
@@ -118,11 +130,11 @@ QUERIES = {
     "neighbor_means": lambda s, d: _rounded(_found(s, d).select("chrom", "i", "j", "outlier_count", *candidates.MEANS), *candidates.MEANS),
     "enrichment_filter": lambda s, d: candidates.enrichment_filter(_found(s, d), P).select("chrom", "i", "j", "outlier_count"),
     "blacklist_anti_join": lambda s, d: candidates.blacklist_anti_join(_binned(s, d), _regions(s), P),
-    "density_rho": lambda s, d: cluster.density(cluster.not_isolated(candidates.candidate_filter(_significances(s, d), _cells(s, d), P)), P).select("chrom", "i", "j", "ro"),
+    "density_rho": lambda s, d: cluster.density(cluster.not_isolated(_candidates(s, d)), P).select("chrom", "i", "j", "ro"),
     "density_clusters": lambda s, d: _rounded(_clustered(s, d).select("chrom", "i", "j", "ro", "delta", "eta", "rank", "eta_cluster", "cluster_size"), "delta", "eta"),
     "summit_nms": lambda s, d: cluster.final_summits(_clustered(s, d)).select("chrom", "i", "j", "eta_cluster", "cluster_size"),
-    "connected_candidates": lambda s, d: cluster.connected(candidates.candidate_filter(_significances(s, d), _cells(s, d), P), P.clustering_gap),
-    "zscore_pivot": lambda s, d: cluster.zscore_pivot(cluster.summit_scores(cluster.final_summits(_clustered(s, d)), _z(s, d))),
+    "connected_candidates": lambda s, d: cluster.connected(_candidates(s, d), P.clustering_gap),
+    "zscore_pivot": lambda s, d: _pivot(s, d),
     "completed_jobs_antijoin": lambda s, d: jobs.remaining_jobs(_binned(s, d), _binned(s, d).where("cell % 3 = 0")),
     "validate_counts": lambda s, d: jobs.validate_counts(_z(s, d), P),
     "loops": lambda s, d: analysis.loops(_contacts(s, d), P).select("chrom", "i", "j", "outlier_count", "eta_cluster", "cluster_size", "summit"),
