@@ -20,16 +20,17 @@ def local_background(z: DataFrame, p: Params) -> DataFrame:
     u, lo = p.local_upper_limit, p.local_lower_limit
     lengths = F.create_map(*(x for c in sorted(p.chrom_lengths) for x in (F.lit(c), F.lit(p.chrom_lengths[c] // p.binsize))))
     top = lengths[F.col("chrom")]
-    # Sums of z over j in each row i; a row's window is moved to every j of the rows within reach of it.
-    wide = z.where(F.col("j") - F.col("i") <= p.max_bins + 2 * u)
-    near = wide.select("cell", "chrom", "i", F.explode(F.sequence(F.col("j") - u, F.col("j") + u)).alias("c"), F.col("j"), "z")
-    row = near.groupBy("cell", "chrom", "i", "c").agg(F.sum("z").alias("big"), F.sum(F.when(F.abs(F.col("c") - F.col("j")) <= lo, F.col("z"))).alias("small"))
-    by_column = Window.partitionBy("cell", "chrom", "c").orderBy("i")
-    box = row.select("cell", "chrom", "i", F.col("c").alias("j"), F.sum("big").over(by_column.rangeBetween(-u, u)).alias("big"), F.sum("small").over(by_column.rangeBetween(-lo, lo)).alias("small"))
-    pairs = z.where(F.col("j") - F.col("i") <= p.max_bins)
-    joined = pairs.join(box, ["cell", "chrom", "i", "j"])
+    # The places of a row that its neighbours' squares reach past the band hold 0, and make a frame's column there.
+    pads = [*range(1 - u, 1), *range(p.max_rwr_bins + 1, p.max_bins + u + 1)]
+    empty = z.select("cell", "chrom", "i").distinct().select("cell", "chrom", "i", F.explode(F.array(*map(F.lit, pads))).alias("d")).select("cell", "chrom", "i", (F.col("i") + F.col("d")).alias("j"), F.lit(0.0).alias("z"))
+    wide = z.where(F.col("j") - F.col("i") <= p.max_bins + 2 * u).select("cell", "chrom", "i", "j", "z").union(empty)
+    by_row, by_column = Window.partitionBy("cell", "chrom", "i").orderBy("j"), Window.partitionBy("cell", "chrom", "j").orderBy("i")
+    around = lambda w, r: w.rangeBetween(-r, r)
+    row = wide.select("cell", "chrom", "i", "j", F.sum("z").over(around(by_row, u)).alias("big"), F.sum("z").over(around(by_row, lo)).alias("small"), "z")
+    box = row.select("cell", "chrom", "i", "j", "z", F.sum("big").over(around(by_column, u)).alias("big"), F.sum("small").over(around(by_column, lo)).alias("small"))
+    pairs = box.where((F.col("j") - F.col("i") <= p.max_bins) & (F.col("j") > F.col("i")))
     cells = _places(u, top) - _places(lo, top)
-    return joined.select("cell", "chrom", "i", "j", "z", ((F.col("big") - F.coalesce("small", F.lit(0.0))) / cells).alias("nb"))
+    return pairs.select("cell", "chrom", "i", "j", "z", ((F.col("big") - F.col("small")) / cells).alias("nb"))
 
 
 def _places(r: int, top: F.Column) -> F.Column:

@@ -18,6 +18,8 @@ from loopweaver.staging import staged
 P: Params = fixture.PARAMS
 SHARP = {"tail": "exponential"}
 DIGITS = 6
+#: Moves values that lie halfway between two roundings, as products of 0.95 and 1/2 do, off the tie.
+OFF_TIE = 3.3e-9
 
 
 def _rounded(df: DataFrame, *names: str, digits: int = DIGITS) -> DataFrame:
@@ -106,7 +108,7 @@ QUERIES = {
     "graph_degree": lambda s, d: graph.degree(_edges(s, d)),
     "transition_matrix": lambda s, d: _rounded(graph.transition_matrix(_edges(s, d)), "p", digits=9),
     "laplacian_weights": lambda s, d: _rounded(graph.laplacian_weights(_edges(s, d)), "w", digits=9),
-    "rwr_iterative_k2": lambda s, d: _rounded(graph.rwr_iterative(_edges(s, d), P, 2), "s"),
+    "rwr_iterative_k2": lambda s, d: _rounded(graph.rwr_iterative(_edges(s, d), P, 2).withColumn("s", F.col("s") + OFF_TIE), "s"),
     "rwr_inverse": _method("inverse"),
     "rwr_iterative": _method("iterative"),
     "rwr_sliding_window": _method("sliding_window"),
@@ -243,7 +245,7 @@ ORACLE = {
     "laplacian_weights": _sql("deg", "SELECT e.cell, e.chrom, e.u, e.v, round(1 / sqrt(CAST(d.degree AS DOUBLE) * f.degree), 9) AS w FROM edges AS e JOIN deg AS d USING (cell, chrom, u) JOIN deg AS f ON f.cell = e.cell AND f.chrom = e.chrom AND f.u = e.v"),
     "rwr_iterative_k2": _sql(
         "deg",
-        "SELECT cell, chrom, i, j, round(sum(a), 6) AS s FROM (SELECT cell, chrom, u AS i, w AS j, a FROM a2 UNION ALL SELECT cell, chrom, w, u, a FROM a2) AS b GROUP BY ALL",
+        "SELECT cell, chrom, i, j, round(sum(a) + " + str(OFF_TIE) + ", 6) AS s FROM (SELECT cell, chrom, u AS i, w AS j, a FROM a2 UNION ALL SELECT cell, chrom, w, u, a FROM a2) AS b GROUP BY ALL",
         "t AS (SELECT e.cell, e.chrom, e.u, e.v, CAST(1 AS DOUBLE) / d.degree AS p FROM edges AS e JOIN deg AS d USING (cell, chrom, u))",
         f"a1 AS (SELECT cell, chrom, u, w, sum(a) AS a FROM (SELECT cell, chrom, u, v AS w, {1 - P.alpha} * p AS a FROM t UNION ALL SELECT cell, chrom, u, u, {P.alpha} FROM deg) AS x GROUP BY ALL)",
         f"a2 AS (SELECT cell, chrom, u, w, sum(a) AS a FROM (SELECT t.cell, t.chrom, t.u, a1.w, {1 - P.alpha} * t.p * a1.a AS a FROM t JOIN a1 ON a1.cell = t.cell AND a1.chrom = t.chrom AND a1.u = t.v UNION ALL SELECT cell, chrom, u, u, {P.alpha} FROM deg) AS x GROUP BY ALL)",
