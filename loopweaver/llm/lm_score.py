@@ -228,4 +228,5 @@ def score(documents: DataFrame) -> DataFrame:
 
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(table(spark, sf_dir, "documents"))
+    scored = score(table(spark, sf_dir, "documents"))
+    return scored.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log")})
