@@ -8,7 +8,7 @@ with one doc_id but different texts stay if one of them is kept. An empty table
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loopweaver.llm import minhash, packing, quality, secrets, toxicity
@@ -31,7 +31,8 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = stash(minhash.near_duplicates(docs), "dedup")
     by_id = found.where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     ids = stash(by_id.where("not kept or n > 1"), "rejected")
-    kept = docs.join(ids.where("not kept").select(F.col("doc_id").alias("_rejected")), F.col("doc_id") == F.col("_rejected"), "left_anti")
+    gone = ids.where("not kept").select(F.col("doc_id").alias("_rejected"))
+    kept = docs.join(gone, docs["doc_id"] == gone["_rejected"], "left_anti")
     return kept.dropDuplicates(["doc_id", "text"]) if ids.where("kept").head(1) else kept
 
 
@@ -45,19 +46,15 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(docs)
 
 
-def _row() -> Column:
-    return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text"))
-
-
 def _by_row(docs: DataFrame) -> DataFrame:
     """The documents under a hash of doc_id and text, so that rows without an id, or under one id, are told apart."""
-    return docs.withColumn("doc_id", _row())
+    return docs.withColumn("doc_id", F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text")))
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """The rows that are not among the rejected ones. Only hashes are compared; Spark broadcasts them where they are few."""
     rows = stash(rejected.select(F.col("doc_id").alias("_rejected")).distinct(), "rejected")
-    return docs.join(rows, _row() == F.col("_rejected"), "left_anti")
+    return docs.join(rows, F.xxhash64(docs["doc_id"].cast("bigint"), docs["text"]) == rows["_rejected"], "left_anti")
 
 
 STAGES = [

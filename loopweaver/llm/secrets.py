@@ -99,11 +99,13 @@ def written(spans: Column) -> Column:
 
 def redact(documents: DataFrame) -> DataFrame:
     """The documents with MASK in place of every span; n_chars follows. Columns stay as they are."""
-    cols = documents.columns
-    spans = scan(documents).where(F.size("spans") > 0).select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("spans").alias("_spans")).dropDuplicates(["_d", "_k"])
-    keyed = documents.withColumn("_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    both = keyed.join(spans, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")), "left")
-    text = F.col("text")
+    spans = scan(documents).where(F.size("spans") > 0).dropDuplicates(["doc_id", "key"])
+    found = spans.select(F.struct("doc_id", "key", "spans").alias("found"))
+    # Rows travel as one struct, so that no column's name can clash.
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"))
+    key = F.xxhash64(F.coalesce(F.col("row.text"), F.lit("")))
+    both = rows.join(found, F.col("row.doc_id").cast("bigint").eqNullSafe(F.col("found.doc_id")) & (key == F.col("found.key")), "left")
+    text = F.col("row.text")
 
     def step(acc: Column, p: Column) -> Column:
         fresh = p["start"] >= acc["at"]
@@ -111,11 +113,12 @@ def redact(documents: DataFrame) -> DataFrame:
         return F.struct(F.greatest(acc["at"], p["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], kept, F.lit(MASK))).otherwise(acc["out"]).alias("out"))
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
-    masked = both.withColumn("text", F.when(F.col("_spans").isNotNull(), clean).otherwise(text))
-    if "n_chars" in cols:
-        masked = masked.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text").cast(documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return masked.select(*cols)
+    clean = F.aggregate("found.spans", start, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+    masked = both.withColumn("text", F.when(F.col("found").isNotNull(), clean).otherwise(text))
+    changed = {"text": F.col("text")}
+    if "n_chars" in documents.columns:
+        changed["n_chars"] = F.when(F.col("found").isNotNull(), F.length("text").cast(documents.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return masked.select(*(changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in documents.columns))
 
 
 def op4_secret_scan(spark, sf_dir: str) -> DataFrame:
