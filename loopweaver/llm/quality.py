@@ -5,6 +5,11 @@ Two passes over small rows, one over texts: `features` reads each text once and
 document's character-class and common-word histograms from its language's reference. Short documents have noisy
 histograms, so the distances only count from a minimum length on.
 
+The word distance is held against a text without any common word, which lies at a distance that follows from the
+language's share of common words. A document fails if it is nearer to that text than to its reference, or no nearer to the
+reference than that text is. This needs a length at which a text of the language would hold at least GUARD_COMMON common
+words; in languages that hardly use the listed words only long texts, or none, are judged by it.
+
 Nulls: a null text counts as empty; a null language takes the pooled reference. Empty texts have zero counts and fail
 the base rule (fewer than 50 words). Repeated rows are judged one by one and give one row each. An empty table gives an
 empty result. Columns other than doc_id, text and lang are ignored.
@@ -37,6 +42,8 @@ MIN_WORDS = 50
 GUARD_WORDS = 80
 MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.60
+#: Common words to expect in a text of the language from which a lack of them counts.
+GUARD_COMMON = 8
 #: Languages with a reference of their own; the rest share the pooled one.
 MAX_LANGUAGES = 64
 POOLED = "*"
@@ -166,6 +173,15 @@ def jensen_shannon(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.where(rows[:, 0] > 0, np.sqrt(np.clip(d, 0, 1)), 0)
 
 
+def lacks_common(hist: np.ndarray, ref: np.ndarray, far: np.ndarray, guard_common: float = GUARD_COMMON) -> np.ndarray:
+    """Whether each row of word counts, far from the reference, looks rather like a text without common words."""
+    bare = np.zeros(len(ref))
+    bare[-1] = 1
+    expected = hist.sum(1) * (1 - ref[-1] / max(ref.sum(), 1))
+    none = jensen_shannon(bare[None], ref)[0]
+    return (expected >= guard_common) & (far >= np.minimum(none, jensen_shannon(hist, bare)))
+
+
 def verdict(feats: DataFrame, refs: dict, guard_words: int = GUARD_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """Adds class_distance, word_distance, base_failed and kept."""
 
@@ -174,14 +190,15 @@ def verdict(feats: DataFrame, refs: dict, guard_words: int = GUARD_WORDS, max_cl
             n = b.num_rows
             hist = [b.column(i).flatten().to_numpy().reshape(n, -1) if n else np.zeros((0, 1)) for i in (7, 8)]
             langs = np.array([x if x in refs else POOLED for x in b.column(1).to_pylist()], object)
-            far = np.zeros((2, n))
+            far, lacks = np.zeros((2, n)), np.zeros(n, bool)
             for lang in set(langs):
                 at = langs == lang
                 for k in (0, 1):
                     far[k, at] = jensen_shannon(hist[k][at], refs[lang][k])
+                lacks[at] = lacks_common(hist[1][at], refs[lang][1], far[1, at])
             words, repeats = b.column(2).to_numpy(), b.column(6).to_numpy()
             failed = (words < MIN_WORDS) | (100 * repeats > 50 * words)
-            kept = ~failed & ((words < guard_words) | ((far[0] <= max_class) & (far[1] <= max_word)))
+            kept = ~failed & ((words < guard_words) | ((far[0] <= max_class) & (far[1] <= max_word) & ~lacks))
             yield pa.RecordBatch.from_arrays([b.column(0), *[b.column(i) for i in range(2, 7)], pa.array(far[0]), pa.array(far[1]), pa.array(failed), pa.array(kept)], names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept"])
 
     return feats.mapInArrow(run, "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, class_distance double, word_distance double, base_failed boolean, kept boolean")

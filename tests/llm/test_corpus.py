@@ -302,6 +302,17 @@ def test_quality_verdicts_follow_the_distance(spark):
     assert all(got[i]["kept"] for i in range(80) if not got[i]["base_failed"])
 
 
+def test_junk_of_plain_letters_is_rejected(spark):
+    rng = np.random.default_rng(7)
+    plain = [(i, " ".join(rng.choice(["the", "of", "and", "to", "in", *(f"stone{chr(97 + x)}" for x in range(15))], 150)), "en") for i in range(80)]
+    letters = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    junk = [(1000, " ".join(letters() for _ in range(150)), "en"), (1001, " ".join(["the", *(letters() for _ in range(149))]), "en"), (1002, " ".join(letters() if k % 4 else "una" for k in range(150)), "en")]
+    # A language that uses none of the listed words is not judged by them.
+    other = [(2000 + i, " ".join(letters() for _ in range(150)), "xx") for i in range(20)]
+    got = {r["doc_id"]: r for r in quality.quality_rules(spark.createDataFrame(plain + junk + other, "doc_id bigint, text string, lang string")).collect()}
+    assert [i for i, r in got.items() if not r["kept"] and not r["base_failed"]] == [1000, 1001, 1002]
+
+
 def test_jensen_shannon():
     assert quality.jensen_shannon(np.array([[1, 1], [2, 0], [0, 0]]), np.array([5, 5])).round(6).tolist() == [0, round(math.sqrt(1 - 0.75 * math.log2(3) + 0.5), 6), 0]
 
