@@ -4,7 +4,9 @@ Some parts are secrets by their form: assignments, access identifiers and long h
 identifiers without a strict form, tokens that look random, addresses of services. A hint is reported only when its
 complement stands within SCOPE code points of it in the same text: an identifier near a secret, a random token near an
 identifier, an endpoint near both. That is an interval join of the hints with all parts of texts that hold a hint, on the
-text and the SCOPE-wide bin, so that no bin pairs more parts than fit into it; texts themselves are never shuffled.
+text and the SCOPE-wide bin, so that no bin pairs more parts than fit into it; texts themselves are never shuffled. A hint
+is in all bins that it covers, a part in all bins that it comes within SCOPE of, so that every near pair shares a bin; pairs
+that share several count once.
 
 Positions are code points, ends exclusive. Matches of a kind are leftmost and don't overlap; different kinds may. Nulls
 count as empty texts; empty texts have no spans. Texts with the same doc_id but different content are kept apart; repeated
@@ -71,7 +73,7 @@ def links(found: DataFrame) -> DataFrame:
     here = ["doc_id", "key", "part.*"]
     near = some.select("doc_id", "key", F.explode(F.concat(*strong, *hints)).alias("part")).select(*here)
     near = near.select("doc_id", "key", F.col("start").alias("s"), F.col("end").alias("e"), F.col("rank").alias("r"), F.explode(F.sequence(F.floor((F.col("start") - SCOPE) / SCOPE), F.floor((F.col("end") + SCOPE) / SCOPE))).alias("bin"))
-    hint = some.select("doc_id", "key", F.explode(F.concat(*hints)).alias("part")).select(*here).withColumn("bin", F.floor(F.col("start") / SCOPE))
+    hint = some.select("doc_id", "key", F.explode(F.concat(*hints)).alias("part")).select(*here).withColumn("bin", F.explode(F.sequence(F.floor(F.col("start") / SCOPE), F.floor(F.col("end") / SCOPE))))
     # <=> on doc_id: a null doc_id is a document too.
     both = hint.alias("h").join(near.alias("n"), F.expr("h.doc_id <=> n.doc_id AND h.key = n.key AND h.bin = n.bin AND n.s <= h.end + %d AND n.e >= h.start - %d AND NOT (n.s = h.start AND n.r = h.rank)" % (SCOPE, SCOPE)))
     rank = {k: i for i, k in enumerate(KINDS)}

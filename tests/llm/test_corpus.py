@@ -227,6 +227,29 @@ def test_hints_need_their_complement(spark, odd):
     assert secrets.scan(odd).count() == len(ODD) and secrets.scan(odd.limit(0)).count() == 0
 
 
+def test_links_equal_an_interval_join_by_brute_force(spark):
+    rng = np.random.default_rng(8)
+    pad = lambda n: (" x" * (n // 2 + 1))[: n - 1] + " "
+    texts = ["https://" + "u" * 992 + pad(10) + "client_id=alice" + pad(20) + "secret=hunter22", pad(390) + "aB3d" * 10 + pad(400) + "client_id=alice", "client_id=alice" + pad(400) + "aB3d" * 10]
+    forms = ["client_id=alice", "user_name=" + "b" * 700, "aB3d" * 10, "https://" + "u" * 1500, "https://a.b/c", "secret=hunter22", "0af" * 300, "AKIA" + "Q" * 16]
+    for _ in range(150):
+        texts.append("".join(pad(int(rng.choice([5, 150, 380, 399, 400, 401, 420, 800]))) + str(rng.choice(forms)) for _ in range(rng.integers(2, 6))))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    names = [k[0] for k in (*secrets.STRONG, *secrets.HINTS)]
+    want = {}
+    for r in secrets.parts(df).collect():
+        found = [(p["start"], p["rank"], p["end"]) for k in names for p in r[k]]
+        spans = [p for p in found if p[1] < 3]
+        for s, k, e in found:
+            others = [(names[q], a < e and s < b and q < 3) for a, q, b in found if (a, q) != (s, k) and a <= e + secrets.SCOPE and b >= s - secrets.SCOPE]
+            is_id, is_key = any(n in ("access", "identifier") for n, _ in others), any(n in ("assign", "hex", "random") for n, _ in others)
+            if k >= 3 and not any(x for _, x in others) and {"identifier": is_key, "random": is_id, "endpoint": is_id and is_key}[names[k]]:
+                spans.append((s, k, e))
+        want[r["doc_id"]] = sorted(spans)
+    got = {r["doc_id"]: [(p["start"], p["rank"], p["end"]) for p in r["spans"]] for r in secrets.scan(df).collect()}
+    assert got == want and [names[k] for _, k, _ in got[0]] == ["endpoint", "identifier", "assign"] and len(got[1]) == 2 and len(got[2]) == 2
+
+
 def test_redaction_masks_spans_only(spark):
     df = spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate(SECRET_TEXTS)], "doc_id bigint, text string, n_chars int")
     got = {r["doc_id"]: r for r in secrets.redact(clashing(df)).collect()}
