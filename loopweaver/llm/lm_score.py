@@ -4,7 +4,8 @@ The count table of all n-grams up to ORDER is partitioned by hash. Rows of it wo
 they travel packed: documents are gathered into blocks of BLOCK_BYTES; a block explodes its n-grams, aggregates them and
 sends each hash partition one packed run of its distinct hashes with their counts. A partition sums the runs of all blocks
 into its share of the count table, joins the table to each run, and sends back a packed run of corpus counts in the same
-order. The block, brought together with its answers, reads off every occurrence's counts and sums per document. An n-gram
+order. This happens in ROUNDS, each for a range of the hashes, so that only a part of the requests is on disk at once.
+The block, brought together with its answers, reads off every occurrence's counts and sums per document. An n-gram
 reaches a partition once per block however common it is, partitions hold about PARTITION_GRAMS n-grams at any corpus
 size, and what is sent grows with the distinct n-grams of the blocks.
 
@@ -15,14 +16,20 @@ after the context without its first word; for single words it is count(w) / N, w
 
 Words are runs of bytes other than ASCII white space, lower-cased in A-Z. Null and empty texts have no words, a log_score
 of 0 and a null mean. Repeated rows count as further documents, and each gives a row. An empty table gives an empty
-result. Columns other than doc_id and text are ignored; texts are read whole. Hashes have SPARE_BITS bits more than number
-the corpus's n-grams, up to 63.
+result. Columns other than doc_id and text are ignored; texts are read whole. Words are told apart by 128 bits of a
+cryptographic hash, n-grams by a hash of HASH_BITS that orders them and a check hash of 32 bits more: at 30 GB, with about
+2^34 n-grams, the chance that any two share both is about 2^-28.
 """
 
 from __future__ import annotations
 
+import contextlib
+import functools
 import math
+from collections import defaultdict
 from collections.abc import Iterator
+from hashlib import blake2b
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -35,17 +42,11 @@ from loopweaver.llm.common import stash, table, trim, unstash
 ORDER, ALPHA = 3, 0.4
 BLOCK_BYTES = 6 << 20
 PARTITION_GRAMS = 1_000_000
-#: Bits of a hash beyond those that number the corpus's n-grams: one in 2^SPARE_BITS shares its hash at most.
-SPARE_BITS = 16
+#: Bits of the hash that orders n-grams; the check hash has 32 more.
+HASH_BITS = 63
+#: Ranges of hashes that are counted one after another.
+ROUNDS = 2
 _ODD = 0x9E3779B97F4A7C15
-_POWERS: list[np.ndarray] = []
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2^64."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        _POWERS[:] = [np.cumprod(np.full(n, x, np.uint64)) for x in (_ODD, pow(_ODD, -1, 1 << 64))]
-    return _POWERS[0], _POWERS[1]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -55,34 +56,56 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of the texts, one after another, and the text each is in."""
-    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    up, back = _powers(len(data))
-    blank = (data == 32) | ((data >= 9) & (data <= 13))
-    inside = np.concatenate([[False], ~blank, [False]])
-    edge = np.flatnonzero(inside[1:] != inside[:-1])
-    start, stop = edge[::2], edge[1::2]
-    low = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data).astype(np.uint64)
-    low += np.uint64(1)
-    low *= up[: len(data)]
-    total = np.concatenate([[np.uint64(0)], np.cumsum(low)])
-    h = (total[stop] - total[start]) * back[start]
-    return _mix(h + (stop - start).astype(np.uint64)), np.searchsorted(ends, start, side="right")
-
-
-def gram_hashes(words: np.ndarray, doc: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all n-grams, orders one after another, and for each order the position of its n-grams' last words."""
-    out, at = [], []
+    """Two hashes of every word of the texts, one after another, and the text each is in."""
+    ids: defaultdict[bytes, int] = defaultdict(count().__next__)
+    found = []
+    for t in texts:
+        words = t.lower().split()
+        found.append(np.fromiter(map(ids.__getitem__, words), np.int32, len(words)))
+    hashes = np.frombuffer(b"".join(blake2b(w, digest_size=16).digest() for w in ids), "<u8").reshape(-1, 2)
+    return hashes[np.concatenate(found)].T if found else np.zeros((2, 0), np.uint64), np.repeat(np.arange(len(texts)), [len(x) for x in found])
+
+
+def gram_hashes(words: np.ndarray, doc: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Hashes and check hashes of all n-grams, orders one after another, and for each order the position of its n-grams' last words."""
+    out: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+    at = []
     for n in range(1, ORDER + 1):
-        last = np.arange(n - 1, len(words))
+        last = np.arange(n - 1, len(doc))
         last = last[doc[last] == doc[last - (n - 1)]]
-        h = np.full(len(last), n, np.uint64)
-        for k in range(n):
-            h = _mix(h * np.uint64(_ODD) + words[last - (n - 1) + k])
-        out.append(h >> np.uint64(64 - bits))
+        for k, lane in enumerate(words):
+            h = np.full(len(last), n, np.uint64)
+            for i in range(n):
+                h = _mix(h * np.uint64(_ODD) + lane[last - (n - 1) + i])
+            out[k].append((h >> np.uint64(32)).astype(np.uint32) if k else h >> np.uint64(64 - bits))
         at.append(last)
-    return np.concatenate(out), at
+    return np.concatenate(out[0]), np.concatenate(out[1]), at
+
+
+def distinct(hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by hash and check hash, and whether each n-gram in this order differs from the one before."""
+
+    def differs(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x, y = hashes[order], checks[order]
+        other = np.ones(len(order), bool)
+        other[1:] = x[1:] != x[:-1]
+        new = other.copy()
+        new[1:] |= y[1:] != y[:-1]
+        return new, new & ~other
+
+    order = np.argsort(hashes)
+    new, shared = differs(order)
+    if shared.any():  # different n-grams under one hash
+        order = np.lexsort((checks, hashes))
+        new = differs(order)[0]
+    return order, new
+
+
+def _inverse(order: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """For each n-gram its number among the distinct ones."""
+    out = np.empty(len(order), np.int32)
+    out[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return out
 
 
 def _squeeze(x: np.ndarray) -> bytes:
@@ -145,33 +168,42 @@ def _bounds(partitions: int, bits: int) -> np.ndarray:
     return np.array([(i << bits) // partitions for i in range(partitions + 1)], np.uint64)
 
 
-def requests(gathered: DataFrame, partitions: int, bits: int) -> DataFrame:
-    """block, part, hashes and counts: a packed run of each block's distinct n-grams for each hash partition."""
+def requests(gathered: DataFrame, partitions: int, bits: int, parts: range) -> DataFrame:
+    """block, part, hashes, checks and counts: a packed run of each block's distinct n-grams for each of these hash partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bounds = _bounds(partitions, bits)
+        bounds = _bounds(partitions, bits)[parts.start : parts.stop + 1]
         for b in batches:
             for block, body in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                words, doc = word_hashes(_open(body.as_py())[1])
-                grams, counts = np.unique(gram_hashes(words, doc, bits)[0], return_counts=True)
+                grams, checks, _ = gram_hashes(*word_hashes(_open(body.as_py())[1]), bits)
+                here = (grams >= bounds[0]) & (grams < bounds[-1])
+                grams, checks = grams[here], checks[here]
+                order, new = distinct(grams, checks)
+                at = np.flatnonzero(new)
+                counts = np.diff(at, append=len(order))
+                grams, checks = grams[order[at]], checks[order[at]]
+                del order, new, at, here
                 cut = np.searchsorted(grams, bounds)
-                rows = [(p, _squeeze(np.diff(grams[s:e], prepend=bounds[p])), _squeeze(counts[s:e])) for p, (s, e) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if e > s]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["block", "part", "hashes", "counts"]
-                )
+                rows = [
+                    (p, _squeeze(np.diff(grams[s:e], prepend=low)), checks[s:e].astype("<u4").tobytes(), _squeeze(counts[s:e])) for p, low, s, e in zip(parts, bounds[:-1], cut[:-1], cut[1:], strict=True) if e > s
+                ]
+                kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                cols = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(rows), pa.string()), *cols], names=["block", "part", "hashes", "checks", "counts"])
         trim()
 
-    return gathered.select("block", "body").mapInArrow(run, "block string, part int, hashes binary, counts binary")
+    return gathered.select("block", "body").mapInArrow(run, "block string, part int, hashes binary, checks binary, counts binary")
 
 
 def _answer(group: pd.DataFrame) -> pd.DataFrame:
     """Corpus counts of each run's n-grams: the partition's share of the count table joined to every run."""
     runs = [np.cumsum(_expand(x)) for x in group["hashes"]]
-    hashes, inverse = np.unique(np.concatenate(runs), return_inverse=True)
-    own = np.concatenate([_expand(x) for x in group["counts"]])
-    total = np.bincount(inverse, own, len(hashes)).astype(np.uint64)[inverse]
     ends = np.cumsum([len(r) for r in runs])
-    del hashes, inverse, own, runs
+    hashes = np.concatenate(runs)
+    del runs
+    inverse = _inverse(*distinct(hashes, np.concatenate([np.frombuffer(x, "<u4") for x in group["checks"]])))
+    del hashes
+    total = np.bincount(inverse, np.concatenate([_expand(x) for x in group["counts"]])).astype(np.uint64)[inverse]
     out = pd.DataFrame({"block": group["block"], "part": group["part"], "totals": [_squeeze(x) for x in np.split(total, ends[:-1])]})
     trim()
     return out
@@ -185,10 +217,11 @@ def _score(total_words: int, bits: int):
             words, doc = word_hashes(texts)
             n = np.bincount(doc, minlength=len(ids)).astype(np.int64)
             totals = np.concatenate([_expand(x) for x in answers.sort_values("part")["totals"]]).astype(np.int64) if len(answers) else np.zeros(0, np.int64)
-            grams, at = gram_hashes(words, doc, bits)
-            inverse = np.unique(grams, return_inverse=True)[1].astype(np.int32)
-            del grams
-            counts = np.zeros((ORDER + 1, len(words)), np.int64)  # of the n-gram that ends at each word
+            grams, checks, at = gram_hashes(words, doc, bits)
+            del words
+            inverse = _inverse(*distinct(grams, checks))
+            del grams, checks
+            counts = np.zeros((ORDER + 1, len(doc)), np.int64)  # of the n-gram that ends at each word
             lo = 0
             for k, a in enumerate(at, 1):
                 own = inverse[lo : lo + len(a)]
@@ -201,7 +234,7 @@ def _score(total_words: int, bits: int):
             score = np.where(counts[1] > 0, np.log(np.maximum(counts[1], 1)) - np.log(np.maximum(others, 1)), -np.log(others + 1))
             for k in range(2, ORDER + 1):
                 context = np.concatenate([[0], counts[k - 1, :-1]])  # ends one word earlier
-                deep = np.zeros(len(words), bool)
+                deep = np.zeros(len(doc), bool)
                 deep[at[k - 1]] = True
                 seen = np.log(np.maximum(counts[k], 1)) - np.log(np.maximum(context, 1))
                 score = np.where(deep, np.where(counts[k] > 0, seen, math.log(ALPHA) + score), score)
@@ -214,16 +247,34 @@ def _score(total_words: int, bits: int):
     return run
 
 
+@contextlib.contextmanager
+def _shuffles_end_with_their_query(spark: SparkSession) -> Iterator[None]:
+    """Have Spark delete the shuffle files of what is run inside when it is done."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def score(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, n_seen (words whose n-gram of ORDER words other documents hold), log_score and mean_log of each row."""
     gathered = stash(blocks(documents), "blocks")
     total = gathered.agg(F.sum("words")).first()[0] or 0
     partitions = max(1, math.ceil(total * ORDER / PARTITION_GRAMS))
-    bits = min(63, (total * ORDER).bit_length() + SPARE_BITS)
-    answers = requests(gathered, partitions, bits).groupBy("part").applyInPandas(_answer, "block string, part int, totals binary")
-    scored = gathered.select("block", "body").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score(int(total), bits), "doc_id bigint, n_words bigint, n_seen bigint, log_score double, mean_log double")
-    out = stash(scored, "scores")
-    unstash(gathered)
+    size = math.ceil(partitions / ROUNDS)
+    rounds = []
+    with _shuffles_end_with_their_query(documents.sparkSession):
+        for low in range(0, partitions, size):
+            asked = requests(gathered, partitions, HASH_BITS, range(low, min(low + size, partitions)))
+            rounds.append(stash(asked.groupBy("part").applyInPandas(_answer, "block string, part int, totals binary"), "counts"))
+        answers = functools.reduce(DataFrame.unionByName, rounds)
+        scored = gathered.select("block", "body").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score(int(total), HASH_BITS), "doc_id bigint, n_words bigint, n_seen bigint, log_score double, mean_log double")
+        out = stash(scored, "scores")
+    for x in (gathered, *rounds):
+        unstash(x)
     return out
 
 

@@ -290,6 +290,15 @@ def test_scores_against_counting(spark, documents, monkeypatch):
     assert next(r for r in got if r["doc_id"] == -2)["mean_log"] is None
 
 
+def test_scores_tell_ngrams_apart(spark, documents, monkeypatch):
+    # No word occurs twice, so no n-gram of a document is in another.
+    rows = [(i, " ".join(f"w{x}" for x in range(i * 250_000, (i + 1) * 250_000))) for i in range(4)]
+    assert [r["n_seen"] for r in lm_score.score(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()] == [0] * 4
+    # Neither does an n-gram's count depend on those that share its hash.
+    monkeypatch.setattr(lm_score, "HASH_BITS", 8)
+    test_scores_against_counting(spark, documents, monkeypatch)
+
+
 def test_scores_of_odd_rows(spark, odd):
     assert lm_score.score(odd).count() == len(ODD) and lm_score.score(odd.limit(0)).count() == 0
 
