@@ -1,8 +1,9 @@
 """Quality rules: distribution divergence from language references.
 
 Two passes over small rows, one over texts: `features` reads each text once and keeps counts and histograms;
-`references` sums the histograms of all documents by language; `verdict` takes the Jensen-Shannon distance of each
-document's character-class and common-word histograms from its language's reference. Short documents have noisy
+`references` sums the histograms of all documents by language into a table of one row per language, however many there
+are; `verdict` joins it to the documents and takes the Jensen-Shannon distance of each document's character-class and
+common-word histograms from its language's reference. Short documents have noisy
 histograms, so the distances only count from a minimum length on.
 
 The word distance is held against a text without any common word, which lies at a distance that follows from the
@@ -44,9 +45,8 @@ MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.60
 #: Common words to expect in a text of the language from which a lack of them counts.
 GUARD_COMMON = 8
-#: Languages with a reference of their own; the rest share the pooled one.
-MAX_LANGUAGES = 64
-POOLED = "*"
+#: Languages that a task sums at once, before it passes their sums on.
+SUMS_AT_ONCE = 4096
 
 _FEATURES = (
     "doc_id bigint, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
@@ -131,33 +131,47 @@ def features(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint"), "text", F.col("lang").cast("string")).mapInArrow(run, _FEATURES)
 
 
-def references(feats: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Histograms of each language over all documents: one row per language, bin and partition is shuffled."""
-    top = [r[0] for r in feats.groupBy("lang").count().where("lang is not null").orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
+def references(feats: DataFrame) -> DataFrame:
+    """ref_lang, ref_classes and ref_words: histograms of each language over all documents, and, for a null language, the
+    pooled ones. What is shuffled has one row per language, bin and partition."""
+    size = len(CLASSES) + len(WORD_BINS) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
-        size = len(CLASSES) + len(WORD_BINS) + 1
+        total: dict[str | None, np.ndarray] = {}
+
+        def emit() -> pa.RecordBatch:
+            bins = np.tile(np.arange(size, dtype=np.int32), len(total))
+            sums = np.concatenate(list(total.values())) if total else np.zeros(0, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array([k for k in total for _ in range(size)], pa.string()), pa.array(bins, pa.int32()), pa.array(sums, pa.int64())], names=["lang", "bin", "n"])
+
         for b in batches:
-            if not b.num_rows:
-                continue
-            hist = np.hstack([b.column(i).flatten().to_numpy().reshape(b.num_rows, -1) for i in (1, 2)])
-            langs = np.array([x if x in known else POOLED for x in b.column(0).to_pylist()], object)
-            for lang in set(langs):
-                total[lang] = total.get(lang, np.zeros(size, np.int64)) + hist[langs == lang].sum(0)
-        keys = list(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k for k in keys for _ in range(size)], pa.string()), pa.array(list(range(size)) * len(keys), pa.int32()), pa.array(np.concatenate([total[k] for k in keys]) if keys else [], pa.int64())],
-            names=["lang", "bin", "n"],
-        )
-
-    known = set(top)
-    rows = feats.select("lang", "classes", "words").mapInArrow(run, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect()
-    out: dict[str, np.ndarray] = {}
-    for lang, i, n in rows:
-        out.setdefault(lang, np.zeros(len(CLASSES) + len(WORD_BINS) + 1))[i] = n
-    out[POOLED] = sum(out.values(), np.zeros(len(CLASSES) + len(WORD_BINS) + 1))
-    return {k: (v[: len(CLASSES)], v[len(CLASSES) :]) for k, v in out.items()}
+            hist = np.hstack([_rows(b.column(i)) for i in (1, 2)])
+            for lang, at in _by_language(b.column(0)):
+                total[lang] = total.get(lang, 0) + hist[at].sum(0)
+            if len(total) >= SUMS_AT_ONCE:
+                yield emit()
+                total.clear()
+        yield emit()
+
+    sums = stash(feats.select("lang", "classes", "words").mapInArrow(run, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")), "references")
+    pooled = sums.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "bin", "n")
+    rows = sums.where("lang is not null").unionByName(pooled).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("bin", "n")))["n"].alias("hist"))
+    return rows.select(F.col("lang").alias("ref_lang"), F.slice("hist", 1, len(CLASSES)).alias("ref_classes"), F.slice("hist", len(CLASSES) + 1, size).alias("ref_words"))
+
+
+def _rows(column: pa.Array) -> np.ndarray:
+    """A column of lists of one length as rows."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 1), np.int64)
+
+
+def _by_language(column: pa.Array) -> Iterator[tuple[str | None, np.ndarray]]:
+    """Each language of a column with the places of its rows."""
+    codes = column.dictionary_encode(null_encoding="encode")
+    of = codes.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(of, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
+        if len(at):
+            yield codes.dictionary[int(of[at[0]])].as_py(), at
 
 
 def jensen_shannon(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -182,32 +196,32 @@ def lacks_common(hist: np.ndarray, ref: np.ndarray, far: np.ndarray, guard_commo
     return (expected >= guard_common) & (far >= np.minimum(none, jensen_shannon(hist, bare)))
 
 
-def verdict(feats: DataFrame, refs: dict, guard_words: int = GUARD_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
+def verdict(feats: DataFrame, refs: DataFrame, guard_words: int = GUARD_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """Adds class_distance, word_distance, base_failed and kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n = b.num_rows
-            hist = [b.column(i).flatten().to_numpy().reshape(n, -1) if n else np.zeros((0, 1)) for i in (7, 8)]
-            langs = np.array([x if x in refs else POOLED for x in b.column(1).to_pylist()], object)
+            hist, ref = [_rows(b.column(i)) for i in (7, 8)], [_rows(b.column(i)) for i in (9, 10)]
             far, lacks = np.zeros((2, n)), np.zeros(n, bool)
-            for lang in set(langs):
-                at = langs == lang
+            for _, at in _by_language(b.column(1)):
                 for k in (0, 1):
-                    far[k, at] = jensen_shannon(hist[k][at], refs[lang][k])
-                lacks[at] = lacks_common(hist[1][at], refs[lang][1], far[1, at])
+                    far[k, at] = jensen_shannon(hist[k][at], ref[k][at[0]])
+                lacks[at] = lacks_common(hist[1][at], ref[1][at[0]], far[1, at])
             words, repeats = b.column(2).to_numpy(), b.column(6).to_numpy()
             failed = (words < MIN_WORDS) | (100 * repeats > 50 * words)
             kept = ~failed & ((words < guard_words) | ((far[0] <= max_class) & (far[1] <= max_word) & ~lacks))
             yield pa.RecordBatch.from_arrays([b.column(0), *[b.column(i) for i in range(2, 7)], pa.array(far[0]), pa.array(far[1]), pa.array(failed), pa.array(kept)], names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept"])
 
-    return feats.mapInArrow(run, "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, class_distance double, word_distance double, base_failed boolean, kept boolean")
+    # Spark broadcasts the references where they are few.
+    both = feats.join(refs, feats["lang"].eqNullSafe(refs["ref_lang"])).drop("ref_lang")
+    return both.mapInArrow(run, "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, class_distance double, word_distance double, base_failed boolean, kept boolean")
 
 
 def quality_rules(documents: DataFrame) -> DataFrame:
     """Counts, distances and verdict of each document against references from all documents."""
     feats = stash(features(documents), "quality")
-    return verdict(feats, references(feats))
+    return verdict(feats, stash(references(feats), "references"))
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:

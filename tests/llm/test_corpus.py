@@ -345,6 +345,18 @@ def test_junk_of_plain_letters_is_rejected(spark):
     assert [i for i, r in got.items() if not r["kept"] and not r["base_failed"]] == [1000, 1001, 1002]
 
 
+def test_every_language_has_its_own_reference(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SUMS_AT_ONCE", 7)
+    rng = np.random.default_rng(9)
+    text = lambda letters: " ".join("".join(rng.choice(list(letters), 5)) for _ in range(150))
+    rows = [(100 * k + i, text("abcdefgh"), f"l{k:02}") for k in range(70) for i in range(3)] + [(9000 + i, text("бвгджзкл"), "zz") for i in range(2)] + [(9100, text("abcdefgh"), None), (9101, text("бвгджзкл"), None), (9102, text("abcdefgh"), "*"), (9103, text("abcdefgh"), "")]
+    got = {r["doc_id"]: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)).collect()}
+    assert len(got) == len(rows) and [i for i, r in got.items() if not r["kept"]] == [9101]
+    classes = {i: np.array(quality.text_features(t)[5]) for i, t, _ in rows}
+    assert abs(got[9000]["class_distance"] - quality.jensen_shannon(classes[9000][None], classes[9000] + classes[9001])[0]) < 1e-12
+    assert abs(got[9101]["class_distance"] - quality.jensen_shannon(classes[9101][None], sum(classes.values()))[0]) < 1e-12
+
+
 def test_jensen_shannon():
     assert quality.jensen_shannon(np.array([[1, 1], [2, 0], [0, 0]]), np.array([5, 5])).round(6).tolist() == [0, round(math.sqrt(1 - 0.75 * math.log2(3) + 0.5), 6), 0]
 
