@@ -36,8 +36,6 @@ DATE = "2000-01-01T00:00:00Z"
 MAGIC = b"\x1f\x8b\x08"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ID = "urn:x-page:"
-#: A header block is no longer than this.
-_HEADER_BYTES = 1 << 20
 
 
 def page_uri(page_id: int | None) -> str:
@@ -138,7 +136,7 @@ def member(source: Source, at: int) -> tuple[bytes, int] | None:
     """The inflated record of the member at a place, and where it ends; None if no whole record starts there."""
     z = zlib.decompressobj(31)
     out, used, need = [], 0, None
-    have = 0
+    have, head = 0, bytearray()
     try:
         while not z.eof:
             data = source.upto(at + used + source.step)[at + used - source.start :][: source.step]
@@ -148,17 +146,17 @@ def member(source: Source, at: int) -> tuple[bytes, int] | None:
             used += len(data)
             have += len(out[-1])
             if need is None:
-                head = out[0] if len(out) == 1 else b"".join(out)
+                # A header may be of any length once it starts as one.
+                seen = max(0, len(head) - 3)
+                head += out[-1]
                 if not head.startswith(b"WARC/1."[: len(head)]):
                     return None
-                stop = head.find(b"\r\n\r\n")
+                stop = head.find(b"\r\n\r\n", seen)
                 if stop >= 0:
-                    length = _fields(head[:stop]).get("content-length", "")
+                    length = _fields(bytes(head[:stop])).get("content-length", "")
                     if not length.isdigit():
                         return None
                     need = stop + 4 + int(length) + 4
-                elif have > _HEADER_BYTES:
-                    return None
             if need is not None and have > need:
                 return None
     except zlib.error:

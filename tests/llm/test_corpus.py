@@ -503,6 +503,12 @@ def test_archives_round_trip_and_split(spark):
     assert warc.read(warc.write(pages(spark, []))).count() == 0
 
 
+def test_headers_of_any_length_are_read(spark):
+    url = "http://x/" + np.random.default_rng(10).bytes(1_500_000).hex()
+    got = warc.read(warc.write(pages(spark, [(1, url, "a"), (2, "u", "b")])), 100_000).collect()
+    assert sorted((r["page_id"], r["url"] == url, bytes(r["payload"])) for r in got) == [(1, True, b"a"), (2, False, b"b")]
+
+
 def test_false_magic_is_not_a_record():
     good = [warc.record(i, "u", bytes([i % 256]) * 50) for i in range(20)]
     noise = warc.MAGIC + b"\x00" * 30 + zlib.compress(b"WARC/1.0\r\n") + warc.MAGIC
