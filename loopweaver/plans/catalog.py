@@ -84,11 +84,11 @@ def _pivot(spark, d):
     return cluster.zscore_pivot(staged(cluster.summit_scores(peaks, _z(spark, d)), "scores"))
 
 
-def _method(name: str):
+def _method(name: str, **params):
     def run(spark: SparkSession, d: str) -> DataFrame:
         from dataclasses import replace
 
-        return graph.rwr(_binned(spark, d), replace(P, rwr_method=name, blin_partitions=4))
+        return graph.rwr(_binned(spark, d), replace(P, rwr_method=name, blin_partitions=4, **params))
 
     return run
 
@@ -111,7 +111,7 @@ QUERIES = {
     "rwr_iterative_k2": lambda s, d: _rounded(graph.rwr_iterative(_edges(s, d), P, 2).withColumn("s", F.col("s") + OFF_TIE), "s"),
     "rwr_inverse": _method("inverse"),
     "rwr_iterative": _method("iterative"),
-    "rwr_sliding_window": _method("sliding_window"),
+    "rwr_sliding_window": _method("sliding_window", window_bins=2 * P.max_rwr_bins),  # several windows in each chromosome
     "rwr_nblin": _method("nblin"),
     "rwr_blin": _method("blin"),
     "rwr_q1": _method("q1"),

@@ -30,6 +30,13 @@ def test_query_equals_sql(spark, name):
     assert rows(names, df.select(names).collect()) == rows(names, got)
 
 
+def test_sliding_window_query_slides(spark):
+    """Every pair of the band once, as in one window, but with values of several."""
+    whole, slid = ({(r["cell"], r["chrom"], r["i"], r["j"]): r["v"] for r in catalog.QUERIES[q](spark, SF).where("cell <= 3").collect()} for q in ("rwr_inverse", "rwr_sliding_window"))
+    assert slid.keys() == whole.keys() and catalog.QUERIES["rwr_sliding_window"](spark, SF).where("cell <= 3").count() == len(slid)
+    assert any(abs(v - whole[k]) > 1e-9 for k, v in slid.items())
+
+
 def test_entry_lists_queries_and_sql():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert "bin_contacts" in entry.queries()
