@@ -416,19 +416,32 @@ def test_vectors_do_not_depend_on_neighbours_or_steps(monkeypatch):
 # 8
 
 
-def test_bpe_equals_the_tokenizer(spark, documents, odd):
+def bpe_texts(documents):
+    rng = np.random.default_rng(4)
+    pool = list("aZ'sß éÉ́  \n\t<|>#9½👩日‍İΣ\x1f\x7f\x00ͅſ\ue000stredvml") + ["<|startoftext|>", "<|endoftext|>", "　", "'s", "'ll", "'re"]
+    return [r[0] for r in documents.select("text").collect()] + [x[1] for x in ODD] + ["".join(rng.choice(pool, rng.integers(1, 30))) for _ in range(2000)]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_bpe_equals_the_tokenizer(documents, name):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(bpe.vocabulary_path())
-    rng = np.random.default_rng(4)
-    pool = list("aZ'sß éÉ́  \n\t<|>#9½👩日‍İΣ\x1f\x7f\x00ͅſ") + ["<|startoftext|>", "<|endoftext|>", "　"]
-    texts = [r[0] for r in documents.select("text").collect()] + [x[1] for x in ODD] + ["".join(rng.choice(pool, rng.integers(1, 30))) for _ in range(500)]
-    c = bpe.Codec(bpe.vocabulary_path())
-    for text, entries in zip(texts, c.batch(texts), strict=True):
+    path = bpe.vocabulary_path(name)
+    t = Tokenizer.from_file(path)
+    texts = bpe_texts(documents)
+    c = bpe.Codec(path)
+    assert c.cut and c.words_only == (name == bpe.VOCABULARY)
+    found = [list(bpe._documents(c, [(x or "").encode() for x in texts[i : i + 400]])) for i in range(0, len(texts), 400)]
+    for text, ids in zip(texts, [x for f in found for x in f], strict=True):
         want = t.encode(text or "", add_special_tokens=False).ids
-        assert [int(i) for e in entries for i in e[0].split()] == want
-        back = t.decode(want, skip_special_tokens=False)
-        assert b" ".join(e[1] for e in entries).decode() == back and c.decode(want) == back
+        assert ids == want, text
+        assert c.decode(ids).decode() == t.decode(want, skip_special_tokens=False)
+
+
+def test_bpe_queries(spark, odd):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(bpe.vocabulary_path())
     rows = bpe.round_trip_digests(odd).collect()
     assert len(rows) == len(ODD) and bpe.round_trip_digests(odd.limit(0)).count() == 0
     r = next(r for r in rows if r["doc_id"] == 2)
@@ -437,19 +450,41 @@ def test_bpe_equals_the_tokenizer(spark, documents, odd):
     assert {(r["doc_id"], r["text"]) for r in bpe.decode_documents(ids).collect()} == {(i, t.decode(t.encode(x or "", add_special_tokens=False).ids, skip_special_tokens=False)) for i, x, _ in ODD}
 
 
+def test_another_normalizer_or_decoder_is_seen(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    spec = json.loads(open(bpe.vocabulary_path(), encoding="utf-8").read())
+    spec["normalizer"], spec["decoder"] = {"type": "NFC"}, {"type": "BPEDecoder", "suffix": "</w>"}
+    path = str(tmp_path / "other.json")
+    open(path, "w", encoding="utf-8").write(json.dumps(spec))
+    c, t = bpe.Codec(path), Tokenizer.from_file(path)
+    assert c.cut and not c.words_only and not c.joins
+    for text in ("Hello, World's end", "ÉTÉ <|endoftext|> x", ""):
+        want = t.encode(text, add_special_tokens=False).ids
+        assert c.encode(text) == want and c.decode(want).decode() == t.decode(want, skip_special_tokens=False)
+
+
 def test_kept_entries_are_bounded(monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_CHUNKS", 10)
-    c = bpe.Codec(bpe.vocabulary_path())
-    for k in range(5):
-        list(c.batch([" ".join(f"w{k}{x}" for x in range(8)), "w00 w01"]))
-        assert len(c.kept) <= 20
+    monkeypatch.setattr(bpe, "KEPT", 10)
+    c, fresh = bpe.Codec(bpe.vocabulary_path()), bpe.Codec(bpe.vocabulary_path())
+    for k in range(8):
+        text = " ".join(f"w{k}{x}" for x in range(8)) + " w00 w01 <|endoftext|>"
+        sizes, ids = c.batch([text.encode(), b"", b"w00"])
+        assert ids.tolist() == fresh.tokenizer.encode(text, add_special_tokens=False).ids + fresh.tokenizer.encode("w00", add_special_tokens=False).ids and sizes[1] == 0
+        assert all(len(g[0]) <= 21 for pool in (c.runs, c.last, c.inner) for g in (pool.now, pool.before))
 
 
 def test_cuts_are_certain():
     c = bpe.Codec(bpe.vocabulary_path())
     for w in ("ßzüqj", "hello", "xqzjkvw"):
-        parts = c.cuts(w)
-        assert "".join(parts) == w and all(a[-1] + b[0] not in c.joined for a, b in zip(parts, parts[1:], strict=False))
+        raw = np.frombuffer(w.encode(), np.uint8)
+        ends = np.zeros(len(raw), bool)
+        ends[-1] = True
+        starts, sizes, ids = c._fragments(raw, ends)
+        assert ids.tolist() == c.tokenizer.encode(w, add_special_tokens=False).ids
+        assert [not c.joined[raw[i - 1], raw[i]] for i in range(1, len(raw))] == [i in starts for i in range(1, len(raw))]
 
 
 # 9
