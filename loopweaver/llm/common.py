@@ -5,9 +5,10 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import inspect
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,15 +51,33 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
 
 
 def trim() -> None:
-    """At the end of a Python task: give freed memory back, as idle workers stay beside those of the next stage."""
+    """In a Python worker: give freed memory back, as idle workers stay beside those of the next stage."""
     import pyarrow as pa
 
-    gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def trimmed(run: Callable) -> Callable:
+    """run, a generator over batches or a function of a group, that gives its memory back once it is done."""
+    if inspect.isgeneratorfunction(run):
+
+        def over_batches(batches):
+            yield from run(batches)
+            gc.collect()
+            trim()
+
+        return over_batches
+
+    def done(out):
+        trim()
+        return out
+
+    # Spark tells functions of a group, with its key, and of two groups apart by their number of arguments.
+    return (lambda a: done(run(a))) if len(inspect.signature(run).parameters) == 1 else (lambda a, b: done(run(a, b)))
+
+
 def stash(df: DataFrame, what: str = "stage") -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors, and is computed once."""
     path = new_path(df.sparkSession, what)

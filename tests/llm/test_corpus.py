@@ -299,6 +299,23 @@ def test_scores_tell_ngrams_apart(spark, documents, monkeypatch):
     test_scores_against_counting(spark, documents, monkeypatch)
 
 
+def test_count_table_holds_every_ngram(spark, documents, monkeypatch):
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(lm_score, "PARTITION_GRAMS", 9_000)
+    rows = [r[0] for r in documents.select("text").limit(40).collect()]
+    grams = Counter()
+    for t in rows:
+        w = (t or "").encode().lower().split()
+        grams.update(tuple(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    got = lm_score.count_table(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()
+    assert sorted(r["n"] for r in got) == sorted(grams.values()) and len({(r["gram"], r["check"]) for r in got}) == len(grams)
+
+
+def test_packed_numbers_come_back():
+    for x in ([], [0], [1 << 63], list(range(300)), [(1 << 40) + i for i in range(70)]):
+        assert lm_score._expand(lm_score._squeeze(np.array(x, np.uint64))).tolist() == x
+
+
 def test_scores_of_odd_rows(spark, odd):
     assert lm_score.score(odd).count() == len(ODD) and lm_score.score(odd.limit(0)).count() == 0
 
