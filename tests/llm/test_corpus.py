@@ -517,15 +517,53 @@ def test_license_phrases_and_templates(spark, odd):
     assert licenses.scan(odd).count() == len(ODD) and licenses.scan(odd.limit(0)).count() == 0
 
 
+def brute_templates(text, templates, containment=licenses.CONTAINMENT, slack=licenses.SLACK):
+    ws, out = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", fold_ascii(text)), {}
+    for k, t in templates.items():
+        tw = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", fold_ascii(t))
+        n, want = math.ceil(slack * len(tw)), set(tw)
+        best = max((len(want.intersection(ws[i : i + n])) for i in range(max(1, len(ws) - n + 1))), default=0)
+        if best >= math.ceil(containment * len(want) - 1e-9) and best:
+            out[k] = best / len(want)
+    return out
+
+
+def fold_ascii(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
 def test_containment_join_loses_nothing():
     rng = np.random.default_rng(6)
     names = [f"w{i}" for i in range(30)]
-    templates = {f"t{k}": " ".join(rng.choice(names, rng.integers(3, 12), replace=False)) for k in range(8)}
+    templates = {f"t{k}": " ".join(rng.choice(names, rng.integers(3, 12))) for k in range(8)}
     index = licenses.Index({n.encode(): int(c) for n, c in zip(names, rng.integers(0, 50, 30), strict=True)}, templates, 0.7)
-    for _ in range(500):
-        block = {n.encode() for n in rng.choice(names, rng.integers(0, 20), replace=False)}
-        sets = {k: set(licenses.words(t)) for k, t in templates.items()}
-        assert index.meets(block) == {k: len(s & block) / len(s) for k, s in sets.items() if len(s & block) >= 0.7 * len(s) - 1e-9}
+    for _ in range(1000):
+        ws = [*rng.choice([*names, *[f"x{i}" for i in range(rng.integers(1, 200))]], rng.integers(0, 120))]
+        assert licenses.find(index, [w.encode() for w in ws]) == pytest.approx(brute_templates(" ".join(ws), templates, 0.7))
+    # Every filter leaves out some pairs, and verification some of the rest.
+    seen = index.seen
+    assert seen["prefix"] > seen["length"] > seen["position"] > seen["met"] > 0
+
+
+def test_license_scan_against_brute_force(spark, documents):
+    rows = [r[0] for r in documents.select("text").collect()]
+    rows += [x[1] for x in ODD]
+    long = licenses.TEMPLATES["mit-text"].split()
+    rows += ["\n".join(long), " ".join(x for i in range(0, len(long), 10) for x in [*long[i : i + 10], "\n"]), " ".join(f"{w} {'x ' * 300}" for w in "copyright all rights reserved".split()), "\n".join("Copyright All rights reserved".split())]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = fold_ascii(rows[r["doc_id"]])
+        ws = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+        base = [(i, label) for i in range(len(ws)) for p, label in licenses.PHRASES.items() if ws[i : i + len(p.split())] == p.split()]
+        more = brute_templates(text, licenses.TEMPLATES)
+        names = {x for _, x in base}
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == (len(ws), len(base), base[0][0] if base else None, base[-1][0] if base else None)
+        assert (r["base_labels"], r["labels"]) == (",".join(sorted(names)), ",".join(sorted(names | more.keys())))
+        assert r["score"] == pytest.approx(1.0 if base else max(more.values(), default=0.0))
+    by_id = {r["doc_id"]: r["labels"].split(",") for r in got}
+    n = len(rows) - 4
+    assert "mit-text" in by_id[n] and "mit-text" in by_id[n + 1] and by_id[n + 2] == [""] and by_id[n + 3] == ["all-rights-reserved"]
 
 
 # 10
