@@ -1,19 +1,21 @@
 """Toxicity: maximum-scoring segment search over token log-odds.
 
-`fit` learns, from a bounded sample of labelled documents, each token's log-odds of standing in a toxic document, with an
-informative Dirichlet prior proportional to the token's frequency. Documents that hold a token pick the candidates; what
-counts in the end is in how many different contexts (words before and after) it stands, as the words of a text that was
-copied often would else pass for toxic. Tokens whose log-odds are not clearly above zero share one negative drift, so that
-a random text's walk falls. `segments` finds every maximal-scoring segment of a text in one
-scan (Ruzzo and Tompa). A segment's significance is its E-value under extreme-value statistics (Karlin and Altschul):
-lambda and K are fitted to the clean sample, E = K n exp(-lambda s). A document's score is a logistic function, fitted on
-the sample, of its significant segments' evidence.
-
-Only words enter a score: labels, language, source and doc_id never do. The sample is the FIT_ROWS training labels with
-the smallest hash of doc_id (a documented bound for fitting; every document is scored). Labels that are null, or that name
-no document, are left out; a doc_id labelled twice takes the larger label. Without labels of both kinds nothing is toxic
-(score 0). Null and empty texts hold no segment and take the score of a text without toxic words. Repeated rows give one
-row each. Columns other than doc_id, text, toxic are ignored.
+`fit` learns, from a bounded sample of labelled documents, each token's log-odds of standing in a toxic rather than a clean
+document, with an informative Dirichlet prior proportional to the token's frequency in both. What is counted, for tokens
+and totals alike, is different contexts (the words before and after), as the words of a text that was copied often would
+else pass for toxic. Log-odds of either sign count where they are MIN_Z deviations from zero; other tokens have none. All
+tokens' scores are lowered by one amount so that a clean text's walk falls by MIN_FALL a token on average, as extreme-value
+statistics need. `segments` finds every maximal-scoring segment of a text in one scan (Ruzzo and Tompa). A segment's
+significance is its E-value (Karlin and Altschul): lambda and K are fitted to the clean sample, E = K n exp(-lambda s). A
+document's score is a logistic function, fitted on the sample, of its significant segments' evidence.
+
+Only words enter a score: labels, language, source and doc_id never do. The sample is the `fit_rows` training labels with
+the smallest hash of doc_id (a documented bound for fitting; every document is scored); it is read once and written to the
+shared folder for the passes over it, and the model holds no more tokens than stand MIN_COUNT times in it. Labels that are
+null, or that name no document, are left out; a doc_id labelled twice takes the larger label, and labels count as 0 or 1.
+Without labels of both kinds nothing is toxic (score 0). Null and empty texts hold no segment and take the score of a text
+without toxic words. Repeated rows give one row each, an empty table gives an empty result. Columns other than doc_id, text,
+toxic are ignored. Very long texts are scanned whole, in time linear in their words.
 """
 
 from __future__ import annotations
@@ -27,17 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loopweaver.llm.common import table
+from loopweaver.llm.common import stash, table, unstash
 
 #: Labelled rows that the classifier is fitted on, at most.
 FIT_ROWS = 20_000
-#: Tokens with log-odds of their own, at most; those with the largest z.
-FIT_TOKENS = 20_000
-#: Weight of the Dirichlet prior, as a share of all tokens counted.
+#: Weight of the Dirichlet prior, as a share of all contexts counted.
 PRIOR = 0.1
 MIN_Z, MIN_COUNT = 3.0, 4
-#: Expected score of a token without log-odds of its own.
-DRIFT = -0.15
+#: Least fall of a clean text's walk, per token on average.
+MIN_FALL = 0.15
 #: E-value under which a segment is significant.
 MAX_E = 0.1
 FOLDS = 5
@@ -47,10 +47,11 @@ _WORD = bytes(c if c in b"abcdefghijklmnopqrstuvwxyz'" or c >= 128 else c + 32 i
 
 @dataclass
 class Model:
-    """What scoring needs; its size is bounded by FIT_TOKENS."""
+    """What scoring needs. odds: log-odds of the tokens that have some; drift: what every token's score is raised by (below
+    zero)."""
 
     odds: dict[bytes, float]
-    drift: float = DRIFT
+    drift: float = -MIN_FALL
     lam: float = 1.0
     k: float = 0.1
     weights: tuple[float, ...] = (-20.0, 0.0, 0.0)
@@ -61,19 +62,17 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_WORD).split()
 
 
-def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
-    """All maximal-scoring segments (start, end, score) of a walk.
+def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal-scoring segments (start, end, score) of a walk, given each token's score.
 
-    scores: positions and scores of the tokens above zero, in order; every other token scores drift. Linear in their
-    number: each candidate holds the walk's height before and after it, and merges with the nearest earlier candidate
-    that starts lower when that one ends lower too.
+    Linear: each candidate holds the walk's height before and after it, and merges with the nearest earlier candidate that
+    starts lower when that one ends lower too.
     """
     out: list[tuple[int, int, float, float, int]] = []  # start, end, height before, height after, nearest candidate that starts lower
-    height, at = 0.0, 0
-    for i, s in scores:
-        height += drift * (i - at)
-        start, low, high = i, height, height + s
-        height, at = high, i + 1
+    up = np.flatnonzero(scores > 0)
+    height = np.cumsum(scores)
+    for i, high, gain in zip(up.tolist(), height[up].tolist(), scores[up].tolist(), strict=True):
+        start, low = i, high - gain
         while True:
             j = len(out) - 1
             while j >= 0 and out[j][2] >= low:
@@ -89,8 +88,8 @@ def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, i
 def passages(model: Model, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
     """Number of a text's tokens and its segments, in token positions."""
     words = tokens(text)
-    odds = model.odds
-    return len(words), segments([(i, odds[w]) for i, w in enumerate(words) if w in odds], model.drift)
+    get = model.odds.get
+    return len(words), segments(np.fromiter((get(w, 0.0) for w in words), float, len(words)) + model.drift)
 
 
 def evidence(model: Model, n: int, found: list[tuple[int, int, float]]) -> tuple[float, float]:
@@ -122,61 +121,47 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mo
     d = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
     picked = d.where(fold(F.col("doc_id")) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     chosen = spark.createDataFrame([tuple(r) for r in picked.collect()], "doc_id bigint, toxic int")  # bounded by fit_rows, 12 bytes a row
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
-    sample = texts.mapInArrow(_words_of, "toxic int, n bigint, word binary, count bigint")
-    counts = sample.groupBy("word").agg(*(F.sum(F.when(F.col("toxic") == k, F.col("count"))).alias(f"c{k}") for k in (0, 1))).na.fill(0, ["c0", "c1"])
-    totals = {r[0]: r[1] for r in sample.groupBy("toxic").agg(F.sum("count")).collect()}
-    n1, n0 = float(totals.get(1) or 0), float(totals.get(0) or 0)
-    if not n1 or not n0:
-        return Model({})
-    picked = {bytes(r[0]) for r in _clear(counts, n1, n0).collect()}
-    contexts = texts.mapInArrow(lambda batches: _contexts(picked, batches), "toxic int, word binary, context bigint").distinct()
-    counts = contexts.groupBy("word").agg(*(F.sum(F.when(F.col("toxic") == k, 1).otherwise(0)).alias(f"c{k}") for k in (0, 1)))
-    model = Model({bytes(r[0]): float(r[1]) for r in _clear(counts, n1, n0).collect()})
-    rows = texts.mapInArrow(lambda batches: _walks(model, batches), "toxic int, n bigint, best double, segments array<double>").collect()  # at most fit_rows
-    return calibrate(model, [(int(r[0]), int(r[1]), list(r[3])) for r in rows])
-
-
-def _clear(counts: DataFrame, n1: float, n0: float) -> DataFrame:
-    """Words whose log-odds are clearly above zero, FIT_TOKENS at most. counts: c1 and c0 of each word in n1 and n0 tokens."""
+    texts = stash(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null").join(F.broadcast(chosen), "doc_id").select("toxic", "text"), "toxic-sample")
+    contexts = texts.mapInArrow(_contexts, "toxic int, word binary, context bigint").distinct()
+    counts = stash(contexts.groupBy("word").agg(*(F.count_if(F.col("toxic") == k).alias(f"c{k}") for k in (0, 1))), "toxic-words")
+    n0, n1 = (float(x or 0) for x in counts.agg(F.sum("c0"), F.sum("c1")).first())
+    model = Model({})
+    if n0 and n1:
+        found = log_odds(counts, n1, n0).collect()  # tokens of the sample with MIN_COUNT contexts or more
+        model.odds = {bytes(r["word"]): float(r["odds"]) for r in found}
+        model.drift = -max(0.0, sum(r["odds"] * r["c0"] for r in found) / n0 + MIN_FALL)
+        rows = texts.mapInArrow(lambda batches: _walks(model, batches), "toxic int, n bigint, segments array<double>").collect()  # at most fit_rows
+        model = calibrate(model, [(int(r[0]), int(r[1]), list(r[2])) for r in rows])
+    unstash(texts)
+    unstash(counts)
+    return model
+
+
+def log_odds(counts: DataFrame, n1: float, n0: float) -> DataFrame:
+    """word, c0 and odds of the words whose log-odds are clearly not zero. counts: c1 and c0 of each word, of n1 and n0 in all."""
     prior, all_prior = PRIOR * (F.col("c1") + F.col("c0")), PRIOR * (n1 + n0)
     odds = lambda c, n: F.log((c + prior) / (F.lit(n + all_prior) - c - prior))
-    seen = counts.where(F.col("c1") >= MIN_COUNT).select("word", (odds(F.col("c1"), n1) - odds(F.col("c0"), n0)).alias("odds"), F.sqrt(1 / (F.col("c1") + prior) + 1 / (F.col("c0") + prior)).alias("sd"))
-    return seen.where(F.col("odds") >= MIN_Z * F.col("sd")).orderBy(F.desc(F.col("odds") / F.col("sd")), "word").limit(FIT_TOKENS)
+    seen = counts.where(F.col("c1") + F.col("c0") >= MIN_COUNT).select("word", "c0", (odds(F.col("c1"), n1) - odds(F.col("c0"), n0)).alias("odds"), F.sqrt(1 / (F.col("c1") + prior) + 1 / (F.col("c0") + prior)).alias("sd"))
+    return seen.where(F.abs("odds") >= MIN_Z * F.col("sd")).select("word", "c0", "odds")
 
 
-def _contexts(words: set[bytes], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The different contexts in which each of some words stands, by label."""
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different contexts in which each word stands, by label."""
     import xxhash
 
     for b in batches:
         seen = set()
         for t, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
             w = [b"", *tokens(text.as_py()), b""]
-            seen.update((min(1, max(0, t)), x, xxhash.xxh64_intdigest(w[i - 1] + b" " + w[i + 1]) - 2**63) for i, x in enumerate(w) if x in words)
+            seen.update((min(1, max(0, t)), x, xxhash.xxh64_intdigest(w[i] + b" " + w[i + 2]) - 2**63) for i, x in enumerate(w[1:-1]))
         cols = list(zip(*seen, strict=True)) or [()] * 3
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.binary(), pa.int64()), strict=True)], names=["toxic", "word", "context"])
 
 
-def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that hold each word, by label: one row for each word, label and partition."""
-    from collections import Counter
-
-    seen: dict[int, Counter] = {}
-    for b in batches:
-        for t, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            seen.setdefault(min(1, max(0, t)), Counter()).update(set(tokens(text.as_py())))
-    for t, c in seen.items():
-        yield pa.RecordBatch.from_arrays([pa.array([t] * len(c), pa.int32()), pa.array([0] * len(c), pa.int64()), pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())], names=["toxic", "n", "word", "count"])
-
-
 def _walks(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = [passages(model, t.as_py()) for t in b.column(1)]
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([n for n, _ in rows], pa.int64()), pa.array([max((s for *_, s in f), default=0.0) for _, f in rows], pa.float64()), pa.array([[s for *_, s in f] for _, f in rows], pa.list_(pa.float64()))],
-            names=["toxic", "n", "best", "segments"],
-        )
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([n for n, _ in rows], pa.int64()), pa.array([[s for *_, s in f] for _, f in rows], pa.list_(pa.float64()))], names=["toxic", "n", "segments"])
 
 
 def calibrate(model: Model, rows: list[tuple[int, int, list[float]]]) -> Model:

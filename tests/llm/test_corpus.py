@@ -156,8 +156,8 @@ def test_segments_are_all_maximal_ones():
 
     for _ in range(60):
         n = int(rng.integers(1, 25))
-        s = [float(v) if rng.random() < 0.4 else -0.3 for v in rng.random(n) * 2]
-        got = toxicity.segments([(i, v) for i, v in enumerate(s) if v > 0], -0.3)
+        s = [float(v) if rng.random() < 0.4 else -float(rng.choice([0.3, 0.1, 0.7])) for v in rng.random(n) * 2]
+        got = toxicity.segments(np.array(s))
         want = brute(list(enumerate(s)))
         assert [(a, b, round(v, 9)) for a, b, v in got] == [(a, b, round(v, 9)) for a, b, v in want]
 
@@ -178,7 +178,7 @@ def toxic_corpus(spark):
 def test_toxic_passages_are_learnt_and_found(spark, odd):
     docs, labels = toxic_corpus(spark)
     model = toxicity.fit(docs, labels)
-    assert set(model.odds) == {b"vile", b"nasty", b"awful"}
+    assert {w for w, x in model.odds.items() if x > 0} == {b"vile", b"nasty", b"awful"} and model.drift < 0
     got = {r["doc_id"]: r for r in toxicity.score(docs, model).collect()}
     assert all((r["score"] >= 0.5) == (i % 5 == 1) for i, r in got.items())
     hit = got[1]
@@ -189,6 +189,41 @@ def test_toxic_passages_are_learnt_and_found(spark, odd):
     assert toxicity.score(odd.limit(0), model).count() == 0
 
 
+def test_fit_and_score_against_brute_force(spark):
+    docs, labels = toxic_corpus(spark)
+    model = toxicity.fit(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    toxic = {}
+    for r in labels.collect():
+        if r["doc_id"] in texts and r["toxic"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5:
+            toxic[r["doc_id"]] = max(r["toxic"], toxic.get(r["doc_id"], 0))
+    contexts = {(toxic[i], w[k], w[k - 1], w[k + 1]) for i in toxic for w in [["", *re.findall("[a-z']+", texts[i]), ""]] for k in range(1, len(w) - 1)}
+    c = {k: Counter(x[1] for x in contexts if x[0] == k) for k in (0, 1)}
+    n = {k: sum(c[k].values()) for k in (0, 1)}
+    odds = {}
+    for w in {*c[0], *c[1]}:
+        a = 0.1 * (c[0][w] + c[1][w])
+        d = [math.log((c[k][w] + a) / (n[k] + 0.1 * (n[0] + n[1]) - c[k][w] - a)) for k in (0, 1)]
+        if c[0][w] + c[1][w] >= 4 and abs(d[1] - d[0]) >= 3 * math.sqrt(sum(1 / (c[k][w] + a) for k in (0, 1))):
+            odds[w] = d[1] - d[0]
+    assert {k.decode(): v for k, v in model.odds.items()} == pytest.approx(odds)
+    assert model.drift == pytest.approx(-max(0, sum(v * c[0][w] for w, v in odds.items()) / n[0] + 0.15))
+    for r in toxicity.score(docs, model).collect():
+        w = re.findall("[a-z']+", texts[r["doc_id"]])
+        walk = [odds.get(x, 0) + model.drift for x in w]
+        found = []
+        while any(x > 0 for x in walk):  # the best stretch of what is left, again and again
+            best = max(((sum(walk[a:b]), a - b, a, b) for a in range(len(walk)) for b in range(a + 1, len(walk) + 1)), default=(0,))
+            if best[0] <= 0:
+                break
+            found.append(best[0])
+            walk[best[2] : best[3]] = [-1e9] * (best[3] - best[2])
+        e = [math.log(model.k * len(w)) - model.lam * s for s in found]
+        b, t = max([0, *(-x for x in e)]), sum(-x for x in e if x <= math.log(0.1))
+        z = model.weights[0] + model.weights[1] * math.log1p(b) + model.weights[2] * math.log1p(t)
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-6)
+
+
 def test_held_out_fold(spark):
     got = toxicity.op3_toxic_passages(spark, SF).collect()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and r["predicted"] == int(r["score"] >= 0.5) for r in got)
