@@ -35,7 +35,7 @@ from loopweaver.llm.common import stash, table, unstash
 FIT_ROWS = 20_000
 #: Weight of the Dirichlet prior, as a share of all contexts counted.
 PRIOR = 0.1
-MIN_Z, MIN_COUNT = 3.0, 4
+MIN_Z, MIN_COUNT = 2.5, 4
 #: Least fall of a clean text's walk, per token on average.
 MIN_FALL = 0.15
 #: E-value under which a segment is significant.
@@ -149,13 +149,19 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The different contexts in which each word stands, by label."""
     import xxhash
 
+    def emit(seen: set) -> pa.RecordBatch:
+        cols = list(zip(*seen, strict=True)) or [()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.binary(), pa.int64()), strict=True)], names=["toxic", "word", "context"])
+
+    seen: set = set()
     for b in batches:
-        seen = set()
         for t, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
             w = [b"", *tokens(text.as_py()), b""]
             seen.update((min(1, max(0, t)), x, xxhash.xxh64_intdigest(w[i] + b" " + w[i + 2]) - 2**63) for i, x in enumerate(w[1:-1]))
-        cols = list(zip(*seen, strict=True)) or [()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.binary(), pa.int64()), strict=True)], names=["toxic", "word", "context"])
+            if len(seen) >= 50_000:  # what repeats beyond that meets in the shuffle
+                yield emit(seen)
+                seen = set()
+    yield emit(seen)
 
 
 def _walks(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -204,7 +204,7 @@ def test_fit_and_score_against_brute_force(spark):
     for w in {*c[0], *c[1]}:
         a = 0.1 * (c[0][w] + c[1][w])
         d = [math.log((c[k][w] + a) / (n[k] + 0.1 * (n[0] + n[1]) - c[k][w] - a)) for k in (0, 1)]
-        if c[0][w] + c[1][w] >= 4 and abs(d[1] - d[0]) >= 3 * math.sqrt(sum(1 / (c[k][w] + a) for k in (0, 1))):
+        if c[0][w] + c[1][w] >= 4 and abs(d[1] - d[0]) >= toxicity.MIN_Z * math.sqrt(sum(1 / (c[k][w] + a) for k in (0, 1))):
             odds[w] = d[1] - d[0]
     assert {k.decode(): v for k, v in model.odds.items()} == pytest.approx(odds)
     assert model.drift == pytest.approx(-max(0, sum(v * c[0][w] for w, v in odds.items()) / n[0] + 0.15))
