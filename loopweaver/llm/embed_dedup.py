@@ -9,37 +9,46 @@ double precision, in the first block whose budget it meets, so that every link i
 to be made distinct. What leaves a cell is counts of links per vector and a spanning forest of its links, never all pairs.
 Components come from the forests.
 
-Equal vectors are grouped first, and a group takes part once with its weight. A cell whose vectors would not fit into one
-task is dealt into chunks, and each pair of chunks is a task. In many dimensions every grid is coarse: the work falls by a
-constant factor against comparing all pairs, and `grid_axes` raises the number of gridded coordinates with the rows.
-
-Vectors that are null, zero, of another length than most, or that hold null or non-finite components, link with nothing
-and are their own component. Rows with the same vec_id are one vector if their embeddings are equal; else the row counts
-for itself under that id. An empty table gives an empty result; columns other than vec_id and embedding are ignored.
+Equal vectors are grouped first, and a group takes part once with its weight. A cell's own vectors are dealt into chunks
+of TASK_ROWS and its visitors, with its own ones, into chunks of OTHER_ROWS; a task holds one chunk of the first in memory
+and streams one chunk of the second past it, so that a cell of any size is worked off in bounded tasks and visitors are
+never compared with each other. In many dimensions every grid is coarse: the work falls by a constant factor against
+comparing all pairs. `grid_axes` adds a gridded coordinate for each fivefold of rows; that changes the plan only, never
+the links.
+
+A vector is a different pair of vec_id and embedding: repeated rows are one vector, rows that share a vec_id but differ in
+their embedding are each judged by their own (and link with each other where they meet the threshold). Vectors link with
+those of their own number of dimensions only. Vectors that are null, zero, or that hold null or non-finite components, or
+have a null vec_id, link with nothing and are their own component. Components of any finite size are scaled by a power of
+two first, so that no norm overflows. An empty table gives an empty result; columns other than vec_id and embedding are
+ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopweaver.llm.common import stash, table, unstash
+from loopweaver.llm.common import stash, table, trimmed, unstash
 from loopweaver.llm.components import connected_components
 
 THRESHOLD = 0.95
 BLOCK_DIMS = 8
-#: Vectors of one task, at most about; more are dealt into chunks.
-TASK_ROWS = 16_384
+#: Vectors of a cell that a task holds, and that it streams past them, at most about; more are dealt into chunks.
+TASK_ROWS, OTHER_ROWS = 16_384, 262_144
 TILE = 1024
+#: Cells whose sizes are broadcast, at most (some 10 MB); those of more are joined by a shuffle.
+BROADCAST_CELLS = 100_000
 SEED = 20_240_601
 
 
+@functools.lru_cache(maxsize=16)
 def rotation(dims: int) -> np.ndarray:
     """A fixed random rotation, so that no block holds most of the vectors' differences."""
     q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((dims, dims)))
@@ -51,82 +60,107 @@ def blocks(dims: int) -> list[tuple[int, int]]:
 
 
 def grid_axes(rows: int, dims: int) -> int:
-    """Coordinates that are gridded: one more for each fivefold of rows."""
+    """Coordinates of a block that are gridded: one more for each fivefold of rows. The links are the same for any number."""
     return int(min(dims, max(1, round(math.log(max(rows, 1) / 20_000, 5)) + 1)))
 
 
-def _cells(x: np.ndarray, axes: int, width: float, radius: float) -> list[tuple[int, tuple[int, ...], bool]]:
-    """(row, cell, home) of each row's own cell and of the larger-numbered cells its ball reaches."""
-    own = np.floor(x[:, :axes] / width).astype(np.int64)
-    frac = x[:, :axes] - own * width
-    out = []
-    for i in range(len(x)):
-        reached = [((), 0.0)]
-        for k in range(axes):
-            moves = [(0, 0.0), (-1, frac[i, k]), (1, width - frac[i, k])]
-            reached = [((*c, int(own[i, k]) + step), d + gap * gap) for c, d in reached for step, gap in moves if d + gap * gap <= radius * radius]
-        home = tuple(int(v) for v in own[i])
-        out.append((i, home, True))
-        out += [(i, c, False) for c, _ in reached if c > home]
-    return out
+def _cells(x: np.ndarray, axes: int, width: float, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, cells and whether these are the rows' own: each row's own cell, and the larger-numbered ones its ball reaches."""
+    own = np.floor(x[:, :axes] / width).astype(np.int16)
+    below = x[:, :axes] - own * width
+    row, step, gap = np.arange(len(x)), np.zeros((len(x), 0), np.int16), np.zeros(len(x))
+    for k in range(axes):
+        at = below[row, k]
+        moves = []
+        for move, far in ((0, 0.0), (-1, at), (1, width - at)):
+            total = gap + far * far
+            ok = total <= radius * radius if move else np.ones(len(row), bool)
+            moves.append((row[ok], np.column_stack([step[ok], np.full(int(ok.sum()), move, np.int16)]), total[ok]))
+        row, step, gap = (np.concatenate([m[i] for m in moves]) for i in range(3))
+    first = step[np.arange(len(step)), (step != 0).argmax(1)]  # of the steps taken; 0 at home
+    keep = first >= 0
+    return row[keep], own[row[keep]] + step[keep], first[keep] == 0
 
 
 def unit_rows(raw: np.ndarray) -> np.ndarray:
     return raw / np.linalg.norm(raw, axis=1, keepdims=True)
 
 
-def near_pairs(raw: np.ndarray, home: np.ndarray, left: np.ndarray, right: np.ndarray, block: int, turn: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i in left, j in right, i < j where both sides overlap) of one cell whose first block within budget is this one and whose cosine meets the threshold."""
-    raw = raw.astype(np.float64)
-    norms = np.linalg.norm(raw, axis=1)
-    x = (raw / norms[:, None]) @ turn
-    dims = x.shape[1]
-    parts = blocks(dims)
-    budget = [(2 - 2 * threshold) * (b - a) / dims * (1 + 1e-9) + 1e-12 for a, b in parts]
-    a, b = parts[block]
-    y = x[:, a:b].astype(np.float32)
-    sq = (y * y).sum(1)
-    limit = np.float32(budget[block] + 1e-5)  # single precision only proposes
-    same = left is right
-    for s in range(0, len(left), TILE):
-        li = left[s : s + TILE]
-        for t in range(s if same else 0, len(right), TILE):
-            rj = right[t : t + TILE]
-            near = (y[li] * np.float32(-2)) @ y[rj].T
-            near += sq[li][:, None]
-            near += sq[rj][None, :]
-            p, q = np.nonzero(near <= limit)
-            i, j = li[p], rj[q]
-            keep = (home[i] | home[j]) & (i != j)
-            if same and s == t:
-                keep &= i < j
-            i, j = i[keep], j[keep]
-            for o in range(0, len(i), 200_000):
-                u, v = i[o : o + 200_000], j[o : o + 200_000]
-                d = x[u] - x[v]
-                d *= d
-                ok = d[:, a:b].sum(1) <= budget[block]
-                for k in range(block):
-                    c, e = parts[k]
-                    ok &= d[:, c:e].sum(1) > budget[k]
-                u, v = u[ok], v[ok]
-                cos = (raw[u] * raw[v]).sum(1) / (norms[u] * norms[v])
-                good = cos >= threshold
-                if good.any():
-                    yield u[good], v[good]
+class Cell:
+    """The vectors of one chunk of a cell in one block, and the links found among them and with others."""
+
+    def __init__(self, block: int, ids: np.ndarray, weight: np.ndarray, raw: np.ndarray, threshold: float):
+        self.block, self.threshold = block, threshold
+        self.ids, self.weight = ids, weight
+        self.mine = self._rotated(raw)
+        self.counts = np.zeros(len(ids), np.int64)
+        self.forest = Forest()
+
+    def _rotated(self, raw: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Vectors, norms, rotated unit vectors, and this block of them with its squared length."""
+        norms = np.linalg.norm(raw, axis=1)
+        x = (raw / norms[:, None]) @ rotation(raw.shape[1])
+        lo, hi = blocks(raw.shape[1])[self.block]
+        y = x[:, lo:hi].astype(np.float32)
+        return raw, norms, x, y, (y * y).sum(1)
+
+    def _pairs(self, other: tuple[np.ndarray, ...], same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Linked pairs (i of mine, j of other; i < j where both are the same) for which this block is the first within budget."""
+        raw, norms, x, y, sq = self.mine
+        raw2, norms2, x2, y2, sq2 = other
+        dims = raw.shape[1]
+        parts = blocks(dims)
+        budget = [(2 - 2 * self.threshold) * (b - a) / dims * (1 + 1e-9) + 1e-12 for a, b in parts]
+        limit = np.float32(budget[self.block] + 1e-5)  # single precision only proposes
+        for s in range(0, len(y), TILE):
+            for t in range(s if same else 0, len(y2), TILE):
+                near = (y[s : s + TILE] * np.float32(-2)) @ y2[t : t + TILE].T
+                near += sq[s : s + TILE, None]
+                near += sq2[None, t : t + TILE]
+                i, j = np.nonzero(near <= limit)
+                i, j = i + s, j + t
+                if same and s == t:
+                    i, j = i[i < j], j[i < j]
+                for o in range(0, len(i), 200_000):
+                    u, v = i[o : o + 200_000], j[o : o + 200_000]
+                    d = x[u] - x2[v]
+                    d *= d
+                    far = [d[:, a:b].sum(1) > limit for (a, b), limit in zip(parts[: self.block + 1], budget, strict=False)]
+                    ok = ~far[-1]
+                    for f in far[:-1]:
+                        ok &= f
+                    u, v = u[ok], v[ok]
+                    good = (raw[u] * raw2[v]).sum(1) / (norms[u] * norms2[v]) >= self.threshold
+                    if good.any():
+                        yield u[good], v[good]
+
+    def meet_own(self) -> None:
+        for u, v in self._pairs(self.mine, True):
+            np.add.at(self.counts, u, self.weight[v])
+            np.add.at(self.counts, v, self.weight[u])
+            self.forest.add(self.ids[u], self.ids[v])
+
+    def meet(self, ids: np.ndarray, weight: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Others that have links, and their numbers of links."""
+        counts = np.zeros(len(ids), np.int64)
+        for u, v in self._pairs(self._rotated(raw), False):
+            np.add.at(self.counts, u, weight[v])
+            np.add.at(counts, v, self.weight[u])
+            self.forest.add(self.ids[u], ids[v])
+        return ids[counts > 0], counts[counts > 0]
 
 
 class Forest:
     """Union-find that keeps the links that joined two trees."""
 
-    def __init__(self, n: int):
-        self.up = list(range(n))
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
         self.links: list[tuple[int, int]] = []
 
     def root(self, i: int) -> int:
         up = self.up
-        while up[i] != i:
-            up[i] = up[up[i]]
+        while (k := up.get(i, i)) != i:
+            up[i] = up.get(k, k)
             i = up[i]
         return i
 
@@ -138,88 +172,127 @@ class Forest:
                 self.links.append((i, j))
 
 
+def _found(u, v, n) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(n, pa.int64())], names=["u", "v", "n"])
+
+
 def _compare(threshold: float):
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        _, block, lo, hi = key
-        raw = np.frombuffer(b"".join(group["raw"]), np.float64).reshape(len(group), -1)
-        ids, weight, home, chunk = group["id"].to_numpy(), group["weight"].to_numpy(), group["home"].to_numpy(bool), group["chunk"].to_numpy()
-        first, second = np.flatnonzero(chunk == lo), np.flatnonzero(chunk == hi)
-        second = first if lo == hi else second
-        counts, forest = np.zeros(len(ids), np.int64), Forest(len(ids))
-        for u, v in near_pairs(raw, home, first, second, int(block), rotation(raw.shape[1]), threshold):
-            np.add.at(counts, u, weight[v])
-            np.add.at(counts, v, weight[u])
-            forest.add(u, v)
-        hit = np.flatnonzero(counts)
-        u, v = (np.array([x[k] for x in forest.links], np.int64) for k in (0, 1))
-        return pd.DataFrame({"u": np.concatenate([ids[hit], ids[u]]), "v": pd.array([*[None] * len(hit), *ids[v].tolist()], "Int64"), "n": np.concatenate([counts[hit], np.zeros(len(u), np.int64)])})
+    """Rows sorted by task, a chunk's own vectors (role 0) before the others."""
 
-    return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, cell = None, [], None
 
+        def ready() -> Cell:
+            out = Cell(now[1], *(np.concatenate([h[k] for h in held]) for k in range(3)), threshold)
+            if now[4] == 0:  # once for the chunk, not for each chunk of others
+                out.meet_own()
+            return out
 
-def links(groups: DataFrame, rows: int, dims: int, threshold: float = THRESHOLD, task_rows: int = TASK_ROWS) -> DataFrame:
-    """u, v, n: with v null, n links found of group u in some task; else a link of a spanning forest. groups: id, weight, raw."""
-    parts = blocks(dims)
-    axes = grid_axes(rows, min(BLOCK_DIMS, dims))
-    reach = [math.sqrt((2 - 2 * threshold) * (b - a) / dims) + 1e-6 for a, b in parts]
+        def last(cell: Cell) -> pa.RecordBatch:
+            hit = np.flatnonzero(cell.counts)
+            u, v = (np.array([x[k] for x in cell.forest.links], np.int64) for k in (0, 1))
+            return _found(np.concatenate([cell.ids[hit], u]), [*[None] * len(hit), *v.tolist()], np.concatenate([cell.counts[hit], np.zeros(len(u), np.int64)]))
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = rotation(dims)
         for b in batches:
             if not b.num_rows:
                 continue
-            raws = b.column(2)
-            x = unit_rows(np.frombuffer(b"".join(raws.to_pylist()), np.float64).reshape(b.num_rows, -1)) @ turn
-            for k, (lo, hi) in enumerate(parts):
-                # Cells two radii wide, at least one standard deviation of a coordinate.
-                found = _cells(x[:, lo:hi], min(axes, hi - lo), max(2 * reach[k], 1 / math.sqrt(dims)), reach[k])
-                at = pa.array([i for i, *_ in found], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([",".join(map(str, c)) for _, c, _ in found]), pa.array([k] * len(found), pa.int32()), b.column(0).take(at), b.column(1).take(at), raws.take(at), pa.array([h for *_, h in found], pa.bool_())],
-                    names=["cell", "block", "id", "weight", "raw", "home"],
-                )
-
-    placed = stash(groups.select("id", "weight", "raw").mapInArrow(place, "cell string, block int, id bigint, weight bigint, raw binary, home boolean"), "cells")
-    sizes = placed.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / task_rows).cast("int").alias("chunks"))
-    dealt = placed.join(sizes, ["cell", "block"]).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    tasks = dealt.select("cell", "block", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "id", "weight", "raw", "home", "chunk")
-    out = stash(tasks.groupBy("cell", "block", "lo", "hi").applyInPandas(_compare(threshold), "u bigint, v bigint, n bigint"), "found")
+            names = [b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3, 4, 5)] + [b.column(2).to_pylist()]
+            dims, block, lo, hi, role, where = names
+            change = (dims[1:] != dims[:-1]) | (block[1:] != block[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]) | (role[1:] != role[:-1]) | np.array([x != y for x, y in zip(where, where[1:], strict=False)], bool)
+            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), b.num_rows]
+            for s, t in zip(cuts[:-1], cuts[1:], strict=True):
+                own = (int(dims[s]), int(block[s]), where[s], int(lo[s]), int(hi[s]))
+                if own != now:
+                    if held:
+                        yield last(cell or ready())
+                    now, held, cell = own, [], None
+                part = b.slice(s, t - s)
+                rows = (part.column(6).to_numpy(), part.column(7).to_numpy(), np.frombuffer(b"".join(part.column(8).to_pylist()), np.float64).reshape(t - s, -1))
+                if role[s] == 0:
+                    held.append(rows)
+                else:
+                    cell = cell or ready()
+                    u, n = cell.meet(*rows)
+                    yield _found(u, [None] * len(u), n)
+        if held:
+            yield last(cell or ready())
+
+    return run
+
+
+def links(groups: DataFrame, rows: int, threshold: float = THRESHOLD) -> DataFrame:
+    """u, v, n: with v null, n links found of group u in some task; else a link of a spanning forest. groups: id, weight,
+    dims, raw."""
+    task_rows, other_rows = TASK_ROWS, OTHER_ROWS
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = batch.column(2).to_numpy()
+            for dims in np.unique(every).tolist():  # vectors of one number of dimensions at a time
+                b = batch.filter(pa.array(every == dims))
+                x = unit_rows(np.frombuffer(b"".join(b.column(3).to_pylist()), np.float64).reshape(b.num_rows, -1)) @ rotation(dims)
+                for k, (lo, hi) in enumerate(blocks(dims)):
+                    reach = math.sqrt((2 - 2 * threshold) * (hi - lo) / dims) + 1e-6
+                    # Cells two radii wide, at least one standard deviation of a coordinate.
+                    row, cell, home = _cells(x[:, lo:hi], grid_axes(rows, hi - lo), max(2 * reach, 1 / math.sqrt(dims)), reach)
+                    at = pa.array(row)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([c.tobytes() for c in cell], pa.binary()), pa.array([k] * len(row), pa.int32()), *(b.column(i).take(at) for i in range(4)), pa.array(home)], names=["cell", "block", "id", "weight", "dims", "raw", "home"]
+                    )
+
+    placed = stash(groups.select("id", "weight", "dims", "raw").mapInArrow(trimmed(place), "cell binary, block int, id bigint, weight bigint, dims int, raw binary, home boolean"), "cells")
+    here = ["dims", "block", "cell"]
+    sizes = placed.groupBy(*here).agg(F.ceil(F.count_if("home") / task_rows).cast("int").alias("chunks"), F.greatest(F.lit(1), F.ceil(F.count_if(~F.col("home")) / other_rows)).cast("int").alias("others")).where("chunks > 0")
+    sizes = stash(sizes, "sizes")
+    few = F.broadcast(sizes) if sizes.count() <= BROADCAST_CELLS else sizes
+    mix = F.xxhash64("id")
+    dealt = placed.join(few, here).withColumns({"own": F.pmod(mix, F.col("chunks")).cast("int"), "part": F.pmod(F.shiftrightunsigned(mix, 20), F.col("others")).cast("int")})
+    # An own vector is held against every chunk of others, and streamed past the chunks numbered below its own.
+    to = lambda lo, hi, role: F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi"), F.lit(role).alias("role"))
+    held = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda hi: to(F.col("own"), hi, 0))
+    passing = F.transform(F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda lo: ~F.col("home") | (lo < F.col("own"))), lambda lo: to(lo, F.col("part"), 1))
+    tasks = dealt.withColumn("task", F.explode(F.when(F.col("home"), F.concat(held, passing)).otherwise(passing)))
+    key = ["dims", "block", "cell", "lo", "hi"]
+    ordered = tasks.select(*here, "task.*", "id", "weight", "raw").select(*key, "role", "id", "weight", "raw").repartition(*key).sortWithinPartitions(*key, "role")
+    out = stash(ordered.mapInArrow(trimmed(_compare(threshold)), "u bigint, v bigint, n bigint"), "found")
     unstash(placed)
+    unstash(sizes)
     return out
 
 
 def deduplicate(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row."""
     v = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
-    sound = F.col("e").isNotNull() & (F.size("e") > 0) & F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("e", lambda x: x != 0)
-    good = v.where(sound & F.col("vec_id").isNotNull())
-    most = good.groupBy(F.size("e").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
-    if most is None:
-        return v.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dims = int(most[0])
-    good = good.where(F.size("e") == dims)
-    # One group for each different vector; its id is the smallest vec_id that has it.
-    own = stash(good.select("vec_id", "e", F.xxhash64("e").alias("h1"), F.hash("e").alias("h2")).distinct(), "vectors")
-    groups = own.groupBy("h1", "h2", "e").agg(F.min("vec_id").alias("id"), F.countDistinct("vec_id").alias("weight"))
+    # No condition on an array's elements is evaluated for null arrays.
+    sound = F.coalesce(F.col("vec_id").isNotNull() & (F.size("e") > 0) & F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("e", lambda x: x != 0), F.lit(False))
+    both = v.select("vec_id", "e", sound.alias("sound"), F.xxhash64("e").alias("h1"), F.xxhash64(F.lit(1), F.col("e")).alias("h2"))
+    rows = stash(both, "vectors")
+    # One group for each different vector, and its different vec_ids.
+    own = rows.where("sound").groupBy("h1", "h2", "e").agg(F.countDistinct("vec_id").alias("weight"), F.min("vec_id").alias("least"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            flat = b.column(2).flatten().to_numpy().reshape(b.num_rows, -1) if b.num_rows else np.zeros((0, dims))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in (0, 1)), pa.array([r.tobytes() for r in flat], pa.binary()), b.column(3), b.column(4)], names=["id", "weight", "raw", "h1", "h2"])
-
-    packed = stash(groups.select("id", "weight", "e", "h1", "h2").mapInArrow(pack, "id bigint, weight bigint, raw binary, h1 bigint, h2 int"), "groups")
-    found = links(packed, packed.count(), dims, threshold)
+            raw = []
+            for e in b.column(4):
+                x = e.values.to_numpy()
+                raw.append(np.ldexp(x, -int(np.frexp(np.abs(x).max())[1])).tobytes())  # the same cosines, and no overflow
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(4)), pa.array([len(e.values) for e in b.column(4)], pa.int32()), pa.array(raw, pa.binary())], names=["h1", "h2", "weight", "least", "dims", "raw"])
+
+    made = own.select("h1", "h2", "weight", "least", "e").mapInArrow(pack, "h1 bigint, h2 bigint, weight bigint, least bigint, dims int, raw binary")
+    packed = stash(made.withColumn("id", F.monotonically_increasing_id()), "groups")
+    found = links(packed, packed.count(), threshold)
     counts = found.where("v is null").groupBy(F.col("u").alias("id")).agg(F.sum("n").alias("n"))
     comps = connected_components(found.where("v is not null").select("u", "v"))
-    # A group's vec_ids share its links; a component's smallest id is the smallest of its groups' ids.
-    group = packed.select("h1", "h2", F.col("id").alias("g"), "weight").join(counts, F.col("g") == F.col("id"), "left").drop("id").join(comps, F.col("g") == F.col("node"), "left")
-    group = stash(group.select("h1", "h2", "g", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "g").alias("component_id")), "classes")
-    linked = own.select("vec_id", "h1", "h2").join(group, ["h1", "h2"]).select("vec_id", "h1", "n_links", "component_id", "g")
-    best = linked.groupBy("vec_id").agg(F.min(F.struct("component_id", "n_links")).alias("x")).select(F.col("vec_id").alias("w"), "x.*")
-    rows = v.select("vec_id", (sound & (F.size("e") == dims)).alias("sound")).join(best, (F.col("vec_id") == F.col("w")) & F.col("sound"), "left")
-    out = rows.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    groups = packed.select("id", "h1", "h2", "weight", "least").join(counts, "id", "left").join(comps, F.col("id") == F.col("node"), "left").drop("node")
+    groups = stash(groups.select("h1", "h2", "least", F.coalesce("component", "id").alias("component"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "classes")
+    named = groups.groupBy("component").agg(F.min("least").alias("component_id"))
+    of = groups.join(named, "component").select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "n_links", "component_id")
+    out = rows.select("vec_id", "sound", "h1", "h2").join(of, F.col("sound") & (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left")
+    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    out = stash(out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))), "deduplicated")
+    for x in (rows, packed, found, groups):
+        unstash(x)
+    return out
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,9 +68,25 @@ def test_embeddings_against_all_pairs(spark):
 
 def test_small_tasks_and_tiles_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(embed_dedup, "TASK_ROWS", 40)
+    monkeypatch.setattr(embed_dedup, "OTHER_ROWS", 25)
+    monkeypatch.setattr(embed_dedup, "TILE", 7)
+    monkeypatch.setattr(embed_dedup, "BROADCAST_CELLS", 3)
     test_embeddings_against_all_pairs(spark)
 
 
+@pytest.mark.parametrize("axes", [1, 3, 8])
+def test_links_do_not_depend_on_the_grid(spark, monkeypatch, axes):
+    monkeypatch.setattr(embed_dedup, "grid_axes", lambda rows, dims: min(dims, axes))
+    test_embeddings_against_all_pairs(spark)
+
+
+def test_same_id_other_dimensions_and_huge_components(spark):
+    rows = [(5, [1.0, 0.0]), (5, [1.0, 0.01]), (6, [0.0, 1.0]), (7, [1.0, 0.0, 0.0]), (3, [2.0, 0.01, 0.0]), (8, [1e200, 1e200]), (9, [1e200, 1.01e200]), (10, [1e-300, 1e-300]), (11, [1.0])]
+    d = clashing(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    got = sorted(by_text(embed_dedup.deduplicate(d).collect(), "vec_id", "n_links", "component_id", "kept"))
+    assert got == [(3, 1, 3, True), (5, 1, 5, True), (5, 1, 5, True), (6, 0, 6, True), (7, 1, 3, False), (8, 2, 8, True), (9, 2, 8, False), (10, 2, 8, False), (11, 0, 11, True)]
+
+
 def test_unsound_vectors_link_with_nothing(spark):
     rows = [(1, None), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [1.0, float("nan")]), (5, [1.0, float("inf")]), (6, [1.0]), (7, [1.0, 1.0]), (8, [2.0, 2.0]), (8, [2.0, 2.0]), (9, [])]
     got = sorted(by_text(embed_dedup.deduplicate(vectors(spark, rows)).collect(), "vec_id", "n_links", "component_id", "kept"))
