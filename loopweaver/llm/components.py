@@ -34,7 +34,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """node and component (the smallest node reachable) of every node that has a link. edges: u and v, any direction.
 
     Loops, repeated links and nulls are dropped. The rounds grow with the logarithm of the number of nodes; each round's
-    links are written to the shared folder and the round before is deleted, so a lost executor costs no more than a round.
+    links are written to the shared folder and the round before is deleted, so a lost executor costs no more than a round. The
+    result is staged; unstash() deletes it.
     """
     now = stash(edges.select("u", "v").where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     seen = _sign(now)
@@ -48,4 +49,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("the components did not settle")
     # Every link now goes from a node to the smallest one of its component.
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out = stash(now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "components")
+    unstash(now)
+    return out

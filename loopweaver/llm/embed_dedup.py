@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loopweaver.llm.chunks import deal, work
 from loopweaver.llm.common import stash, table, trimmed, unstash
 from loopweaver.llm.components import connected_components
 
@@ -43,8 +44,6 @@ BLOCK_DIMS = 8
 #: Vectors of a cell that a task holds, and that it streams past them, at most about; more are dealt into chunks.
 TASK_ROWS, OTHER_ROWS = 16_384, 262_144
 TILE = 1024
-#: Cells whose sizes are broadcast, at most (some 10 MB); those of more are joined by a shuffle.
-BROADCAST_CELLS = 100_000
 SEED = 20_240_601
 
 
@@ -140,14 +139,22 @@ class Cell:
             np.add.at(self.counts, v, self.weight[u])
             self.forest.add(self.ids[u], self.ids[v])
 
-    def meet(self, ids: np.ndarray, weight: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Others that have links, and their numbers of links."""
+    def meet(self, others: pa.RecordBatch) -> pa.RecordBatch:
+        """Numbers of links of the others that have some."""
+        ids, weight, raw = _rows_of(others)
         counts = np.zeros(len(ids), np.int64)
         for u, v in self._pairs(self._rotated(raw), False):
             np.add.at(self.counts, u, weight[v])
             np.add.at(counts, v, self.weight[u])
             self.forest.add(self.ids[u], ids[v])
-        return ids[counts > 0], counts[counts > 0]
+        hit = np.flatnonzero(counts)
+        return _found(ids[hit], [None] * len(hit), counts[hit])
+
+    def result(self) -> pa.RecordBatch:
+        """Numbers of links of the chunk's own vectors, and the forest's links."""
+        hit = np.flatnonzero(self.counts)
+        u, v = (np.array([x[k] for x in self.forest.links], np.int64) for k in (0, 1))
+        return _found(np.concatenate([self.ids[hit], u]), [*[None] * len(hit), *v.tolist()], np.concatenate([self.counts[hit], np.zeros(len(u), np.int64)]))
 
 
 class Forest:
@@ -176,48 +183,19 @@ def _found(u, v, n) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(n, pa.int64())], names=["u", "v", "n"])
 
 
-def _compare(threshold: float):
-    """Rows sorted by task, a chunk's own vectors (role 0) before the others."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, cell = None, [], None
+def _rows_of(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return b.column(6).to_numpy(), b.column(7).to_numpy(), np.frombuffer(b"".join(b.column(8).to_pylist()), np.float64).reshape(b.num_rows, -1)
 
-        def ready() -> Cell:
-            out = Cell(now[1], *(np.concatenate([h[k] for h in held]) for k in range(3)), threshold)
-            if now[4] == 0:  # once for the chunk, not for each chunk of others
-                out.meet_own()
-            return out
 
-        def last(cell: Cell) -> pa.RecordBatch:
-            hit = np.flatnonzero(cell.counts)
-            u, v = (np.array([x[k] for x in cell.forest.links], np.int64) for k in (0, 1))
-            return _found(np.concatenate([cell.ids[hit], u]), [*[None] * len(hit), *v.tolist()], np.concatenate([cell.counts[hit], np.zeros(len(u), np.int64)]))
+def _cell_of(threshold: float):
+    def make(key: tuple, held: list[pa.RecordBatch]) -> Cell:
+        rows = [_rows_of(b) for b in held]
+        out = Cell(key[1], *(np.concatenate([r[k] for r in rows]) for k in range(3)), threshold)
+        if key[-1] == 0:
+            out.meet_own()
+        return out
 
-        for b in batches:
-            if not b.num_rows:
-                continue
-            names = [b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3, 4, 5)] + [b.column(2).to_pylist()]
-            dims, block, lo, hi, role, where = names
-            change = (dims[1:] != dims[:-1]) | (block[1:] != block[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]) | (role[1:] != role[:-1]) | np.array([x != y for x, y in zip(where, where[1:], strict=False)], bool)
-            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), b.num_rows]
-            for s, t in zip(cuts[:-1], cuts[1:], strict=True):
-                own = (int(dims[s]), int(block[s]), where[s], int(lo[s]), int(hi[s]))
-                if own != now:
-                    if held:
-                        yield last(cell or ready())
-                    now, held, cell = own, [], None
-                part = b.slice(s, t - s)
-                rows = (part.column(6).to_numpy(), part.column(7).to_numpy(), np.frombuffer(b"".join(part.column(8).to_pylist()), np.float64).reshape(t - s, -1))
-                if role[s] == 0:
-                    held.append(rows)
-                else:
-                    cell = cell or ready()
-                    u, n = cell.meet(*rows)
-                    yield _found(u, [None] * len(u), n)
-        if held:
-            yield last(cell or ready())
-
-    return run
+    return make
 
 
 def links(groups: DataFrame, rows: int, threshold: float = THRESHOLD) -> DataFrame:
@@ -241,20 +219,8 @@ def links(groups: DataFrame, rows: int, threshold: float = THRESHOLD) -> DataFra
                     )
 
     placed = stash(groups.select("id", "weight", "dims", "raw").mapInArrow(trimmed(place), "cell binary, block int, id bigint, weight bigint, dims int, raw binary, home boolean"), "cells")
-    here = ["dims", "block", "cell"]
-    sizes = placed.groupBy(*here).agg(F.ceil(F.count_if("home") / task_rows).cast("int").alias("chunks"), F.greatest(F.lit(1), F.ceil(F.count_if(~F.col("home")) / other_rows)).cast("int").alias("others")).where("chunks > 0")
-    sizes = stash(sizes, "sizes")
-    few = F.broadcast(sizes) if sizes.count() <= BROADCAST_CELLS else sizes
-    mix = F.xxhash64("id")
-    dealt = placed.join(few, here).withColumns({"own": F.pmod(mix, F.col("chunks")).cast("int"), "part": F.pmod(F.shiftrightunsigned(mix, 20), F.col("others")).cast("int")})
-    # An own vector is held against every chunk of others, and streamed past the chunks numbered below its own.
-    to = lambda lo, hi, role: F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi"), F.lit(role).alias("role"))
-    held = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda hi: to(F.col("own"), hi, 0))
-    passing = F.transform(F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda lo: ~F.col("home") | (lo < F.col("own"))), lambda lo: to(lo, F.col("part"), 1))
-    tasks = dealt.withColumn("task", F.explode(F.when(F.col("home"), F.concat(held, passing)).otherwise(passing)))
-    key = ["dims", "block", "cell", "lo", "hi"]
-    ordered = tasks.select(*here, "task.*", "id", "weight", "raw").select(*key, "role", "id", "weight", "raw").repartition(*key).sortWithinPartitions(*key, "role")
-    out = stash(ordered.mapInArrow(trimmed(_compare(threshold)), "u bigint, v bigint, n bigint"), "found")
+    ordered, sizes = deal(placed.select("dims", "block", "cell", "id", "weight", "raw", "home"), ["dims", "block", "cell"], "id", F.col("home"), task_rows, other_rows)
+    out = stash(ordered.drop("home").mapInArrow(trimmed(work(3, _cell_of(threshold))), "u bigint, v bigint, n bigint"), "found")
     unstash(placed)
     unstash(sizes)
     return out
@@ -290,7 +256,7 @@ def deduplicate(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     out = rows.select("vec_id", "sound", "h1", "h2").join(of, F.col("sound") & (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     out = stash(out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))), "deduplicated")
-    for x in (rows, packed, found, groups):
+    for x in (rows, packed, found, comps, groups):
         unstash(x)
     return out
 

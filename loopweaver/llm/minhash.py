@@ -11,8 +11,10 @@ made again from the texts, meet the threshold. Components come from alternating
 Classes are linked in three rounds, so that no bucket's pairs are listed: first each class with one smaller class of a
 bucket it is in; then, in buckets that still hold several components, the candidates that make a forest of the best
 agreement between components. These join nearly all of a group of copies. What the forests connect, verified or not, is a
-group that holds every remaining candidate; last, in groups that still hold several components, all members' sets are
-compared, chunk by chunk in memory, and only links leave a task. Only pairs within a component go unverified.
+group that holds every remaining candidate; last, in groups that still hold several components, the full sets are compared.
+In both rounds the members of a bucket's or group's largest component only pass the others, never each other, so that a
+few stragglers cost one pass over a large group; tasks hold a bounded chunk of the others (chunks.py). Only pairs within a
+component go unverified.
 
 A null doc_id links with nothing, is its own component (null) and kept. Null, empty and wordless texts have an empty set
 and link with nothing. Rows that repeat a doc_id take the component of their own text. An empty table gives an empty
@@ -24,24 +26,24 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopweaver.llm.common import stash, table, trim, unstash
+from loopweaver.llm.chunks import checked, deal, work
+from loopweaver.llm.common import stash, table, trimmed, unstash
 from loopweaver.llm.components import connected_components
 
 WORDS, PERCENT = 5, 75
 BANDS, ROWS = 64, 5
 #: Share of agreeing minima from which two sets are compared in full.
 AGREE = 0.60
-#: Members of a bucket that one task compares with each other or with as many others.
-CHUNK = 2_000
-#: Sets of a group that one task compares with each other or with as many others.
-CHUNK_SETS = 1_000
-#: Bits of the map that tells which texts are to be read again: a fixed size, whatever the corpus.
-MAP_BITS = 1 << 23
+#: Members of a bucket that a task holds, and that it streams past them, at most about.
+CHUNK, PART = 2_000, 100_000
+#: Shingles of a group's sets that a task holds (8 bytes each, twice), and that it streams past them, at most about.
+CHUNK_SHINGLES, PART_SHINGLES = 1 << 20, 1 << 24
+#: Bits, at most, of the broadcast map that tells which texts are to be read again; 8 for each at least, else a join tells.
+MAP_BITS = 1 << 26
 _BITS_PER_MAP = 8 * 4096
 KEPT_WORDS = 200_000
 _RNG = np.random.default_rng(5_640_075)
@@ -130,9 +132,8 @@ def sketches(documents: DataFrame) -> DataFrame:
                     rows.append((doc_id, 0, 0, 0, None, None))
             yield _table(_SKETCH, rows)
         _kept.clear()
-        trim()
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, n bigint, d1 bigint, d2 bigint, bands binary, sig binary")
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(trimmed(run), "doc_id bigint, n bigint, d1 bigint, d2 bigint, bands binary, sig binary")
 
 
 def _band_rows(classes: DataFrame) -> DataFrame:
@@ -160,20 +161,29 @@ def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep and set (sorted 64-bit hashes) of the classes in wanted (rep, d1, d2), made from the texts.
+    """rep and set (sorted 64-bit hashes) of the classes in wanted (rep, d1, d2; staged), made from the texts.
 
-    A map of MAP_BITS bits tells which texts may be meant; the digest then tells exactly. The map has one size for any
-    corpus: where it fills up, more texts are hashed in vain, and the result is the same.
+    A map of bits tells which texts may be meant, as large as their number needs but no larger than MAP_BITS; beyond what
+    that can tell apart, a join on doc_id does. The digest then tells exactly.
     """
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
-    rows = wanted.select(F.col("rep").alias("doc_id")).select(place.alias("at")).distinct().groupBy(F.floor(F.col("at") / _BITS_PER_MAP).alias("part")).agg(F.bitmap_construct_agg((F.col("at") % _BITS_PER_MAP).cast("bigint")).alias("bits")).collect()
-    bits = np.zeros(MAP_BITS // 8, np.uint8)
-    for part, b in rows:
-        bits[part * 4096 : part * 4096 + len(b)] = np.frombuffer(bytes(b), np.uint8)
-    held = documents.sparkSession.sparkContext.broadcast(bits.tobytes())  # MAP_BITS / 8 bytes
+    n = wanted.count()
+    bits = max(_BITS_PER_MAP, 1 << (16 * n).bit_length())
+    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null")
+    held = None
+    if 8 * n > MAP_BITS:
+        docs = docs.join(wanted.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text", F.lit(0).cast("bigint").alias("at"))
+    else:
+        bits = min(bits, MAP_BITS)
+        place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+        rows = wanted.select(F.col("rep").alias("doc_id")).select(place.alias("at")).distinct().groupBy(F.floor(F.col("at") / _BITS_PER_MAP).alias("part")).agg(F.bitmap_construct_agg((F.col("at") % _BITS_PER_MAP).cast("bigint")).alias("bits")).collect()
+        full = np.zeros(bits // 8, np.uint8)
+        for part, b in rows:
+            full[part * 4096 : part * 4096 + len(b)] = np.frombuffer(bytes(b), np.uint8)
+        held = documents.sparkSession.sparkContext.broadcast(full.tobytes())  # MAP_BITS / 8 bytes at most
+        docs = docs.select("doc_id", "text", place.alias("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.frombuffer(held.value, np.uint8)
+        seen = np.frombuffer(held.value if held else b"\x01", np.uint8)
         for b in batches:
             at = b.column(2).to_numpy()
             rows = []
@@ -183,10 +193,8 @@ def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                     rows.append((*digest(s), s.tobytes()))
             yield _table([("d1", pa.int64()), ("d2", pa.int64()), ("set", pa.binary())], rows)
         _kept.clear()
-        trim()
 
-    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null").select("doc_id", "text", place.alias("at"))
-    made = docs.mapInArrow(run, "d1 bigint, d2 bigint, set binary")
+    made = docs.mapInArrow(trimmed(run), "d1 bigint, d2 bigint, set binary")
     return made.join(wanted, ["d1", "d2"]).select("rep", "set").dropDuplicates(["rep"])
 
 
@@ -206,115 +214,127 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(own("u"), "u").join(own("v"), "v").select("u", "v", "set_u", "set_v").mapInArrow(run, "u bigint, v bigint")
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Agreeing pairs of members of one bucket but different components, of these a forest between components with the best
-    agreement first. members: key, rep, comp, sig.
+def _apart(members: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The members of groups that hold several components, with `minor`: whether outside the group's largest; and the
+    staged table of those groups."""
+    per = members.groupBy(key, "comp").agg(F.count(F.lit(1)).alias("n"))
+    groups = per.groupBy(key).agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    groups = stash(groups.select(key, F.col("top.comp").alias("major")), "majors")
+    return members.join(checked(groups), key).withColumn("minor", F.col("comp") != F.col("major")).drop("major"), groups
 
-    A bucket is dealt into chunks, and each pair of chunks is compared by itself, in memory; rows of one comparison follow
-    each other in a partition and only agreeing pairs leave it.
-    """
-    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    dealt = members.join(sizes, "key").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = dealt.select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "rep", "comp", "sig")
-
-    def compare(group: list[tuple[np.ndarray, ...]], lo: int, hi: int) -> list[tuple[int, int]]:
-        chunk, rep, comp, sig = (np.concatenate([g[k] for g in group]) for k in range(4))
-        left, right = np.flatnonzero(chunk == lo), np.flatnonzero(chunk == hi)
-        found: list[tuple[float, int, int, int, int]] = []
-        for i in left.tolist():
-            others = right[right > i] if lo == hi else right
-            others = others[comp[others] != comp[i]]
+
+class _Roots(dict):
+    """Union-find over components."""
+
+    def root(self, c: int) -> int:
+        while (k := self.get(c, c)) != c:
+            self[c] = self.get(k, k)
+            c = self[c]
+        return c
+
+    def join(self, c: int, d: int) -> bool:
+        c, d = self.root(c), self.root(d)
+        if c != d:
+            self[c] = d
+        return c != d
+
+
+_LINK = [("u", pa.int64()), ("v", pa.int64())]
+
+
+class _Bucket:
+    """Members of a bucket that a task holds, and the forest of the best agreement between components found so far."""
+
+    def __init__(self, key: tuple, held: list[pa.RecordBatch]):
+        rows = [self._rows(b) for b in held]
+        self.rep, self.comp, self.sig = (np.concatenate([r[k] for r in rows]) for k in range(3))
+        self.edges: list[tuple[float, int, int, int, int]] = []
+        if key[-1] == 0:
+            self._compare(self.rep, self.comp, self.sig, True)
+
+    @staticmethod
+    def _rows(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return b.column(4).to_numpy(), b.column(5).to_numpy(), np.frombuffer(b"".join(b.column(6).to_pylist()), np.uint8).reshape(b.num_rows, -1)
+
+    def _compare(self, rep: np.ndarray, comp: np.ndarray, sig: np.ndarray, same: bool) -> None:
+        for i in range(len(self.rep)):
+            others = np.flatnonzero(comp != self.comp[i])
+            others = others[others > i] if same else others
             if len(others):
-                agree = (sig[others] == sig[i]).mean(1)
-                for j, x in zip(others[agree >= AGREE].tolist(), agree[agree >= AGREE].tolist(), strict=True):
-                    found.append((-x, int(min(rep[i], rep[j])), int(max(rep[i], rep[j])), int(comp[i]), int(comp[j])))
-        up: dict[int, int] = {}
-
-        def root(c: int) -> int:
-            while up.get(c, c) != c:
-                up[c] = up.get(up[c], up[c])
-                c = up[c]
-            return c
-
-        out = []
-        for _, u, v, c, d in sorted(found):
-            c, d = root(c), root(d)
-            if c != d:
-                up[c] = d
-                out.append((u, v))
-        return out
+                agree = (sig[others] == self.sig[i]).mean(1)
+                good = agree >= AGREE
+                for j, x in zip(others[good].tolist(), agree[good].tolist(), strict=True):
+                    self.edges.append((-x, int(min(self.rep[i], rep[j])), int(max(self.rep[i], rep[j])), int(self.comp[i]), int(comp[j])))
+            if len(self.edges) > 100_000:
+                self._thin()
+        self._thin()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        now = None
-        found: set[tuple[int, int]] = set()
-        for b in batches:
-            if not b.num_rows:
-                continue
-            key, lo, hi, chunk, rep, comp = (b.column(i).to_numpy() for i in range(6))
-            sig = np.frombuffer(b"".join(b.column(6).to_pylist()), np.uint8).reshape(b.num_rows, -1)
-            cuts = np.flatnonzero((key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
-            for s, t in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)], strict=True):
-                own = (int(key[s]), int(lo[s]), int(hi[s]))
-                if own != now:
-                    if held:
-                        found.update(compare(held, now[1], now[2]))
-                    held, now = [], own
-                held.append((chunk[s:t], rep[s:t], comp[s:t], sig[s:t]))
-            if len(found) > 100_000:
-                yield _table([("u", pa.int64()), ("v", pa.int64())], list(found))
-                found = set()
-        if held:
-            found.update(compare(held, now[1], now[2]))
-        yield _table([("u", pa.int64()), ("v", pa.int64())], list(found))
-
-    return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(run, "u bigint, v bigint").distinct()
-
-
-def _within(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between members of one group but different components, as a forest for each pair of chunks. members: rep,
-    group, comp.
-
-    Every pair of a group's chunks is a task of at most 2 * CHUNK_SETS sets, which counts each set's common shingles with
-    all others at once.
-    """
-    apart = members.groupBy("group").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.ceil(F.count(F.lit(1)) / CHUNK_SETS).cast("int").alias("chunks")).where("a < b").select("group", "chunks")
-    dealt = members.join(apart, "group").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")).join(sets, "rep")
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = dealt.select("group", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "rep", "comp", "set")
-
-    def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        _, lo, hi = key
-        chunk, rep, comp = (g[c].to_numpy() for c in ("chunk", "rep", "comp"))
-        held = [np.frombuffer(x, np.uint64) for x in g["set"]]
-        sizes = np.array([len(x) for x in held])
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        names, ids = np.unique(np.concatenate(held), return_inverse=True)
-        has = np.zeros(len(names), np.int32)
-        up: dict[int, int] = {}
-
-        def root(c: int) -> int:
-            while up.get(c, c) != c:
-                up[c] = up.get(up[c], up[c])
-                c = up[c]
-            return c
-
-        out = []
-        right = chunk == hi
-        for i in np.flatnonzero(chunk == lo).tolist():
-            own = ids[starts[i] : starts[i] + sizes[i]]
-            has[own] = 1
-            both = np.add.reduceat(has[ids], starts)
-            has[own] = 0
-            good = right & (comp != comp[i]) & (100 * both >= PERCENT * (sizes + sizes[i] - both))
-            for j in np.flatnonzero(good).tolist():
-                c, d = root(int(comp[i])), root(int(comp[j]))
-                if c != d:
-                    up[c] = d
-                    out.append((int(rep[i]), int(rep[j])))
-        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
-
-    return rows.groupBy("group", "lo", "hi").applyInPandas(run, "u bigint, v bigint")
+    def _thin(self) -> None:
+        roots = _Roots()
+        self.edges = [e for e in sorted(self.edges) if roots.join(e[3], e[4])]
+
+    def meet(self, others: pa.RecordBatch) -> None:
+        self._compare(*self._rows(others), False)
+
+    def result(self) -> pa.RecordBatch:
+        return _table(_LINK, [e[1:3] for e in self.edges])
+
+
+def _across(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Agreeing pairs of members of one bucket but different components, of these a forest between components with the best
+    agreement first. members: key, rep, comp, sig, minor. Only agreeing pairs leave a task."""
+    ordered, sizes = deal(members.select("key", "rep", "comp", "sig", "minor"), ["key"], "rep", F.col("minor"), CHUNK, PART)
+    return ordered.drop("minor").mapInArrow(trimmed(work(1, _Bucket)), "u bigint, v bigint").distinct(), sizes
+
+
+class _Group:
+    """Sets of a group's members that a task holds, as their shingles in order with the set that each is in."""
+
+    def __init__(self, key: tuple, held: list[pa.RecordBatch]):
+        rows = [self._rows(b) for b in held]
+        self.rep, self.comp = (np.concatenate([r[k] for r in rows]) for k in range(2))
+        sets = [x for r in rows for x in r[2]]
+        self.size = np.array([len(x) for x in sets])
+        every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.size)
+        order = np.argsort(every, kind="stable")
+        self.shingles, self.owner = every[order], owner[order]
+        self.roots = _Roots()
+        self.links: list[tuple[int, int]] = []
+        if key[-1] == 0:
+            for j, x in enumerate(sets):
+                self._compare(int(self.rep[j]), int(self.comp[j]), x, j)
+
+    @staticmethod
+    def _rows(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        return b.column(4).to_numpy(), b.column(5).to_numpy(), [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(6)]
+
+    def _compare(self, rep: int, comp: int, own: np.ndarray, before: int) -> None:
+        """One set with the held ones that stand before a place."""
+        lo, hi = np.searchsorted(self.shingles, own, "left"), np.searchsorted(self.shingles, own, "right")
+        hit = hi > lo
+        sizes = (hi - lo)[hit]
+        ends = np.cumsum(sizes)
+        at = np.repeat(lo[hit] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        both = np.bincount(self.owner[at], minlength=len(self.rep))[:before]
+        good = (self.comp[:before] != comp) & (100 * both >= PERCENT * (self.size[:before] + len(own) - both))
+        for i in np.flatnonzero(good).tolist():
+            if self.roots.join(int(self.comp[i]), comp):
+                self.links.append((int(self.rep[i]), rep))
+
+    def meet(self, others: pa.RecordBatch) -> None:
+        for rep, comp, own in zip(*self._rows(others), strict=True):
+            self._compare(int(rep), int(comp), own, len(self.rep))
+
+    def result(self) -> pa.RecordBatch:
+        return _table(_LINK, self.links)
+
+
+def _within(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links between members of one group but different components, as a forest for each task. members: group, rep, comp,
+    minor, n."""
+    rows = members.join(sets, "rep").select("group", "rep", "comp", "set", "minor", "n")
+    ordered, sizes = deal(rows, ["group"], "rep", F.col("minor"), CHUNK_SHINGLES, PART_SHINGLES, F.col("n"))
+    return ordered.drop("minor", "n").mapInArrow(trimmed(work(1, _Group)), "u bigint, v bigint"), sizes
 
 
 def classes_of(sketched: DataFrame) -> DataFrame:
@@ -325,43 +345,54 @@ def classes_of(sketched: DataFrame) -> DataFrame:
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row."""
-    sketched = stash(sketches(documents), "sketches")
-    classes = stash(classes_of(sketched), "classes")
+    made: list[DataFrame] = []
+
+    def keep(df: DataFrame, what: str) -> DataFrame:
+        made.append(stash(df, what))
+        return made[-1]
+
+    sketched = keep(sketches(documents), "sketches")
+    classes = keep(classes_of(sketched), "classes")
     bands = _band_rows(classes)
     leads = bands.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead < last").select("key", "lead")
-    shared = stash(bands.join(leads, "key"), "shared")
+    shared = keep(bands.join(leads, "key"), "shared")
 
     first = shared.where("rep <> lead").groupBy(F.col("rep").alias("u")).agg(F.min("lead").alias("v"))
-    pairs = stash(_agreeing(first, classes), "pairs")
+    pairs = keep(_agreeing(first, classes), "pairs")
     ends = lambda p: p.select(F.col("u").alias("rep")).union(p.select(F.col("v").alias("rep"))).distinct()
     keys = classes.select("rep", "d1", "d2")
-    sets = stash(_sets(documents, ends(pairs).join(keys, "rep")), "sets")
-    links = stash(_verified(pairs, sets), "links")
-    comps = stash(connected_components(links), "comps")
+    sets = keep(_sets(documents, keep(ends(pairs).join(keys, "rep"), "wanted")), "sets")
+    links = keep(_verified(pairs, sets), "links")
+    comps = connected_components(links)
+    made.append(comps)
 
     comp_of = lambda df: df.join(comps, F.col("rep") == F.col("node"), "left").drop("node").withColumn("comp", F.coalesce("component", "rep")).drop("component")
-    now = stash(comp_of(shared.select("key", "rep")), "members")
-    open_keys = now.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("key")
-    members = now.join(open_keys, "key").join(classes.select("rep", "sig"), "rep").select("key", "rep", "comp", "sig")
-    more = stash(_across(members), "pairs")
-    unstash(now)
-    unstash(shared)
+    members, open_keys = _apart(keep(comp_of(shared.select("key", "rep")), "members"), "key")
+    more, sizes = _across(members.join(classes.select("rep", "sig"), "rep"))
+    more = keep(more, "pairs")
+    made += [open_keys, sizes]
     if more.head(1):
-        missing = ends(more).join(sets.select("rep"), "rep", "left_anti").join(keys, "rep")
-        both = stash(sets.union(_sets(documents, missing)), "sets")
-        unstash(sets)
-        sets = both
-        links = links.union(stash(_verified(more, sets), "links"))
-        groups = stash(connected_components(links.union(more)).select(F.col("node").alias("rep"), F.col("component").alias("group")), "groups")
-        comps = stash(connected_components(links), "comps")
-        last = stash(_within(comp_of(groups), sets), "links")
+        missing = keep(ends(more).join(sets.select("rep"), "rep", "left_anti").join(keys, "rep"), "wanted")
+        sets = sets.union(keep(_sets(documents, missing), "sets"))
+        links = links.union(keep(_verified(more, sets), "links"))
+        groups = connected_components(links.union(more))
+        comps = connected_components(links)
+        made += [groups, comps]
+        groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("group"))
+        members, apart = _apart(keep(comp_of(groups), "members"), "group")
+        last, sizes = _within(members.join(classes.select("rep", "n"), "rep"), sets)
+        last = keep(last, "links")
+        made += [apart, sizes]
         if last.head(1):
-            links = links.union(last)
-            comps = stash(connected_components(links), "comps")
+            comps = connected_components(links.union(last))
+            made.append(comps)
     of_class = classes.select("d1", "d2", "rep").join(comps, F.col("rep") == F.col("node"), "left").select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), F.coalesce("component", "rep").alias("comp"))
     rows = sketched.select("doc_id", "n", "d1", "d2").join(of_class, (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = stash(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "near-duplicates")
+    for x in made:
+        unstash(x)
+    return out
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

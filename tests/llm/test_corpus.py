@@ -13,7 +13,7 @@ import pytest
 
 pytest.importorskip("loopweaver.llm.queries")
 
-from loopweaver.llm import bpe, components, embed_dedup, licenses, lm_score, minhash, packing, quality, secrets, toxicity, warc  # noqa: E402
+from loopweaver.llm import bpe, chunks, components, embed_dedup, licenses, lm_score, minhash, packing, quality, secrets, toxicity, warc  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 # Columns that the operators use themselves under these names.
@@ -70,7 +70,7 @@ def test_small_tasks_and_tiles_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(embed_dedup, "TASK_ROWS", 40)
     monkeypatch.setattr(embed_dedup, "OTHER_ROWS", 25)
     monkeypatch.setattr(embed_dedup, "TILE", 7)
-    monkeypatch.setattr(embed_dedup, "BROADCAST_CELLS", 3)
+    monkeypatch.setattr(chunks, "BROADCAST_GROUPS", 3)
     test_embeddings_against_all_pairs(spark)
 
 
@@ -141,11 +141,57 @@ def test_near_duplicates_of_odd_rows(spark, odd):
 
 
 def test_groups_are_compared_in_chunks(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "CHUNK_SETS", 3)
-    monkeypatch.setattr(minhash, "CHUNK", 4)
+    for name, value in (("CHUNK", 2), ("PART", 3), ("CHUNK_SHINGLES", 150), ("PART_SHINGLES", 200), ("MAP_BITS", 8)):
+        monkeypatch.setattr(minhash, name, value)
+    monkeypatch.setattr(chunks, "BROADCAST_GROUPS", 1)
     test_near_duplicates_against_all_pairs(spark)
 
 
+def chain(n):
+    words = [f"w{x}" for x in range(n * 4 + 60)]
+    return [(i, " ".join(words[i * 4 : i * 4 + 60])) for i in range(n)]  # shingles 4 or 8 apart: 52 of 60, 48 of 64
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 150])
+def test_sets_within_a_group_against_all_pairs(spark, monkeypatch, chunk):
+    monkeypatch.setattr(minhash, "CHUNK_SHINGLES", chunk)
+    monkeypatch.setattr(minhash, "PART_SHINGLES", 4 * chunk)
+    rows = chain(40)
+    sets = {i: minhash.shingles(t) for i, t in rows}
+    comp = {i: 0 if i < 12 else 30 if i >= 36 else i for i in sets}
+    members, _ = minhash._apart(spark.createDataFrame([(7, i, comp[i], len(s)) for i, s in sets.items()] + [(8, 900 + i, 900, 5) for i in range(3)], "group bigint, rep bigint, comp bigint, n bigint"), "group")
+    assert members.where("group = 8").count() == 0 and members.where("not minor").count() == 12
+    found, _ = minhash._within(members, spark.createDataFrame([(i, s.tobytes()) for i, s in sets.items()], "rep bigint, set binary"))
+    links = [(r["u"], r["v"]) for r in found.collect()]
+    assert all(100 * len(np.intersect1d(sets[u], sets[v])) >= 75 * len(np.union1d(sets[u], sets[v])) and comp[u] != comp[v] for u, v in links)
+    up = minhash._Roots()
+    for u, v in [*links, *((i, c) for i, c in comp.items() if i < 12 or i >= 36)]:
+        up.join(u, v)
+    assert len({up.root(i) for i in sets}) == 1
+
+
+def test_buckets_give_the_best_forest(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "CHUNK", 3)
+    monkeypatch.setattr(minhash, "PART", 4)
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 256, 320, dtype=np.uint8)
+    sig = [np.where(rng.random(320) < 0.85, base, rng.integers(0, 256, 320, dtype=np.uint8)) for _ in range(30)]
+    comp = [0 if i < 11 else i // 3 for i in range(30)]
+    members, _ = minhash._apart(spark.createDataFrame([(5, i, c, s.tobytes()) for i, (c, s) in enumerate(zip(comp, sig, strict=True))], "key bigint, rep bigint, comp bigint, sig binary"), "key")
+    found, _ = minhash._across(members)
+    links = {(r["u"], r["v"]) for r in found.collect()}
+    pairs = sorted((-(sig[i] == sig[j]).mean(), i, j) for i in range(30) for j in range(i + 1, 30) if comp[i] != comp[j] and (sig[i] == sig[j]).mean() >= minhash.AGREE)
+    up = minhash._Roots()
+    best = {(i, j) for _, i, j in pairs if up.join(comp[i], comp[j])}
+    assert pairs and best <= links <= {(i, j) for _, i, j in pairs}
+
+
+def test_a_chain_of_near_duplicates_is_one_component(spark):
+    rows = chain(30)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == exact_components(rows)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, k) for k in range(101, 140)] + [(7, 7), (None, 3), (2, 1)]
     got = dict(by_text(components.connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect(), "node", "component"))
