@@ -19,10 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset (tests on one machine), a folder of our own."""
+    """The folder named by spark.checkpoint.dir; where that is unset and all runs on one machine, a folder of our own."""
     sc = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not where:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="loopweaver-"))
         where = sc.getCheckpointDir()
     return where.rstrip("/")
@@ -78,20 +80,57 @@ def trimmed(run: Callable) -> Callable:
     return (lambda a: done(run(a))) if len(inspect.signature(run).parameters) == 1 else (lambda a, b: done(run(a, b)))
 
 
+#: What stash() wrote inside each open scratch().
+_open: list[list[DataFrame]] = []
+
+
 def stash(df: DataFrame, what: str = "stage") -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage, survives lost executors, and is computed once."""
+    """Write df to the shared folder and read it back: cuts lineage, survives lost executors, and is computed once.
+
+    It stays until unstash(), or until the scratch() it was made in ends.
+    """
     path = new_path(df.sparkSession, what)
     with small_batches(df.sparkSession):
         df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stash_path = path
+    if _open:
+        _open[-1].append(out)
     return out
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path of the shared folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def unstash(df: DataFrame) -> None:
     """Delete what stash() wrote; for tables that no later plan reads."""
     path = getattr(df, "_stash_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+        remove(df.sparkSession, path)
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete at the end what stash() wrote inside. The function given keeps one result: it is staged if something was
+    staged before, as it may read that, and then belongs to the scratch() around this one, or to the caller."""
+    mine: list[DataFrame] = []
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        out = df if not mine or hasattr(df, "_stash_path") else stash(df, "result")
+        kept.append(out)
+        return out
+
+    _open.append(mine)
+    try:
+        yield keep
+    finally:
+        _open.pop()
+        for x in mine:
+            if not any(x is k for k in kept):
+                unstash(x)
+            elif _open:
+                _open[-1].append(x)

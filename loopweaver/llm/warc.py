@@ -2,12 +2,15 @@
 
 `write` puts one record per page into gzip archives, each record a member of its own. Of pages with equal payloads of at
 least REVISIT_BYTES, that with the largest page_id is a response and the others revisit it; which pages those are comes
-from counting digests, so only digests are shuffled. Each task writes whole archives under names of its own, and only
-tasks that Spark accepts are in the manifest, so retried tasks leave nothing that is read.
+from counting digests, so only digests are shuffled as long as the table of repeated ones is small enough to broadcast.
+Beyond that payloads are shuffled once, to their digest and a salt, so that no digest's copies meet in one task. Each task
+writes whole archives under names of its own, and only tasks that Spark accepts are in the manifest, so retried tasks leave
+nothing that is read.
 
-`read` splits archives into byte ranges. A task scans its range for gzip magic, takes a place for a member if it inflates
-to a WARC header and a block of the length stated there, and owns the records that start inside its range, reading past
-its end where the last one does. No index is needed, and an archive's size doesn't bound the parallelism.
+`read` splits archives into byte ranges. A task scans its ranges for gzip magic, takes a place for a member if it inflates
+to a WARC header and a block of the length stated there, and owns the records that start inside a range, reading past its
+end where the last one does. No index is needed, and an archive's size doesn't bound the parallelism. Bytes are inflated
+once and in steps, in time linear in a record's length; memory holds one record and what is handed on.
 
 A null html counts as empty; a null url gives a record without a target; a null page_id gives a record that nothing
 refers to. Repeated rows give one record each: of equal payloads under the largest page_id, all rows with that page_id are
@@ -26,11 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopweaver.llm.common import new_path, stash, table
+from loopweaver.llm.chunks import BROADCAST_GROUPS
+from loopweaver.llm.common import new_path, remove, stash, table
 
 REVISIT_BYTES = 1000
-#: Bytes of an archive after which a task starts another, and bytes of a range that one task reads.
-ARCHIVE_BYTES, RANGE_BYTES = 256 << 20, 8 << 20
+#: Bytes of an archive after which a task starts another, of a range, and of the ranges that a task reads at most, about.
+ARCHIVE_BYTES, RANGE_BYTES, TASK_BYTES = 256 << 20, 8 << 20, 256 << 20
+#: Tasks among which the copies of one payload are dealt where payloads are shuffled.
+SALTS = 32
+#: Arrow's names for stores that Spark's file systems call otherwise.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
 LEVEL = 6
 DATE = "2000-01-01T00:00:00Z"
 MAGIC = b"\x1f\x8b\x08"
@@ -64,10 +72,16 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return z.compress(head.encode() + block + b"\r\n\r\n") + z.flush()
 
 
+def arrow_uri(uri: str) -> str:
+    """A path of Spark's as Arrow spells it."""
+    scheme, colon, rest = uri.partition("://")
+    return SCHEMES.get(scheme, scheme) + colon + rest
+
+
 def _file_system(uri: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(arrow_uri(uri))
 
 
 def write(pages: DataFrame) -> DataFrame:
@@ -75,7 +89,12 @@ def write(pages: DataFrame) -> DataFrame:
     p = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.sha1("payload"))
     copies = stash(p.where(F.octet_length("payload") >= REVISIT_BYTES).groupBy("digest").agg(F.max("page_id").alias("newest"), F.count(F.lit(1)).alias("n")).where("n > 1 and newest is not null").select("digest", "newest"), "copies")
     to = F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("newest")), F.col("newest"))
-    records = p.join(copies, "digest", "left").select("page_id", "url", "payload", to.alias("refers_to"))
+    if copies.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
+        joined = p.join(F.broadcast(copies), "digest", "left")
+    else:
+        salted = copies.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = p.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["digest", "salt"], "left")
+    records = joined.select("page_id", "url", "payload", to.alias("refers_to"))
     spark = pages.sparkSession
     folder = new_path(spark, "warc")
     # Made on the driver through Spark, as executors may not be allowed to create folders in some stores.
@@ -112,38 +131,59 @@ def _fields(head: bytes) -> dict[str, str]:
 
 
 class Source:
-    """Bytes of an archive from some place on, read as they are asked for."""
+    """Bytes of an archive from some place on, read in steps as they are asked for."""
 
     def __init__(self, file, start: int, size: int, step: int = 64 << 10):
         self.file, self.start, self.size, self.step = file, start, size, step
-        self.data = b""
-
-    def upto(self, end: int) -> bytes:
-        """What there is from start to end."""
-        end = min(end, self.size)
-        if self.start + len(self.data) < end:
-            self.file.seek(self.start + len(self.data))
-            self.data += self.file.read(end - self.start - len(self.data))
-        return self.data
+        self.parts: dict[int, bytes] = {}
+
+    def part(self, k: int) -> bytes:
+        """The k-th step."""
+        if k not in self.parts:
+            at = self.start + k * self.step
+            self.file.seek(min(at, self.size))
+            self.parts[k] = self.file.read(max(0, min(self.step, self.size - at)))
+        return self.parts[k]
+
+    def rest(self, at: int) -> memoryview:
+        """What the step that holds a place has from there on."""
+        k, skip = divmod(at - self.start, self.step)
+        return memoryview(self.part(k))[skip:]
+
+    def find(self, what: bytes, at: int, end: int) -> int:
+        """The first place from at on, and before end, where what stands; -1 if there is none."""
+        while at < end:
+            k, skip = divmod(at - self.start, self.step)
+            low = self.start + k * self.step
+            data = self.part(k)
+            found = data.find(what, skip)
+            if found < 0:  # it may reach into the next step
+                tail = max(skip, len(data) - len(what) + 1)
+                edge = (data[tail:] + self.part(k + 1)[: len(what) - 1]).find(what)
+                found = tail + edge if edge >= 0 else -1
+            if found >= 0:
+                return low + found if low + found < end else -1
+            at = low + self.step
+        return -1
 
     def drop(self, at: int) -> None:
-        """Forget what lies before a place."""
-        self.data = self.data[at - self.start :]
-        self.start = at
+        """Forget the steps that end before a place."""
+        for k in [k for k in self.parts if self.start + (k + 1) * self.step <= at]:
+            del self.parts[k]
 
 
 def member(source: Source, at: int) -> tuple[bytes, int] | None:
     """The inflated record of the member at a place, and where it ends; None if no whole record starts there."""
     z = zlib.decompressobj(31)
-    out, used, need = [], 0, None
+    out, place, need = [], at, None
     have, head = 0, bytearray()
     try:
         while not z.eof:
-            data = source.upto(at + used + source.step)[at + used - source.start :][: source.step]
+            data = source.rest(place)
             if not data:
                 return None
             out.append(z.decompress(data))
-            used += len(data)
+            place += len(data)
             have += len(out[-1])
             if need is None:
                 # A header may be of any length once it starts as one.
@@ -161,29 +201,21 @@ def member(source: Source, at: int) -> tuple[bytes, int] | None:
                 return None
     except zlib.error:
         return None
-    return (b"".join(out), at + used - len(z.unused_data)) if have == need else None
+    return (b"".join(out), place - len(z.unused_data)) if have == need else None
 
 
 def owned(file, start: int, end: int, size: int) -> Iterator[bytes]:
     """The inflated records that start in a byte range of an archive."""
     source = Source(file, start, size)
     at = start
-    while at < end:
-        stop = min(end, at + source.step)
-        data = source.upto(stop + len(MAGIC) - 1)
-        k = data.find(MAGIC, at - source.start, stop + len(MAGIC) - 1 - source.start)
-        if k < 0:
-            at = stop
-            continue
-        at = source.start + k
+    while (at := source.find(MAGIC, at, end)) >= 0:
         found = member(source, at)
         if found is None:
             at += 1
             continue
         yield found[0]
         at = found[1]
-        if at - source.start >= 1 << 20:
-            source.drop(min(at, source.start + len(source.data)))
+        source.drop(at)
 
 
 def parse(raw: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
@@ -199,8 +231,10 @@ def read(manifest: DataFrame, range_bytes: int = RANGE_BYTES, with_payload: bool
 
     A revisit's size and digest are those of the payload it stands for; its payload is null.
     """
-    total = manifest.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0] or 1
-    ranges = manifest.where("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(range_bytes).cast("bigint"))).alias("start")).repartition(int(total))
+    ranges_, bytes_ = manifest.agg(F.sum(F.ceil(F.col("bytes") / range_bytes)), F.sum("bytes")).first()
+    # Small archives give every core a range; of large ones a task reads several.
+    tasks = max(1, min(ranges_ or 1, max(4 * manifest.sparkSession.sparkContext.defaultParallelism, (bytes_ or 0) // TASK_BYTES)))
+    ranges = manifest.where("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(range_bytes).cast("bigint"))).alias("start")).repartition(int(tasks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -234,5 +268,9 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = read(write(table(spark, sf_dir, "pages")), with_payload=False)
-    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    manifest = write(table(spark, sf_dir, "pages"))
+    records = read(manifest, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    out = stash(records, "records")
+    for folder in {r[0].rsplit("/", 1)[0] for r in manifest.select("path").limit(1).collect()}:
+        remove(spark, folder)  # a round trip's archives are not its result
+    return out

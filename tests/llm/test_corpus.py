@@ -690,6 +690,51 @@ def test_archives_round_trip_and_split(spark):
     assert warc.read(warc.write(pages(spark, []))).count() == 0
 
 
+def test_many_copies_are_joined_by_salted_digests(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_GROUPS", 1)
+    monkeypatch.setattr(warc, "SALTS", 3)
+    test_archives_round_trip_and_split(spark)
+
+
+def test_records_are_read_in_linear_time():
+    import time
+
+    took = {}
+    for n in (8, 32):
+        data = warc.record(1, "u", np.random.default_rng(n).bytes(n << 20)) + warc.record(2, "u", b"b")
+        best = []
+        for _ in range(3):
+            start = time.perf_counter()
+            got = [warc.page_of(warc.parse(r)[0]["warc-record-id"]) for r in warc.owned(io.BytesIO(data), 0, len(data), len(data))]
+            best.append(time.perf_counter() - start)
+        took[n] = min(best)
+        assert got == [1, 2]
+    assert took[32] < 8 * took[8]
+
+
+def test_places_of_magic_across_steps():
+    data = b"ab" + b"xyz" * 3 + b"q" * 7 + b"xyz"
+    for step in (3, 4, 5, 64):
+        source = warc.Source(io.BytesIO(data), 1, len(data), step)
+        assert [source.find(b"xyz", at, len(data)) for at in range(1, len(data))] == [data.find(b"xyz", at) for at in range(1, len(data))]
+        assert source.find(b"xyz", 12, 18) == -1 and source.find(b"xyz", 12, 19) == 18
+    assert warc.arrow_uri("s3a://b/k") == "s3://b/k" and warc.arrow_uri("file:///x") == "file:///x" and warc.arrow_uri("/x") == "/x"
+
+
+def test_scratch_leaves_only_its_result(spark, tmp_path):
+    import os
+
+    from loopweaver.llm import common, queries
+
+    before = set(os.listdir(common.shared_dir(spark).removeprefix("file://")))
+    for name in queries.QUERIES:
+        if name != "op2_minhash_dedup":
+            out = queries.QUERIES[name](spark, SF)
+            left = set(os.listdir(common.shared_dir(spark).removeprefix("file://"))) - before
+            assert len({x for x in left if not x.startswith(".")}) <= 1 and out.count(), (name, left)
+            common.unstash(out)
+
+
 def test_headers_of_any_length_are_read(spark):
     url = "http://x/" + np.random.default_rng(10).bytes(1_500_000).hex()
     got = warc.read(warc.write(pages(spark, [(1, url, "a"), (2, "u", "b")])), 100_000).collect()
