@@ -10,7 +10,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +82,27 @@ def trimmed(run: Callable) -> Callable:
     return (lambda a: done(run(a))) if len(inspect.signature(run).parameters) == 1 else (lambda a, b: done(run(a, b)))
 
 
+def whole_rows(documents: DataFrame, name: str = "row") -> Column:
+    """All columns of documents as one, so that no column's name can clash."""
+    return F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias(name)
+
+
+def rows_where(rows: DataFrame, decide: Callable) -> DataFrame:
+    """The whole rows (a first column of whole_rows()) for which decide(texts, arrays of the further columns) gives true.
+    Each is judged where it is: no key has to tell rows apart, and nothing is shuffled."""
+    first = rows.schema.fields[0]
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for b in batches:
+            keep = decide(pc.struct_field(b.column(0), "text"), *(b.column(i) for i in range(1, b.num_columns)))
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep, pa.bool_()))], names=[first.name])
+
+    return rows.mapInArrow(run, T.StructType([first])).select(f"{first.name}.*")
+
+
 #: What stash() wrote inside each open scratch().
 _open: list[list[DataFrame]] = []
 

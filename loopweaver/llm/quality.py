@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loopweaver.llm.common import stash, table
+from loopweaver.llm.chunks import checked
+from loopweaver.llm.common import rows_where, stash, table, whole_rows
 
 # Frequent function words of English, German, French and Spanish.
 COMMON_WORDS = (
@@ -196,28 +197,46 @@ def lacks_common(hist: np.ndarray, ref: np.ndarray, far: np.ndarray, guard_commo
     return (expected >= guard_common) & (far >= np.minimum(none, jensen_shannon(hist, bare)))
 
 
+def judge(lang: pa.Array, n_words: np.ndarray, n_repeat: np.ndarray, hist: list[np.ndarray], ref: list[np.ndarray], guard_words: int = GUARD_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distances (of classes, of words), base_failed and kept of rows, given their histograms and their languages' ones."""
+    far, lacks = np.zeros((2, len(n_words))), np.zeros(len(n_words), bool)
+    for _, at in _by_language(lang):
+        for k in (0, 1):
+            far[k, at] = jensen_shannon(hist[k][at], ref[k][at[0]])
+        lacks[at] = lacks_common(hist[1][at], ref[1][at[0]], far[1, at])
+    failed = (n_words < MIN_WORDS) | (100 * n_repeat > 50 * n_words)
+    return far, failed, ~failed & ((n_words < guard_words) | ((far[0] <= max_class) & (far[1] <= max_word) & ~lacks))
+
+
 def verdict(feats: DataFrame, refs: DataFrame, guard_words: int = GUARD_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """Adds class_distance, word_distance, base_failed and kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n = b.num_rows
             hist, ref = [_rows(b.column(i)) for i in (7, 8)], [_rows(b.column(i)) for i in (9, 10)]
-            far, lacks = np.zeros((2, n)), np.zeros(n, bool)
-            for _, at in _by_language(b.column(1)):
-                for k in (0, 1):
-                    far[k, at] = jensen_shannon(hist[k][at], ref[k][at[0]])
-                lacks[at] = lacks_common(hist[1][at], ref[1][at[0]], far[1, at])
-            words, repeats = b.column(2).to_numpy(), b.column(6).to_numpy()
-            failed = (words < MIN_WORDS) | (100 * repeats > 50 * words)
-            kept = ~failed & ((words < guard_words) | ((far[0] <= max_class) & (far[1] <= max_word) & ~lacks))
+            far, failed, kept = judge(b.column(1), b.column(2).to_numpy(), b.column(6).to_numpy(), hist, ref, guard_words, max_class, max_word)
             yield pa.RecordBatch.from_arrays([b.column(0), *[b.column(i) for i in range(2, 7)], pa.array(far[0]), pa.array(far[1]), pa.array(failed), pa.array(kept)], names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept"])
 
-    # Spark broadcasts the references where they are few.
-    both = feats.join(refs, feats["lang"].eqNullSafe(refs["ref_lang"])).drop("ref_lang")
+    both = feats.join(checked(refs), feats["lang"].eqNullSafe(refs["ref_lang"])).drop("ref_lang")
     return both.mapInArrow(run, "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, class_distance double, word_distance double, base_failed boolean, kept boolean")
 
 
+def good_rows(documents: DataFrame) -> DataFrame:
+    """The rows of documents that the rules keep against references from all of them, each judged by its own text and
+    language. Texts are read twice and not shuffled."""
+    refs = stash(references(features(documents)), "references")
+    refs = checked(refs.select(F.struct("ref_lang", "ref_classes", "ref_words").alias("_reference")))
+    both = documents.select(whole_rows(documents, "_row")).join(refs, F.col("_row.lang").cast("string").eqNullSafe(F.col("_reference.ref_lang")))
+
+    def decide(texts: pa.Array, lang: pa.Array, classes: pa.Array, words: pa.Array) -> np.ndarray:
+        rows = [text_features(t.as_py()) for t in texts]
+        n, repeat = (np.array([r[k] for r in rows], np.int64) for k in (0, 4))
+        hist = [np.array([r[k] for r in rows], np.int64).reshape(len(rows), -1) for k in (5, 6)]
+        return judge(lang, n, repeat, hist, [_rows(classes), _rows(words)])[2]
+
+    return rows_where(both.select("_row", F.col("_row.lang").cast("string").alias("lang"), "_reference.ref_classes", "_reference.ref_words"), decide)
+
+
 def quality_rules(documents: DataFrame) -> DataFrame:
     """Counts, distances and verdict of each document against references from all documents."""
     feats = stash(features(documents), "quality")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loopweaver.llm.common import stash, table, unstash
+from loopweaver.llm.common import rows_where, stash, table, unstash, whole_rows
 
 #: Labelled rows that the classifier is fitted on, at most.
 FIT_ROWS = 20_000
@@ -218,6 +218,11 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, score double, n_passages bigint, passage_start bigint, passage_end bigint")
 
 
+def clean_rows(documents: DataFrame, model: Model) -> DataFrame:
+    """The rows of documents that score below 0.5, each judged by its own text."""
+    return rows_where(documents.select(whole_rows(documents)), lambda texts: [not model.odds or probability(model, *passages(model, t.as_py())) < 0.5 for t in texts])
+
+
 def op3_toxic_passages(spark, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     scored = score(documents, fit(documents, table(spark, sf_dir, "labels")))
