@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,16 +43,15 @@ def bedpe(pairs: DataFrame, p: Params, *more: str) -> DataFrame:
     return pairs.select(*(v.alias(k) for k, v in at.items()), *more)
 
 
-def window_size_fractions(contacts: DataFrame, p: Params) -> DataFrame:
-    """Share of pairs nearer than 10, 20, ... 100 Mb, in one aggregate."""
+def window_size_fractions(contacts: DataFrame, p: Params, limits: Sequence[int] = range(10_000_000, 100_000_001, 10_000_000)) -> DataFrame:
+    """upto and share: pairs of bins nearer than each limit (in base pairs), in one aggregate. Shares of no pairs are null."""
     d = bin_contacts(contacts, p)
     far = (F.col("j") - F.col("i")) * p.binsize
-    shares = d.agg(*(F.avg(F.when(far < m * 1_000_000, 1.0).otherwise(0.0)).alias(str(m)) for m in range(10, 101, 10)))
-    return shares.select(F.explode(F.array(*(F.struct(F.lit(m).alias("mb"), F.col(str(m)).alias("share")) for m in range(10, 101, 10)))).alias("x")).select("x.*")
+    shares = d.agg(*(F.avg(F.when(far < m, 1.0).otherwise(0.0)).alias(str(m)) for m in limits))
+    return shares.select(F.explode(F.array(*(F.struct(F.lit(m).cast("bigint").alias("upto"), F.col(str(m)).alias("share")) for m in limits))).alias("x")).select("x.*")
 
 
 def window_bins(contacts: DataFrame, p: Params, share: float = 0.8) -> int:
     """Bins of the smallest window that holds over `share` of the pairs."""
     rows = sorted(window_size_fractions(contacts, p).collect())
-    mb = next((r["mb"] for r in rows if (r["share"] or 0) > share), 100)
-    return mb * 1_000_000 // p.binsize
+    return next((r["upto"] for r in rows if (r["share"] or 0) > share), 100_000_000) // p.binsize

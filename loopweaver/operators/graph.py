@@ -94,35 +94,45 @@ def solve_iterative(m: np.ndarray, alpha: float, max_iter: int, tolerance: float
     return a + a.T
 
 
-def _by_columns(a: np.ndarray) -> np.ndarray:
-    a = a / np.maximum(np.abs(a.sum(0, keepdims=True)), 1e-300)
-    return a + a.T
-
-
 def solve_nblin(m: np.ndarray, alpha: float) -> np.ndarray:
-    """Low-rank form over all singular vectors: alpha (I + (1 - alpha) U L V)."""
+    """Low-rank form over all singular vectors: alpha (I + (1 - alpha) U L V), each column scaled to sum to one."""
     u, s, v = np.linalg.svd(_scaled(m))
     keep = s > 1e-12
     u, s, v = u[:, keep], s[keep], v[keep]
     core = np.linalg.inv(np.diag(1 / s) - (1 - alpha) * (v @ u))
-    return _by_columns(alpha * (np.eye(len(m)) + (1 - alpha) * (u @ core @ v)))
+    a = alpha * (np.eye(len(m)) + (1 - alpha) * (u @ core @ v))
+    a = a / a.sum(0, keepdims=True)
+    return a + a.T
 
 
-def solve_blin(m: np.ndarray, alpha: float, parts: int, inner_only: bool) -> np.ndarray:
-    """Walks within contiguous blocks of bins, corrected by the low-rank rest between blocks unless inner_only."""
-    w, n = _scaled(m), len(m)
+def _inner(w: np.ndarray, alpha: float, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Inverses of I - (1 - alpha) W within contiguous blocks of bins, and what W holds between blocks."""
+    n = len(w)
     cut = np.linspace(0, n, max(1, min(parts, n)) + 1).astype(int)
     q, rest = np.zeros_like(w), w.copy()
     for a, b in zip(cut[:-1], cut[1:], strict=True):
         q[a:b, a:b] = np.linalg.inv(np.eye(b - a) - (1 - alpha) * w[a:b, a:b])
         rest[a:b, a:b] = 0
-    if not inner_only and np.abs(rest).max() > 0:
+    return q, rest
+
+
+def solve_q1(m: np.ndarray, alpha: float, parts: int) -> np.ndarray:
+    """Walks on the transition matrix within blocks only, without the factor alpha and not scaled."""
+    q, _ = _inner(_rows(m), alpha, parts)
+    return q + q.T
+
+
+def solve_blin(m: np.ndarray, alpha: float, parts: int) -> np.ndarray:
+    """Walks on the scaled adjacency within blocks, corrected by the low-rank rest between blocks; not scaled by columns."""
+    q, rest = _inner(_scaled(m), alpha, parts)
+    if np.abs(rest).max() > 0:
         u, s, v = np.linalg.svd(rest)
         keep = s > 1e-12
         u, s, v = u[:, keep], s[keep], v[keep]
         core = np.linalg.inv(np.diag(1 / s) - (1 - alpha) * (v @ q @ u))
         q = q + (1 - alpha) * (q @ u @ core @ v @ q)
-    return _by_columns(alpha * q)
+    q = alpha * q
+    return q + q.T
 
 
 def walk(m: np.ndarray, p: Params) -> np.ndarray:
@@ -133,8 +143,10 @@ def walk(m: np.ndarray, p: Params) -> np.ndarray:
         return solve_iterative(m, p.alpha, p.max_iter)
     if p.rwr_method == "nblin":
         return solve_nblin(m, p.alpha)
-    if p.rwr_method in ("blin", "q1"):
-        return solve_blin(m, p.alpha, p.blin_partitions, p.rwr_method == "q1")
+    if p.rwr_method == "blin":
+        return solve_blin(m, p.alpha, p.blin_partitions)
+    if p.rwr_method == "q1":
+        return solve_q1(m, p.alpha, p.blin_partitions)
     raise ValueError(f"no such method: {p.rwr_method}; there are {', '.join(METHODS)}")
 
 

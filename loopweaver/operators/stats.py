@@ -33,12 +33,9 @@ def paired_t(sums: DataFrame) -> DataFrame:
     return sums.withColumn("tstat", value).withColumn("case_avg", F.nullif("case_avg", F.lit(0.0))).withColumn("control_avg", F.nullif("control_avg", F.lit(0.0)))
 
 
-def p_values(tested: DataFrame, tail: str = "student") -> DataFrame:
-    """Adds pvalue from tstat and n; 1 where t is undefined. tail "exponential" is exp(-|t|), for comparison with SQL."""
-    if tail == "exponential":
-        p = F.when(F.col("tstat") == NO_T, 1.0).otherwise(F.exp(-F.least(F.abs("tstat"), F.lit(700.0))))
-    else:
-        p = F.when(F.col("tstat") == NO_T, 1.0).when(F.abs("tstat") >= HUGE, 0.0).otherwise(p_value_udf()(F.col("tstat"), (F.col("n") - 1).cast("double")))
+def p_values(tested: DataFrame) -> DataFrame:
+    """Adds pvalue, the two-sided tail of Student's t with n - 1 degrees of freedom; 1 where t is undefined."""
+    p = F.when(F.col("tstat") == NO_T, 1.0).when(F.abs("tstat") >= HUGE, 0.0).otherwise(p_value_udf()(F.col("tstat"), (F.col("n") - 1).cast("double")))
     return tested.withColumn("pvalue", p)
 
 
@@ -60,12 +57,12 @@ def universe(p: Params, spark) -> DataFrame:
     return pairs.select("chrom", F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"))
 
 
-def significances(sums: DataFrame, p: Params, tail: str = "student") -> DataFrame:
+def significances(sums: DataFrame, p: Params) -> DataFrame:
     """chrom, i, j, outlier_count, case_avg, control_avg, pvalue, tstat, fdr_dist, fdr_chrom.
 
     The rates count every pair of the universe, with p = 1 where no cell was imputed; only imputed pairs are returned.
     """
-    tested = p_values(paired_t(sums), tail)
+    tested = p_values(paired_t(sums))
     d = F.col("j") - F.col("i")
     full = universe(p, sums.sparkSession).join(tested, ["chrom", "i", "j"], "left").withColumn("pvalue", F.coalesce("pvalue", F.lit(1.0))).withColumn("d", d)
     rated = bh_fdr(bh_fdr(full, ["chrom", "d"], "fdr_dist"), ["chrom"], "fdr_chrom")

@@ -16,8 +16,11 @@ from loopweaver.sources import fixture
 from loopweaver.staging import staged
 
 P: Params = fixture.PARAMS
-SHARP = {"tail": "exponential"}
 DIGITS = 6
+#: Cells that the pivot has columns for; all if none are given, but SQL must name them.
+PIVOT_CELLS = range(10)
+#: Distances that cut the fixture's chromosomes, for the shares of near pairs.
+NEAR = range(100_000, 1_000_001, 100_000)
 #: Moves values that lie halfway between two roundings, as products of 0.95 and 1/2 do, off the tie.
 OFF_TIE = 3.3e-9
 
@@ -57,7 +60,7 @@ def _cells(spark, d):
 
 
 def _significances(spark, d):
-    return stats.significances(_sums(spark, d), P, **SHARP)
+    return stats.significances(_sums(spark, d), P)
 
 
 def _regions(spark):
@@ -79,16 +82,16 @@ def _clustered(spark, d):
 
 
 def _pivot(spark, d):
-    """Scores of the final summits, one column per cell. Summits are few and are staged before the pivot looks up cells."""
+    """Scores of the final summits, one column for each of some cells."""
     peaks = staged(cluster.final_summits(_clustered(spark, d)).select("chrom", "i", "j"), "summits")
-    return cluster.zscore_pivot(staged(cluster.summit_scores(peaks, _z(spark, d)), "scores"))
+    return _rounded(cluster.zscore_pivot(staged(cluster.summit_scores(peaks, _z(spark, d)), "scores"), list(PIVOT_CELLS)), *map(str, PIVOT_CELLS))
 
 
 def _method(name: str, **params):
     def run(spark: SparkSession, d: str) -> DataFrame:
         from dataclasses import replace
 
-        return graph.rwr(_binned(spark, d), replace(P, rwr_method=name, blin_partitions=4, **params))
+        return graph.rwr(_binned(spark, d), replace(P, rwr_method=name, **({"blin_partitions": 4} | params)))
 
     return run
 
@@ -103,7 +106,7 @@ QUERIES = {
     "bin_contacts": _binned,
     "distance_histogram": lambda s, d: binning.distance_histogram(_binned(s, d)),
     "binned_bedpe": lambda s, d: binning.bedpe(_binned(s, d), P, "cell"),
-    "window_size_fractions": lambda s, d: _rounded(binning.window_size_fractions(_contacts(s, d), P), "share"),
+    "window_size_fractions": lambda s, d: _rounded(binning.window_size_fractions(_contacts(s, d), P, NEAR), "share"),
     "graph_edges": _edges,
     "graph_degree": lambda s, d: graph.degree(_edges(s, d)),
     "transition_matrix": lambda s, d: _rounded(graph.transition_matrix(_edges(s, d)), "p", digits=9),
@@ -114,17 +117,18 @@ QUERIES = {
     "rwr_sliding_window": _method("sliding_window", window_bins=2 * P.max_rwr_bins),  # several windows in each chromosome
     "rwr_nblin": _method("nblin"),
     "rwr_blin": _method("blin"),
-    "rwr_q1": _method("q1"),
+    "rwr_q1": lambda s, d: _rounded(_method("q1", blin_partitions=100)(s, d), "v", digits=9),  # blocks of two bins, which SQL can invert
     "diag_trimmed_zscore": lambda s, d: _rounded(normalize.diag_zscore(normalize.on_grid(_counts(s, d), P)), "z"),
     "fused_zscore": lambda s, d: _rounded(_z(s, d).select("cell", "chrom", "i", "j", "z"), "z"),
     "outlier_count": lambda s, d: combine.outlier_count(_z(s, d), P.outlier),
     "hic_score": lambda s, d: combine.hic_score(combine.outlier_count(_z(s, d), P.outlier), _cells(s, d)),
     "hic_input": lambda s, d: combine.hic_input(combine.hic_score(combine.outlier_count(_z(s, d), P.outlier), _cells(s, d)), P),
+    "hic_input_all": lambda s, d: combine.hic_input(combine.hic_score(combine.outlier_count(_z(s, d), P.outlier), _cells(s, d)), P, positive=False),
     "hic_input_from_fdr": lambda s, d: combine.hic_input_from_fdr(_significances(s, d), P),
     "local_background": lambda s, d: _rounded(background.local_background(_z(s, d).select("cell", "chrom", "i", "j", "z"), P), "z", "nb"),
     "fused_background": lambda s, d: _rounded(_z(s, d).where("nb is not null"), "z", "nb"),
     "paired_tstat": lambda s, d: _rounded(stats.paired_t(_sums(s, d)).select("chrom", "i", "j", "n", "outlier_count", "case_avg", "control_avg", "tstat"), "case_avg", "control_avg", "tstat"),
-    "student_p_values": lambda s, d: stats.p_values(stats.paired_t(_sums(s, d))).select("chrom", "i", "j", "tstat", "pvalue"),
+    "student_p_values": lambda s, d: _rounded(_rounded(stats.p_values(stats.paired_t(_sums(s, d))).select("chrom", "i", "j", "tstat", "pvalue"), "tstat"), "pvalue", digits=8),
     "bh_fdr_by_distance": lambda s, d: _rounded(stats.bh_fdr(_rated(_binned(s, d)), ["chrom", "d"], "fdr").select("chrom", "i", "j", "fdr"), "fdr", digits=9),
     "bh_fdr_chrom": lambda s, d: _rounded(stats.bh_fdr(_rated(_binned(s, d)), ["chrom"], "fdr").select("chrom", "i", "j", "fdr"), "fdr", digits=9),
     "significances": lambda s, d: _rounded(_significances(s, d), "case_avg", "control_avg", "pvalue", "tstat", "fdr_dist", "fdr_chrom"),
@@ -167,17 +171,29 @@ _TABLES = {
     "nbs": f"""offsets AS (SELECT a.range AS a, b.range AS b FROM range(-5, 6) AS a, range(-5, 6) AS b WHERE greatest(abs(a.range), abs(b.range)) > {P.local_lower_limit}),
   places AS (SELECT g.chrom, g.i, g.j, count(*) AS places FROM grid AS g, offsets AS o
     WHERE g.j - g.i <= {P.max_bins} AND g.i + o.a >= 0 AND g.j + o.b <= 200 AND g.j + o.b > g.i + o.a GROUP BY ALL),
-  spread AS (SELECT zs.cell, zs.chrom, zs.i - o.a AS i, zs.j - o.b AS j, sum(zs.z) AS s FROM zs, offsets AS o WHERE zs.z <> 0 GROUP BY ALL),
-  nbs AS (SELECT zs.cell, zs.chrom, zs.i, zs.j, zs.z, coalesce(w.s, 0) / p.places AS nb FROM zs JOIN places AS p ON p.chrom = zs.chrom AND p.i = zs.i AND p.j = zs.j
-    LEFT JOIN spread AS w ON w.cell = zs.cell AND w.chrom = zs.chrom AND w.i = zs.i AND w.j = zs.j)""",
+  frame AS (SELECT c.cell, c.chrom, CAST(a.range AS BIGINT) AS i, CAST(a.range + d.range AS BIGINT) AS j FROM cells AS c, range(0, 200) AS a, range(-4, {P.max_rwr_bins + 1}) AS d),
+  filled AS (SELECT f.*, coalesce(zs.z, 0) AS z FROM frame AS f LEFT JOIN zs ON zs.cell = f.cell AND zs.chrom = f.chrom AND zs.i = f.i AND zs.j = f.j),
+  across AS (SELECT cell, chrom, i, j, z, sum(z) OVER (w RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS big, sum(z) OVER (w RANGE BETWEEN {P.local_lower_limit} PRECEDING AND {P.local_lower_limit} FOLLOWING) AS small FROM filled WINDOW w AS (PARTITION BY cell, chrom, i ORDER BY j)),
+  boxes AS (SELECT cell, chrom, i, j, z, sum(big) OVER (w RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING) - sum(small) OVER (w RANGE BETWEEN {P.local_lower_limit} PRECEDING AND {P.local_lower_limit} FOLLOWING) AS s FROM across WINDOW w AS (PARTITION BY cell, chrom, j ORDER BY i)),
+  nbs AS (SELECT b.cell, b.chrom, b.i, b.j, b.z, b.s / p.places AS nb FROM boxes AS b JOIN places AS p ON p.chrom = b.chrom AND p.i = b.i AND p.j = b.j)""",
     "tested": f"""sums AS (SELECT chrom, i, j, count(*) AS n, avg(z) AS ca, avg(nb) AS co, avg(z - nb) AS m, stddev_samp(z - nb) AS sd, count(*) FILTER (WHERE z > {P.outlier}) AS outlier_count FROM nbs GROUP BY ALL),
   tested AS (SELECT chrom, i, j, n, outlier_count, nullif(ca, 0) AS case_avg, nullif(co, 0) AS control_avg,
     CASE WHEN n < 2 THEN -1000 WHEN sd = 0 THEN (CASE WHEN m > 0 THEN 1.7976931348623157e308 WHEN m < 0 THEN -1.7976931348623157e308 ELSE -1000 END)
          WHEN m = 0 THEN -1000 ELSE m / sd * sqrt(n) END AS tstat FROM sums)""",
+    # Two-sided tail of Student's t: x^a (1 - x)^(1/2) / (a B(a, 1/2)) times a series of positive terms far out, the finite
+    # series in sine and cosine near 0.
+    "tail": """param AS (SELECT *, n - 1 AS df, CAST(n - 1 AS DOUBLE) / (n - 1 + tstat * tstat) AS x, atan(abs(tstat) / sqrt(n - 1)) AS th FROM tested WHERE tstat <> -1000 AND abs(tstat) < 1e300),
+  far AS (SELECT chrom, i, j, sum(exp(lgamma(h + 0.5 + k.range) - lgamma(h + 1 + k.range) + (h + k.range) * ln(x))) * sqrt(1 - x) / sqrt(pi()) AS p FROM (SELECT *, CAST(df AS DOUBLE) / 2 AS h FROM param WHERE abs(tstat) > 3) AS t, range(0, 600) AS k GROUP BY chrom, i, j, df, x),
+  even AS (SELECT k, exp(coalesce(sum(ln(CAST(2 * k - 1 AS DOUBLE) / (2 * k))) FILTER (WHERE k > 0) OVER (ORDER BY k), 0)) AS c FROM (SELECT range AS k FROM range(0, 5000))),
+  odd AS (SELECT k, exp(coalesce(sum(ln(CAST(2 * k AS DOUBLE) / (2 * k + 1))) FILTER (WHERE k > 0) OVER (ORDER BY k), 0)) AS c FROM (SELECT range AS k FROM range(0, 5000))),
+  nigh AS (SELECT chrom, i, j, CASE WHEN df % 2 = 0 THEN 1 - sin(th) * coalesce(s, 0) ELSE 1 - 2 / pi() * (th + sin(th) * coalesce(s, 0)) END AS p FROM (
+    SELECT t.chrom, t.i, t.j, t.df, t.th, sum(CASE WHEN t.df % 2 = 0 THEN e.c * pow(cos(t.th), 2 * e.k) ELSE o.c * pow(cos(t.th), 2 * e.k + 1) END) AS s FROM param AS t LEFT JOIN even AS e ON 2 * e.k <= t.df - 2 - t.df % 2 LEFT JOIN odd AS o ON o.k = e.k
+    WHERE abs(t.tstat) <= 3 GROUP BY t.chrom, t.i, t.j, t.df, t.th) AS q),
+  student AS (SELECT t.*, CASE WHEN t.tstat = -1000 THEN 1 WHEN abs(t.tstat) >= 1e300 THEN 0 ELSE coalesce(f.p, r.p) END AS pvalue FROM tested AS t LEFT JOIN far AS f ON f.chrom = t.chrom AND f.i = t.i AND f.j = t.j LEFT JOIN nigh AS r ON r.chrom = t.chrom AND r.i = t.i AND r.j = t.j)""",
     "sig": f"""universe AS (SELECT c.chrom, CAST(a.range AS BIGINT) AS i, CAST(b.range AS BIGINT) AS j FROM (SELECT 'chr1' AS chrom UNION ALL SELECT 'chr2') AS c, range(5, 195) AS a, range(5, 196) AS b
     WHERE b.range > a.range AND b.range - a.range <= {P.max_bins}),
   pv AS (SELECT u.chrom, u.i, u.j, u.j - u.i AS d, t.n, t.outlier_count, t.case_avg, t.control_avg, t.tstat,
-    CASE WHEN t.n IS NULL OR t.tstat = -1000 THEN 1 ELSE exp(-least(abs(t.tstat), 700)) END AS pvalue FROM universe AS u LEFT JOIN tested AS t ON t.chrom = u.chrom AND t.i = u.i AND t.j = u.j),
+    coalesce(t.pvalue, 1) AS pvalue FROM universe AS u LEFT JOIN student AS t ON t.chrom = u.chrom AND t.i = u.i AND t.j = u.j),
   r1 AS (SELECT *, pvalue * count(*) OVER (PARTITION BY chrom, d) / row_number() OVER (PARTITION BY chrom, d ORDER BY pvalue, i, j) AS q1,
     pvalue * count(*) OVER (PARTITION BY chrom) / row_number() OVER (PARTITION BY chrom ORDER BY pvalue, i, j) AS q2 FROM pv),
   r2 AS (SELECT *, least(1, min(q1) OVER (PARTITION BY chrom, d ORDER BY pvalue DESC, i DESC, j DESC ROWS UNBOUNDED PRECEDING)) AS fdr_dist,
@@ -212,6 +228,13 @@ _CLUSTERS = """num AS (SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY
   named AS (SELECT t.chrom, t.i, t.j, t.ro, t.delta, t.eta, t.rank, coalesce(r.eta_cluster, -1) AS eta_cluster FROM turned AS t LEFT JOIN tree AS r ON r.chrom = t.chrom AND r.rownum = t.rownum)"""
 
 
+#: Each cluster's members from the smallest rate on, and those taken so far: none within the gap of one taken before.
+_SUMMITS = f"""lists AS (SELECT n.chrom, n.eta_cluster, list({{'i': n.i, 'j': n.j}} ORDER BY t.fdr_dist, t.rownum) AS pts, count(*) AS size FROM named AS n JOIN turned AS t ON t.chrom = n.chrom AND t.i = n.i AND t.j = n.j GROUP BY n.chrom, n.eta_cluster),
+  picks AS (SELECT chrom, eta_cluster, size, pts, 1 AS k, [pts[1]] AS taken FROM lists UNION ALL
+    SELECT chrom, eta_cluster, size, pts, k + 1, CASE WHEN len(list_filter(taken, lambda q: abs(q.i - pts[k + 1].i) * {P.binsize} <= {P.gap} AND abs(q.j - pts[k + 1].j) * {P.binsize} <= {P.gap})) = 0 THEN list_append(taken, pts[k + 1]) ELSE taken END FROM picks WHERE k < size)"""
+_TAKEN = "picks WHERE k = size AND size > 1"
+
+
 def _sql(last: str, select: str, *more: str, recursive: bool = False) -> str:
     """The common tables up to one, further ones, and a query on them."""
     names = list(_TABLES)
@@ -238,7 +261,7 @@ ORACLE = {
     "bin_contacts": _sql("binned", "SELECT * FROM binned"),
     "distance_histogram": _sql("binned", "SELECT cell, chrom, j - i AS d, count(*) AS n FROM binned GROUP BY ALL"),
     "binned_bedpe": _sql("binned", "SELECT chrom AS chr1, i * 10000 AS x1, (i + 1) * 10000 AS x2, chrom AS chr2, j * 10000 AS y1, (j + 1) * 10000 AS y2, cell FROM binned"),
-    "window_size_fractions": _sql("binned", "SELECT CAST(m.range AS INTEGER) AS mb, round(avg(CASE WHEN (b.j - b.i) * 10000 < m.range * 1000000 THEN 1.0 ELSE 0.0 END), 6) AS share FROM binned AS b, range(10, 101, 10) AS m GROUP BY m.range"),
+    "window_size_fractions": _sql("binned", f"SELECT m.range AS upto, round(avg(CASE WHEN (b.j - b.i) * 10000 < m.range THEN 1.0 ELSE 0.0 END), 6) AS share FROM binned AS b, range({NEAR.start}, {NEAR.stop}, {NEAR.step}) AS m GROUP BY m.range"),
     "graph_edges": _sql("edges", "SELECT cell, chrom, u, v FROM edges"),
     "graph_degree": _sql("deg", "SELECT cell, chrom, u, degree FROM deg"),
     "transition_matrix": _sql("deg", f"SELECT e.cell, e.chrom, e.u, e.v, round(CAST(1 AS DOUBLE) / d.degree, 9) AS p FROM edges AS e JOIN deg AS d USING (cell, chrom, u)"),
@@ -255,10 +278,12 @@ ORACLE = {
     "outlier_count": _sql("zs", "SELECT chrom, i, j, outliers FROM outs", _OUTLIERS),
     "hic_score": _sql("zs", f"SELECT o.chrom, o.i, o.j, {_SCORE} AS score FROM outs AS o JOIN ncells AS c ON c.chrom = o.chrom", _OUTLIERS),
     "hic_input": _sql("zs", _SHORT.format(score=_SCORE, source="outs AS o JOIN ncells AS c ON c.chrom = o.chrom WHERE o.outliers > 0"), _OUTLIERS),
+    "hic_input_all": _sql("zs", _SHORT.format(score=_SCORE, source="outs AS o JOIN ncells AS c ON c.chrom = o.chrom"), _OUTLIERS),
     "hic_input_from_fdr": _sql("sig", _SHORT.format(score="CAST(round_even(-log10(o.fdr_dist + 1e-6), 0) AS BIGINT)", source="sig AS o")),
     "local_background": _sql("nbs", f"SELECT cell, chrom, i, j, {_r('z')}, {_r('nb')} FROM nbs"),
     "fused_background": _sql("nbs", f"SELECT cell, chrom, i, j, {_r('z')}, {_r('nb')} FROM nbs"),
     "paired_tstat": _sql("tested", f"SELECT chrom, i, j, n, outlier_count, {_r('case_avg')}, {_r('control_avg')}, {_r('tstat')} FROM tested"),
+    "student_p_values": _sql("tail", f"SELECT chrom, i, j, {_r('tstat')}, {_r('pvalue', 8)} FROM student"),
     "bh_fdr_by_distance": _sql("binned", "SELECT chrom, i, j, round(fdr, 9) AS fdr FROM w", _RATED, _bh("chrom, d")),
     "bh_fdr_chrom": _sql("binned", "SELECT chrom, i, j, round(fdr, 9) AS fdr FROM w", _RATED, _bh("chrom")),
     "significances": _sql("sig", "SELECT chrom, i, j, outlier_count, " + ", ".join(map(_r, ("case_avg", "control_avg", "pvalue", "tstat", "fdr_dist", "fdr_chrom"))) + " FROM sig"),
@@ -268,6 +293,27 @@ ORACLE = {
     "blacklist_anti_join": _sql("binned", "SELECT * FROM binned WHERE NOT (chrom = 'chr1' AND (i % 3 = 0 OR j % 3 = 0))"),
     "density_rho": _sql("cand", "SELECT chrom, i, j, ro FROM rho", _density("cand")),
     "density_clusters": _sql("enriched", f"SELECT chrom, i, j, ro, {_r('delta')}, {_r('eta')}, rank, eta_cluster, count(*) OVER (PARTITION BY chrom, eta_cluster) AS cluster_size FROM named", _density("enriched"), _CLUSTERS, recursive=True),
+    "summit_nms": _sql("enriched", f"SELECT chrom, p.i AS i, p.j AS j, eta_cluster, size AS cluster_size FROM (SELECT chrom, eta_cluster, size, unnest(taken) AS p FROM {_TAKEN})", _density("enriched"), _CLUSTERS, _SUMMITS, recursive=True),
+    "connected_candidates": _sql(
+        "cand",
+        "SELECT n.chrom, n.i, n.j, min(r.o) AS cluster FROM numbered AS n JOIN reach AS r ON r.chrom = n.chrom AND r.k = n.k GROUP BY n.chrom, n.i, n.j",
+        "numbered AS (SELECT chrom, i, j, row_number() OVER (PARTITION BY chrom ORDER BY i, j) - 1 AS k FROM cand)",
+        f"reach AS (SELECT chrom, k, k AS o FROM numbered UNION SELECT r.chrom, r.k, b.k FROM reach AS r JOIN numbered AS a ON a.chrom = r.chrom AND a.k = r.o JOIN numbered AS b ON b.chrom = a.chrom AND (a.i - b.i) * (a.i - b.i) + (a.j - b.j) * (a.j - b.j) <= {2 * P.clustering_gap**2})",
+        recursive=True,
+    ),
+    "zscore_pivot": _sql(
+        "enriched",
+        "SELECT z.chrom, z.i, z.j, " + ", ".join(f'round(max(z.z) FILTER (WHERE z.cell = {c}), {DIGITS}) + CAST(0 AS DOUBLE) AS "{c}"' for c in PIVOT_CELLS) + f" FROM (SELECT chrom, unnest(taken) AS p FROM {_TAKEN}) AS s JOIN zs AS z ON z.chrom = s.chrom AND z.i = s.p.i AND z.j = s.p.j GROUP BY z.chrom, z.i, z.j",
+        _density("enriched"),
+        _CLUSTERS,
+        _SUMMITS,
+        recursive=True,
+    ),
+    "rwr_q1": _sql(
+        "deg",
+        f"SELECT g.cell, g.chrom, g.i, g.j, round(CASE WHEN g.i % 2 = 0 AND g.j = g.i + 1 THEN {1 - P.alpha} * (g.p + g.q) / (1 - CAST({1 - P.alpha} AS DOUBLE) * {1 - P.alpha} * g.p * g.q) ELSE 0 END, 9) + CAST(0 AS DOUBLE) AS v FROM places AS g",
+        f"places AS (SELECT a.cell, a.chrom, a.u AS i, b.u AS j, CAST(1 AS DOUBLE) / a.degree AS p, CAST(1 AS DOUBLE) / b.degree AS q FROM deg AS a JOIN deg AS b ON b.cell = a.cell AND b.chrom = a.chrom AND b.u > a.u AND b.u - a.u <= {P.max_rwr_bins} WHERE a.u >= 5 AND b.u < 195)",
+    ),
     "completed_jobs_antijoin": _sql("binned", "SELECT DISTINCT cell, chrom FROM binned WHERE cell % 3 <> 0"),
     "validate_counts": _sql("vals", "SELECT cell, chrom, count(*) AS rows, count(*) AS expected, true AS complete FROM vals GROUP BY cell, chrom"),
 }

@@ -40,9 +40,30 @@ def test_solvers_agree():
     assert np.abs(graph.solve_iterative(m, 0.05, 2000, 1e-13) - exact).max() < 1e-9
     w = m / np.sqrt(m.sum(1))[:, None] / np.sqrt(m.sum(1))[None, :]
     walk = 0.05 * np.linalg.inv(np.eye(n) - 0.95 * w)
+    assert np.allclose(graph.solve_blin(m, 0.05, 4), walk + walk.T)  # all singular vectors: exact
     walk = walk / walk.sum(0, keepdims=True)
     assert np.allclose(graph.solve_nblin(m, 0.05), walk + walk.T)
-    assert np.allclose(graph.solve_blin(m, 0.05, 4, False), walk + walk.T)
+
+
+def test_q1_is_the_inverse_within_blocks():
+    i, j, n = small_graph()
+    m = graph.adjacency(i, j, n)
+    step = m / m.sum(1, keepdims=True)
+    whole = np.linalg.inv(np.eye(n) - 0.95 * step)
+    assert np.allclose(graph.solve_q1(m, 0.05, 1), whole + whole.T)
+    got, want = graph.solve_q1(m, 0.05, 4), np.zeros((n, n))
+    for a in range(0, n, 10):
+        want[a : a + 10, a : a + 10] = np.linalg.inv(np.eye(10) - 0.95 * step[a : a + 10, a : a + 10])
+    assert np.allclose(got, want + want.T)
+
+
+def test_inverse_solves_its_system():
+    i, j, n = small_graph(60, 3)
+    m = graph.adjacency(i, j, n)
+    # The result is X + X' with (I - 0.95 P') X = 0.05 I, and X D is symmetric for the degrees D.
+    s, d = graph.solve_inverse(m, 0.05), m.sum(1)
+    x = s / (1 + d[None, :] / d[:, None])
+    assert np.abs(x - 0.95 * (m / d[:, None]).T @ x - 0.05 * np.eye(n)).max() < 1e-9
 
 
 def test_joined_walk_matches_dense(spark):
