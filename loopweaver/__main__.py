@@ -1,8 +1,14 @@
-"""Command line: python -m loopweaver -i cells/ -o out/ -l hg19.chrom.sizes -g hg19 ..."""
+"""Command line.
+
+python -m loopweaver -i cells/ -o out/ -l hg19.chrom.sizes -g hg19 ...      the analysis
+python -m loopweaver validate -i cells/ -o out/ -l hg19.chrom.sizes ...     cells and chromosomes that rwr left incomplete
+python -m loopweaver normalise -t npz -i matrices/ -o out/ --chrom chr1     z-scores of matrices imputed elsewhere
+"""
 
 from __future__ import annotations
 
 import argparse
+import sys
 
 from loopweaver.params import Params
 
@@ -35,9 +41,16 @@ def parser() -> argparse.ArgumentParser:
     add("--filter-file", default=None)
     add("--steps", nargs="+", default=list(d.steps))
     add("--prefix", default=d.prefix)
-    for flag in ("--no-hic", "--no-cool", "--compress-rwr", "--parallel", "--threaded"):
-        add(flag, action="store_true", help="accepted; Spark decides how work is spread, and external formats are left to their own tools")
-    for flag in ("-n", "--num-proc"), ("--max-memory",), ("--verbose",):
+    add("--compress-rwr", action="store_true", help="write the normalised text files compressed")
+    add("--no-text", dest="text", action="store_false", help="no text files of binned, normalised and candidate pairs")
+    add("--no-hic", action="store_true")
+    add("--no-cool", action="store_true")
+    add("--hic-jar", default=None, help="path of the jar whose `pre` command makes .hic files")
+    add("--cool-tool", default=None, help="path of the tool whose `cload pairs` command makes .cool files")
+    add("--verbose", type=int, default=d.verbose, help="level of the lines that the log keeps")
+    for flag in ("--parallel", "--threaded"):
+        add(flag, action="store_true", help="accepted; Spark decides how work is spread")
+    for flag in ("-n", "--num-proc"), ("--max-memory",):
         add(*flag, default=None, help="accepted; see Spark's own settings")
     return a
 
@@ -49,17 +62,60 @@ def params(argv: list[str] | None = None) -> Params:
     return Params(**{k: v for k, v in a.items() if k in Params.__dataclass_fields__})
 
 
-def main(argv: list[str] | None = None) -> None:
+def _normalise(spark, argv: list[str]) -> None:
+    from loopweaver.plans.analysis import normalise
+    from loopweaver.sources import contacts
+
+    d = Params()
+    a = argparse.ArgumentParser(prog="loopweaver normalise", description="z-scores of matrices imputed elsewhere.")
+    a.add_argument("-t", "--filetype", required=True, choices=["npz", "hdf5", "bedpe"])
+    a.add_argument("-i", "--infile", required=True)
+    a.add_argument("-o", "--outdir", required=True)
+    a.add_argument("--chrom", help="needed for npz and hdf5, which do not name it")
+    a.add_argument("--binsize", type=lambda x: int(float(x)), default=d.binsize)
+    a.add_argument("--dist", type=lambda x: int(float(x)), default=d.dist)
+    a.add_argument("--compress-rwr", action="store_true")
+    x = a.parse_args(argv)
+    p = Params(binsize=x.binsize, dist=x.dist, compress_rwr=x.compress_rwr)
+    if x.filetype != "bedpe" and not x.chrom:
+        a.error("--chrom is needed for this file type")
+    read = {"npz": lambda: contacts.imputed_npz(spark, x.infile, x.chrom), "hdf5": lambda: contacts.imputed_hdf5(spark, x.infile, x.chrom), "bedpe": lambda: contacts.imputed_bedpe(spark, x.infile, p)}
+    normalise(read[x.filetype](), x.outdir, p)
+
+
+def _validate(spark, p: Params) -> int:
+    from dataclasses import replace
+
+    from loopweaver.plans.analysis import validate
+    from loopweaver.sources import contacts, sinks
+
+    p = p if p.chrom_lengths else replace(p, chrom_lengths=contacts.chrom_lengths(spark, p))
+    missing = f"{p.outdir}/missing"
+    sinks.tsv(validate(spark.read.parquet(f"{p.outdir}/rwr"), p).orderBy("cell", "chrom"), missing)
+    n = spark.read.option("sep", "\t").option("header", True).csv(missing).count()
+    print(f"{n} cells and chromosomes are incomplete; see {missing}")
+    return n
+
+
+def main(argv: list[str] | None = None, spark=None) -> int:
     from pyspark.sql import SparkSession
 
     from loopweaver.deploy import ship
     from loopweaver.plans.analysis import run
 
-    p = params(argv)
-    spark = SparkSession.builder.appName("loopweaver").getOrCreate()
+    argv = sys.argv[1:] if argv is None else argv
+    command = argv[0] if argv and argv[0] in ("validate", "normalise") else None
+    p = None if command == "normalise" else params(argv[1:] if command else argv)
+    spark = spark or SparkSession.builder.appName("loopweaver").getOrCreate()
     ship(spark)
-    run(spark, p)
+    if command == "normalise":
+        _normalise(spark, argv[1:])
+    elif command == "validate":
+        return 1 if _validate(spark, p) else 0
+    else:
+        run(spark, p)
+    return 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

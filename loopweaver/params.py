@@ -32,6 +32,13 @@ class Params:
     window_bins: int = 0
     compat_windows: bool = False
     keep_rwr_matrix: bool = False
+    compress_rwr: bool = False
+    text: bool = True
+    no_hic: bool = False
+    no_cool: bool = False
+    hic_jar: str | None = None
+    cool_tool: str | None = None
+    verbose: int = 1
     outlier: float = 1.96
     local_lower_limit: int = 2
     local_upper_limit: int = 5

@@ -7,6 +7,7 @@ happen in its task, and what leaves it is partially aggregated by place. Everyth
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 from loopweaver.operators import binning, candidates, cluster, combine, graph, jobs, normalize, stats
 from loopweaver.operators.background import background_pairs
 from loopweaver.params import Params
+from loopweaver.runlog import RunLog
 from loopweaver.sources import contacts as sources
 from loopweaver.sources import sinks
+from loopweaver.staging import staged, unstage
 
 
 def _finish(cell, chrom: str, i: np.ndarray, j: np.ndarray, v: np.ndarray, p: Params) -> pd.DataFrame:
@@ -75,56 +78,91 @@ def loops(contacts: DataFrame, p: Params, regions: DataFrame | None = None) -> D
 
 
 def run(spark: SparkSession, p: Params, log: Callable[[str], None] = print) -> None:
-    """The steps asked for; each reads what the step before it wrote under outdir."""
+    """The steps asked for; each reads what the step before it wrote under outdir. Tables are Parquet; where p.text is set,
+    the text forms that other tools read are written beside them, and the lines of the log to <outdir>/log."""
     unknown = set(p.steps) - {"bin", "rwr", "hic", "interaction", "postprocess"}
     if unknown:
         raise ValueError(f"no such steps: {', '.join(sorted(unknown))}")
     at = {k: f"{p.outdir}/{k}" for k in ("binned", "rwr", "hic", "interactions", "postprocessed")}
     if not p.chrom_lengths:
-        from dataclasses import replace
-
         p = replace(p, chrom_lengths=sources.chrom_lengths(spark, p))
-    if "bin" in p.steps:
-        sinks.parquet(binning.bin_contacts(sources.raw_contacts(spark, p), p), at["binned"], "chrom")
-        log("bin: done")
-    if "rwr" in p.steps:
-        binned = spark.read.parquet(at["binned"])
-        if p.rwr_method == "sliding_window" and not p.window_bins:
-            from dataclasses import replace
-
-            p = replace(p, window_bins=binning.window_bins(sources.raw_contacts(spark, p), p))
-        todo = binned
-        if _exists(spark, at["rwr"]):  # take up an earlier run
-            left = jobs.remaining_jobs(binned, spark.read.parquet(at["rwr"]))
-            todo = binned.join(left, ["cell", "chrom"], "left_semi")
-        if p.keep_rwr_matrix:
-            sinks.parquet(graph.rwr(todo, p).where("v <> 0"), f"{p.outdir}/rwr_matrix", "chrom", "cell")
-        sinks.parquet(imputed(todo, p), at["rwr"], "chrom", "cell")
-        log("rwr: done")
-    if {"hic", "interaction", "postprocess"} & set(p.steps):
-        z = spark.read.parquet(at["rwr"])
-        bad = jobs.validate_counts(z, p).where("not complete").count()
-        if bad:
-            raise RuntimeError(f"the rwr step is incomplete for {bad} cells and chromosomes")
-        cells = combine.cell_counts(z)
-    if "hic" in p.steps:
-        outliers = combine.outlier_count(z, p.outlier)
-        sinks.combined(outliers, f"{at['hic']}/normalized.combined.bedpe", p)
-        sinks.tsv(combine.hic_input(combine.hic_score(outliers, cells), p).orderBy("chr1", "x1", "y1"), f"{at['hic']}/allChr.hic.input", header=False)
-        log("hic: done")
-    if "interaction" in p.steps:
-        sinks.parquet(stats.significances(sums(z, p), p), at["interactions"], "chrom")
-        sinks.significances(spark.read.parquet(at["interactions"]), f"{at['interactions']}_text/significances.bedpe", p)
-        log("interaction: done")
-    if "postprocess" in p.steps:
-        found = spark.read.parquet(at["interactions"])
-        regions = sources.filter_regions(spark, p.filter_file) if p.filter_file else None
-        clustered = cluster.clustered(candidates.find_candidates(found, cells, p, regions), p)
-        clustered.write.mode("overwrite").parquet(at["postprocessed"])
-        done = spark.read.schema(clustered.schema).parquet(at["postprocessed"])
-        sinks.loops(done, f"{p.outdir}/final", p)
-        sinks.tsv(cluster.zscore_pivot(cluster.summit_scores(cluster.final_summits(done), z)), f"{p.outdir}/final/{p.prefix}.summits.zscores")
-        log("postprocess: done")
+    log = RunLog(spark, p, log)
+    log.params(p)
+    made: list[DataFrame] = []
+    try:
+        if "bin" in p.steps:
+            sinks.parquet(binning.bin_contacts(sources.raw_contacts(spark, p), p), at["binned"], "chrom")
+            if p.text:
+                sinks.binned(spark.read.parquet(at["binned"]), f"{at['binned']}_text", p)
+            log("bin: done")
+        if "rwr" in p.steps:
+            binned = spark.read.parquet(at["binned"])
+            if p.rwr_method == "sliding_window" and not p.window_bins:
+                p = replace(p, window_bins=binning.window_bins(sources.raw_contacts(spark, p), p))
+            todo = binned
+            if _exists(spark, at["rwr"]):  # take up an earlier run
+                left = jobs.remaining_jobs(binned, spark.read.parquet(at["rwr"]))
+                todo = binned.join(left, ["cell", "chrom"], "left_semi")
+            if p.keep_rwr_matrix:
+                sinks.parquet(graph.rwr(todo, p).where("v <> 0"), f"{p.outdir}/rwr_matrix", "chrom", "cell")
+            sinks.parquet(imputed(todo, p), at["rwr"], "chrom", "cell")
+            if p.text:
+                sinks.normalised(spark.read.parquet(at["rwr"]), f"{at['rwr']}_text", p)
+            log("rwr: done")
+        if {"hic", "interaction", "postprocess"} & set(p.steps):
+            z = spark.read.parquet(at["rwr"])
+            bad = validate(z, p).count()
+            if bad:
+                raise RuntimeError(f"the rwr step is incomplete for {bad} cells and chromosomes")
+            cells = combine.cell_counts(z)
+        if {"hic", "interaction"} & set(p.steps):
+            # The largest table is read once: outliers of all pairs, sums of those that are tested.
+            pairs = staged(stats.pair_sums(z, p.outlier), "pairs")
+            made.append(pairs)
+        if "hic" in p.steps:
+            outliers = pairs.select("chrom", "i", "j", F.col("outlier_count").alias("outliers"))
+            sinks.combined(outliers, f"{at['hic']}/normalized.combined.bedpe", p)
+            text = f"{at['hic']}/allChr.hic.input"
+            sinks.tsv(combine.hic_input(combine.hic_score(outliers, cells), p).orderBy("chr1", "x1", "y1"), text, header=False)
+            sinks.heat_maps(spark, text, p, log)
+            log("hic: done")
+        if "interaction" in p.steps:
+            sinks.parquet(stats.significances(pairs.where("n > 0"), p), at["interactions"], "chrom")
+            sinks.significances(spark.read.parquet(at["interactions"]), f"{at['interactions']}_text/significances.bedpe", p)
+            log("interaction: done")
+        if "postprocess" in p.steps:
+            found = spark.read.parquet(at["interactions"])
+            regions = sources.filter_regions(spark, p.filter_file) if p.filter_file else None
+            near = staged(candidates.neighbor_means(candidates.candidate_filter(found, cells, p), found, p), "nofilter")
+            rich = candidates.enrichment_filter(near, p)
+            rich = staged(rich if regions is None else candidates.blacklist_anti_join(rich, regions, p), "candidates")
+            made += [near, rich]
+            clustered = cluster.clustered(rich, p)
+            clustered.write.mode("overwrite").parquet(at["postprocessed"])
+            done = spark.read.schema(clustered.schema).parquet(at["postprocessed"])
+            if p.text:
+                for name, rows, write in (("nofilter", near, sinks.candidates), ("candidates", rich, sinks.candidates), ("clustered", done, sinks.clustered)):
+                    write(rows, f"{at['postprocessed']}_text/{p.prefix}.{name}.bedpe", p)
+            sinks.loops(done, f"{p.outdir}/final", p)
+            sinks.tsv(cluster.zscore_pivot(cluster.summit_scores(cluster.final_summits(done), z)), f"{p.outdir}/final/{p.prefix}.summits.zscores")
+            log("postprocess: done")
+    finally:
+        log.flush()
+        for x in made:
+            unstage(x)
+
+
+def validate(z: DataFrame, p: Params) -> DataFrame:
+    """cell, chrom, rows and expected of the cells and chromosomes whose rows are not complete."""
+    return jobs.validate_counts(z, p).where("not complete").drop("complete")
+
+
+def normalise(values: DataFrame, path: str, p: Params) -> None:
+    """Text files of the z-scores of matrices that other tools imputed (cell, chrom, i, j, v); a chromosome has as many bins
+    as its pairs reach."""
+    bins = {r["chrom"]: int(r["bins"]) for r in sources.matrix_size(values).collect()}  # a row per chromosome
+    p = replace(p, chrom_lengths={k: n * p.binsize for k, n in bins.items()})
+    sinks.normalised(from_values(values, p), path, p)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

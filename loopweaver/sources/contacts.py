@@ -78,8 +78,8 @@ def binned_bedpe(spark: SparkSession, path: str, p: Params) -> DataFrame:
 
 def normalised_bedpe(spark: SparkSession, path: str, p: Params) -> DataFrame:
     """cell, chrom, i, j, z of normalised files named <cell>.<chrom>.normalized.rwr.bedpe."""
-    d = spark.read.schema(BEDPE + ", v double").option("sep", "\t").option("pathGlobFilter", "*.normalized.rwr.bedpe").csv(path)
-    name = cell_name(F.col("_metadata.file_path"), ".normalized.rwr.bedpe")
+    d = spark.read.schema(BEDPE + ", v double").option("sep", "\t").option("pathGlobFilter", "*.normalized.rwr.bedpe{,.gz}").csv(path)
+    name = cell_name(F.regexp_replace("_metadata.file_path", r"\.gz$", ""), ".normalized.rwr.bedpe")
     return d.select(F.regexp_replace(name, r"\.[^.]+$", "").alias("cell"), F.col("chr1").alias("chrom"), F.expr(f"x1 div {p.binsize}").alias("i"), F.expr(f"y1 div {p.binsize}").alias("j"), F.col("v").alias("z"))
 
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import subprocess
+from collections.abc import Callable
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loopweaver.operators.binning import bedpe
@@ -26,15 +30,34 @@ def tsv(df: DataFrame, path: str, header: bool = True, one_file: bool = True, co
     out.write.mode("overwrite").option("sep", "\t").option("header", header).option("compression", compression).csv(path)
 
 
+def _one_file_each(df: DataFrame, path: str, by: list[str], order: list[str], name: Callable[..., str], compression: str = "none") -> None:
+    """A headerless file per value of `by`, named by it. Rows of one file are sorted in one task; the driver only renames."""
+    df.repartition(*by).sortWithinPartitions(*by, *order).write.mode("overwrite").partitionBy(*by).option("sep", "\t").option("compression", compression).csv(path)
+    spark = df.sparkSession
+    java = spark._jvm.org.apache.hadoop.fs.Path
+    fs = java(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    folders = [(java(path), ())]
+    for column in by:
+        folders = [(f.getPath(), (*values, unescape(f.getPath().getName()[len(column) + 1 :]))) for at, values in folders for f in fs.listStatus(at) if f.getPath().getName().startswith(column + "=")]
+    for at, values in folders:
+        for f in fs.listStatus(at):
+            if f.getPath().getName().startswith("part-"):
+                fs.rename(f.getPath(), java(path, name(*values) + (".gz" if compression == "gzip" else "")))
+    for f in fs.listStatus(java(path)):
+        if f.isDirectory():
+            fs.delete(f.getPath(), True)
+
+
 def binned(pairs: DataFrame, path: str, p: Params) -> None:
-    """A headerless file per cell."""
-    bedpe(pairs, p, "cell").repartition("cell").sortWithinPartitions("cell", "chr1", "x1", "y1").write.mode("overwrite").partitionBy("cell").option("sep", "\t").csv(path)
+    """<cell>.bedpe for each cell, sorted by place."""
+    _one_file_each(bedpe(pairs, p, "cell"), path, ["cell"], ["chr1", "x1", "y1"], lambda cell: f"{cell}.bedpe")
 
 
-def normalised(z: DataFrame, path: str, p: Params, compression: str = "none") -> None:
-    """A headerless file per cell and chromosome, sorted by place."""
+def normalised(z: DataFrame, path: str, p: Params) -> None:
+    """<cell>.<chrom>.normalized.rwr.bedpe for each cell and chromosome, sorted by place; compressed if p.compress_rwr."""
     rows = bedpe(z, p, "cell", "z").withColumn("chrom", F.col("chr1"))
-    rows.repartition("cell", "chrom").sortWithinPartitions("cell", "chrom", "x1", "y1").write.mode("overwrite").partitionBy("cell", "chrom").option("sep", "\t").option("compression", compression).csv(path)
+    _one_file_each(rows, path, ["cell", "chrom"], ["x1", "y1"], lambda cell, chrom: f"{cell}.{chrom}.normalized.rwr.bedpe", "gzip" if p.compress_rwr else "none")
 
 
 def combined(outliers: DataFrame, path: str, p: Params) -> None:
@@ -49,6 +72,31 @@ def candidates(c: DataFrame, path: str, p: Params) -> None:
     tsv(bedpe(c, p, *CANDIDATES[6:]).orderBy("chr1", "x1", "y1"), path)
 
 
+def clustered(c: DataFrame, path: str, p: Params) -> None:
+    tsv(bedpe(c, p, *ALL_CANDIDATES[6:], "summit").orderBy("chr1", "x1", "y1"), path)
+
+
+def heat_maps(spark: SparkSession, text: str, p: Params, log: Callable[[str], None]) -> None:
+    """Have external tools make .hic and .cool files of the heat-map text, where they are given and not declined."""
+    local = text.removeprefix("file://")
+    parts = sorted(Path(local).glob("part-*")) if "://" not in local else []
+    name = f"{p.prefix}.allChr" if p.prefix else "allChr"
+    wanted = [
+        ("hic", p.no_hic, p.hic_jar, lambda part, out: ["java", "-jar", p.hic_jar, "pre", part, out, p.genome]),
+        ("cool", p.no_cool, p.cool_tool, lambda part, out: [p.cool_tool, "cload", "pairs", "--zero-based", "--assembly", p.genome, "-c1", "2", "-p1", "3", "-c2", "6", "-p2", "7", "--field", "count=9", f"{p.chrom_sizes}:{p.binsize}", part, out]),
+    ]
+    for kind, declined, tool, command in wanted:
+        if declined:
+            continue
+        if not tool:
+            log(f"hic: no .{kind} file, as no tool for it was given; {text} is its input")
+        elif len(parts) != 1:
+            log(f"hic: no .{kind} file, as its tool needs one local file; {text} is its input")
+        else:
+            subprocess.run(command(str(parts[0]), str(Path(local).parent / f"{name}.{kind}")), check=True)
+            log(f"hic: wrote {name}.{kind}")
+
+
 def loops(clustered: DataFrame, path: str, p: Params) -> None:
     """<prefix>.postprocessed.all_candidates.bedpe and .summits.bedpe, with headers even where there are no rows."""
     tsv(bedpe(clustered, p, *ALL_CANDIDATES[6:]).orderBy("chr1", "x1", "y1"), f"{path}/{p.prefix}.postprocessed.all_candidates.bedpe")

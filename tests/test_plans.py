@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from loopweaver.__main__ import params
+from loopweaver.__main__ import main, params
 from loopweaver.params import Params
 from loopweaver.plans import analysis, catalog
 from loopweaver.sources import contacts, fixture
@@ -55,7 +55,8 @@ def test_files_end_to_end(spark, tmp_path):
     (cells / "notes.md").write_text("not a cell")
     (tmp_path / "sizes").write_text("chr1 2000000\nchr2\t2000000\nchrX 5\n")
     (tmp_path / "regions.bed").write_text("")
-    p = params(["-i", f"{cells}", "-o", f"{tmp_path}/out", "-l", f"{tmp_path}/sizes", "-s", ".txt.gz", "-g", "hg19", "--max-chrom-number", "2", "--dist", "6e5", "--candidate-upper-distance", "6e5", "--filter-file", f"{tmp_path}/regions.bed"])
+    argv = ["-i", f"{cells}", "-o", f"{tmp_path}/out", "-l", f"{tmp_path}/sizes", "-s", ".txt.gz", "-g", "hg19", "--max-chrom-number", "2", "--dist", "6e5", "--candidate-upper-distance", "6e5", "--filter-file", f"{tmp_path}/regions.bed"]
+    p = params(argv)
     analysis.run(spark, p, log=lambda x: None)
     analysis.run(spark, p, log=lambda x: None)
     want = {(r["chrom"], r["i"], r["j"], r["summit"]) for r in analysis.loops(fixture.contacts(spark, SF), fixture.PARAMS).collect()}
@@ -65,6 +66,73 @@ def test_files_end_to_end(spark, tmp_path):
     assert len(final.columns) == 20 and final.count() == len(want)
     assert len(spark.read.option("sep", "\t").option("header", True).csv(f"{tmp_path}/out/final/combined.postprocessed.summits.bedpe").columns) == 17
     assert len(spark.read.option("sep", "\t").csv(f"{tmp_path}/out/hic/allChr.hic.input").columns) == 9
+    # The text forms that other tools read, by name, and what reads them back.
+    out = tmp_path / "out"
+    assert {x.name for x in (out / "binned_text").glob("*.bedpe")} == {f"{c}.bedpe" for c in data}
+    same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    binned = spark.read.parquet(f"{out}/binned").selectExpr("cell", "chrom", "i", "j")
+    assert same(contacts.binned_bedpe(spark, f"{out}/binned_text", p), binned)
+    z = spark.read.parquet(f"{out}/rwr").selectExpr("cast(cell as string) cell", "chrom", "i", "j", "round(z, 9)")
+    assert same(contacts.normalised_bedpe(spark, f"{out}/rwr_text", p).selectExpr("cell", "chrom", "i", "j", "round(z, 9)"), z)
+    for name, columns in (("nofilter", 18), ("candidates", 18), ("clustered", 21)):
+        assert len(spark.read.option("sep", "\t").option("header", True).csv(f"{out}/postprocessed_text/combined.{name}.bedpe").columns) == columns
+    assert any("interaction: done" in r[0] for r in spark.read.text(f"{out}/log").collect())
+    # A cell and chromosome taken away is found missing.
+    assert main(["validate", *argv], spark) == 0
+    import shutil
+
+    cell = next(iter(data))
+    shutil.rmtree(out / "rwr" / "chrom=chr1" / f"cell={cell}")
+    left = next((out / "rwr" / "chrom=chr2" / f"cell={cell}").glob("part-*"))
+    rows = spark.read.parquet(str(left)).limit(10)
+    rows.write.parquet(f"{tmp_path}/few")
+    shutil.rmtree(left.parent)
+    shutil.move(f"{tmp_path}/few", left.parent)
+    assert main(["validate", *argv], spark) == 1
+    missing = spark.read.option("sep", "\t").option("header", True).csv(f"{out}/missing").collect()
+    assert ("chr2", "10") in {(r["chrom"], r["rows"]) for r in missing}
+
+
+def test_heat_map_tools_run_where_given(spark, tmp_path):
+    from dataclasses import replace
+
+    from loopweaver.sources import sinks
+
+    tool = tmp_path / "tool"
+    tool.write_text("#!/bin/sh\nfor last; do :; done\necho \"$@\" > \"$last\"\n")
+    tool.chmod(0o755)
+    sinks.tsv(spark.range(3), f"{tmp_path}/hic/allChr.hic.input", header=False)
+    said: list[str] = []
+    p = replace(fixture.PARAMS, cool_tool=str(tool), chrom_sizes="sizes", genome="hg19")
+    sinks.heat_maps(spark, f"{tmp_path}/hic/allChr.hic.input", p, said.append)
+    assert "cload pairs" in (tmp_path / "hic" / "combined.allChr.cool").read_text() and "no .hic file" in said[0]
+    sinks.heat_maps(spark, f"{tmp_path}/hic/allChr.hic.input", replace(p, no_hic=True, no_cool=True), said.append)
+    assert len(said) == 2
+
+
+def test_imputed_matrices_are_normalised(spark, tmp_path):
+    import numpy as np
+
+    m = np.triu(np.random.default_rng(2).random((80, 80)), 1)
+    (tmp_path / "in").mkdir()
+    np.savez(tmp_path / "in" / "c1.npz", m + m.T)
+    assert main(["normalise", "-t", "npz", "-i", f"{tmp_path}/in", "-o", f"{tmp_path}/z", "--chrom", "chr1", "--dist", "2e5", "--compress-rwr"], spark) == 0
+    assert [x.name for x in (tmp_path / "z").glob("c1*")] == ["c1.chr1.normalized.rwr.bedpe.gz"]
+    got = contacts.normalised_bedpe(spark, f"{tmp_path}/z", Params()).collect()
+    v = np.sort([m[i, i + 3] for i in range(5, 72)])[::-1]
+    kept = v[max(0, round(0.01 * len(v)) - 1) :]
+    z = {(r["i"], r["j"]): r["z"] for r in got}
+    assert abs(z[20, 23] - (m[20, 23] - kept.mean()) / kept.std()) < 1e-9 and max(j for _, j in z) == 74
+    with pytest.raises(SystemExit):
+        main(["normalise", "-t", "npz", "-i", "x", "-o", "y"], spark)
+
+
+def test_stream_with_a_bound_on_its_state(spark, tmp_path):
+    src = fixture.contacts(spark, SF).selectExpr("cast(cell as string) cell", "chr1", "pos1", "chr2", "pos2")
+    src.limit(800).coalesce(1).write.parquet(f"{tmp_path}/in")
+    ingest.bin_stream(ingest.contact_stream(spark, f"{tmp_path}/in"), fixture.PARAMS, f"{tmp_path}/out", f"{tmp_path}/cp", within="2 days").awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert got.count() == got.distinct().count() > 0
 
 
 def test_cell_names(spark):
