@@ -163,6 +163,36 @@ def band(s: np.ndarray, p: Params, n: int) -> tuple[np.ndarray, np.ndarray, np.n
     return i, j, s[i, j]
 
 
+def inverse_band(i: np.ndarray, j: np.ndarray, n: int, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The band of solve_inverse(), with about three matrices of n by n at a time instead of seven.
+
+    With the degrees D, I - (1 - alpha) A / D is similar to a symmetric matrix, which is made in place, and whose inverse
+    gives x and its transpose at the band's places alone.
+    """
+    m = adjacency(i, j, n)
+    d = np.maximum(m.sum(1), 1)
+    root = np.sqrt(d)
+    m *= -(1 - p.alpha)
+    m /= root[:, None]
+    m /= root[None, :]
+    m[np.diag_indices(n)] += 1
+    bi, bj = band_places(p, n)
+    y = np.linalg.inv(m)[bi, bj]
+    ratio = root[bi] / root[bj]
+    return bi, bj, p.alpha * y * (ratio + 1 / ratio)
+
+
+def walked_band(i: np.ndarray, j: np.ndarray, n: int, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """i, j and proximities of the band of one cell's chromosome with n bins, by the chosen method.
+
+    All are dense: 20,000 bins take some 10 GB for the inverse, and more for the low-rank methods, which need all singular
+    vectors. Sliding windows are the method for less memory.
+    """
+    if p.rwr_method == "inverse":
+        return inverse_band(i, j, n, p)
+    return band(walk(adjacency(i, j, n), p), p, n)
+
+
 def rwr(binned: DataFrame, p: Params) -> DataFrame:
     """cell, chrom, i, j, v: imputed proximities of the band."""
     if p.rwr_method not in METHODS:
@@ -173,7 +203,7 @@ def rwr(binned: DataFrame, p: Params) -> DataFrame:
 
     def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         n = p.bins(key[1])
-        i, j, v = band(walk(adjacency(g["i"].to_numpy(), g["j"].to_numpy(), n), p), p, n)
+        i, j, v = walked_band(g["i"].to_numpy(), g["j"].to_numpy(), n, p)
         return pd.DataFrame({"cell": key[0], "chrom": key[1], "i": i, "j": j, "v": v})
 
     return binned.groupBy("cell", "chrom").applyInPandas(run, f"cell {kind}, chrom string, i bigint, j bigint, v double")

@@ -43,8 +43,7 @@ def imputed(binned: DataFrame, p: Params) -> DataFrame:
 
     def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         n = p.bins(key[1])
-        s = graph.walk(graph.adjacency(g["i"].to_numpy(), g["j"].to_numpy(), n), p)
-        return _finish(key[0], key[1], *graph.band(s, p, n), p)
+        return _finish(key[0], key[1], *graph.walked_band(g["i"].to_numpy(), g["j"].to_numpy(), n, p), p)
 
     return binned.select("cell", "chrom", "i", "j").groupBy("cell", "chrom").applyInPandas(run, _schema(binned))
 

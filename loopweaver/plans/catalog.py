@@ -84,7 +84,7 @@ def _clustered(spark, d):
 def _pivot(spark, d):
     """Scores of the final summits, one column for each of some cells."""
     peaks = staged(cluster.final_summits(_clustered(spark, d)).select("chrom", "i", "j"), "summits")
-    return _rounded(cluster.zscore_pivot(staged(cluster.summit_scores(peaks, _z(spark, d)), "scores"), list(PIVOT_CELLS)), *map(str, PIVOT_CELLS))
+    return _rounded(cluster.zscore_pivot(staged(cluster.summit_scores(peaks, _z(spark, d)), "scores"), list(PIVOT_CELLS)), *map(str, PIVOT_CELLS)).withColumnsRenamed({str(c): f"cell_{c}" for c in PIVOT_CELLS})
 
 
 def _method(name: str, **params):
@@ -303,7 +303,7 @@ ORACLE = {
     ),
     "zscore_pivot": _sql(
         "enriched",
-        "SELECT z.chrom, z.i, z.j, " + ", ".join(f'round(max(z.z) FILTER (WHERE z.cell = {c}), {DIGITS}) + CAST(0 AS DOUBLE) AS "{c}"' for c in PIVOT_CELLS) + f" FROM (SELECT chrom, unnest(taken) AS p FROM {_TAKEN}) AS s JOIN zs AS z ON z.chrom = s.chrom AND z.i = s.p.i AND z.j = s.p.j GROUP BY z.chrom, z.i, z.j",
+        "SELECT z.chrom, z.i, z.j, " + ", ".join(f'round(max(z.z) FILTER (WHERE z.cell = {c}), {DIGITS}) + CAST(0 AS DOUBLE) AS cell_{c}' for c in PIVOT_CELLS) + f" FROM (SELECT chrom, unnest(taken) AS p FROM {_TAKEN}) AS s JOIN zs AS z ON z.chrom = s.chrom AND z.i = s.p.i AND z.j = s.p.j GROUP BY z.chrom, z.i, z.j",
         _density("enriched"),
         _CLUSTERS,
         _SUMMITS,

@@ -66,6 +66,14 @@ def test_inverse_solves_its_system():
     assert np.abs(x - 0.95 * (m / d[:, None]).T @ x - 0.05 * np.eye(n)).max() < 1e-9
 
 
+def test_inverse_band_equals_the_dense_inverse():
+    i, j, n = small_graph(150, 5)
+    p = replace(P, chrom_lengths={"chr1": n * 10_000})
+    want = graph.band(graph.solve_inverse(graph.adjacency(i, j, n), p.alpha), p, n)
+    got = graph.walked_band(i, j, n, p)
+    assert all(np.array_equal(a, b) for a, b in zip(got[:2], want[:2])) and np.abs(got[2] - want[2]).max() < 1e-12
+
+
 def test_joined_walk_matches_dense(spark):
     i, j, n = small_graph()
     p = replace(P, chrom_lengths={"chr1": n * 10_000})

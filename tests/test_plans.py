@@ -13,7 +13,7 @@ from loopweaver.sources import contacts, fixture
 from loopweaver.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
-CHECKED = ["bin_contacts", "distance_histogram", "graph_degree", "fused_zscore", "diag_trimmed_zscore", "hic_input", "fused_background", "local_background", "significances", "neighbor_means", "density_clusters", "bh_fdr_by_distance", "validate_counts"]
+CHECKED = ["bin_contacts", "distance_histogram", "graph_degree", "fused_zscore", "diag_trimmed_zscore", "hic_input", "fused_background", "local_background", "significances", "neighbor_means", "density_clusters", "bh_fdr_by_distance", "validate_counts", "student_p_values", "summit_nms", "connected_candidates", "zscore_pivot", "rwr_q1", "window_size_fractions", "hic_input_all"]
 
 
 def rows(names, table):
