@@ -22,6 +22,8 @@ from loopweaver.llm.common import stash, table
 
 SCOPE = 400
 MASK = "[secret]"
+#: Parts of a text that are gathered together while its matches are walked through.
+BLOCK = 256
 
 # The forms of secrets, and the group and least length that count.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -53,11 +55,15 @@ def _matches(text: Column, kind: str, pattern: str, group: int = 0, least: int =
         start = acc["at"] + x["0"]
         end = start + F.coalesce(x["1"], F.lit(0))
         part = F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(x["2"] >= max(least, 1), F.concat(acc["parts"], part)).otherwise(acc["parts"]).alias("parts"))
+        counts, full = x["2"] >= max(least, 1), F.size(acc["last"]) >= BLOCK
+        # Adding a part copies the last block only, so that a text's work grows with its parts, not with their square.
+        blocks = F.when(counts & full, F.concat(acc["blocks"], F.array(acc["last"]))).otherwise(acc["blocks"])
+        last = F.when(counts & full, part).when(counts, F.concat(acc["last"], part)).otherwise(acc["last"])
+        return F.struct(end.alias("at"), blocks.alias("blocks"), last.alias("last"))
 
     zipped = F.transform(each, lambda x: F.struct(*(x[i].cast("bigint").alias(str(n)) for n, i in enumerate(("gap", "size", "counted")))))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_PARTS).alias("parts"))
-    return F.when(text.rlike(_SIGNS.get(kind, pattern)), F.aggregate(zipped, start, step, lambda acc: acc["parts"])).otherwise(F.array().cast(_PARTS))
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{_PARTS}>").alias("blocks"), F.array().cast(_PARTS).alias("last"))
+    return F.when(text.rlike(_SIGNS.get(kind, pattern)), F.aggregate(zipped, start, step, lambda acc: F.concat(F.flatten(acc["blocks"]), acc["last"]))).otherwise(F.array().cast(_PARTS))
 
 
 def parts(documents: DataFrame) -> DataFrame:

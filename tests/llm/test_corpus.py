@@ -4,6 +4,7 @@ extra columns with clashing names."""
 import hashlib
 import io
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -310,6 +311,15 @@ def test_base_spans_equal_regular_expressions(spark):
     assert [got[i]["base"] for i in range(len(SECRET_TEXTS))] == [base_spans(t) for t in SECRET_TEXTS]
 
 
+def test_texts_with_many_secrets(spark, odd):
+    text = " ".join(f"password=abc{k:05d}x" for k in range(3000))
+    rows = secrets.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string"))
+    got = rows.select("n_assign", secrets.written(rows["spans"]).alias("spans")).first()
+    assert got["n_assign"] == 3000 and got["spans"] == base_spans(text)
+    got = secrets.scan(odd)
+    assert {(r[0], r[1]) for r in got.select(got["n_assign"] + got["n_access"] + got["n_hex"], secrets.written(got["spans"])).collect()} == {(0, "")}
+
+
 def test_hints_need_their_complement(spark, odd):
     near, far = " x " * 20, " x " * 300
     texts = ["access_key_id=bob99", "access_key_id=bob99" + near + "secret=hunter22", "access_key_id=bob99" + far + "secret=hunter22", "https://a.b/c" + near + "client_id=alice" + near + "token=abcdef12", "https://a.b/c" + near + "token=abcdef12", "aB3" * 13 + "c", "client_id=alice " + "aB3" * 13 + "c"]
@@ -417,9 +427,83 @@ def test_scores_of_odd_rows(spark, odd):
     assert lm_score.score(odd).count() == len(ODD) and lm_score.score(odd.limit(0)).count() == 0
 
 
+# SQL
+
+
+@pytest.mark.parametrize("name", ["op1_embedding_dedup", "op2_minhash_dedup", "op5_lm_score", "op10_warc_round_trip"])
+def test_query_equals_sql(spark, name):
+    import duckdb
+
+    from loopweaver.llm import queries
+
+    df = queries.QUERIES[name](spark, SF)
+    names = sorted(df.columns)
+    c = duckdb.connect()
+    for t in ("documents", "embeddings", "pages"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet{'/*.parquet' if os.path.isdir(f'{SF}/{t}.parquet') else ''}')")
+    want = c.execute(f"SELECT {', '.join(names)} FROM ({queries.ORACLE[name]})").fetchall()
+    assert sorted(map(str, map(tuple, df.select(names).collect()))) == sorted(map(str, want)) and want
+
+
 # 6
 
 
+def js(p, q):
+    p, q = [x / sum(p) for x in p], [x / sum(q) for x in q]
+    m = [(a + b) / 2 for a, b in zip(p, q, strict=True)]
+    kl = lambda x: sum(a * math.log2(a / b) for a, b in zip(x, m, strict=True) if a)
+    return math.sqrt(max(0, (kl(p) + kl(q)) / 2))
+
+
+def brute_class(c):
+    if c == "\n":
+        return "newline"
+    if c in " \t\r\x0b\x0c":
+        return "blank"
+    if ord(c) < 32:
+        return "control"
+    if ord(c) >= 128:
+        return "latin" if ord(c) < 0x400 else "wide" if ord(c) < 0x10000 else "astral"
+    kinds = (("lower", c.islower()), ("upper", c.isupper()), ("digit", c.isdigit()), ("stop", c in ".,;:!?"), ("quote", c in "'\"()-"), ("symbol", c in "#*$%&|<>"))
+    return next((k for k, hit in kinds if hit), "mark")
+
+
+def test_quality_verdicts_against_brute_force(spark, documents):
+    from pyspark.sql import functions as F
+
+    junk = [(10**6 + k, t, "en") for k, t in enumerate(["qx " * 3 + " ".join(f"zq{a}{b}" for a in "abcdefgh" for b in "ijklmnopqrst"), "#$% " * 120 + "the of", "the of and to " * 30])]
+    docs = documents.select("doc_id", "text", F.when(F.col("doc_id") % 17 == 0, None).otherwise(F.col("lang")).alias("lang")).union(spark.createDataFrame(junk, "doc_id bigint, text string, lang string"))
+    rows = [tuple(r) for r in docs.collect()]
+    hist = {}
+    for i, text, _ in rows:
+        kinds = Counter(map(brute_class, text or ""))
+        bare = re.findall(r"[a-z'\x80-\U0010ffff]+", fold_ascii(text))
+        seen = Counter(bare)
+        common = [seen[w] for w in quality.WORD_BINS]
+        hist[i] = [kinds[k] for k in quality.CLASSES], [*common, len(bare) - sum(common)]
+    total = lambda pick: [[sum(x) for x in zip(*(hist[i][k] for i, _, lang in rows if pick(lang)), strict=True)] for k in (0, 1)]
+    refs = {lang: total(lambda x, lang=lang: x == lang) for lang in {r[2] for r in rows} - {None}} | {None: total(lambda x: True)}
+    got = {r["doc_id"]: r for r in quality.quality_rules(docs).collect()}
+    reasons = Counter()
+    for i, text, lang in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        windows = Counter(zip(words, words[1:], words[2:], strict=False))
+        often = {k + o for k in range(len(words) - 2) if windows[tuple(words[k : k + 3])] > 1 for o in range(3)}
+        failed = len(words) < 50 or 100 * len(often) > 50 * len(words)
+        far = [js(hist[i][k], refs[lang][k]) if sum(hist[i][k]) else 0 for k in (0, 1)]
+        ref, bare = refs[lang][1], [0] * len(quality.WORD_BINS) + [1]
+        expected = sum(hist[i][1]) * (1 - ref[-1] / sum(ref))
+        lacks = expected >= quality.GUARD_COMMON and far[1] >= min(js(bare, ref), js(hist[i][1], bare))
+        bad = [n for n, hit in (("class", far[0] > 0.25), ("word", far[1] > 0.6), ("lacks", lacks)) if hit]
+        kept = not failed and (len(words) < quality.GUARD_WORDS or not bad)
+        reasons.update(bad if not failed else ["base"])
+        assert (got[i]["base_failed"], got[i]["kept"]) == (failed, kept), i
+        assert got[i]["class_distance"] == pytest.approx(far[0], abs=1e-6) and got[i]["word_distance"] == pytest.approx(far[1], abs=1e-6)
+    assert reasons["base"] and reasons["class"] and reasons["lacks"]
+    # The pipeline's filter keeps the same rows.
+    assert sorted(r["doc_id"] for r in quality.good_rows(docs).collect()) == sorted(i for i, r in got.items() if r["kept"])
+
+
 def brute_quality(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -506,6 +590,19 @@ def test_packing_holds_every_id_once(spark, documents, odd):
     assert packing.pack(odd.limit(0)).count() == 0
 
 
+def test_equal_rows_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(None, "the same text in every row")] * 400 + [(7, "the same text in every row")] * 400
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string")).withColumn("part", F.shiftright("sequence_id", 40))
+        parts = got.groupBy("part").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts) == 4 and max(r["count"] for r in parts) < 400 and got.agg({"length": "sum"}).first()[0] == got.select("doc_tokens").first()[0] * 800
+
+
 def test_fast_encoder_equals_the_tokenizer():
     e = packing.encoder()
     assert e.fast is not None
