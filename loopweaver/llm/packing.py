@@ -31,6 +31,8 @@ from loopweaver.llm.common import table
 VOCABULARY = "byte_bpe_50k.json"
 SEQUENCE, END_ID = 1024, 0
 VECTOR_DIMS, AXES, BITS = 64, 3, 16
+#: Bytes, as Spark estimates them, of a partition that is packed in one task, at most about.
+PARTITION_BYTES = 64 << 20
 #: Bytes of text hashed at once.
 _STEP = 1 << 20
 _PROJECTION = np.random.default_rng(271_828).standard_normal((VECTOR_DIMS, AXES))
@@ -246,13 +248,22 @@ def pieces(stream: Iterator[tuple[int | None, np.ndarray]], first_sequence: int)
 _FIELDS = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
 
 
+def _bytes(df: DataFrame) -> int:
+    """Spark's estimate of a table's size; 0 where it has none."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 0
+
+
 def pack(documents: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids if asked for."""
     fields = _FIELDS + [("ids", pa.list_(pa.int32()))] * with_ids
     d = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     # The last column spreads rows that agree in id and text.
     keyed = d.withColumn("key", _key_udf()("text")).withColumn("tie", F.xxhash64("doc_id")).withColumn("row", F.monotonically_increasing_id())
-    ordered = keyed.repartitionByRange("key", "tie", "row").sortWithinPartitions("key", "tie", "doc_id").select("doc_id", "text")
+    # As many partitions as the texts need; where the session has more set, Spark may merge small ones.
+    need = -(-_bytes(documents) // PARTITION_BYTES)
+    more = [need] if need > int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+    ordered = keyed.repartitionByRange(*more, "key", "tie", "row").sortWithinPartitions("key", "tie", "doc_id").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
