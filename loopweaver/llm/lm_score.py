@@ -41,7 +41,7 @@ from loopweaver.llm.common import stash, table, trimmed, unstash
 
 ORDER, ALPHA = 3, 0.4
 BLOCK_BYTES = 6 << 20
-PARTITION_GRAMS = 1_000_000
+PARTITION_GRAMS = 3_000_000
 #: Bits of the hash that orders n-grams; the check hash has 32 more.
 HASH_BITS = 63
 #: Ranges of hashes that are counted one after another.
@@ -121,21 +121,24 @@ def _inverse(order: np.ndarray, new: np.ndarray) -> np.ndarray:
     return out
 
 
-def _squeeze(x: np.ndarray) -> bytes:
-    """Non-negative numbers as planes of bytes, as many as the largest needs, compressed where that can pay."""
+@functools.cache
+def _zstd():
     import zstandard
 
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def _squeeze(x: np.ndarray) -> bytes:
+    """Non-negative numbers as planes of bytes, as many as the largest needs, compressed where that can pay."""
     width = max(1, -(-int(x.max()).bit_length() // 8)) if len(x) else 1
     planes = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-    return bytes([width]) + planes if len(x) < 64 else bytes([width + 8]) + zstandard.ZstdCompressor(level=1).compress(planes)
+    return bytes([width]) + planes if len(x) < 256 else bytes([width + 8]) + _zstd()[0].compress(planes)
 
 
 def _expand(raw: bytes) -> np.ndarray:
-    import zstandard
-
     width, planes = raw[0], raw[1:]
     if width > 8:
-        width, planes = width - 8, zstandard.ZstdDecompressor().decompress(planes)
+        width, planes = width - 8, _zstd()[1].decompress(planes)
     planes = np.frombuffer(planes, np.uint8).reshape(width, -1)
     out = np.zeros((planes.shape[1], 8), np.uint8)
     out[:, :width] = planes.T
