@@ -38,7 +38,7 @@ def new_path(spark: SparkSession, what: str) -> str:
 
 
 #: Arrow batches while a table is staged: long texts in batches of Spark's usual size fill an executor's direct memory.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 @contextlib.contextmanager
@@ -99,8 +99,9 @@ def rows_where(rows: DataFrame, decide: Callable) -> DataFrame:
         for b in batches:
             keep = decide(pc.struct_field(b.column(0), "text"), *(b.column(i) for i in range(1, b.num_columns)))
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep, pa.bool_()))], names=[first.name])
+            trim()  # whole rows go in and out
 
-    return rows.mapInArrow(run, T.StructType([first])).select(f"{first.name}.*")
+    return rows.mapInArrow(trimmed(run), T.StructType([first])).select(f"{first.name}.*")
 
 
 #: What stash() wrote inside each open scratch().

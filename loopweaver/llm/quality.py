@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loopweaver.llm.chunks import checked
-from loopweaver.llm.common import rows_where, stash, table, whole_rows
+from loopweaver.llm.common import rows_where, stash, table, trim, trimmed, whole_rows
 
 # Frequent function words of English, German, French and Spanish.
 COMMON_WORDS = (
@@ -128,8 +128,9 @@ def features(documents: DataFrame) -> DataFrame:
             arrays = [b.column(0), b.column(2)] + [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]
             schema = schema or pa.schema([("doc_id", pa.int64()), ("lang", pa.string())] + list(zip(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "classes", "words"), kinds, strict=True)))
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+            trim()
 
-    return documents.select(F.col("doc_id").cast("bigint"), "text", F.col("lang").cast("string")).mapInArrow(run, _FEATURES)
+    return documents.select(F.col("doc_id").cast("bigint"), "text", F.col("lang").cast("string")).mapInArrow(trimmed(run), _FEATURES)
 
 
 def references(feats: DataFrame) -> DataFrame:

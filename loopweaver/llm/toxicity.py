@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loopweaver.llm.common import rows_where, stash, table, unstash, whole_rows
+from loopweaver.llm.common import rows_where, stash, table, trimmed, unstash, whole_rows
 
 #: Labelled rows that the classifier is fitted on, at most.
 FIT_ROWS = 20_000
@@ -122,7 +122,7 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mo
     picked = d.where(fold(F.col("doc_id")) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     chosen = spark.createDataFrame([tuple(r) for r in picked.collect()], "doc_id bigint, toxic int")  # bounded by fit_rows, 12 bytes a row
     texts = stash(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null").join(F.broadcast(chosen), "doc_id").select("toxic", "text"), "toxic-sample")
-    contexts = texts.mapInArrow(_contexts, "toxic int, word binary, context bigint").distinct()
+    contexts = texts.mapInArrow(trimmed(_contexts), "toxic int, word binary, context bigint").distinct()
     counts = stash(contexts.groupBy("word").agg(*(F.count_if(F.col("toxic") == k).alias(f"c{k}") for k in (0, 1))), "toxic-words")
     n0, n1 = (float(x or 0) for x in counts.agg(F.sum("c0"), F.sum("c1")).first())
     model = Model({})
@@ -215,7 +215,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
             cols = list(zip(*out, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cols[0], pa.float64()), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["doc_id", "score", "n_passages", "passage_start", "passage_end"])
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, score double, n_passages bigint, passage_start bigint, passage_end bigint")
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(trimmed(run), "doc_id bigint, score double, n_passages bigint, passage_start bigint, passage_end bigint")
 
 
 def clean_rows(documents: DataFrame, model: Model) -> DataFrame:
