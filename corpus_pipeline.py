@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on everything the stage before it kept; its result is written to the
 shared folder as Parquet and read again. All but the last return the columns of documents, whatever further columns there
-are and however they are named. An empty table passes through as an empty table, and texts of any length are read whole.
+are and however they are named. Stages that send whole texts through Python stage their result themselves, in the small
+batches that stash() sets. An empty table passes through as an empty table, and texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Every row is judged by its own text and language, so repeated rows, rows that share a doc_id and rows without one fare
     alike. Rows without text, or with fewer than 50 words, are rejected; a null lang is held against the pooled reference.
     """
-    return quality.good_rows(docs)
+    return stash(quality.good_rows(docs), "good")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +30,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Every row is judged by its own text, so repeated rows, rows that share a doc_id and rows without one fare alike. Rows
     without text stay; without labels of both kinds all rows stay.
     """
-    return toxicity.clean_rows(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return stash(toxicity.clean_rows(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))), "clean")
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +67,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Repeated rows are packed once each; a row without text is its end token alone; rows without doc_id have pieces without.
     """
-    return packing.pack(docs)
+    return stash(packing.pack(docs), "packed")
 
 
 STAGES = [
@@ -88,6 +89,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, stage in STAGES:
             before = docs
             with scratch() as keep:
-                docs = keep(stash(stage(spark, before, sf_dir), name.replace(" ", "-")))
+                out = stage(spark, before, sf_dir)
+                docs = keep(out if hasattr(out, "_stash_path") else stash(out, name.replace(" ", "-")))
             unstash(before)
         return keep_last(docs)
