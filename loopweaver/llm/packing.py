@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopweaver.llm.common import table
+from loopweaver.llm.common import table, trimmed
 
 VOCABULARY = "byte_bpe_50k.json"
 SEQUENCE, END_ID = 1024, 0
@@ -34,7 +34,7 @@ VECTOR_DIMS, AXES, BITS = 64, 3, 16
 #: Bytes, as Spark estimates them, of a partition that is packed in one task, at most about.
 PARTITION_BYTES = 64 << 20
 #: Bytes of text hashed at once.
-_STEP = 1 << 20
+_STEP = 1 << 18
 _PROJECTION = np.random.default_rng(271_828).standard_normal((VECTOR_DIMS, AXES))
 _ODD = 0x9E3779B97F4A7C15
 
@@ -278,7 +278,7 @@ def pack(documents: DataFrame, path: str | None = None, with_ids: bool = False)
                 held = []
         yield emit()
 
-    return ordered.mapInArrow(run, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint" + ", ids array<int>" * with_ids)
+    return ordered.mapInArrow(trimmed(run), "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint" + ", ids array<int>" * with_ids)
 
 
 def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
