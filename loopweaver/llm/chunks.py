@@ -45,6 +45,20 @@ def deal(rows: DataFrame, key: list[str], id_column: str, held: Column, held_siz
     return tasks.select(*key, "_task.*", *others).repartition(*by).sortWithinPartitions(*by, "role"), sizes
 
 
+def deal_sides(held: DataFrame, passing: DataFrame, key: list[str], id_column: str, held_size: int, part_size: int) -> DataFrame:
+    """deal() for two tables of the same columns: rows that are held meet those that pass, and no others. Groups that lack one
+    of the two are left out."""
+    others = [c for c in held.columns if c not in key]
+    chunks, parts = (t.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name)) for t, size, name in ((held, held_size, "_chunks"), (passing, part_size, "_parts")))
+    sizes = stash(chunks.join(parts, key), "sizes")
+    number = lambda n, shift: F.pmod(F.shiftrightunsigned(F.xxhash64(id_column), shift), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = held.join(checked(sizes), key).select(*key, number("_chunks", 0).alias("lo"), every("_parts").alias("hi"), F.lit(0).alias("role"), *others)
+    two = passing.join(checked(sizes), key).select(*key, every("_chunks").alias("lo"), number("_parts", 20).alias("hi"), F.lit(1).alias("role"), *others)
+    by = [*key, "lo", "hi"]
+    return one.union(two).repartition(*by).sortWithinPartitions(*by, "role")
+
+
 def _runs(b: pa.RecordBatch, n: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
     """Stretches of rows that agree in the first n columns."""
     change = np.zeros(b.num_rows - 1, bool)

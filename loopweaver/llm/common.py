@@ -108,14 +108,14 @@ def rows_where(rows: DataFrame, decide: Callable) -> DataFrame:
 _open: list[list[DataFrame]] = []
 
 
-def stash(df: DataFrame, what: str = "stage") -> DataFrame:
+def stash(df: DataFrame, what: str = "stage", compression: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors, and is computed once.
 
     It stays until unstash(), or until the scratch() it was made in ends.
     """
     path = new_path(df.sparkSession, what)
     with small_batches(df.sparkSession):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stash_path = path
     if _open:

@@ -43,3 +43,39 @@ OP10 = """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coale
   newest AS (SELECT d, max(page_id) AS m FROM p WHERE n >= 1000 GROUP BY d)
 SELECT p.page_id, p.n AS payload_bytes, p.d AS payload_digest, CASE WHEN p.page_id < m.m THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN p.page_id < m.m THEN m.m END AS refers_to
 FROM p LEFT JOIN newest AS m ON m.d = p.d AND p.n >= 1000"""
+
+OP11 = f"""WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+  g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256 FROM d JOIN g ON g.t = d.t"""
+
+
+def _rounds() -> str:
+    """Common tables of the codes: entries b0, then distances, the nearest entries and the entries moved, twice, and a last
+    assignment."""
+    out = []
+    for k in range(3):
+        out.append(f"""f{k} AS (SELECT p.vec_id, p.part, b.entry, sum((p.x - b.x) * (p.x - b.x)) AS far FROM p JOIN b{k} AS b ON b.part = p.part AND b.pos = p.pos GROUP BY ALL),
+  a{k} AS (SELECT vec_id, part, entry, far FROM f{k} QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY far, entry) = 1)""")
+        if k < 2:
+            out.append(f"""m{k} AS (SELECT p.part, a.entry, p.pos, CAST(floor(CAST(sum(p.x) AS DOUBLE) / count(*)) AS BIGINT) AS x FROM p JOIN a{k} AS a ON a.vec_id = p.vec_id AND a.part = p.part GROUP BY ALL),
+  b{k + 1} AS (SELECT b.part, b.entry, b.pos, coalesce(m.x, b.x) AS x FROM b{k} AS b LEFT JOIN m{k} AS m ON m.part = b.part AND m.entry = b.entry AND m.pos = b.pos)""")
+    return ",\n  ".join(out)
+
+
+_SOUND = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+_WHOLE = "CAST(floor(256 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT)"
+
+OP12 = f"""WITH flat AS (SELECT vec_id, unnest(range(len(embedding))) AS k, len(embedding) // 16 AS w, {_WHOLE} AS x FROM embeddings WHERE {_SOUND}),
+  p AS (SELECT vec_id, k // w AS part, k % w AS pos, x FROM flat),
+  b0 AS (SELECT part, e.entry, pos, x FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM (SELECT DISTINCT vec_id FROM p) ORDER BY vec_id LIMIT 64) AS e ON e.vec_id = p.vec_id),
+  {_rounds()},
+  c AS (SELECT a.vec_id, string_agg(printf('%02x', a.entry), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error FROM a2 AS a GROUP BY a.vec_id),
+  l AS (SELECT c.*, e.label FROM c JOIN embeddings AS e ON e.vec_id = c.vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM b2) AS codebooks_sha256 FROM l"""
+
+OP13 = f"""WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE label IS NOT NULL AND {_SOUND}),
+  s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score FROM e AS a JOIN e AS b ON a.vec_id <> b.vec_id AND a.vec_id % 50 = 0),
+  pos AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.id AS negative_id, p.positive_score, n.score AS negative_score
+FROM pos AS p JOIN s AS n ON n.anchor_id = p.anchor_id AND NOT n.alike AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.id) QUALIFY rank <= 3"""
