@@ -12,7 +12,6 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,19 +88,20 @@ def whole_rows(documents: DataFrame, name: str = "row") -> Column:
 
 def rows_where(rows: DataFrame, decide: Callable) -> DataFrame:
     """The whole rows (a first column of whole_rows()) for which decide(texts, arrays of the further columns) gives true.
-    Each is judged where it is: no key has to tell rows apart, and nothing is shuffled."""
-    first = rows.schema.fields[0]
+    Each is judged where it is: no key has to tell rows apart, and nothing is shuffled. Only the text and the further columns
+    go to Python, and a boolean comes back; the JVM keeps the row."""
+    first, *more = rows.columns
 
-    def run(batches):
+    @F.arrow_udf("boolean")
+    def keep(judged):
         import pyarrow as pa
-        import pyarrow.compute as pc
 
-        for b in batches:
-            keep = decide(pc.struct_field(b.column(0), "text"), *(b.column(i) for i in range(1, b.num_columns)))
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep, pa.bool_()))], names=[first.name])
-            trim()  # whole rows go in and out
+        out = pa.array(decide(*judged.flatten()), pa.bool_())
+        trim()
+        return out
 
-    return rows.mapInArrow(trimmed(run), T.StructType([first])).select(f"{first.name}.*")
+    judged = F.struct(F.col(f"{first}.text").alias("text"), *(F.col(c) for c in more))
+    return rows.where(keep(judged)).select(f"{first}.*")
 
 
 #: What stash() wrote inside each open scratch().

@@ -44,6 +44,8 @@ BLOCK_DIMS = 8
 #: Vectors of a cell that a task holds, and that it streams past them, at most about; more are dealt into chunks.
 TASK_ROWS, OTHER_ROWS = 16_384, 262_144
 TILE = 1024
+#: Share of a tile's pairs from which it is judged by products of matrices.
+DENSE = 1 / 16
 SEED = 20_240_601
 
 
@@ -85,98 +87,149 @@ def unit_rows(raw: np.ndarray) -> np.ndarray:
     return raw / np.linalg.norm(raw, axis=1, keepdims=True)
 
 
+class Side:
+    """Vectors as a task compares them: as they are, their norms, rotated unit vectors, and one block of those."""
+
+    def __init__(self, raw: np.ndarray, block: int):
+        self.raw, self.norms = raw, np.linalg.norm(raw, axis=1)
+        self.x = (raw / self.norms[:, None]) @ rotation(raw.shape[1])
+        lo, hi = blocks(raw.shape[1])[block]
+        self.y = self.x[:, lo:hi].astype(np.float32)
+        self.sq = (self.y * self.y).sum(1)
+
+
 class Cell:
     """The vectors of one chunk of a cell in one block, and the links found among them and with others."""
 
     def __init__(self, block: int, ids: np.ndarray, weight: np.ndarray, raw: np.ndarray, threshold: float):
         self.block, self.threshold = block, threshold
         self.ids, self.weight = ids, weight
-        self.mine = self._rotated(raw)
+        self.mine = Side(raw, block)
         self.counts = np.zeros(len(ids), np.int64)
-        self.forest = Forest()
-
-    def _rotated(self, raw: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Vectors, norms, rotated unit vectors, and this block of them with its squared length."""
-        norms = np.linalg.norm(raw, axis=1)
-        x = (raw / norms[:, None]) @ rotation(raw.shape[1])
-        lo, hi = blocks(raw.shape[1])[self.block]
-        y = x[:, lo:hi].astype(np.float32)
-        return raw, norms, x, y, (y * y).sum(1)
-
-    def _pairs(self, other: tuple[np.ndarray, ...], same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Linked pairs (i of mine, j of other; i < j where both are the same) for which this block is the first within budget."""
-        raw, norms, x, y, sq = self.mine
-        raw2, norms2, x2, y2, sq2 = other
-        dims = raw.shape[1]
-        parts = blocks(dims)
-        budget = [(2 - 2 * self.threshold) * (b - a) / dims * (1 + 1e-9) + 1e-12 for a, b in parts]
-        limit = np.float32(budget[self.block] + 1e-5)  # single precision only proposes
-        for s in range(0, len(y), TILE):
-            for t in range(s if same else 0, len(y2), TILE):
-                near = (y[s : s + TILE] * np.float32(-2)) @ y2[t : t + TILE].T
-                near += sq[s : s + TILE, None]
-                near += sq2[None, t : t + TILE]
-                i, j = np.nonzero(near <= limit)
-                i, j = i + s, j + t
-                if same and s == t:
-                    i, j = i[i < j], j[i < j]
-                for o in range(0, len(i), 200_000):
-                    u, v = i[o : o + 200_000], j[o : o + 200_000]
-                    d = x[u] - x2[v]
-                    d *= d
-                    far = [d[:, a:b].sum(1) > limit for (a, b), limit in zip(parts[: self.block + 1], budget, strict=False)]
-                    ok = ~far[-1]
-                    for f in far[:-1]:
-                        ok &= f
-                    u, v = u[ok], v[ok]
-                    good = (raw[u] * raw2[v]).sum(1) / (norms[u] * norms2[v]) >= self.threshold
-                    if good.any():
-                        yield u[good], v[good]
+        self.forest = Forest(ids)
+        parts = blocks(raw.shape[1])[: block + 1]
+        self.parts = parts
+        self.budget = np.array([(2 - 2 * threshold) * (b - a) / raw.shape[1] * (1 + 1e-9) + 1e-12 for a, b in parts])
+
+    def _judged(self, other: Side, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Whether pairs are linked and this block is the first within budget. A pair gives the same in every task."""
+        d = self.mine.x[u] - other.x[v]
+        d *= d
+        far = [d[:, a:b].sum(1) > limit for (a, b), limit in zip(self.parts, self.budget, strict=True)]
+        ok = ~far[-1]
+        for f in far[:-1]:
+            ok &= f
+        m = self.mine
+        ok[ok] = (m.raw[u[ok]] * other.raw[v[ok]]).sum(1) / (m.norms[u[ok]] * other.norms[v[ok]]) >= self.threshold
+        return ok
+
+    def _dense(self, other: Side, s: slice, t: slice, near: np.ndarray) -> np.ndarray:
+        """_judged() of a tile in which many pairs are near, by products of matrices; what those leave within rounding is
+        judged pair by pair."""
+        m, room = self.mine, 1e-9
+        sure, open_ = near.copy(), np.zeros_like(near)
+        for k, (a, b) in enumerate(self.parts):
+            p, q = m.x[s, a:b], other.x[t, a:b]
+            over = (p * p).sum(1)[:, None] + (q * q).sum(1)[None, :] - 2 * (p @ q.T) - self.budget[k]
+            sure &= over > room if k < self.block else over < -room
+            open_ |= np.abs(over) <= room
+        cosine = m.raw[s] / m.norms[s, None] @ (other.raw[t] / other.norms[t, None]).T - self.threshold
+        sure &= cosine > room
+        open_ |= np.abs(cosine) <= room
+        i, j = np.nonzero(open_ & near)
+        sure[i, j] = self._judged(other, i + s.start, j + t.start)
+        return sure
+
+    def _tiles(self, other: Side, same: bool) -> Iterator[tuple[slice, slice, np.ndarray]]:
+        """Tiles with their linked pairs (those above the diagonal where both sides are the same)."""
+        limit = np.float32(self.budget[-1] + 1e-5)  # single precision only proposes
+        m = self.mine
+        for a in range(0, len(m.y), TILE):
+            for b in range(a if same else 0, len(other.y), TILE):
+                s, t = slice(a, min(a + TILE, len(m.y))), slice(b, min(b + TILE, len(other.y)))
+                near = (m.y[s] * np.float32(-2)) @ other.y[t].T
+                near += m.sq[s, None]
+                near += other.sq[None, t]
+                near = near <= limit
+                if same and a == b:
+                    near = np.triu(near, 1)
+                n = np.count_nonzero(near)
+                if n > near.size * DENSE:
+                    linked = self._dense(other, s, t, near)
+                elif n:
+                    i, j = np.nonzero(near)
+                    ok = np.concatenate([self._judged(other, i[o : o + 100_000] + a, j[o : o + 100_000] + b) for o in range(0, n, 100_000)])
+                    linked = np.zeros_like(near)
+                    linked[i[ok], j[ok]] = True
+                else:
+                    continue
+                if linked.any():
+                    yield s, t, linked
 
     def meet_own(self) -> None:
-        for u, v in self._pairs(self.mine, True):
-            np.add.at(self.counts, u, self.weight[v])
-            np.add.at(self.counts, v, self.weight[u])
-            self.forest.add(self.ids[u], self.ids[v])
+        w = self.weight.astype(float)
+        for s, t, linked in self._tiles(self.mine, True):
+            self.counts[s] += (linked @ w[t]).astype(np.int64)
+            self.counts[t] += (w[s] @ linked).astype(np.int64)
+            self.forest.add(s.start, t.start, linked)
 
     def meet(self, others: pa.RecordBatch) -> pa.RecordBatch:
         """Numbers of links of the others that have some."""
         ids, weight, raw = _rows_of(others)
         counts = np.zeros(len(ids), np.int64)
-        for u, v in self._pairs(self._rotated(raw), False):
-            np.add.at(self.counts, u, weight[v])
-            np.add.at(counts, v, self.weight[u])
-            self.forest.add(self.ids[u], ids[v])
+        w, v = self.weight.astype(float), weight.astype(float)
+        base = self.forest.admit(ids)
+        for s, t, linked in self._tiles(Side(raw, self.block), False):
+            self.counts[s] += (linked @ v[t]).astype(np.int64)
+            counts[t] += (w[s] @ linked).astype(np.int64)
+            self.forest.add(s.start, base + t.start, linked)
+        self.forest.dismiss()
         hit = np.flatnonzero(counts)
         return _found(ids[hit], [None] * len(hit), counts[hit])
 
     def result(self) -> pa.RecordBatch:
         """Numbers of links of the chunk's own vectors, and the forest's links."""
         hit = np.flatnonzero(self.counts)
-        u, v = (np.array([x[k] for x in self.forest.links], np.int64) for k in (0, 1))
+        u, v = self.forest.links()
         return _found(np.concatenate([self.ids[hit], u]), [*[None] * len(hit), *v.tolist()], np.concatenate([self.counts[hit], np.zeros(len(u), np.int64)]))
 
 
 class Forest:
-    """Union-find that keeps the links that joined two trees."""
-
-    def __init__(self) -> None:
-        self.up: dict[int, int] = {}
-        self.links: list[tuple[int, int]] = []
-
-    def root(self, i: int) -> int:
-        up = self.up
-        while (k := up.get(i, i)) != i:
-            up[i] = up.get(k, k)
-            i = up[i]
-        return i
-
-    def add(self, u: np.ndarray, v: np.ndarray) -> None:
-        for i, j in zip(u.tolist(), v.tolist(), strict=True):
-            a, b = self.root(i), self.root(j)
-            if a != b:
-                self.up[max(a, b)] = min(a, b)
-                self.links.append((i, j))
+    """The links that join trees, found with one label per vector: of a tile's links only those between different trees are
+    looked at, and each round hooks every tree that has one onto a tree of a smaller label."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids = self.all = ids
+        self.root = np.arange(len(ids))
+        self.found: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def admit(self, ids: np.ndarray) -> int:
+        """Others that are met for a while; where their numbers begin."""
+        self.all = np.concatenate([self.ids, ids])
+        self.root = np.concatenate([self.root, np.arange(len(self.ids), len(self.all))])
+        return len(self.ids)
+
+    def dismiss(self) -> None:
+        """Trees of one's own have labels of one's own, as those are the smaller ones."""
+        self.root = self.root[: len(self.ids)]
+
+    def add(self, s: int, t: int, linked: np.ndarray) -> None:
+        u, v = np.nonzero(linked & (self.root[s : s + linked.shape[0], None] != self.root[None, t : t + linked.shape[1]]))
+        u, v = u + s, v + t
+        while len(u):
+            a, b = self.root[u], self.root[v]
+            low, high = np.minimum(a, b), np.maximum(a, b)
+            hooked, at = np.unique(high, return_index=True)
+            self.found.append((self.all[u[at]], self.all[v[at]]))
+            self.root[hooked] = low[at]
+            while (self.root != (up := self.root[self.root])).any():
+                self.root = up
+            apart = self.root[u] != self.root[v]
+            u, v = u[apart], v[apart]
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        none = [np.zeros(0, np.int64)]
+        return np.concatenate([a for a, _ in self.found] or none), np.concatenate([b for _, b in self.found] or none)
 
 
 def _found(u, v, n) -> pa.RecordBatch:
