@@ -86,12 +86,15 @@ def _normalise(spark, argv: list[str]) -> None:
 def _validate(spark, p: Params) -> int:
     from dataclasses import replace
 
-    from loopweaver.plans.analysis import validate
+    from loopweaver.plans.analysis import BINNED, validate
     from loopweaver.sources import contacts, sinks
+    from loopweaver.sources.store import ScoreStore, exists
 
     p = p if p.chrom_lengths else replace(p, chrom_lengths=contacts.chrom_lengths(spark, p))
     missing = f"{p.outdir}/missing"
-    sinks.tsv(validate(spark.read.parquet(f"{p.outdir}/rwr"), p).orderBy("cell", "chrom"), missing)
+    binned = f"{p.outdir}/binned"
+    wanted = spark.read.schema(BINNED).parquet(binned) if exists(spark, binned) else None
+    sinks.tsv(validate(ScoreStore(spark, f"{p.outdir}/rwr"), p, wanted, recount=True).orderBy("cell", "chrom"), missing)
     n = spark.read.option("sep", "\t").option("header", True).csv(missing).count()
     print(f"{n} cells and chromosomes are incomplete; see {missing}")
     return n

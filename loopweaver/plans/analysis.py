@@ -1,71 +1,92 @@
 """The whole analysis: contacts to loops, in memory-bounded groups and two kinds of shuffle.
 
-Contacts are shuffled once by (cell, chromosome), small as they are; imputation, z-scores and local background of a group
-happen in its task, and what leaves it is partially aggregated by place. Everything after that has one row per place.
+Contacts are shuffled once by chromosome and bucket of cells, small as they are; imputation, z-scores and local background of a group
+happen in its task, cells of a chromosome after each other, and what tests need of them is folded into arrays over the band
+there. Everything after that has one row per place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from loopweaver.operators import binning, candidates, cluster, combine, graph, jobs, normalize, stats
+from loopweaver.operators import binning, candidates, cluster, combine, graph, jobs, moments, normalize, stats
 from loopweaver.operators.background import background_pairs
 from loopweaver.params import Params
 from loopweaver.runlog import RunLog
 from loopweaver.sources import contacts as sources
 from loopweaver.sources import sinks
+from loopweaver.sources.store import MomentStore, ScoreStore, bucket, exists
 from loopweaver.staging import staged, unstage
 
+BINNED = "cell string, i bigint, j bigint, chrom string"
 
-def _finish(cell, chrom: str, i: np.ndarray, j: np.ndarray, v: np.ndarray, p: Params) -> pd.DataFrame:
+
+#: Rows of a batch that a task passes on.
+BATCH = 250_000
+
+
+def _finish(cell, chrom: str, i: np.ndarray, j: np.ndarray, v: np.ndarray, p: Params, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     """z and local background of one cell's band."""
     z = normalize.zscore_band(v, j - i)
     nb = background_pairs(i, j, z, p.chrom_lengths[chrom] // p.binsize, p)
-    return pd.DataFrame({"cell": cell, "chrom": chrom, "i": i, "j": j, "z": z, "nb": pd.array(np.where(np.isnan(nb), None, nb), "Float64")})
+    for s in range(0, len(i), BATCH):
+        t = slice(s, s + BATCH)
+        n = len(i[t])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([cell] * n, kind), pa.array([chrom] * n), pa.array(i[t]), pa.array(j[t]), pa.array(z[t]), pa.array(nb[t], mask=np.isnan(nb[t]))], names=["cell", "chrom", "i", "j", "z", "nb"]
+        )
+
+
+def _streamed(rows: DataFrame, p: Params, band: Callable, costs: DataFrame | None) -> DataFrame:
+    """cell, chrom, i, j, z, nb. band(chrom, further columns) gives places and values of one cell; a task holds one cell at a
+    time, and gets the cells of one bucket and chromosome after each other, so that what sums up cells can do so in it."""
+    kind = rows.schema["cell"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, chrom, columns in jobs.by_cell(batches):
+            yield from _finish(cell, chrom, *band(chrom, *columns), p, to_arrow_type(kind))
 
+    return jobs.dealt(rows, costs).mapInArrow(run, f"cell {kind.simpleString()}, chrom string, i bigint, j bigint, z double, nb double")
 
-def _schema(df: DataFrame) -> str:
-    return f"cell {df.schema['cell'].dataType.simpleString()}, chrom string, i bigint, j bigint, z double, nb double"
 
+def imputed(binned: DataFrame, p: Params, longest_first: bool = False) -> DataFrame:
+    """cell, chrom, i, j, z, nb; nb is null past max_bins. One shuffle of the contacts, or of the windows' values.
 
-def imputed(binned: DataFrame, p: Params) -> DataFrame:
-    """cell, chrom, i, j, z, nb; nb is null past max_bins. One shuffle of the contacts, or of the windows' values."""
+    longest_first deals groups of cells to tasks by their costs, which takes a pass over binned.
+    """
+    costs = jobs.group_costs(binned, p) if longest_first else None
     if p.rwr_method == "sliding_window":
-        return from_values(graph.rwr(binned, p), p)
+        return from_values(graph.rwr(binned, p), p, costs)
     if p.rwr_method not in graph.METHODS:
         raise ValueError(f"no such method: {p.rwr_method}; there are {', '.join(graph.METHODS)}")
+    return _streamed(binned.select("cell", "chrom", "i", "j"), p, lambda chrom, i, j: graph.walked_band(i, j, p.bins(chrom), p), costs)
 
-    def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        n = p.bins(key[1])
-        return _finish(key[0], key[1], *graph.walked_band(g["i"].to_numpy(), g["j"].to_numpy(), n, p), p)
 
-    return binned.select("cell", "chrom", "i", "j").groupBy("cell", "chrom").applyInPandas(run, _schema(binned))
-
-
-def from_values(values: DataFrame, p: Params) -> DataFrame:
+def from_values(values: DataFrame, p: Params, costs: DataFrame | None = None) -> DataFrame:
     """The same from values that were imputed before (cell, chrom, i, j, v); places that are missing count as 0."""
 
-    def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        n = p.bins(key[1])
+    def band(chrom: str, gi: np.ndarray, gj: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n = p.bins(chrom)
         m = np.zeros((n, p.max_rwr_bins + 1))
-        gi, gd = g["i"].to_numpy(), (g["j"] - g["i"]).to_numpy()
+        gd = gj - gi
         ok = (gi >= 0) & (gi < n) & (gd >= 1) & (gd <= p.max_rwr_bins)
-        m[gi[ok], gd[ok]] = g["v"].to_numpy()[ok]
+        m[gi[ok], gd[ok]] = v[ok]
         i, j = graph.band_places(p, n)
-        return _finish(key[0], key[1], i, j, m[i, j - i], p)
+        return i, j, m[i, j - i]
 
-    return values.select("cell", "chrom", "i", "j", "v").groupBy("cell", "chrom").applyInPandas(run, _schema(values))
+    return _streamed(values.select("cell", "chrom", "i", "j", "v"), p, band, costs)
 
 
 def sums(z: DataFrame, p: Params) -> DataFrame:
-    """Everything that the tests and thresholds need from the cells: one aggregate by place."""
-    return stats.pair_sums(z.where("nb is not null"), p.outlier)
+    """Everything that the tests and thresholds need from the cells, by place."""
+    return moments.pair_moments(z.where("nb is not null"), p.max_rwr_bins + 1, p.outlier)
 
 
 def loops(contacts: DataFrame, p: Params, regions: DataFrame | None = None) -> DataFrame:
@@ -92,31 +113,33 @@ def run(spark: SparkSession, p: Params, log: Callable[[str], None] = print) -> N
         if "bin" in p.steps:
             sinks.parquet(binning.bin_contacts(sources.raw_contacts(spark, p), p), at["binned"], "chrom")
             if p.text:
-                sinks.binned(spark.read.parquet(at["binned"]), f"{at['binned']}_text", p)
+                sinks.binned(spark.read.schema(BINNED).parquet(at["binned"]), f"{at['binned']}_text", p)
             log("bin: done")
+        scores = ScoreStore(spark, at["rwr"])
         if "rwr" in p.steps:
-            binned = spark.read.parquet(at["binned"])
+            binned = spark.read.schema(BINNED).parquet(at["binned"])
             if p.rwr_method == "sliding_window" and not p.window_bins:
                 p = replace(p, window_bins=binning.window_bins(sources.raw_contacts(spark, p), p))
-            todo = binned
-            if _exists(spark, at["rwr"]):  # take up an earlier run
-                left = jobs.remaining_jobs(binned, spark.read.parquet(at["rwr"]))
-                todo = binned.join(left, ["cell", "chrom"], "left_semi")
-            if p.keep_rwr_matrix:
-                sinks.parquet(graph.rwr(todo, p).where("v <> 0"), f"{p.outdir}/rwr_matrix", "chrom", "cell")
-            sinks.parquet(imputed(todo, p), at["rwr"], "chrom", "cell")
-            if p.text:
-                sinks.normalised(spark.read.parquet(at["rwr"]), f"{at['rwr']}_text", p)
+            # Takes up an earlier run, or adds the cells that came since.
+            todo = staged(binned.join(jobs.remaining_jobs(binned, scores.manifest()), ["cell", "chrom"], "left_semi"), "todo")
+            made.append(todo)
+            run_of = scores.append(imputed(todo, p, longest_first=True))
+            if p.keep_rwr_matrix and run_of:
+                graph.rwr(todo, p).where("v <> 0").withColumn("bucket", bucket("cell")).write.partitionBy("chrom", "bucket").parquet(f"{p.outdir}/rwr_matrix/run={run_of}")
+            if p.text and run_of:
+                sinks.normalised(scores.read(), f"{at['rwr']}_text", p)
             log("rwr: done")
         if {"hic", "interaction", "postprocess"} & set(p.steps):
-            z = spark.read.parquet(at["rwr"])
-            bad = validate(z, p).count()
+            bad = validate(scores, p, spark.read.schema(BINNED).parquet(at["binned"]) if exists(spark, at["binned"]) else None).count()
             if bad:
                 raise RuntimeError(f"the rwr step is incomplete for {bad} cells and chromosomes")
-            cells = combine.cell_counts(z)
+            z = scores.read()
+            cells = combine.cell_counts(scores.manifest())
         if {"hic", "interaction"} & set(p.steps):
-            # The largest table is read once: outliers of all pairs, sums of those that are tested.
-            pairs = staged(stats.pair_sums(z, p.outlier), "pairs")
+            # Scores are read once: those of runs that the moments lack are merged into them.
+            kept = MomentStore(spark, f"{at['rwr']}_moments")
+            log(f"moments: {kept.catch_up(scores, p.max_rwr_bins + 1, p.outlier)} runs added")
+            pairs = staged(moments.places(kept.packed()), "pairs")
             made.append(pairs)
         if "hic" in p.steps:
             outliers = pairs.select("chrom", "i", "j", F.col("outlier_count").alias("outliers"))
@@ -151,9 +174,13 @@ def run(spark: SparkSession, p: Params, log: Callable[[str], None] = print) -> N
             unstage(x)
 
 
-def validate(z: DataFrame, p: Params) -> DataFrame:
-    """cell, chrom, rows and expected of the cells and chromosomes whose rows are not complete."""
-    return jobs.validate_counts(z, p).where("not complete").drop("complete")
+def validate(scores: ScoreStore, p: Params, wanted: DataFrame | None = None, recount: bool = False) -> DataFrame:
+    """cell, chrom, rows and expected of the cells and chromosomes whose rows are not complete: by the manifest, or by the rows
+    themselves. Those of wanted (cell, chrom) that have no rows at all are among them."""
+    rows = scores.read().groupBy("cell", "chrom").agg(F.count(F.lit(1)).alias("rows")) if recount else scores.manifest().groupBy("cell", "chrom").agg(F.sum("rows").alias("rows"))
+    if wanted is not None:
+        rows = wanted.select("cell", "chrom").distinct().join(rows, ["cell", "chrom"], "full").select("cell", "chrom", F.coalesce("rows", F.lit(0)).alias("rows"))
+    return jobs.completeness(rows, p).where("not complete").drop("complete")
 
 
 def normalise(values: DataFrame, path: str, p: Params) -> None:
@@ -162,8 +189,3 @@ def normalise(values: DataFrame, path: str, p: Params) -> None:
     bins = {r["chrom"]: int(r["bins"]) for r in sources.matrix_size(values).collect()}  # a row per chromosome
     p = replace(p, chrom_lengths={k: n * p.binsize for k, n in bins.items()})
     sinks.normalised(from_values(values, p), path, p)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from loopweaver.functions.student import two_sided
-from loopweaver.operators import background, binning, candidates, cluster, graph, jobs, normalize, stats
+from loopweaver.operators import background, binning, candidates, cluster, graph, jobs, moments, normalize, stats
 from loopweaver.params import Params
 
 P = Params(dist=200_000, binsize=10_000, buffer=50_000, chrom_lengths={"chr1": 600_000})
@@ -196,3 +196,44 @@ def test_nearest_denser_takes_the_first_of_ties():
 def test_jobs(spark):
     b = spark.createDataFrame([(1, "chr1"), (2, "chr1"), (2, "chr1")], "cell int, chrom string")
     assert [r["cell"] for r in jobs.remaining_jobs(b, b.where("cell = 1")).collect()] == [2]
+
+
+def test_moments_equal_plain_aggregates(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(1)
+    rows = [(f"c{c}", f"chr{k}", i, i + d, float(rng.normal()), None if d > 5 else float(rng.normal())) for c in range(9) for k in (1, 2) for i in range(150) for d in range(1, 8) if rng.random() < 0.7]
+    z = spark.createDataFrame(rows, "cell string, chrom string, i bigint, j bigint, z double, nb double").repartition(5)
+    same = {(r["chrom"], r["i"], r["j"]): r for r in stats.pair_sums(z).collect()}
+    for held in (moments.HELD_BYTES, 1):
+        monkeypatch.setattr(moments, "HELD_BYTES", held)
+        packed = moments.merged(moments.fold(z.where("cell < 'c4'"), 9), moments.merged(moments.fold(z.where("cell >= 'c4'"), 8)))
+        got = {(r["chrom"], r["i"], r["j"]): r for r in moments.places(packed).collect()}
+        assert got.keys() == same.keys() and packed.count() == 2 * len({r[2] // moments.STRETCH for r in rows})
+        for k, r in got.items():
+            for name in ("n", "mean", "sd", "outlier_count"):
+                assert r[name] == same[k][name] or abs(r[name] - same[k][name]) < 1e-12, (k, name)
+            if r["n"]:
+                some = [x for x in rows if x[1:4] == k and x[5] is not None]
+                assert abs(r["case_avg"] - np.mean([x[4] for x in some])) < 1e-12 and abs(r["control_avg"] - np.mean([x[5] for x in some])) < 1e-12
+    # A place with repeated rows, NaN and a single cell; and no rows at all.
+    odd = spark.createDataFrame([("chr1", 0, 1, 1.0, 2.0), ("chr1", 0, 1, 3.0, 2.0), ("chr1", 0, 1, float("nan"), 2.0), ("chr1", 0, 2, 5.0, 1.0)], "chrom string, i bigint, j bigint, z double, nb double")
+    got = {r["j"]: r for r in moments.pair_moments(odd, 4).collect()}
+    assert (got[1]["n"], got[1]["case_avg"], got[1]["sd"], got[1]["outlier_count"]) == (2, 2.0, 2**0.5, 1) and got[2]["sd"] is None
+    assert moments.pair_moments(odd.where(F.lit(False)), 4).count() == 0
+
+
+def test_longest_first_deals_evenly(spark):
+    lengths = [249, 243, 198, 191, 181, 171, 159, 146, 141, 136, 135, 134, 115, 107, 103, 90, 81, 78, 59, 63, 48, 51]  # chr1 to chr22, megabases
+    costs = [float(n) ** 3 for n in lengths for _ in range(64)]
+    task = jobs.longest_first(costs, 40)
+    load = np.bincount(task, weights=costs)
+    assert load.max() < 1.05 * load.mean() and jobs.longest_first(costs, 40) == task
+    p = Params(chrom_lengths={"chr1": 2_000_000, "chr2": 400_000})
+    binned = spark.createDataFrame([(f"c{c}", f"chr{k}", 10, 20 + c % 5) for c in range(60) for k in (1, 2)], "cell string, chrom string, i bigint, j bigint")
+    at = jobs.dealt(binned, jobs.group_costs(binned, p), 4).selectExpr("*", "spark_partition_id() t").collect()
+    bins = {"chr1": 200.0**3, "chr2": 40.0**3}
+    load = np.bincount([r["t"] for r in at], weights=[bins[r["chrom"]] for r in at])
+    assert len(at) == 120 and len(load) == 4 and load.max() < 1.3 * load.mean()
+    assert {(r["cell"], r["chrom"]) for r in at} == {(f"c{c}", f"chr{k}") for c in range(60) for k in (1, 2)}
+    assert sorted(map(tuple, (r[:4] for r in at))) == sorted(map(tuple, binned.collect()))

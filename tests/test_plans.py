@@ -10,6 +10,7 @@ from loopweaver.__main__ import main, params
 from loopweaver.params import Params
 from loopweaver.plans import analysis, catalog
 from loopweaver.sources import contacts, fixture
+from loopweaver.sources.store import MomentStore, ScoreStore
 from loopweaver.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -72,7 +73,7 @@ def test_files_end_to_end(spark, tmp_path):
     same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     binned = spark.read.parquet(f"{out}/binned").selectExpr("cell", "chrom", "i", "j")
     assert same(contacts.binned_bedpe(spark, f"{out}/binned_text", p), binned)
-    z = spark.read.parquet(f"{out}/rwr").selectExpr("cast(cell as string) cell", "chrom", "i", "j", "round(z, 9)")
+    z = ScoreStore(spark, f"{out}/rwr").read().selectExpr("cell", "chrom", "i", "j", "round(z, 9)")
     assert same(contacts.normalised_bedpe(spark, f"{out}/rwr_text", p).selectExpr("cell", "chrom", "i", "j", "round(z, 9)"), z)
     for name, columns in (("nofilter", 18), ("candidates", 18), ("clustered", 21)):
         assert len(spark.read.option("sep", "\t").option("header", True).csv(f"{out}/postprocessed_text/combined.{name}.bedpe").columns) == columns
@@ -81,16 +82,58 @@ def test_files_end_to_end(spark, tmp_path):
     assert main(["validate", *argv], spark) == 0
     import shutil
 
-    cell = next(iter(data))
-    shutil.rmtree(out / "rwr" / "chrom=chr1" / f"cell={cell}")
-    left = next((out / "rwr" / "chrom=chr2" / f"cell={cell}").glob("part-*"))
-    rows = spark.read.parquet(str(left)).limit(10)
-    rows.write.parquet(f"{tmp_path}/few")
-    shutil.rmtree(left.parent)
-    shutil.move(f"{tmp_path}/few", left.parent)
+    folder = next((out / "rwr").glob("run=*/chrom=chr2"))
+    left = next(folder.glob("bucket=*"))
+    rows = spark.read.parquet(str(left))
+    cell = rows.first()["cell"]
+    rows.where(rows["cell"] == cell).limit(10).unionByName(rows.where(rows["cell"] != cell)).write.parquet(f"{tmp_path}/few")
+    shutil.rmtree(left)
+    shutil.move(f"{tmp_path}/few", left)
+    shutil.rmtree(next(folder.parent.glob("chrom=chr1")))
     assert main(["validate", *argv], spark) == 1
     missing = spark.read.option("sep", "\t").option("header", True).csv(f"{out}/missing").collect()
-    assert ("chr2", "10") in {(r["chrom"], r["rows"]) for r in missing}
+    assert {(r["cell"], r["chrom"], r["rows"]) for r in missing} == {(cell, "chr2", "10"), *((str(c), "chr1", "0") for c in data)}
+
+
+NAMES = ["001", "01", "1", "1.1", "1.10", "2020-01-01", "c_a", "true"]
+
+
+def cell_files(spark, folder, names):
+    """A contact list for each name, from different cells of the fixture; the sizes of its chromosomes beside them."""
+    folder.mkdir(exist_ok=True)
+    rows = fixture.contacts(spark, SF).collect()
+    for k, name in enumerate(sorted(NAMES)):
+        if name in names:
+            mine = [r for r in rows if r["cell"] == k + 1]
+            (folder / f"{name}.txt").write_text("".join(f"x\t{r['chr1']}\t{r['pos1']}\t{r['chr2']}\t{r['pos2']}\n" for r in mine))
+    (folder.parent / "sizes").write_text("chr1 2000000\nchr2 2000000\n")
+
+
+def names_run(spark, tmp_path, out, *steps):
+    analysis.run(spark, params(["-i", f"{tmp_path}/in", "-o", f"{tmp_path}/{out}", "-l", f"{tmp_path}/sizes", "-s", ".txt", "--chrom", "chr1 chr2", "--dist", "6e5", "--candidate-upper-distance", "6e5", "--no-text", "--steps", *steps]), log=lambda x: None)
+
+
+def test_cells_keep_their_names_and_come_in_batches(spark, tmp_path):
+    """Names that look like numbers, dates or booleans stay text and apart, also where only some of them are done."""
+    cell_files(spark, tmp_path / "in", NAMES[:5])
+    names_run(spark, tmp_path, "two", "bin", "rwr", "hic", "interaction")
+    first = ScoreStore(spark, f"{tmp_path}/two/rwr").runs()
+    cell_files(spark, tmp_path / "in", NAMES)
+    names_run(spark, tmp_path, "two", "bin", "rwr", "hic", "interaction", "postprocess")
+    store, kept = ScoreStore(spark, f"{tmp_path}/two/rwr"), MomentStore(spark, f"{tmp_path}/two/rwr_moments")
+    assert len(first) == 1 and len(store.runs()) == 2 and set(first) < set(store.runs()) and kept.runs() == store.runs()
+    assert {r["cell"] for r in store.read().select("cell").distinct().collect()} == set(NAMES)
+    names_run(spark, tmp_path, "one", "bin", "rwr", "hic", "interaction", "postprocess")
+    both = [[(r["chrom"], r["i"], r["j"], r["outlier_count"], round(r["tstat"], 6), round(r["fdr_chrom"], 9)) for r in spark.read.parquet(f"{tmp_path}/{d}/interactions").orderBy("chrom", "i", "j").collect()] for d in ("one", "two")]
+    assert both[0] == both[1] and len(both[0]) > 10_000
+    # A run that broke off before its manifest is not read, and a cell scored again is refused.
+    before = store.read().count()
+    again = store.read().where("cell = '01' and chrom = 'chr1'").select("cell", "chrom", "i", "j", "z", "nb")
+    again.selectExpr("chrom", "0 bucket", "cell", "i", "j", "z", "nb").write.partitionBy("chrom", "bucket").parquet(f"{tmp_path}/two/rwr/run=broken")
+    assert store.read().count() == before
+    store.append(again)
+    with pytest.raises(ValueError, match="01 .chr1."):
+        kept.catch_up(store, fixture.PARAMS.max_rwr_bins + 1, 1.96)
 
 
 def test_heat_map_tools_run_where_given(spark, tmp_path):
