@@ -34,9 +34,10 @@ def parser() -> argparse.ArgumentParser:
     for kind in ("circle", "donut", "lower-left", "horizontal", "vertical"):
         name = kind.replace("-", "_") + "_multiplier"
         add(f"--{kind}-threshold-multiplier", dest=name, type=float, default=getattr(d, name))
-    for flag, name in (("--local-lower-limit", "local_lower_limit"), ("--local-upper-limit", "local_upper_limit"), ("--postproc-gap-large", "gap_large"), ("--postproc-gap-small", "gap_small"), ("--clustering-gap", "clustering_gap"), ("--blin-partitions", "blin_partitions"), ("--max-iter", "max_iter"), ("--window-bins", "window_bins")):
+    for flag, name in (("--local-lower-limit", "local_lower_limit"), ("--local-upper-limit", "local_upper_limit"), ("--postproc-gap-large", "gap_large"), ("--postproc-gap-small", "gap_small"), ("--clustering-gap", "clustering_gap"), ("--blin-partitions", "blin_partitions"), ("--nblin-rank", "nblin_rank"), ("--max-iter", "max_iter"), ("--window-bins", "window_bins")):
         add(flag, dest=name, type=int, default=getattr(d, name))
     add("--rwr-method", default=d.rwr_method)
+    add("--blin-contiguous", action="store_true", help="stretches of bins as blocks instead of parts of the graph")
     add("--keep-rwr-matrix", action="store_true")
     add("--filter-file", default=None)
     add("--steps", nargs="+", default=list(d.steps))

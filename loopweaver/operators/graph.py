@@ -11,8 +11,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loopweaver.operators import selected
+from loopweaver.operators.partition import partition
 from loopweaver.params import Params
 
+#: Bins up to which the inverse is taken whole.
+DENSE_BINS = 2000
+#: Further columns and powers of the range finder, and its seed.
+OVERSAMPLE, POWERS, SEED = 16, 4, 20_240_601
+
 METHODS = ("inverse", "iterative", "nblin", "blin", "q1", "sliding_window")
 
 
@@ -105,26 +112,34 @@ def solve_nblin(m: np.ndarray, alpha: float) -> np.ndarray:
     return a + a.T
 
 
-def _inner(w: np.ndarray, alpha: float, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Inverses of I - (1 - alpha) W within contiguous blocks of bins, and what W holds between blocks."""
-    n = len(w)
-    cut = np.linspace(0, n, max(1, min(parts, n)) + 1).astype(int)
+def blocks(m: np.ndarray, parts: int, contiguous: bool = False) -> np.ndarray:
+    """The block of each bin: parts of the graph with a small cut between them, or equal stretches of the chain."""
+    n = len(m)
+    if contiguous:
+        return np.searchsorted(np.linspace(0, n, max(1, min(parts, n)) + 1).astype(int)[1:], np.arange(n), side="right")
+    u, v = np.nonzero(np.triu(m, 1))
+    return partition(u, v, n, parts, m[u, v])
+
+
+def _inner(w: np.ndarray, alpha: float, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Inverses of I - (1 - alpha) W within the blocks, and what W holds between blocks."""
     q, rest = np.zeros_like(w), w.copy()
-    for a, b in zip(cut[:-1], cut[1:], strict=True):
-        q[a:b, a:b] = np.linalg.inv(np.eye(b - a) - (1 - alpha) * w[a:b, a:b])
-        rest[a:b, a:b] = 0
+    for b in np.unique(block).tolist():
+        at = np.ix_(block == b, block == b)
+        q[at] = np.linalg.inv(np.eye(len(at[0])) - (1 - alpha) * w[at])
+        rest[at] = 0
     return q, rest
 
 
-def solve_q1(m: np.ndarray, alpha: float, parts: int) -> np.ndarray:
+def solve_q1(m: np.ndarray, alpha: float, parts: int, contiguous: bool = False) -> np.ndarray:
     """Walks on the transition matrix within blocks only, without the factor alpha and not scaled."""
-    q, _ = _inner(_rows(m), alpha, parts)
+    q, _ = _inner(_rows(m), alpha, blocks(m, parts, contiguous))
     return q + q.T
 
 
-def solve_blin(m: np.ndarray, alpha: float, parts: int) -> np.ndarray:
+def solve_blin(m: np.ndarray, alpha: float, parts: int, contiguous: bool = False) -> np.ndarray:
     """Walks on the scaled adjacency within blocks, corrected by the low-rank rest between blocks; not scaled by columns."""
-    q, rest = _inner(_scaled(m), alpha, parts)
+    q, rest = _inner(_scaled(m), alpha, blocks(m, parts, contiguous))
     if np.abs(rest).max() > 0:
         u, s, v = np.linalg.svd(rest)
         keep = s > 1e-12
@@ -135,6 +150,55 @@ def solve_blin(m: np.ndarray, alpha: float, parts: int) -> np.ndarray:
     return q + q.T
 
 
+class ScaledGraph:
+    """The adjacency scaled by the roots of both degrees, as a sparse matrix; contacts and chain."""
+
+    def __init__(self, i: np.ndarray, j: np.ndarray, n: int):
+        pairs = np.unique(np.concatenate([np.minimum(i, j) * n + np.maximum(i, j), np.arange(n - 1) * n + np.arange(1, n)]).astype(np.int64))
+        self.n, self.i, self.j = n, pairs // n, pairs % n
+        self.degree = np.maximum(np.bincount(self.i, minlength=n) + np.bincount(self.j, minlength=n), 1).astype(float)
+        root = np.sqrt(self.degree)
+        self.weight = 1 / (root[self.i] * root[self.j])
+        row = np.concatenate([self.i, self.j])
+        order = np.argsort(row, kind="stable")
+        self._column, self._value = np.concatenate([self.j, self.i])[order], np.concatenate([self.weight] * 2)[order]
+        self._rows, self._start = np.unique(row[order], return_index=True)
+
+    def __matmul__(self, x: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.n, x.shape[1]))
+        if len(self._start):
+            out[self._rows] = np.add.reduceat(x[self._column] * self._value[:, None], self._start, axis=0)
+        return out
+
+    def low_rank(self, rank: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """U, S, V of rank at most, and the residual: the Frobenius norm of what they leave, by a randomised range finder."""
+        k = min(rank + OVERSAMPLE, self.n)
+        q = np.random.default_rng(SEED).standard_normal((self.n, k))
+        for _ in range(POWERS):
+            q, _ = np.linalg.qr(self @ q)
+        b = (self @ q).T  # the matrix is symmetric
+        u, s, v = np.linalg.svd(b, full_matrices=False)
+        keep = np.flatnonzero(s[:rank] > 1e-12)
+        left = 2 * (self.weight**2).sum() - (s[keep] ** 2).sum()
+        return q @ u[:, keep], s[keep], v[keep], float(np.sqrt(max(left, 0.0)))
+
+
+def nblin_band(i: np.ndarray, j: np.ndarray, n: int, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The band of solve_nblin() from the nblin_rank largest singular vectors, with no matrix of n by n. Before columns are
+    scaled, no entry is off by more than (1 - alpha) / alpha times the residual, where the residual is below alpha."""
+    u, s, v, _ = ScaledGraph(i, j, n).low_rank(p.nblin_rank)
+    c = 1 - p.alpha
+    core = np.linalg.inv(np.diag(1 / s) - c * (v @ u)) @ v
+    sums = p.alpha * (1 + c * (u.sum(0) @ core))
+    bi, bj = band_places(p, n)
+    out = np.empty(len(bi))
+    for a in range(0, len(bi), 65_536):
+        x, y = bi[a : a + 65_536], bj[a : a + 65_536]
+        one, two = np.einsum("ij,ji->i", u[x], core[:, y]), np.einsum("ij,ji->i", u[y], core[:, x])
+        out[a : a + 65_536] = p.alpha * c * (one / sums[y] + two / sums[x])
+    return bi, bj, out
+
+
 def walk(m: np.ndarray, p: Params) -> np.ndarray:
     """Symmetric proximities of one graph by the chosen method."""
     if p.rwr_method in ("inverse", "sliding_window"):
@@ -144,9 +208,9 @@ def walk(m: np.ndarray, p: Params) -> np.ndarray:
     if p.rwr_method == "nblin":
         return solve_nblin(m, p.alpha)
     if p.rwr_method == "blin":
-        return solve_blin(m, p.alpha, p.blin_partitions)
+        return solve_blin(m, p.alpha, p.blin_partitions, p.blin_contiguous)
     if p.rwr_method == "q1":
-        return solve_q1(m, p.alpha, p.blin_partitions)
+        return solve_q1(m, p.alpha, p.blin_partitions, p.blin_contiguous)
     raise ValueError(f"no such method: {p.rwr_method}; there are {', '.join(METHODS)}")
 
 
@@ -164,20 +228,23 @@ def band(s: np.ndarray, p: Params, n: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def inverse_band(i: np.ndarray, j: np.ndarray, n: int, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The band of solve_inverse(), with about three matrices of n by n at a time instead of seven.
+    """The band of solve_inverse() without the matrices that it takes.
 
-    With the degrees D, I - (1 - alpha) A / D is similar to a symmetric matrix, which is made in place, and whose inverse
-    gives x and its transpose at the band's places alone.
+    With the degrees D, I - (1 - alpha) A / D is similar to a symmetric matrix, whose inverse gives x and its transpose at the
+    band's places alone. Of more than DENSE_BINS bins only these entries are made, by blocks and a border (see selected),
+    unless so many contacts are long that the inverse takes no more.
     """
-    m = adjacency(i, j, n)
-    d = np.maximum(m.sum(1), 1)
-    root = np.sqrt(d)
-    m *= -(1 - p.alpha)
-    m /= root[:, None]
-    m /= root[None, :]
-    m[np.diag_indices(n)] += 1
     bi, bj = band_places(p, n)
-    y = np.linalg.inv(m)[bi, bj]
+    g = ScaledGraph(i, j, n)
+    found = selected.choose(g.i, g.j, n, p.max_rwr_bins) if n > DENSE_BINS else None
+    if found is not None:
+        y = selected.band_of_inverse(g.i, g.j, -(1 - p.alpha) * g.weight, np.ones(n), bi, bj, *found)
+    else:
+        m = np.zeros((n, n))
+        m[g.i, g.j] = m[g.j, g.i] = -(1 - p.alpha) * g.weight
+        m[np.diag_indices(n)] = 1
+        y = np.linalg.inv(m)[bi, bj]
+    root = np.sqrt(g.degree)
     ratio = root[bi] / root[bj]
     return bi, bj, p.alpha * y * (ratio + 1 / ratio)
 
@@ -185,11 +252,13 @@ def inverse_band(i: np.ndarray, j: np.ndarray, n: int, p: Params) -> tuple[np.nd
 def walked_band(i: np.ndarray, j: np.ndarray, n: int, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """i, j and proximities of the band of one cell's chromosome with n bins, by the chosen method.
 
-    All are dense: 20,000 bins take some 10 GB for the inverse, and more for the low-rank methods, which need all singular
-    vectors. Sliding windows are the method for less memory.
+    The inverse, and nblin with a rank, take memory by bins times a few hundred to a few thousand numbers; the other methods
+    are dense, and sliding windows are the method for less memory.
     """
     if p.rwr_method == "inverse":
         return inverse_band(i, j, n, p)
+    if p.rwr_method == "nblin" and p.nblin_rank:
+        return nblin_band(i, j, n, p)
     return band(walk(adjacency(i, j, n), p), p, n)
 
 

@@ -28,6 +28,8 @@ class Params:
     alpha: float = 0.05
     rwr_method: str = "inverse"
     blin_partitions: int = 100
+    blin_contiguous: bool = False
+    nblin_rank: int = 0
     max_iter: int = 30
     window_bins: int = 0
     compat_windows: bool = False

@@ -116,8 +116,9 @@ QUERIES = {
     "rwr_iterative": _method("iterative"),
     "rwr_sliding_window": _method("sliding_window", window_bins=2 * P.max_rwr_bins),  # several windows in each chromosome
     "rwr_nblin": _method("nblin"),
+    "rwr_nblin_rank": _method("nblin", nblin_rank=60),
     "rwr_blin": _method("blin"),
-    "rwr_q1": lambda s, d: _rounded(_method("q1", blin_partitions=100)(s, d), "v", digits=9),  # blocks of two bins, which SQL can invert
+    "rwr_q1": lambda s, d: _rounded(_method("q1", blin_partitions=100, blin_contiguous=True)(s, d), "v", digits=9),  # blocks of two bins, which SQL can invert
     "diag_trimmed_zscore": lambda s, d: _rounded(normalize.diag_zscore(normalize.on_grid(_counts(s, d), P)), "z"),
     "fused_zscore": lambda s, d: _rounded(_z(s, d).select("cell", "chrom", "i", "j", "z"), "z"),
     "outlier_count": lambda s, d: combine.outlier_count(_z(s, d), P.outlier),

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from loopweaver.functions.student import two_sided
-from loopweaver.operators import background, binning, candidates, cluster, graph, jobs, moments, normalize, stats
+from loopweaver.operators import background, binning, candidates, cluster, graph, jobs, moments, normalize, partition, selected, stats
 from loopweaver.params import Params
 
 P = Params(dist=200_000, binsize=10_000, buffer=50_000, chrom_lengths={"chr1": 600_000})
@@ -51,7 +51,7 @@ def test_q1_is_the_inverse_within_blocks():
     step = m / m.sum(1, keepdims=True)
     whole = np.linalg.inv(np.eye(n) - 0.95 * step)
     assert np.allclose(graph.solve_q1(m, 0.05, 1), whole + whole.T)
-    got, want = graph.solve_q1(m, 0.05, 4), np.zeros((n, n))
+    got, want = graph.solve_q1(m, 0.05, 4, True), np.zeros((n, n))
     for a in range(0, n, 10):
         want[a : a + 10, a : a + 10] = np.linalg.inv(np.eye(10) - 0.95 * step[a : a + 10, a : a + 10])
     assert np.allclose(got, want + want.T)
@@ -237,3 +237,94 @@ def test_longest_first_deals_evenly(spark):
     assert len(at) == 120 and len(load) == 4 and load.max() < 1.3 * load.mean()
     assert {(r["cell"], r["chrom"]) for r in at} == {(f"c{c}", f"chr{k}") for c in range(60) for k in (1, 2)}
     assert sorted(map(tuple, (r[:4] for r in at))) == sorted(map(tuple, binned.collect()))
+
+
+def contacts_of(n, m, scale, far, seed=0):
+    """Pairs of bins, most of them near, a share of them at any distance."""
+    rng = np.random.default_rng(seed)
+    i = rng.integers(0, n, m)
+    j = i + np.where(rng.random(m) < far, rng.integers(2, n, m), 2 + rng.exponential(scale, m).astype(int))
+    return i[j < n], j[j < n]
+
+
+@pytest.mark.parametrize(("n", "m", "far", "reach"), [(60, 50, 0.1, 10), (301, 200, 0.1, 20), (500, 3000, 0.1, 20), (400, 300, 0.0, 25), (7, 0, 0.0, 3), (300, 100, 1.0, 8)])
+def test_band_of_inverse_equals_the_whole_inverse(monkeypatch, n, m, far, reach):
+    monkeypatch.setattr(graph, "DENSE_BINS", 0)
+    p = replace(P, dist=reach * 10_000, buffer=0, chrom_lengths={"chr1": n * 10_000})
+    i, j = contacts_of(n, m, 6, far)
+    whole = graph.solve_inverse(graph.adjacency(i, j, n), p.alpha)
+    bi, bj, v = graph.inverse_band(i, j, n, p)
+    assert len(bi) == sum(n - d for d in range(1, reach + 1)) if n > reach else True
+    assert np.abs(v - whole[bi, bj]).max(initial=0) < 1e-9
+    g = graph.ScaledGraph(i, j, n)
+    for width in (reach, 3 * reach):
+        long = g.j - g.i > width
+        border = selected.cover(g.i[long], g.j[long], n)
+        assert not (long & ~np.isin(g.i, border) & ~np.isin(g.j, border)).any()
+        if width < n:
+            got = selected.band_of_inverse(g.i, g.j, -0.95 * g.weight, np.ones(n), bi, bj, width, border)
+            dense = np.eye(n)
+            dense[g.i, g.j] = dense[g.j, g.i] = -0.95 * g.weight
+            assert np.abs(got - np.linalg.inv(dense)[bi, bj]).max() < 1e-9
+
+
+def test_memory_of_the_band_grows_with_width_and_border():
+    import tracemalloc
+
+    n, reach = 6000, 60
+    p = replace(P, dist=reach * 10_000, buffer=0, chrom_lengths={"chr1": n * 10_000})
+    i, j = contacts_of(n, 3000, 15, 0.02)
+    tracemalloc.start()
+    graph.inverse_band(i, j, n, p)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < n * n * 8 / 2
+
+
+def test_partition_finds_planted_parts():
+    rng = np.random.default_rng(3)
+    n, parts = 2000, 10
+    label = rng.permutation(np.repeat(np.arange(parts), n // parts))
+    pairs = [(rng.choice(np.flatnonzero(label == k), 1500), rng.choice(np.flatnonzero(label == k), 1500)) for k in range(parts)] + [(rng.integers(0, n, 500), rng.integers(0, n, 500)), (np.arange(n - 1), np.arange(1, n))]
+    u, v = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    u, v = u[u != v], v[u != v]
+    part = partition.partition(u, v, n, parts)
+    w = np.ones(len(u))
+    stretches = np.arange(n) * parts // n
+    assert partition.cut_weight(u, v, w, part) < 1.1 * partition.cut_weight(u, v, w, label) < 0.3 * partition.cut_weight(u, v, w, stretches)
+    assert np.bincount(part).max() <= 1.05 * n / parts and set(part) == set(range(parts))
+    for n, parts in ((1, 1), (2, 5), (50, 7), (50, 50), (200, 3)):
+        part = partition.partition(np.arange(n - 1), np.arange(1, n), n, parts)
+        assert len(part) == n and np.bincount(part).max() <= max(np.ceil(n / min(parts, n)), 1.05 * n / min(parts, n))
+
+
+def test_blin_is_exact_for_any_blocks():
+    i, j, n = small_graph(60)
+    m = graph.adjacency(i, j, n)
+    w = graph._scaled(m)
+    exact = 0.05 * np.linalg.inv(np.eye(n) - 0.95 * w)
+    for contiguous in (True, False):
+        assert np.abs(graph.solve_blin(m, 0.05, 4, contiguous) - exact - exact.T).max() < 1e-9
+    assert graph.blocks(m, 4, True).tolist() == np.repeat(np.arange(4), 15).tolist() and len(set(graph.blocks(m, 4))) == 4
+    q = graph.solve_q1(m, 0.05, 20, True)
+    at = graph.blocks(m, 20, True)
+    assert (q[at[:, None] != at[None, :]] == 0).all()
+
+
+def test_low_rank_walk(monkeypatch):
+    n = 120
+    i, j = contacts_of(n, 150, 10, 0.2)
+    p = replace(P, dist=200_000, buffer=0, chrom_lengths={"chr1": n * 10_000}, rwr_method="nblin")
+    full = graph.solve_nblin(graph.adjacency(i, j, n), p.alpha)
+    bi, bj, v = graph.nblin_band(i, j, n, replace(p, nblin_rank=n))
+    assert np.abs(v - full[bi, bj]).max() < 1e-9
+    g = graph.ScaledGraph(i, j, n)
+    w = g @ np.eye(n)
+    exact = 0.05 * np.linalg.inv(np.eye(n) - 0.95 * w)
+    before = None
+    for rank in (20, 60, 110):
+        u, s, t, residual = g.low_rank(rank)
+        assert abs(np.linalg.norm(w - u @ np.diag(s) @ t) - residual) < 1e-6 * n and (before is None or residual < before)
+        before = residual
+        near = 0.05 * (np.eye(n) + 0.95 * u @ np.linalg.inv(np.diag(1 / s) - 0.95 * t @ u) @ t)
+        assert np.abs(near - exact).max() <= 0.95 / 0.05 * residual
