@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loopweaver.functions.student import p_value_udf
+from loopweaver.operators import scan
 from loopweaver.params import Params
+from loopweaver.staging import staged
 
 NO_T = -1000.0
+#: Pairs of a chromosome from which its rates are taken by ranges instead of one window.
+RANGED_PAIRS = 2_000_000
 HUGE = 1.7976931348623157e308
 
 
@@ -48,6 +52,14 @@ def bh_fdr(tested: DataFrame, by: list[str], name: str) -> DataFrame:
     return ranked.withColumn(name, F.least(F.lit(1.0), F.min("_raw").over(down))).drop("_raw", "_r")
 
 
+def bh_fdr_ranged(tested: DataFrame, by: list[str], name: str, ranges: int | None = None) -> DataFrame:
+    """bh_fdr() of groups of any size: ranks by ranges of p-values, and the running minimum carried from range to range."""
+    rows = scan.ranked(tested, by, [F.col("pvalue"), F.col("i"), F.col("j")], "_r", ranges)
+    rows = staged(rows.withColumn("_raw", F.col("pvalue") * F.col("_of") / F.col("_r")), "raw")
+    least = scan.least_from_here(rows, by, "_raw", "_r", name)
+    return least.withColumn(name, F.least(F.lit(1.0), F.col(name))).select(*tested.columns, name)
+
+
 def universe(p: Params, spark) -> DataFrame:
     """chrom, i, j of every pair that is tested: local_upper_limit off the ends, up to max_bins apart."""
     u = p.local_upper_limit
@@ -65,5 +77,7 @@ def significances(sums: DataFrame, p: Params) -> DataFrame:
     tested = p_values(paired_t(sums))
     d = F.col("j") - F.col("i")
     full = universe(p, sums.sparkSession).join(tested, ["chrom", "i", "j"], "left").withColumn("pvalue", F.coalesce("pvalue", F.lit(1.0))).withColumn("d", d)
-    rated = bh_fdr(bh_fdr(full, ["chrom", "d"], "fdr_dist"), ["chrom"], "fdr_chrom")
+    near = bh_fdr(full, ["chrom", "d"], "fdr_dist")  # a group has a pair for each bin at most
+    largest = max((p.chrom_lengths[c] // p.binsize * p.max_bins for c in p.chrom_lengths), default=0)
+    rated = (bh_fdr_ranged if largest > RANGED_PAIRS else bh_fdr)(near, ["chrom"], "fdr_chrom")
     return rated.where("n is not null").select("chrom", "i", "j", "outlier_count", "case_avg", "control_avg", "pvalue", "tstat", "fdr_dist", "fdr_chrom")

@@ -77,8 +77,8 @@ def _candidates(spark, d):
     return staged(candidates.candidate_filter(_significances(spark, d), _cells(spark, d), P), "candidates")
 
 
-def _clustered(spark, d):
-    return cluster.clustered(candidates.enrichment_filter(_found(spark, d), P), P)
+def _clustered(spark, d, group_rows: int = cluster.GROUP_ROWS):
+    return cluster.clustered(candidates.enrichment_filter(_found(spark, d), P), P, group_rows)
 
 
 def _pivot(spark, d):
@@ -132,6 +132,7 @@ QUERIES = {
     "student_p_values": lambda s, d: _rounded(_rounded(stats.p_values(stats.paired_t(_sums(s, d))).select("chrom", "i", "j", "tstat", "pvalue"), "tstat"), "pvalue", digits=8),
     "bh_fdr_by_distance": lambda s, d: _rounded(stats.bh_fdr(_rated(_binned(s, d)), ["chrom", "d"], "fdr").select("chrom", "i", "j", "fdr"), "fdr", digits=9),
     "bh_fdr_chrom": lambda s, d: _rounded(stats.bh_fdr(_rated(_binned(s, d)), ["chrom"], "fdr").select("chrom", "i", "j", "fdr"), "fdr", digits=9),
+    "bh_fdr_chrom_ranged": lambda s, d: _rounded(stats.bh_fdr_ranged(_rated(_binned(s, d)), ["chrom"], "fdr", 16).select("chrom", "i", "j", "fdr"), "fdr", digits=9),
     "significances": lambda s, d: _rounded(_significances(s, d), "case_avg", "control_avg", "pvalue", "tstat", "fdr_dist", "fdr_chrom"),
     "candidate_filter": lambda s, d: candidates.candidate_filter(_significances(s, d), _cells(s, d), P).select("chrom", "i", "j", "outlier_count"),
     "neighbor_means": lambda s, d: _rounded(_found(s, d).select("chrom", "i", "j", "outlier_count", *candidates.MEANS), *candidates.MEANS),
@@ -141,6 +142,10 @@ QUERIES = {
     "density_clusters": lambda s, d: _rounded(_clustered(s, d).select("chrom", "i", "j", "ro", "delta", "eta", "rank", "eta_cluster", "cluster_size"), "delta", "eta"),
     "summit_nms": lambda s, d: cluster.final_summits(_clustered(s, d)).select("chrom", "i", "j", "eta_cluster", "cluster_size"),
     "connected_candidates": lambda s, d: cluster.connected(_candidates(s, d), P.clustering_gap),
+    # The same where a chromosome has more candidates than a task should hold.
+    "density_clusters_by_joins": lambda s, d: _rounded(_clustered(s, d, 0).select("chrom", "i", "j", "ro", "delta", "eta", "rank", "eta_cluster", "cluster_size"), "delta", "eta"),
+    "summits_by_rounds": lambda s, d: cluster.final_summits(_clustered(s, d, 0)).select("chrom", "i", "j", "eta_cluster", "cluster_size"),
+    "connected_by_stars": lambda s, d: cluster.connected(_candidates(s, d), P.clustering_gap, 0),
     "zscore_pivot": lambda s, d: _pivot(s, d),
     "completed_jobs_antijoin": lambda s, d: jobs.remaining_jobs(_binned(s, d), _binned(s, d).where("cell % 3 = 0")),
     "validate_counts": lambda s, d: jobs.validate_counts(_z(s, d), P),
@@ -318,3 +323,9 @@ ORACLE = {
     "completed_jobs_antijoin": _sql("binned", "SELECT DISTINCT cell, chrom FROM binned WHERE cell % 3 <> 0"),
     "validate_counts": _sql("vals", "SELECT cell, chrom, count(*) AS rows, count(*) AS expected, true AS complete FROM vals GROUP BY cell, chrom"),
 }
+ORACLE |= {
+    "bh_fdr_chrom_ranged": ORACLE["bh_fdr_chrom"],
+    "density_clusters_by_joins": ORACLE["density_clusters"],
+    "summits_by_rounds": ORACLE["summit_nms"],
+    "connected_by_stars": ORACLE["connected_candidates"],
+}

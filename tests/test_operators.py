@@ -328,3 +328,39 @@ def test_low_rank_walk(monkeypatch):
         before = residual
         near = 0.05 * (np.eye(n) + 0.95 * u @ np.linalg.inv(np.diag(1 / s) - 0.95 * t @ u) @ t)
         assert np.abs(near - exact).max() <= 0.95 / 0.05 * residual
+
+
+@pytest.fixture(scope="module")
+def many_points(spark):
+    """Clumps with ties of rate, density and distance, far ones, and a chromosome with two candidates."""
+    rng = np.random.default_rng(5)
+    at = {(int(a), int(b)) for c in rng.integers(0, 300, (14, 2)) for a, b in c + rng.integers(-6, 7, (25, 2))}
+    rows = [("chr1", i + 10, j + 10, float(rng.integers(0, 6)) / 100) for i, j in sorted(at)] + [("chr2", 5, 9, 0.0), ("chr2", 6, 10, 0.01), ("chr3", 1, 1, 0.5)]
+    return spark.createDataFrame(rows, "chrom string, i bigint, j bigint, fdr_dist double")
+
+
+def test_clusters_by_joins_equal_those_by_groups(spark, many_points):
+    p = replace(P, clustering_gap=1, summit_gap=20_000)
+    names = ["chrom", "i", "j", "ro", "rownum", "delta", "ref_neighbor", "eta", "rank", "transformed_rank", "transformed_eta", "eta_cluster", "summit", "cluster_size", "neg_log10_fdr"]
+    both = [{(r["chrom"], r["i"], r["j"]): r for r in cluster.clustered(many_points, p, k).collect()} for k in (10**6, 0)]
+    assert both[0].keys() == both[1].keys() and len(both[0]) > 150
+    for k, r in both[0].items():
+        for name in names:
+            assert r[name] == both[1][k][name] or abs(r[name] - both[1][k][name]) < 1e-9, (k, name)
+    assert len({r["eta_cluster"] for r in both[0].values()}) > 3
+
+
+def test_components_by_joins(spark, many_points):
+    for gap in (1, 3):
+        a, b = ({(r["chrom"], r["i"], r["j"], r["cluster"]) for r in cluster.connected(many_points, gap, k).collect()} for k in (10**6, 0))
+        assert a == b and len(a) == many_points.count()
+
+
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_rates_by_ranges(spark, ranges):
+    rng = np.random.default_rng(2)
+    rows = [(f"chr{1 + k % 2}", k, k + 1, float(rng.integers(0, 40)) / 40) for k in range(500)] + [("chr3", 1, 2, 0.2)]
+    t = spark.createDataFrame(rows, "chrom string, i bigint, j bigint, pvalue double")
+    a, b = (sorted(map(tuple, f.select("chrom", "i", "j", "q").collect())) for f in (stats.bh_fdr(t, ["chrom"], "q"), stats.bh_fdr_ranged(t, ["chrom"], "q", ranges)))
+    assert a == b
+    assert stats.bh_fdr_ranged(t.limit(0), ["chrom"], "q").count() == 0
