@@ -15,10 +15,11 @@ AUTOSOMES = [f"chr{i}" for i in range(23)]
 def in_range(contacts: DataFrame, p: Params, *more: str) -> DataFrame:
     """Contacts within one autosome, on it, and at least low_cutoff apart; positions in order, and further columns. Rows with
     a null position or chromosome are left out."""
-    d = contacts.where((F.col("chr1") == F.col("chr2")) & F.col("chr1").isin(AUTOSOMES) & (F.abs(F.col("pos1") - F.col("pos2")) >= p.low_cutoff))
+    wanted = [c for c in AUTOSOMES if c in p.chrom_lengths] if p.chrom_lengths else AUTOSOMES
+    d = contacts.where((F.col("chr1") == F.col("chr2")) & F.col("chr1").isin(wanted) & (F.abs(F.col("pos1") - F.col("pos2")) >= p.low_cutoff))
     if p.chrom_lengths:  # positions past a chromosome's end would widen its matrix for one cell only
         length = F.create_map(*(x for k, v in sorted(p.chrom_lengths.items()) for x in (F.lit(k), F.lit(v))))
-        d = d.where(F.col("chr1").isin(sorted(p.chrom_lengths))).where(F.greatest("pos1", "pos2") < length[F.col("chr1")])
+        d = d.where(F.greatest("pos1", "pos2") < length[F.col("chr1")])
     return d.select("cell", F.col("chr1").alias("chrom"), F.least("pos1", "pos2").alias("a"), F.greatest("pos1", "pos2").alias("b"), *more)
 
 

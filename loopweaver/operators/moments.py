@@ -16,8 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bins of a stretch, and bytes of stretches that a task holds before it passes them on.
-STRETCH, HELD_BYTES = 64, 256 << 20
+#: Bins of a stretch, and bytes of stretches that a task holds before it passes them on: more than the largest chromosome
+#: takes at 10 kb and 2 Mb (290 MB). Where a chromosome takes more, cells are passed on unfolded.
+STRETCH, HELD_BYTES = 64, 512 << 20
 
 #: Arrays of a stretch: cells with a score, outliers, cells with a background, the means of score, background and difference
 #: over these, and the difference's squared deviations.
@@ -34,25 +35,35 @@ class Stretch:
 
     def fold(self, at: np.ndarray, z: np.ndarray, nb: np.ndarray, outlier: float) -> None:
         """Add scores at places, each place once or more; nb is NaN where there is no background."""
+        order = np.argsort(at, kind="stable")
+        first = np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]])
+        if len(first) == len(at):
+            return self.add(at, z, nb, outlier)
+        # Rows of one place go in rounds of different places.
+        rank = np.empty(len(at), np.int64)
+        rank[order] = np.arange(len(at)) - np.repeat(first, np.diff(np.r_[first, len(at)]))
+        for r in range(int(rank.max()) + 1):
+            now = rank == r
+            self.add(at[now], z[now], nb[now], outlier)
+        return None
+
+    def add(self, at: np.ndarray, z: np.ndarray, nb: np.ndarray, outlier: float) -> None:
+        """Add one score at each of different places."""
         cells, outliers, n, case, control, mean, m2 = self.a
-        np.add.at(cells, at, ~np.isnan(z))
-        np.add.at(outliers, at, z > outlier)
+        cells[at] += ~np.isnan(z)
+        outliers[at] += z > outlier
         both = ~(np.isnan(z) | np.isnan(nb))
-        at, z, nb = at[both], z[both], nb[both]
-        # Rows of one place come in rounds of different places, so that each round is plain array arithmetic.
-        order = np.argsort(at, kind="stable")
-        first = np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]]) if len(at) else np.zeros(0, int)
-        rank = np.arange(len(at)) - np.repeat(first, np.diff(np.r_[first, len(at)]))
-        cuts = np.argsort(rank, kind="stable")
-        sizes = np.bincount(rank) if len(rank) else []
-        for rows in np.split(order[cuts], np.cumsum(sizes)[:-1]) if len(at) else ():
-            k, x, y = at[rows], z[rows], nb[rows]
-            n[k] += 1
-            case[k] += (x - case[k]) / n[k]
-            control[k] += (y - control[k]) / n[k]
-            off = x - y - mean[k]
-            mean[k] += off / n[k]
-            m2[k] += off * (x - y - mean[k])
+        if not both.all():
+            at, z, nb = at[both], z[both], nb[both]
+        count = n[at] + 1
+        n[at] = count
+        case[at] += (z - case[at]) / count
+        control[at] += (nb - control[at]) / count
+        old = mean[at]
+        off = z - nb - old
+        new = old + off / count
+        mean[at] = new
+        m2[at] += off * (z - nb - new)
 
     def merge(self, other: Stretch) -> None:
         """Chan's formulas; widths may differ, as new runs may reach further."""
@@ -84,29 +95,49 @@ def _unpack(b: pa.RecordBatch) -> Iterator[tuple[str, int, Stretch]]:
         yield row[0], row[1], Stretch(row[2], np.array([np.frombuffer(x) for x in row[3:]]))
 
 
+class Held:
+    """The stretches that a task holds."""
+
+    def __init__(self, width: int, outlier: float):
+        self.width, self.outlier = width, outlier
+        self.most = max(1, HELD_BYTES // (8 * len(FIELDS) * STRETCH * width))
+        self.stretches: dict[tuple[str, int], Stretch] = {}
+
+    def take(self, chrom: str, i: np.ndarray, j: np.ndarray, z: np.ndarray, nb: np.ndarray, once: bool = False) -> Iterator[pa.RecordBatch]:
+        """Fold rows of a chromosome; what had to be passed on for it. once: every place is there once, in the order of i."""
+        group = i // STRETCH
+        order = None if once else np.argsort(group, kind="stable")
+        if order is not None:
+            group, i, j, z, nb = (x[order] for x in (group, i, j, z, nb))
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)] if len(group) else []
+        for s, t in zip(cuts[:-1], cuts[1:], strict=True):
+            key = (chrom, int(group[s]))
+            if key not in self.stretches:
+                if len(self.stretches) >= self.most:
+                    yield from self.rest()
+                self.stretches[key] = Stretch(self.width)
+            at = (i[s:t] % STRETCH) * self.width + j[s:t] - i[s:t]
+            into = self.stretches[key]
+            (into.add if once else into.fold)(at, z[s:t], nb[s:t], self.outlier)
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        held, self.stretches = self.stretches, {}
+        yield from _pack(held)
+
+
 def fold(z: DataFrame, width: int, outlier: float = 1.96) -> DataFrame:
     """Packed moments of each task's rows (chrom, i, j, z, nb), with 0 <= j - i < width; stretches of a place repeat between
     tasks. Nothing is shuffled. Nulls and NaNs count as no value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], Stretch] = {}
-        most = max(1, HELD_BYTES // (8 * len(FIELDS) * STRETCH * width))
+        held = Held(width, outlier)
         for b in batches:
             names = b.column(0).dictionary_encode()
             code = names.indices.to_numpy(zero_copy_only=False)
-            i, j = (b.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (1, 2))
-            v, nb = (b.column(k).to_numpy(zero_copy_only=False).astype(float) for k in (3, 4))
-            group = code.astype(np.int64) * (1 << 40) + i // STRETCH
-            order = np.argsort(group, kind="stable")
-            for rows in np.split(order, np.flatnonzero(np.diff(group[order])) + 1) if len(order) else ():
-                key = (names.dictionary[int(code[rows[0]])].as_py(), int(i[rows[0]] // STRETCH))
-                if key not in held:
-                    if len(held) >= most:
-                        yield from _pack(held)
-                        held = {}
-                    held[key] = Stretch(width)
-                held[key].fold((i[rows] % STRETCH) * width + j[rows] - i[rows], v[rows], nb[rows], outlier)
-        yield from _pack(held)
+            columns = [b.column(k).to_numpy(zero_copy_only=False).astype(t) for k, t in ((1, np.int64), (2, np.int64), (3, float), (4, float))]
+            for c, chrom in enumerate(names.dictionary.to_pylist()):
+                yield from held.take(chrom, *(x if len(names.dictionary) == 1 else x[code == c] for x in columns))
+        yield from held.rest()
 
     return z.select("chrom", "i", "j", "z", "nb").mapInArrow(run, PACKED)
 

@@ -32,10 +32,13 @@ BINNED = "cell string, i bigint, j bigint, chrom string"
 BATCH = 250_000
 
 
-def _finish(cell, chrom: str, i: np.ndarray, j: np.ndarray, v: np.ndarray, p: Params, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """z and local background of one cell's band."""
+def _scored(chrom: str, i: np.ndarray, j: np.ndarray, v: np.ndarray, p: Params) -> tuple[np.ndarray, ...]:
+    """Places, z and local background of one cell's band."""
     z = normalize.zscore_band(v, j - i)
-    nb = background_pairs(i, j, z, p.chrom_lengths[chrom] // p.binsize, p)
+    return i, j, z, background_pairs(i, j, z, p.chrom_lengths[chrom] // p.binsize, p)
+
+
+def _rows(cell, chrom: str, kind: pa.DataType, i: np.ndarray, j: np.ndarray, z: np.ndarray, nb: np.ndarray) -> Iterator[pa.RecordBatch]:
     for s in range(0, len(i), BATCH):
         t = slice(s, s + BATCH)
         n = len(i[t])
@@ -44,32 +47,40 @@ def _finish(cell, chrom: str, i: np.ndarray, j: np.ndarray, v: np.ndarray, p: Pa
         )
 
 
-def _streamed(rows: DataFrame, p: Params, band: Callable, costs: DataFrame | None) -> DataFrame:
-    """cell, chrom, i, j, z, nb. band(chrom, further columns) gives places and values of one cell; a task holds one cell at a
-    time, and gets the cells of one bucket and chromosome after each other, so that what sums up cells can do so in it."""
+def _streamed(rows: DataFrame, p: Params, band: Callable, costs: DataFrame | None, folded: bool) -> DataFrame:
+    """cell, chrom, i, j, z, nb, or folded their packed moments. band(chrom, further columns) gives places and values of one
+    cell; a task holds one cell at a time, and gets those of one bucket and chromosome after each other."""
     kind = rows.schema["cell"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell, chrom, columns in jobs.by_cell(batches):
-            yield from _finish(cell, chrom, *band(chrom, *columns), p, to_arrow_type(kind))
+            yield from _rows(cell, chrom, to_arrow_type(kind), *_scored(chrom, *band(chrom, *columns), p))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = moments.Held(p.max_rwr_bins + 1, p.outlier)
+        for _, chrom, columns in jobs.by_cell(batches):
+            yield from held.take(chrom, *_scored(chrom, *band(chrom, *columns), p), once=True)
+        yield from held.rest()
 
-    return jobs.dealt(rows, costs).mapInArrow(run, f"cell {kind.simpleString()}, chrom string, i bigint, j bigint, z double, nb double")
+    dealt = jobs.dealt(rows, costs)
+    return dealt.mapInArrow(fold, moments.PACKED) if folded else dealt.mapInArrow(run, f"cell {kind.simpleString()}, chrom string, i bigint, j bigint, z double, nb double")
 
 
-def imputed(binned: DataFrame, p: Params, longest_first: bool = False) -> DataFrame:
+def imputed(binned: DataFrame, p: Params, longest_first: bool = False, folded: bool = False) -> DataFrame:
     """cell, chrom, i, j, z, nb; nb is null past max_bins. One shuffle of the contacts, or of the windows' values.
 
-    longest_first deals groups of cells to tasks by their costs, which takes a pass over binned.
+    longest_first deals groups of cells to tasks by their costs, which takes a pass over binned. folded gives each task's
+    packed moments over its cells instead, so that no row of a cell leaves its task.
     """
     costs = jobs.group_costs(binned, p) if longest_first else None
     if p.rwr_method == "sliding_window":
-        return from_values(graph.rwr(binned, p), p, costs)
+        return from_values(graph.rwr(binned, p), p, costs, folded)
     if p.rwr_method not in graph.METHODS:
         raise ValueError(f"no such method: {p.rwr_method}; there are {', '.join(graph.METHODS)}")
-    return _streamed(binned.select("cell", "chrom", "i", "j"), p, lambda chrom, i, j: graph.walked_band(i, j, p.bins(chrom), p), costs)
+    return _streamed(binned.select("cell", "chrom", "i", "j"), p, lambda chrom, i, j: graph.walked_band(i, j, p.bins(chrom), p), costs, folded)
 
 
-def from_values(values: DataFrame, p: Params, costs: DataFrame | None = None) -> DataFrame:
+def from_values(values: DataFrame, p: Params, costs: DataFrame | None = None, folded: bool = False) -> DataFrame:
     """The same from values that were imputed before (cell, chrom, i, j, v); places that are missing count as 0."""
 
     def band(chrom: str, gi: np.ndarray, gj: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,7 +92,12 @@ def from_values(values: DataFrame, p: Params, costs: DataFrame | None = None) ->
         i, j = graph.band_places(p, n)
         return i, j, m[i, j - i]
 
-    return _streamed(values.select("cell", "chrom", "i", "j", "v"), p, band, costs)
+    return _streamed(values.select("cell", "chrom", "i", "j", "v"), p, band, costs, folded)
+
+
+def tested_places(packed: DataFrame) -> DataFrame:
+    """Sums by place of packed moments, where there is a background."""
+    return moments.places(moments.merged(packed)).where("n > 0")
 
 
 def sums(z: DataFrame, p: Params) -> DataFrame:
@@ -93,7 +109,7 @@ def loops(contacts: DataFrame, p: Params, regions: DataFrame | None = None) -> D
     """Clustered candidates with their summits, from raw contacts, as one plan."""
     binned = binning.bin_contacts(contacts, p)
     cells = combine.cell_counts(binned)
-    found = stats.significances(sums(imputed(binned, p), p), p)
+    found = stats.significances(tested_places(imputed(binned, p, folded=True)), p)
     return cluster.clustered(candidates.find_candidates(found, cells, p, regions), p)
 
 
@@ -145,12 +161,13 @@ def run(spark: SparkSession, p: Params, log: Callable[[str], None] = print) -> N
             outliers = pairs.select("chrom", "i", "j", F.col("outlier_count").alias("outliers"))
             sinks.combined(outliers, f"{at['hic']}/normalized.combined.bedpe", p)
             text = f"{at['hic']}/allChr.hic.input"
-            sinks.tsv(combine.hic_input(combine.hic_score(outliers, cells), p).orderBy("chr1", "x1", "y1"), text, header=False)
+            sinks.sorted_tsv(combine.hic_input(combine.hic_score(outliers, cells), p), sinks.PLACE, text, header=False)
             sinks.heat_maps(spark, text, p, log)
             log("hic: done")
         if "interaction" in p.steps:
-            sinks.parquet(stats.significances(pairs.where("n > 0"), p), at["interactions"], "chrom")
-            sinks.significances(spark.read.parquet(at["interactions"]), f"{at['interactions']}_text/significances.bedpe", p)
+            rated = stats.significances(pairs.where("n > 0"), p)
+            sinks.parquet(rated, at["interactions"], "chrom")
+            sinks.significances(spark.read.schema(rated.schema).parquet(at["interactions"]), f"{at['interactions']}_text/significances.bedpe", p)
             log("interaction: done")
         if "postprocess" in p.steps:
             found = spark.read.parquet(at["interactions"])
@@ -166,7 +183,7 @@ def run(spark: SparkSession, p: Params, log: Callable[[str], None] = print) -> N
                 for name, rows, write in (("nofilter", near, sinks.candidates), ("candidates", rich, sinks.candidates), ("clustered", done, sinks.clustered)):
                     write(rows, f"{at['postprocessed']}_text/{p.prefix}.{name}.bedpe", p)
             sinks.loops(done, f"{p.outdir}/final", p)
-            sinks.tsv(cluster.zscore_pivot(cluster.summit_scores(cluster.final_summits(done), z)), f"{p.outdir}/final/{p.prefix}.summits.zscores")
+            sinks.sorted_tsv(cluster.zscore_pivot(cluster.summit_scores(cluster.final_summits(done), z)), ["chrom", "i", "j"], f"{p.outdir}/final/{p.prefix}.summits.zscores")
             log("postprocess: done")
     finally:
         log.flush()

@@ -52,7 +52,8 @@ def _z(spark, d):
 
 
 def _sums(spark, d):
-    return analysis.sums(_z(spark, d), P)
+    """Sums over cells, folded in the tasks that score them."""
+    return analysis.tested_places(analysis.from_values(_counts(spark, d), P, folded=True))
 
 
 def _cells(spark, d):
@@ -81,10 +82,15 @@ def _clustered(spark, d, group_rows: int = cluster.GROUP_ROWS):
     return cluster.clustered(candidates.enrichment_filter(_found(spark, d), P), P, group_rows)
 
 
-def _pivot(spark, d):
-    """Scores of the final summits, one column for each of some cells."""
+def _scores(spark, d):
+    """Scores of the final summits in every cell."""
     peaks = staged(cluster.final_summits(_clustered(spark, d)).select("chrom", "i", "j"), "summits")
-    return _rounded(cluster.zscore_pivot(staged(cluster.summit_scores(peaks, _z(spark, d)), "scores"), list(PIVOT_CELLS)), *map(str, PIVOT_CELLS)).withColumnsRenamed({str(c): f"cell_{c}" for c in PIVOT_CELLS})
+    return staged(cluster.summit_scores(peaks, _z(spark, d)), "scores")
+
+
+def _pivot(spark, d):
+    """The same with a column for each of some cells, as SQL must name them; summit_scores has all."""
+    return _rounded(cluster.zscore_pivot(_scores(spark, d), list(PIVOT_CELLS)), *map(str, PIVOT_CELLS)).withColumnsRenamed({str(c): f"cell_{c}" for c in PIVOT_CELLS})
 
 
 def _method(name: str, **params):
@@ -129,6 +135,7 @@ QUERIES = {
     "local_background": lambda s, d: _rounded(background.local_background(_z(s, d).select("cell", "chrom", "i", "j", "z"), P), "z", "nb"),
     "fused_background": lambda s, d: _rounded(_z(s, d).where("nb is not null"), "z", "nb"),
     "paired_tstat": lambda s, d: _rounded(stats.paired_t(_sums(s, d)).select("chrom", "i", "j", "n", "outlier_count", "case_avg", "control_avg", "tstat"), "case_avg", "control_avg", "tstat"),
+    "paired_tstat_from_rows": lambda s, d: _rounded(stats.paired_t(analysis.sums(_z(s, d), P)).select("chrom", "i", "j", "n", "outlier_count", "case_avg", "control_avg", "tstat"), "case_avg", "control_avg", "tstat"),
     "student_p_values": lambda s, d: _rounded(_rounded(stats.p_values(stats.paired_t(_sums(s, d))).select("chrom", "i", "j", "tstat", "pvalue"), "tstat"), "pvalue", digits=8),
     "bh_fdr_by_distance": lambda s, d: _rounded(stats.bh_fdr(_rated(_binned(s, d)), ["chrom", "d"], "fdr").select("chrom", "i", "j", "fdr"), "fdr", digits=9),
     "bh_fdr_chrom": lambda s, d: _rounded(stats.bh_fdr(_rated(_binned(s, d)), ["chrom"], "fdr").select("chrom", "i", "j", "fdr"), "fdr", digits=9),
@@ -147,8 +154,10 @@ QUERIES = {
     "summits_by_rounds": lambda s, d: cluster.final_summits(_clustered(s, d, 0)).select("chrom", "i", "j", "eta_cluster", "cluster_size"),
     "connected_by_stars": lambda s, d: cluster.connected(_candidates(s, d), P.clustering_gap, 0),
     "zscore_pivot": lambda s, d: _pivot(s, d),
+    "summit_scores": lambda s, d: _rounded(_scores(s, d), "z"),
     "completed_jobs_antijoin": lambda s, d: jobs.remaining_jobs(_binned(s, d), _binned(s, d).where("cell % 3 = 0")),
     "validate_counts": lambda s, d: jobs.validate_counts(_z(s, d), P),
+    "validate_incomplete": lambda s, d: jobs.validate_counts(_z(s, d).where(F.col("z") <= P.outlier), P),  # a table that lacks its outliers
     "loops": lambda s, d: analysis.loops(_contacts(s, d), P).select("chrom", "i", "j", "outlier_count", "eta_cluster", "cluster_size", "summit"),
 }
 
@@ -324,6 +333,16 @@ ORACLE = {
     "validate_counts": _sql("vals", "SELECT cell, chrom, count(*) AS rows, count(*) AS expected, true AS complete FROM vals GROUP BY cell, chrom"),
 }
 ORACLE |= {
+    "summit_scores": _sql(
+        "enriched",
+        f"SELECT z.chrom, z.i, z.j, z.cell, {_r('z.z')} FROM (SELECT chrom, unnest(taken) AS p FROM {_TAKEN}) AS s JOIN zs AS z ON z.chrom = s.chrom AND z.i = s.p.i AND z.j = s.p.j",
+        _density("enriched"),
+        _CLUSTERS,
+        _SUMMITS,
+        recursive=True,
+    ),
+    "validate_incomplete": _sql("zs", f"SELECT cell, chrom, count(*) FILTER (WHERE z <= {P.outlier}) AS rows, count(*) AS expected, count(*) FILTER (WHERE z <= {P.outlier}) = count(*) AS complete FROM zs GROUP BY cell, chrom HAVING count(*) FILTER (WHERE z <= {P.outlier}) > 0"),
+    "paired_tstat_from_rows": ORACLE["paired_tstat"],
     "bh_fdr_chrom_ranged": ORACLE["bh_fdr_chrom"],
     "density_clusters_by_joins": ORACLE["density_clusters"],
     "summits_by_rounds": ORACLE["summit_nms"],

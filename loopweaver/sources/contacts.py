@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import io
 import re
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loopweaver.params import AUTOSOMES, Params
+from loopweaver.sources.matrices import MatrixSource
 
 BEDPE = "chr1 string, x1 bigint, x2 bigint, chr2 string, y1 bigint, y2 bigint"
 
@@ -93,43 +90,23 @@ def imputed_bedpe(spark: SparkSession, path: str, p: Params) -> DataFrame:
     return d.select(cell_name(F.col("_metadata.file_path"), ".bedpe").alias("cell"), F.col("chr1").alias("chrom"), F.least(i, j).alias("i"), F.greatest(i, j).alias("j"), "v")
 
 
-def _binary(spark: SparkSession, path: str, glob: str, read) -> DataFrame:
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for name, content in zip(f["path"], f["content"], strict=True):
-                yield from read(name.rsplit("/", 1)[-1], content)
+def imputed_matrices(spark: SparkSession, path: str, kind: str, chrom: str | None = None, chroms: list[str] | None = None, stretch_bytes: int | None = None) -> DataFrame:
+    """cell, chrom, i, j, v of matrices as files of other tools, each read by as many tasks as it has stretches. Files of other
+    chromosomes than chroms are left out. See matrices."""
+    spark.dataSource.register(MatrixSource)
+    given = {"path": path, "kind": kind, "chrom": chrom, "chroms": " ".join(chroms) if chroms else None, "stretchBytes": stretch_bytes}
+    options = {k: str(v) for k, v in given.items() if v is not None}
+    return spark.read.format("imputed_matrix").options(**options).load()
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
-    return files.mapInPandas(run, "cell string, i bigint, j bigint, v double")
 
-
-def imputed_npz(spark: SparkSession, path: str, chrom: str) -> DataFrame:
+def imputed_npz(spark: SparkSession, path: str, chrom: str | None = None, chroms: list[str] | None = None) -> DataFrame:
     """cell, chrom, i, j, v of dense square matrices, one file per cell; values other than zero above the diagonal."""
+    return imputed_matrices(spark, path, "npz", chrom, chroms)
 
-    def read(name: str, content: bytes) -> Iterator[pd.DataFrame]:
-        with np.load(io.BytesIO(content), allow_pickle=False) as z:
-            m = np.triu(z[z.files[0]], 1)
-        i, j = np.nonzero(m)
-        yield pd.DataFrame({"cell": name.removesuffix(".npz"), "i": i, "j": j, "v": m[i, j]})
-
-    return _binary(spark, path, "*.npz", read).withColumn("chrom", F.lit(chrom)).select("cell", "chrom", "i", "j", "v")
-
-
-def imputed_hdf5(spark: SparkSession, path: str, chrom: str) -> DataFrame:
-    """cell, chrom, i, j, v of files with `coordinates` (n, 2) and one `cell_<k>` (n) per cell. Needs h5py on the executors."""
-
-    def read(name: str, content: bytes) -> Iterator[pd.DataFrame]:
-        try:
-            import h5py
-        except ImportError as e:
-            raise RuntimeError("reading HDF5 needs h5py; Parquet, TSV and npz do not") from e
-        with h5py.File(io.BytesIO(content), "r") as f:
-            at = np.asarray(f["coordinates"])
-            for key in f:
-                if key.startswith("cell_"):
-                    yield pd.DataFrame({"cell": key, "i": at.min(1), "j": at.max(1), "v": np.asarray(f[key], float)})
 
-    return _binary(spark, path, "*", read).withColumn("chrom", F.lit(chrom)).select("cell", "chrom", "i", "j", "v")
+def imputed_hdf5(spark: SparkSession, path: str, chrom: str | None = None) -> DataFrame:
+    """cell, chrom, i, j, v of files with `coordinates` (n, 2) and one `cell_<k>` (n) per cell. Needs h5py."""
+    return imputed_matrices(spark, path, "hdf5", chrom)
 
 
 def matrix_size(pairs: DataFrame) -> DataFrame:

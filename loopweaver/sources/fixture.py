@@ -19,7 +19,10 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = base.withColumns({"planted": F.expr("l_discount between 0.045d and 0.055d"), "a": F.expr("l_orderkey % 4"), "p0": F.expr("(l_partkey * 7919 + l_linenumber * 104729) % 2000000")})
     chrom = F.concat(F.lit("chr"), (1 + F.col("l_linenumber") % 2).cast("string"))
     out = base.select(F.col("l_suppkey").cast("bigint").alias("cell"), chrom.alias("chr1"), F.expr(_POS1).cast("bigint").alias("pos1"), chrom.alias("chr2"), F.expr(_POS2).cast("bigint").alias("pos2"))
-    return out.where("pos2 < 2000000")
+    # Numbered rows keep later filters above the positions, each of which would else be worked out again for every use of it in
+    # them; the code made of that is too long for the JVM to compile.
+    numbered = out.withColumn("_row", F.monotonically_increasing_id()).where("_row >= 0 and pos2 < 2000000")
+    return numbered.drop("_row")
 
 
 #: The same in DuckDB's SQL: CTE `contacts`.

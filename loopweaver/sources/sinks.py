@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loopweaver.operators.binning import bedpe
 from loopweaver.params import Params
 
+PLACE = ["chr1", "x1", "y1"]
 COORDINATES = ["chr1", "x1", "x2", "chr2", "y1", "y2"]
 SIGNIFICANCES = [*COORDINATES, "outlier_count", "case_avg", "control_avg", "pvalue", "tstat", "fdr_dist", "fdr_chrom"]
 MEANS = ["circle", "donut", "horizontal", "vertical", "lower_left"]
@@ -25,9 +26,47 @@ def parquet(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def tsv(df: DataFrame, path: str, header: bool = True, one_file: bool = True, compression: str = "none") -> None:
-    out = df.coalesce(1) if one_file else df
-    out.write.mode("overwrite").option("sep", "\t").option("header", header).option("compression", compression).csv(path)
+def tsv(df: DataFrame, path: str, header: bool = True) -> None:
+    """Tab-separated rows in one file, of tables that are small; see sorted_tsv() for others."""
+    df.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", header).option("compression", "none").csv(path)
+
+
+def _concatenated(spark: SparkSession, fs, target, head: bytearray, ranges: list) -> bool:
+    """Whether the file system joined the parts behind the head by moving their blocks, as HDFS can."""
+    if not head or not fs.hasPathCapability(target, "fs.capability.paths.concat"):
+        return False
+    out = fs.create(target)
+    out.write(head)
+    out.close()
+    sources = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(ranges))
+    for k, (_, p) in enumerate(ranges):
+        sources[k] = p
+    fs.concat(target, sources)
+    return True
+
+
+def sorted_tsv(df: DataFrame, order: list[str], path: str, header: bool = True) -> None:
+    """Tab-separated rows in one file of the folder, sorted. Tasks write ranges of the order, which are then joined: by the
+    file system where it can, else by a copy through a buffer, without holding more of them than that."""
+    spark = df.sparkSession
+    java = spark._jvm.org.apache.hadoop.fs.Path
+    parts, target = f"{path}_parts", java(path, "part-00000.csv")
+    df.orderBy(*order).write.mode("overwrite").option("sep", "\t").option("header", False).option("compression", "none").csv(parts)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(java(path), True)
+    ranges = sorted((f.getPath().getName(), f.getPath()) for f in fs.listStatus(java(parts)) if f.getPath().getName().startswith("part-") and f.getLen())
+    head = bytearray(("\t".join(df.columns) + "\n").encode() if header else b"")
+    if len(ranges) < 2 or not _concatenated(spark, fs, target, head, ranges):
+        out = fs.create(target)
+        try:
+            out.write(head)
+            for _, p in ranges:
+                source = fs.open(p)
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 4 << 20, False)
+                source.close()
+        finally:
+            out.close()
+    fs.delete(java(parts), True)
 
 
 def _one_file_each(df: DataFrame, path: str, by: list[str], order: list[str], name: Callable[..., str], compression: str = "none") -> None:
@@ -61,19 +100,19 @@ def normalised(z: DataFrame, path: str, p: Params) -> None:
 
 
 def combined(outliers: DataFrame, path: str, p: Params) -> None:
-    tsv(bedpe(outliers, p, "outliers").orderBy("chr1", "x1", "y1"), path, header=False)
+    sorted_tsv(bedpe(outliers, p, "outliers"), PLACE, path, header=False)
 
 
 def significances(s: DataFrame, path: str, p: Params) -> None:
-    tsv(bedpe(s, p, *SIGNIFICANCES[6:]).orderBy("chr1", "x1", "y1"), path)
+    sorted_tsv(bedpe(s, p, *SIGNIFICANCES[6:]), PLACE, path)
 
 
 def candidates(c: DataFrame, path: str, p: Params) -> None:
-    tsv(bedpe(c, p, *CANDIDATES[6:]).orderBy("chr1", "x1", "y1"), path)
+    sorted_tsv(bedpe(c, p, *CANDIDATES[6:]), PLACE, path)
 
 
 def clustered(c: DataFrame, path: str, p: Params) -> None:
-    tsv(bedpe(c, p, *ALL_CANDIDATES[6:], "summit").orderBy("chr1", "x1", "y1"), path)
+    sorted_tsv(bedpe(c, p, *ALL_CANDIDATES[6:], "summit"), PLACE, path)
 
 
 def heat_maps(spark: SparkSession, text: str, p: Params, log: Callable[[str], None]) -> None:
@@ -99,5 +138,5 @@ def heat_maps(spark: SparkSession, text: str, p: Params, log: Callable[[str], No
 
 def loops(clustered: DataFrame, path: str, p: Params) -> None:
     """<prefix>.postprocessed.all_candidates.bedpe and .summits.bedpe, with headers even where there are no rows."""
-    tsv(bedpe(clustered, p, *ALL_CANDIDATES[6:]).orderBy("chr1", "x1", "y1"), f"{path}/{p.prefix}.postprocessed.all_candidates.bedpe")
-    tsv(bedpe(clustered.where("summit = 1 AND cluster_size > 1"), p, *SUMMITS[6:]).orderBy("chr1", "x1", "y1"), f"{path}/{p.prefix}.postprocessed.summits.bedpe")
+    sorted_tsv(bedpe(clustered, p, *ALL_CANDIDATES[6:]), PLACE, f"{path}/{p.prefix}.postprocessed.all_candidates.bedpe")
+    sorted_tsv(bedpe(clustered.where("summit = 1 AND cluster_size > 1"), p, *SUMMITS[6:]), PLACE, f"{path}/{p.prefix}.postprocessed.summits.bedpe")

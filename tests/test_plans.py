@@ -14,7 +14,7 @@ from loopweaver.sources.store import MomentStore, ScoreStore
 from loopweaver.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
-CHECKED = ["bin_contacts", "distance_histogram", "graph_degree", "fused_zscore", "diag_trimmed_zscore", "hic_input", "fused_background", "local_background", "significances", "neighbor_means", "density_clusters", "bh_fdr_by_distance", "validate_counts", "student_p_values", "summit_nms", "connected_candidates", "zscore_pivot", "rwr_q1", "window_size_fractions", "hic_input_all"]
+CHECKED = ["bin_contacts", "distance_histogram", "graph_degree", "fused_zscore", "diag_trimmed_zscore", "hic_input", "fused_background", "local_background", "significances", "neighbor_means", "density_clusters", "bh_fdr_by_distance", "validate_counts", "student_p_values", "summit_nms", "connected_candidates", "zscore_pivot", "rwr_q1", "window_size_fractions", "hic_input_all", "paired_tstat", "paired_tstat_from_rows", "bh_fdr_chrom_ranged", "density_clusters_by_joins", "summits_by_rounds", "connected_by_stars", "summit_scores", "validate_incomplete"]
 
 
 def rows(names, table):
@@ -202,6 +202,49 @@ def test_npz_matrices(spark, tmp_path):
     assert [tuple(r) for r in contacts.imputed_npz(spark, str(tmp_path), "chr1").collect()] == [("c1", "chr1", 0, 1, 2.0)]
 
 
+@pytest.mark.parametrize("save", ["savez", "savez_compressed"])
+@pytest.mark.parametrize("order", ["C", "F"])
+def test_one_large_matrix_is_read_by_many_tasks(spark, tmp_path, save, order):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    m = np.where(rng.random((301, 301)) < 0.2, rng.normal(size=(301, 301)), 0)
+    getattr(np, save)(tmp_path / "001.npz", np.asarray(m.astype(np.float32), order=order))
+    d = contacts.imputed_matrices(spark, str(tmp_path), "npz", "chr7", stretch_bytes=20 * 301 * 4)
+    assert d.rdd.getNumPartitions() == 16
+    i, j = np.nonzero(np.triu(m.astype(np.float32), 1))
+    assert sorted(map(tuple, d.collect())) == [("001", "chr7", a, b, float(np.float32(m[a, b]))) for a, b in zip(i.tolist(), j.tolist(), strict=True)]
+
+
+def test_matrices_of_other_chromosomes_are_not_opened(spark, tmp_path):
+    import numpy as np
+
+    np.savez(tmp_path / "a.b.chr1.npz", np.ones((3, 3)))
+    (tmp_path / "a.b.chr2.npz").write_bytes(b"no matrix")
+    d = contacts.imputed_npz(spark, str(tmp_path), chroms=["chr1", "chr9"])
+    assert [tuple(r) for r in d.orderBy("i", "j").collect()] == [("a.b", "chr1", 0, 1, 1.0), ("a.b", "chr1", 0, 2, 1.0), ("a.b", "chr1", 1, 2, 1.0)]
+    assert contacts.imputed_npz(spark, str(tmp_path), chroms=["chr3"]).count() == 0
+    with pytest.raises(Exception, match="(?i)zip"):
+        contacts.imputed_npz(spark, str(tmp_path)).count()
+
+
+def test_sorted_text_is_joined_from_ranges(spark, tmp_path):
+    from loopweaver.sources import sinks
+
+    d = spark.range(0, 5000, 1, 7).selectExpr("concat('chr', id % 3) chr1", "(id * 7919) % 5000 x1", "id y1", "cast(null as double) v")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # as many ranges as set
+    try:
+        for header in (True, False):
+            sinks.tsv(d.orderBy("chr1", "x1", "y1"), f"{tmp_path}/one", header)
+            sinks.sorted_tsv(d, sinks.PLACE, f"{tmp_path}/many", header)
+            one, many = (next((tmp_path / x).glob("part-*")).read_bytes() for x in ("one", "many"))
+            assert one == many and not (tmp_path / "many_parts").exists() and len(list((tmp_path / "many").glob("part-*"))) == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sinks.sorted_tsv(d.limit(0), sinks.PLACE, f"{tmp_path}/none")
+    assert next((tmp_path / "none").glob("part-*")).read_text() == "chr1\tx1\ty1\tv\n"
+
+
 def test_stream_is_distinct_across_batches(spark, tmp_path):
     src = fixture.contacts(spark, SF).selectExpr("cast(cell as string) cell", "chr1", "pos1", "chr2", "pos2")
     src.coalesce(1).write.parquet(f"{tmp_path}/in")
