@@ -60,13 +60,13 @@ def decide(g: pd.DataFrame) -> pd.DataFrame:
     g = g.sort_values(["i", "j"]).reset_index(drop=True)
     delta, to = nearest_denser(g[["i", "j"]].to_numpy(float), g["ro"].to_numpy())
     g["rownum"] = np.arange(len(g))
-    g["delta"], g["ref_neighbor"] = delta, to
+    g["delta"], g["parent"] = delta, to
     g["eta"] = g["ro"] * delta
     levels = np.unique(-g["eta"].to_numpy(), return_inverse=True)[1] + 1
     g["rank"] = levels
     r, e = levels / levels.max(), g["eta"].to_numpy() / (g["eta"].max() or 1.0)
-    g["transformed_rank"], g["transformed_eta"] = (r - e) / math.sqrt(2), (e + r) / math.sqrt(2)
-    bend = g["eta"][g["transformed_eta"].to_numpy().argmin()]
+    g["turned_rank"], g["turned_eta"] = (r - e) / math.sqrt(2), (e + r) / math.sqrt(2)
+    bend = g["eta"][g["turned_eta"].to_numpy().argmin()]
     cluster = np.full(len(g), -1)
     centre = g["eta"].to_numpy() > bend
     cluster[centre] = np.arange(1, centre.sum() + 1)
@@ -91,7 +91,7 @@ def summits(g: pd.DataFrame, gap: int) -> np.ndarray:
     return out
 
 
-_ADDED = "rownum bigint, delta double, ref_neighbor bigint, eta double, rank bigint, transformed_rank double, transformed_eta double, eta_cluster bigint"
+_ADDED = "rownum bigint, delta double, parent bigint, eta double, rank bigint, turned_rank double, turned_eta double, eta_cluster bigint"
 _NAMES = [x.split(" ")[0] for x in _ADDED.split(", ")]
 
 
@@ -223,17 +223,17 @@ def by_joins(dense: DataFrame, p: Params, ranges: int | None = None) -> DataFram
     numbered = staged(numbered, "numbered")
     near = denser(numbered.select("chrom", "i", "j", "ro", "rownum"))
     rows = numbered.join(near, ["chrom", "rownum"]).withColumn("delta", F.sqrt(F.col("d2").cast("double"))).withColumn("eta", F.col("ro") * F.col("delta"))
-    rows = staged(rows.withColumnRenamed("ref", "ref_neighbor").drop("d2"), "eta")
+    rows = staged(rows.withColumnRenamed("ref", "parent").drop("d2"), "eta")
     levels = scan.ranked(rows.select("chrom", "eta").distinct(), ["chrom"], [F.desc("eta")], "rank", ranges).select("chrom", "eta", F.col("rank").cast("bigint").alias("rank"))
     rows = staged(rows.join(levels, ["chrom", "eta"]), "levels")
     tops = F.broadcast(rows.groupBy("chrom").agg(F.max("rank").alias("_ranks"), F.max("eta").alias("_etas")))  # a row per chromosome
     share, height = F.col("rank") / F.col("_ranks"), F.col("eta") / F.coalesce(F.nullif("_etas", F.lit(0.0)), F.lit(1.0))
-    rows = rows.join(tops, "chrom").withColumns({"transformed_rank": (share - height) / F.lit(math.sqrt(2)), "transformed_eta": (height + share) / F.lit(math.sqrt(2))}).drop("_ranks", "_etas")
+    rows = rows.join(tops, "chrom").withColumns({"turned_rank": (share - height) / F.lit(math.sqrt(2)), "turned_eta": (height + share) / F.lit(math.sqrt(2))}).drop("_ranks", "_etas")
     rows = staged(rows, "turned")
-    bends = F.broadcast(rows.groupBy("chrom").agg(F.min(F.struct("transformed_eta", "rownum", "eta")).alias("b")).select("chrom", F.col("b.eta").alias("bend")))
+    bends = F.broadcast(rows.groupBy("chrom").agg(F.min(F.struct("turned_eta", "rownum", "eta")).alias("b")).select("chrom", F.col("b.eta").alias("bend")))
     marked = rows.join(bends, "chrom").withColumn("centre", F.col("eta") > F.col("bend"))
     ids = scan.ranked(marked.where("centre").select("chrom", "rownum"), ["chrom"], [F.col("rownum")], "number", ranges).select("chrom", F.col("rownum").alias("up"), F.col("number").cast("bigint").alias("number"))
-    ends = heads(marked.select("chrom", "rownum", F.when(F.col("centre"), F.col("rownum")).otherwise(F.col("ref_neighbor")).alias("up")))
+    ends = heads(marked.select("chrom", "rownum", F.when(F.col("centre"), F.col("rownum")).otherwise(F.col("parent")).alias("up")))
     named = ends.join(ids, ["chrom", "up"], "left").select("chrom", "rownum", F.coalesce("number", F.lit(-1).cast("bigint")).alias("eta_cluster"))
     rows = staged(rows.join(named, ["chrom", "rownum"]), "clusters")
     marks = first_in_reach(rows, p.gap // p.binsize).withColumn("summit", F.lit(1))
@@ -307,3 +307,32 @@ def connected_by_joins(candidates: DataFrame, radius2: int, ranges: int | None =
         ties = staged(down.where("u <> v").distinct(), "ties")
     named = ties.select("chrom", F.col("u").alias("node"), F.col("v").alias("cluster"))
     return rows.join(named, ["chrom", "node"], "left").select("chrom", "i", "j", F.coalesce("cluster", "node").alias("cluster"))
+
+
+def knee_clusters(candidates: DataFrame, p: Params, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Candidates with cluster, cluster_type, cluster_size, neg_log10_fdr and summit, by components and a knee.
+
+    Components within clustering_gap * sqrt(2) bins are clusters, named cluster_0 on in the order of their first members, those
+    of one candidate singleton_0 on. A cluster's weight is the sum of -log10 of its rates. Along the candidates of clusters by
+    weight, both scaled to 1, the knee is where weight falls furthest below rank; clusters of less weight than there are
+    SharpPeak, the others BroadPeak. An infinite weight, of a rate of 0, is a BroadPeak and stays out of the scaling.
+    """
+    found = staged(candidates, "candidates")
+    rows = found.join(connected(found, p.clustering_gap, group_rows), ["chrom", "i", "j"]).withColumnRenamed("cluster", "first")
+    weight = F.when(F.col("fdr_dist") == 0, float("inf")).otherwise(-F.log10(F.nullif("fdr_dist", F.lit(0.0))))
+    groups = staged(rows.groupBy("chrom", "first").agg(F.count(F.lit(1)).alias("cluster_size"), F.sum(weight).alias("neg_log10_fdr")), "components")
+    single = (F.col("cluster_size") == 1).alias("single")
+    numbers = scan.ranked(groups.select("chrom", single, "first"), ["chrom", "single"], [F.col("first")], "number").select("chrom", "first", (F.col("number") - 1).cast("bigint").alias("number"), "single")
+    rows = staged(rows.join(groups, ["chrom", "first"]).join(numbers, ["chrom", "first"]), "members")
+    finite = rows.where((~F.col("single")) & (F.col("neg_log10_fdr") < float("inf"))).select("chrom", "i", "j", "neg_log10_fdr")
+    along = scan.ranked(finite, ["chrom"], [F.col("neg_log10_fdr"), F.col("i"), F.col("j")], "rank")
+    most = F.broadcast(finite.groupBy("chrom").agg(F.max("neg_log10_fdr").alias("most")))  # a row per chromosome
+    below = F.struct((F.col("neg_log10_fdr") / F.nullif("most", F.lit(0.0)) - F.col("rank") / F.col("_of")).alias("height"), "rank", F.col("neg_log10_fdr").alias("knee"))
+    knees = F.broadcast(along.join(most, "chrom").groupBy("chrom").agg(F.min(below).alias("k")).select("chrom", "k.knee"))
+    kind = F.when(F.col("single"), "singleton").when(F.col("neg_log10_fdr") < F.col("knee"), "SharpPeak").otherwise("BroadPeak")
+    name = F.concat(F.when(F.col("single"), "singleton_").otherwise("cluster_"), F.col("number").cast("string"))
+    rows = rows.join(knees, "chrom", "left").select(*found.columns, name.alias("cluster"), kind.alias("cluster_type"), "cluster_size", "neg_log10_fdr")
+    place = scan.ranked(rows.select("chrom", "i", "j").distinct(), ["chrom"], [F.col("i"), F.col("j")], "rownum").select("chrom", "i", "j", "rownum")
+    rows = staged(rows.join(place, ["chrom", "i", "j"]), "knees")
+    marks = first_in_reach(rows.withColumnRenamed("cluster", "eta_cluster"), p.gap // p.binsize).select("chrom", F.col("eta_cluster").alias("cluster"), "rownum", F.lit(1).alias("summit"))
+    return rows.join(marks, ["chrom", "cluster", "rownum"], "left").select(*found.columns, "cluster", "cluster_type", "cluster_size", "neg_log10_fdr", F.coalesce("summit", F.lit(0)).alias("summit"))

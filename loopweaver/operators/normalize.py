@@ -26,12 +26,16 @@ def diag_zscore(v: DataFrame) -> DataFrame:
     return stats.select("cell", "chrom", "i", "j", F.when(F.col("sd") < LEAST_SD, 0.0).otherwise((F.col("v") - F.col("mu")) / F.nullif(F.col("sd"), F.lit(0.0))).alias("z"))
 
 
-def diag_zscore_by_value(v: DataFrame, trim: float = TRIM) -> DataFrame:
-    """The variant that leaves out values beyond the quantile at 1 - trim instead of ranks."""
+def diag_zscore_by_value(v: DataFrame) -> DataFrame:
+    """The variant that leaves out by value instead of rank: what exceeds the value at the last rank that diag_zscore() leaves
+    out, or the smallest value where it leaves out none; so all of equal values stay, or none. z is 0 where the deviation is
+    tiny."""
     d = v.withColumn("d", F.col("j") - F.col("i"))
     part = Window.partitionBy("cell", "chrom", "d")
-    top = F.expr(f"percentile(v, {1 - trim})").over(part)
-    x = d.withColumn("x", F.when(F.col("v") <= top, F.col("v")))
+    ranked = d.select("cell", "chrom", "i", "j", "d", "v", F.row_number().over(part.orderBy(F.desc("v"))).alias("rn"), F.count(F.lit(1)).over(part).alias("n"))
+    k = F.rint(F.lit(TRIM) * F.col("n"))
+    limit = F.max(F.when(F.col("rn") == F.when(k >= 1, k).otherwise(F.col("n")), F.col("v"))).over(part)
+    x = ranked.withColumn("limit", limit).withColumn("x", F.when(F.col("v") <= F.col("limit"), F.col("v")))
     x = x.select("cell", "chrom", "i", "j", "v", F.avg("x").over(part).alias("mu"), F.stddev_pop("x").over(part).alias("sd"))
     return x.select("cell", "chrom", "i", "j", F.when(F.col("sd") < LEAST_SD, 0.0).otherwise((F.col("v") - F.col("mu")) / F.nullif(F.col("sd"), F.lit(0.0))).alias("z"))
 

@@ -126,6 +126,7 @@ QUERIES = {
     "rwr_blin": _method("blin"),
     "rwr_q1": lambda s, d: _rounded(_method("q1", blin_partitions=100, blin_contiguous=True)(s, d), "v", digits=9),  # blocks of two bins, which SQL can invert
     "diag_trimmed_zscore": lambda s, d: _rounded(normalize.diag_zscore(normalize.on_grid(_counts(s, d), P)), "z"),
+    "diag_zscore_by_value": lambda s, d: _rounded(normalize.diag_zscore_by_value(normalize.on_grid(_counts(s, d), P)), "z"),
     "fused_zscore": lambda s, d: _rounded(_z(s, d).select("cell", "chrom", "i", "j", "z"), "z"),
     "outlier_count": lambda s, d: combine.outlier_count(_z(s, d), P.outlier),
     "hic_score": lambda s, d: combine.hic_score(combine.outlier_count(_z(s, d), P.outlier), _cells(s, d)),
@@ -154,6 +155,7 @@ QUERIES = {
     "summits_by_rounds": lambda s, d: cluster.final_summits(_clustered(s, d, 0)).select("chrom", "i", "j", "eta_cluster", "cluster_size"),
     "connected_by_stars": lambda s, d: cluster.connected(_candidates(s, d), P.clustering_gap, 0),
     "zscore_pivot": lambda s, d: _pivot(s, d),
+    "knee_clusters": lambda s, d: _rounded(cluster.knee_clusters(_candidates(s, d), P).select("chrom", "i", "j", "cluster", "cluster_type", "cluster_size", "neg_log10_fdr", "summit"), "neg_log10_fdr"),
     "summit_scores": lambda s, d: _rounded(_scores(s, d), "z"),
     "completed_jobs_antijoin": lambda s, d: jobs.remaining_jobs(_binned(s, d), _binned(s, d).where("cell % 3 = 0")),
     "validate_counts": lambda s, d: jobs.validate_counts(_z(s, d), P),
@@ -332,7 +334,33 @@ ORACLE = {
     "completed_jobs_antijoin": _sql("binned", "SELECT DISTINCT cell, chrom FROM binned WHERE cell % 3 <> 0"),
     "validate_counts": _sql("vals", "SELECT cell, chrom, count(*) AS rows, count(*) AS expected, true AS complete FROM vals GROUP BY cell, chrom"),
 }
+_LINKED = [
+    "numbered AS (SELECT chrom, i, j, fdr_dist, row_number() OVER (PARTITION BY chrom ORDER BY i, j) - 1 AS k FROM cand)",
+    f"reach AS (SELECT chrom, k, k AS o FROM numbered UNION SELECT r.chrom, r.k, b.k FROM reach AS r JOIN numbered AS a ON a.chrom = r.chrom AND a.k = r.o JOIN numbered AS b ON b.chrom = a.chrom AND (a.i - b.i) * (a.i - b.i) + (a.j - b.j) * (a.j - b.j) <= {2 * P.clustering_gap**2})",
+]
 ORACLE |= {
+    "diag_zscore_by_value": _sql(
+        "vals",
+        f"SELECT m.cell, m.chrom, m.i, m.j, round(CASE WHEN s.sd < 1e-6 THEN 0 ELSE (m.v - s.mu) / s.sd END, {DIGITS}) + CAST(0 AS DOUBLE) AS z FROM limited AS m JOIN spread AS s ON s.cell = m.cell AND s.chrom = m.chrom AND s.d = m.j - m.i",
+        "placed AS (SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY cell, chrom, j - i) AS n FROM vals WINDOW w AS (PARTITION BY cell, chrom, j - i ORDER BY v DESC))",
+        "limited AS (SELECT *, max(v) FILTER (WHERE rn = CASE WHEN round_even(CAST(0.01 AS DOUBLE) * n, 0) >= 1 THEN round_even(CAST(0.01 AS DOUBLE) * n, 0) ELSE n END) OVER (PARTITION BY cell, chrom, j - i) AS top FROM placed)",
+        "spread AS (SELECT cell, chrom, j - i AS d, avg(v) FILTER (WHERE v <= top) AS mu, stddev_pop(v) FILTER (WHERE v <= top) AS sd FROM limited GROUP BY ALL)",
+    ),
+    "knee_clusters": _sql(
+        "cand",
+        "SELECT n.chrom, n.i, n.j, n.cluster, CASE WHEN n.size = 1 THEN 'singleton' WHEN n.weight < k.knee THEN 'SharpPeak' ELSE 'BroadPeak' END AS cluster_type, n.size AS cluster_size, " + f"round(n.weight, {DIGITS}) + CAST(0 AS DOUBLE) AS neg_log10_fdr" + ", CASE WHEN list_contains(t.taken, {'i': n.i, 'j': n.j}) THEN 1 ELSE 0 END AS summit FROM labelled AS n LEFT JOIN knees AS k ON k.chrom = n.chrom JOIN picks AS t ON t.chrom = n.chrom AND t.first = n.first AND t.k = t.size",
+        *_LINKED,
+        "comp AS (SELECT n.chrom, n.i, n.j, n.fdr_dist, n.k AS place, min(r.o) AS first FROM numbered AS n JOIN reach AS r ON r.chrom = n.chrom AND r.k = n.k GROUP BY ALL)",
+        "sized AS (SELECT chrom, first, count(*) AS size, sum(CASE WHEN fdr_dist = 0 THEN CAST('Infinity' AS DOUBLE) ELSE -log10(fdr_dist) END) AS weight FROM comp GROUP BY ALL)",
+        "titled AS (SELECT *, CASE WHEN size = 1 THEN 'singleton_' ELSE 'cluster_' END || CAST(row_number() OVER (PARTITION BY chrom, size = 1 ORDER BY first) - 1 AS VARCHAR) AS cluster FROM sized)",
+        "labelled AS (SELECT c.*, t.size, t.weight, t.cluster FROM comp AS c JOIN titled AS t ON t.chrom = c.chrom AND t.first = c.first)",
+        "slope AS (SELECT chrom, weight, row_number() OVER (PARTITION BY chrom ORDER BY weight, i, j) AS r, weight / nullif(max(weight) OVER (PARTITION BY chrom), 0) - CAST(row_number() OVER (PARTITION BY chrom ORDER BY weight, i, j) AS DOUBLE) / count(*) OVER (PARTITION BY chrom) AS height FROM labelled WHERE size > 1 AND isfinite(weight))",
+        "knees AS (SELECT chrom, weight AS knee FROM slope QUALIFY row_number() OVER (PARTITION BY chrom ORDER BY height, r) = 1)",
+        "lists AS (SELECT chrom, first, list({'i': i, 'j': j} ORDER BY fdr_dist, i, j) AS pts, count(*) AS size FROM comp GROUP BY ALL)",
+        f"""picks AS (SELECT chrom, first, size, pts, 1 AS k, [pts[1]] AS taken FROM lists UNION ALL
+    SELECT chrom, first, size, pts, k + 1, CASE WHEN len(list_filter(taken, lambda q: abs(q.i - pts[k + 1].i) * {P.binsize} <= {P.gap} AND abs(q.j - pts[k + 1].j) * {P.binsize} <= {P.gap})) = 0 THEN list_append(taken, pts[k + 1]) ELSE taken END FROM picks WHERE k < size)""",
+        recursive=True,
+    ),
     "summit_scores": _sql(
         "enriched",
         f"SELECT z.chrom, z.i, z.j, z.cell, {_r('z.z')} FROM (SELECT chrom, unnest(taken) AS p FROM {_TAKEN}) AS s JOIN zs AS z ON z.chrom = s.chrom AND z.i = s.p.i AND z.j = s.p.j",

@@ -341,7 +341,7 @@ def many_points(spark):
 
 def test_clusters_by_joins_equal_those_by_groups(spark, many_points):
     p = replace(P, clustering_gap=1, summit_gap=20_000)
-    names = ["chrom", "i", "j", "ro", "rownum", "delta", "ref_neighbor", "eta", "rank", "transformed_rank", "transformed_eta", "eta_cluster", "summit", "cluster_size", "neg_log10_fdr"]
+    names = ["chrom", "i", "j", "ro", "rownum", "delta", "parent", "eta", "rank", "turned_rank", "turned_eta", "eta_cluster", "summit", "cluster_size", "neg_log10_fdr"]
     both = [{(r["chrom"], r["i"], r["j"]): r for r in cluster.clustered(many_points, p, k).collect()} for k in (10**6, 0)]
     assert both[0].keys() == both[1].keys() and len(both[0]) > 150
     for k, r in both[0].items():
