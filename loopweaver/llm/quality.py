@@ -1,19 +1,21 @@
 """Quality rules: distribution divergence from language references.
 
-Two passes over small rows, one over texts: `features` reads each text once and keeps counts and histograms;
-`references` sums the histograms of all documents by language into a table of one row per language, however many there
-are; `verdict` joins it to the documents and takes the Jensen-Shannon distance of each document's character-class and
-common-word histograms from its language's reference. Short documents have noisy
-histograms, so the distances only count from a minimum length on.
+Texts are read twice. The first pass sums, by language, the classes of bytes and how often and in how many documents each word
+stands; `languages` makes a row of each language: its class histogram, its common words and their histogram. The common words
+are learnt: those that stand in the most documents of the language, in COMMON_SHARE of them or more. The second pass joins
+that row to the documents of the language and takes the Jensen-Shannon distance of each one's class and common-word
+histograms from its language's. Short documents have noisy histograms, so the distances only count from a minimum length on.
 
 The word distance is held against a text without any common word, which lies at a distance that follows from the
 language's share of common words. A document fails if it is nearer to that text than to its reference, or no nearer to the
 reference than that text is. This needs a length at which a text of the language would hold at least GUARD_COMMON common
-words; in languages that hardly use the listed words only long texts, or none, are judged by it.
+words; in languages whose documents share few words only long texts, or none, are judged by it.
 
-Nulls: a null text counts as empty; a null language takes the pooled reference. Empty texts have zero counts and fail
-the base rule (fewer than 50 words). Repeated rows are judged one by one and give one row each. An empty table gives an
-empty result. Columns other than doc_id, text and lang are ignored.
+Nulls: a null text counts as empty; a null language takes the pooled reference of all documents. Empty texts have zero counts
+and fail the base rule (fewer than 50 words). Texts of any length are read whole; a task holds one text's words, and counts of
+at most WORDS_AT_ONCE words before it passes them on. Words that stand in as many documents as each other are taken in the
+order of their bytes. Repeated rows are judged one by one and give one row each. An empty table gives an empty result. Columns
+other than doc_id, text and lang are ignored.
 """
 
 from __future__ import annotations
@@ -25,18 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loopweaver.llm.chunks import checked
 from loopweaver.llm.common import rows_where, stash, table, trim, trimmed, whole_rows
 
-# Frequent function words of English, German, French and Spanish.
-COMMON_WORDS = (
-    "the of and to a in is that with was by as are or for at on this from be it he not "
-    "der die und den von zu das mit sich des auf ist im dem nicht ein eine als er "
-    "de la le et les en un du une que est dans qui par pour au sur pas "
-    "el y los se del las con no su para es al"
-).split()
-WORD_BINS = tuple(dict.fromkeys(COMMON_WORDS))
+#: Common words of a language, and the share of its documents that they stand in, at least.
+COMMON_WORDS, COMMON_SHARE = 32, 0.2
 #: Classes of a text's bytes; a continuation byte of UTF-8 belongs to no class.
 CLASSES = ("blank", "newline", "lower", "upper", "digit", "stop", "quote", "mark", "symbol", "control", "latin", "wide", "astral")
 MIN_WORDS = 50
@@ -46,13 +43,9 @@ MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.60
 #: Common words to expect in a text of the language from which a lack of them counts.
 GUARD_COMMON = 8
-#: Languages that a task sums at once, before it passes their sums on.
-SUMS_AT_ONCE = 4096
-
-_FEATURES = (
-    "doc_id bigint, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-    "n_repeat_words bigint, classes array<bigint>, words array<bigint>"
-)
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+#: Words whose counts a task holds.
+WORDS_AT_ONCE = 200_000
 
 
 def _class_table() -> np.ndarray:
@@ -100,65 +93,84 @@ def repeated_lines(raw: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def text_features(text: str | None) -> tuple:
+def class_counts(raw: bytes) -> np.ndarray:
+    return np.bincount(_CLASS_OF[np.frombuffer(raw, np.uint8)], minlength=len(CLASSES) + 1)[: len(CLASSES)]
+
+
+def text_features(text: str | None, common: list[bytes]) -> tuple:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, and the histograms of classes and of common words, others
+    last."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.split()
     data = np.frombuffer(raw, np.uint8)
-    classes = np.bincount(_CLASS_OF[data], minlength=len(CLASSES) + 1)[: len(CLASSES)]
     word_chars = int(np.count_nonzero((data & 0xC0) != 0x80)) - sum(map(raw.count, (bytes([c]) for c in _SPACE)))
     symbols = len(raw) - len(raw.translate(None, _SYMBOLS))
     bare = raw.translate(_BARE).split()
     seen = Counter(bare)
-    common = [seen.get(w, 0) for w in _BIN_BYTES]
-    return len(words), word_chars, symbols, repeated_lines(raw), repeated_words(words), classes.tolist(), [*common, len(bare) - sum(common)]
+    hits = [seen.get(w, 0) for w in common]
+    return len(words), word_chars, symbols, repeated_lines(raw), repeated_words(words), class_counts(raw).tolist(), [*hits, len(bare) - sum(hits)]
 
 
-_BIN_BYTES = [w.encode() for w in WORD_BINS]
+#: Keys of a language's totals and classes among its words, which hold no such byte.
+_TOTAL = b"\x00"
 
 
-def features(documents: DataFrame) -> DataFrame:
-    """Counts and histograms of each document, from its whole text."""
+def _language_counts(documents: DataFrame) -> DataFrame:
+    """lang, word, docs and n: documents and places of each word by language. Under _TOTAL all documents and words, and under
+    _TOTAL and a byte the classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = None
-        for b in batches:
-            rows = [text_features(t) for t in b.column(1).to_pylist()]
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
-            kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
-            arrays = [b.column(0), b.column(2)] + [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]
-            schema = schema or pa.schema([("doc_id", pa.int64()), ("lang", pa.string())] + list(zip(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "classes", "words"), kinds, strict=True)))
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
-            trim()
-
-    return documents.select(F.col("doc_id").cast("bigint"), "text", F.col("lang").cast("string")).mapInArrow(trimmed(run), _FEATURES)
-
-
-def references(feats: DataFrame) -> DataFrame:
-    """ref_lang, ref_classes and ref_words: histograms of each language over all documents, and, for a null language, the
-    pooled ones. What is shuffled has one row per language, bin and partition."""
-    size = len(CLASSES) + len(WORD_BINS) + 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str | None, np.ndarray] = {}
+        held: dict[tuple[str | None, bytes], list[int]] = {}
 
         def emit() -> pa.RecordBatch:
-            bins = np.tile(np.arange(size, dtype=np.int32), len(total))
-            sums = np.concatenate(list(total.values())) if total else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array([k for k in total for _ in range(size)], pa.string()), pa.array(bins, pa.int32()), pa.array(sums, pa.int64())], names=["lang", "bin", "n"])
+            cols = [k for k, _ in held], [w for _, w in held], [v[0] for v in held.values()], [v[1] for v in held.values()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["lang", "word", "docs", "n"])
+
+        def add(lang: str | None, word: bytes, docs: int, n: int) -> None:
+            if (v := held.get((lang, word))) is None:
+                held[(lang, word)] = [docs, n]
+            else:
+                v[0] += docs
+                v[1] += n
 
         for b in batches:
-            hist = np.hstack([_rows(b.column(i)) for i in (1, 2)])
-            for lang, at in _by_language(b.column(0)):
-                total[lang] = total.get(lang, 0) + hist[at].sum(0)
-            if len(total) >= SUMS_AT_ONCE:
-                yield emit()
-                total.clear()
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
+                bare = raw.translate(_BARE).split()
+                add(lang, _TOTAL, 1, len(bare))
+                for k, n in enumerate(class_counts(raw).tolist()):
+                    add(lang, _TOTAL + bytes([k]), 0, n)
+                for w, n in Counter(bare).items():
+                    add(lang, w, 1, n)
+                if len(held) >= WORDS_AT_ONCE:
+                    yield emit()
+                    held.clear()
+            trim()
         yield emit()
 
-    sums = stash(feats.select("lang", "classes", "words").mapInArrow(run, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")), "references")
-    pooled = sums.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "bin", "n")
-    rows = sums.where("lang is not null").unionByName(pooled).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("bin", "n")))["n"].alias("hist"))
-    return rows.select(F.col("lang").alias("ref_lang"), F.slice("hist", 1, len(CLASSES)).alias("ref_classes"), F.slice("hist", len(CLASSES) + 1, size).alias("ref_words"))
+    counts = documents.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(trimmed(run), "lang string, word binary, docs bigint, n bigint")
+    return counts.groupBy("lang", "word").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+
+
+def languages(documents: DataFrame) -> DataFrame:
+    """ref_lang, ref_classes, common and ref_words of each language, and, for a null language, of all documents together: class
+    histogram, COMMON_WORDS words (the rest empty) and their histogram with that of all others last."""
+    counts = stash(_language_counts(documents), "language-words")
+    pooled = counts.groupBy("word").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "word", "docs", "n")
+    every = counts.where("lang is not null").unionByName(pooled)
+    total = every.where(F.col("word") == F.lit(_TOTAL)).select(F.col("lang").alias("l"), F.col("docs").alias("all_docs"), F.col("n").alias("all_words"))
+    total = checked(stash(total, "languages"))
+    key = F.substring("word", 1, 1) == F.lit(_TOTAL)
+    often = every.where(~key).join(total, F.col("lang").eqNullSafe(F.col("l"))).where(F.col("docs") >= COMMON_SHARE * F.col("all_docs"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("docs"), "word"))
+    common = often.withColumn("rank", rank).where(F.col("rank") <= COMMON_WORDS).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("c"))
+    classes = every.where(key & (F.octet_length("word") == 2)).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("word", "n")))["n"].alias("ref_classes"))
+    rows = total.join(classes.withColumnRenamed("lang", "lc"), F.col("l").eqNullSafe(F.col("lc"))).join(common, F.col("l").eqNullSafe(F.col("lang")), "left")
+    c = F.coalesce("c", F.array().cast("array<struct<rank:int,word:binary,n:bigint>>"))
+    missing = COMMON_WORDS - F.size(c)
+    sums = F.aggregate(c["n"], F.lit(0).cast("bigint"), lambda a, n: a + n)
+    ref_words = F.concat(c["n"], F.array_repeat(F.lit(0).cast("bigint"), missing), F.array(F.col("all_words") - sums))
+    return rows.select(F.col("l").alias("ref_lang"), "ref_classes", F.concat(c["word"], F.array_repeat(F.lit(b""), missing)).alias("common"), ref_words.alias("ref_words"))
 
 
 def _rows(column: pa.Array) -> np.ndarray:
@@ -209,39 +221,43 @@ def judge(lang: pa.Array, n_words: np.ndarray, n_repeat: np.ndarray, hist: list[
     return far, failed, ~failed & ((n_words < guard_words) | ((far[0] <= max_class) & (far[1] <= max_word) & ~lacks))
 
 
-def verdict(feats: DataFrame, refs: DataFrame, guard_words: int = GUARD_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
-    """Adds class_distance, word_distance, base_failed and kept."""
+def _judged(texts: pa.Array, lang: pa.Array, classes: pa.Array, common: pa.Array, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Counts (rows of five), distances, base_failed and kept of texts, with their languages' rows."""
+    rows: list[tuple] = [()] * len(texts)
+    for _, at in _by_language(lang):
+        bins = common[int(at[0])].as_py()
+        for k in at.tolist():
+            rows[k] = text_features(texts[k].as_py(), bins)
+    counts = np.array([r[:5] for r in rows], np.int64).reshape(len(rows), 5)
+    hist = [np.array([r[k] for r in rows], np.int64).reshape(len(rows), -1) for k in (5, 6)]
+    return (counts, *judge(lang, counts[:, 0], counts[:, 4], hist, [_rows(classes), _rows(words)]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            hist, ref = [_rows(b.column(i)) for i in (7, 8)], [_rows(b.column(i)) for i in (9, 10)]
-            far, failed, kept = judge(b.column(1), b.column(2).to_numpy(), b.column(6).to_numpy(), hist, ref, guard_words, max_class, max_word)
-            yield pa.RecordBatch.from_arrays([b.column(0), *[b.column(i) for i in range(2, 7)], pa.array(far[0]), pa.array(far[1]), pa.array(failed), pa.array(kept)], names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept"])
 
-    both = feats.join(checked(refs), feats["lang"].eqNullSafe(refs["ref_lang"])).drop("ref_lang")
-    return both.mapInArrow(run, "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, class_distance double, word_distance double, base_failed boolean, kept boolean")
+def _with_languages(rows: DataFrame, lang: str, known: DataFrame) -> DataFrame:
+    """rows with _lang, their language's row as _known, joined by what lang says."""
+    known = checked(stash(known.select(F.struct("ref_lang", "ref_classes", "common", "ref_words").alias("_known")), "references"))
+    both = rows.withColumn("_lang", F.col(lang).cast("string"))
+    return both.join(known, F.col("_lang").eqNullSafe(F.col("_known.ref_lang")))
 
 
 def good_rows(documents: DataFrame) -> DataFrame:
     """The rows of documents that the rules keep against references from all of them, each judged by its own text and
     language. Texts are read twice and not shuffled."""
-    refs = stash(references(features(documents)), "references")
-    refs = checked(refs.select(F.struct("ref_lang", "ref_classes", "ref_words").alias("_reference")))
-    both = documents.select(whole_rows(documents, "_row")).join(refs, F.col("_row.lang").cast("string").eqNullSafe(F.col("_reference.ref_lang")))
-
-    def decide(texts: pa.Array, lang: pa.Array, classes: pa.Array, words: pa.Array) -> np.ndarray:
-        rows = [text_features(t.as_py()) for t in texts]
-        n, repeat = (np.array([r[k] for r in rows], np.int64) for k in (0, 4))
-        hist = [np.array([r[k] for r in rows], np.int64).reshape(len(rows), -1) for k in (5, 6)]
-        return judge(lang, n, repeat, hist, [_rows(classes), _rows(words)])[2]
-
-    return rows_where(both.select("_row", F.col("_row.lang").cast("string").alias("lang"), "_reference.ref_classes", "_reference.ref_words"), decide)
+    both = _with_languages(documents.select(whole_rows(documents, "_row")), "_row.lang", languages(documents))
+    return rows_where(both.select("_row", "_lang", "_known.ref_classes", "_known.common", "_known.ref_words"), lambda *c: _judged(*c)[3])
 
 
 def quality_rules(documents: DataFrame) -> DataFrame:
     """Counts, distances and verdict of each document against references from all documents."""
-    feats = stash(features(documents), "quality")
-    return verdict(feats, stash(references(feats), "references"))
+    both = _with_languages(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang"), "lang", languages(documents))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts, far, failed, kept = _judged(*(b.column(k) for k in range(1, 6)))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c) for c in counts.T), pa.array(far[0]), pa.array(far[1]), pa.array(failed), pa.array(kept)], names=["doc_id", *COUNTS, "class_distance", "word_distance", "base_failed", "kept"])
+            trim()
+
+    return both.select("doc_id", "text", "_lang", "_known.ref_classes", "_known.common", "_known.ref_words").mapInArrow(trimmed(run), "doc_id bigint, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", class_distance double, word_distance double, base_failed boolean, kept boolean")
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -557,15 +557,20 @@ def test_quality_verdicts_against_brute_force(spark, documents):
     junk = [(10**6 + k, t, "en") for k, t in enumerate(["qx " * 3 + " ".join(f"zq{a}{b}" for a in "abcdefgh" for b in "ijklmnopqrst"), "#$% " * 120 + "the of", "the of and to " * 30])]
     docs = documents.select("doc_id", "text", F.when(F.col("doc_id") % 17 == 0, None).otherwise(F.col("lang")).alias("lang")).union(spark.createDataFrame(junk, "doc_id bigint, text string, lang string"))
     rows = [tuple(r) for r in docs.collect()]
-    hist = {}
-    for i, text, _ in rows:
-        kinds = Counter(map(brute_class, text or ""))
-        bare = re.findall(r"[a-z'\x80-\U0010ffff]+", fold_ascii(text))
-        seen = Counter(bare)
-        common = [seen[w] for w in quality.WORD_BINS]
-        hist[i] = [kinds[k] for k in quality.CLASSES], [*common, len(bare) - sum(common)]
-    total = lambda pick: [[sum(x) for x in zip(*(hist[i][k] for i, _, lang in rows if pick(lang)), strict=True)] for k in (0, 1)]
-    refs = {lang: total(lambda x, lang=lang: x == lang) for lang in {r[2] for r in rows} - {None}} | {None: total(lambda x: True)}
+    bare = {i: re.findall(r"[a-z'\x80-\U0010ffff]+", fold_ascii(text)) for i, text, _ in rows}
+    seen = {i: Counter(w) for i, w in bare.items()}
+    common, hist, refs = {}, {}, {}
+    for lang in {r[2] for r in rows} | {None}:
+        own = [i for i, _, x in rows if lang is None or x == lang]
+        found = Counter(w for i in own for w in seen[i])
+        often = [w for w in found if found[w] >= 0.2 * len(own)]
+        common[lang] = sorted(often, key=lambda w: (-found[w], w.encode()))[:32]
+        for i, text, x in rows:
+            if lang is None or x == lang:
+                kinds = Counter(map(brute_class, text or ""))
+                hits = [seen[i][w] for w in common[lang]]
+                hist[(i, lang)] = [kinds[k] for k in quality.CLASSES], [*hits, len(bare[i]) - sum(hits)]
+        refs[lang] = [[sum(x) for x in zip(*(hist[(i, lang)][k] for i in own), strict=True)] for k in (0, 1)]
     got = {r["doc_id"]: r for r in quality.quality_rules(docs).collect()}
     reasons = Counter()
     for i, text, lang in rows:
@@ -573,10 +578,11 @@ def test_quality_verdicts_against_brute_force(spark, documents):
         windows = Counter(zip(words, words[1:], words[2:], strict=False))
         often = {k + o for k in range(len(words) - 2) if windows[tuple(words[k : k + 3])] > 1 for o in range(3)}
         failed = len(words) < 50 or 100 * len(often) > 50 * len(words)
-        far = [js(hist[i][k], refs[lang][k]) if sum(hist[i][k]) else 0 for k in (0, 1)]
-        ref, bare = refs[lang][1], [0] * len(quality.WORD_BINS) + [1]
-        expected = sum(hist[i][1]) * (1 - ref[-1] / sum(ref))
-        lacks = expected >= quality.GUARD_COMMON and far[1] >= min(js(bare, ref), js(hist[i][1], bare))
+        mine = hist[(i, lang)]
+        far = [js(mine[k], refs[lang][k]) if sum(mine[k]) else 0 for k in (0, 1)]
+        ref, none = refs[lang][1], [0] * len(common[lang]) + [1]
+        expected = sum(mine[1]) * (1 - ref[-1] / sum(ref))
+        lacks = expected >= quality.GUARD_COMMON and far[1] >= min(js(none, ref), js(mine[1], none))
         bad = [n for n, hit in (("class", far[0] > 0.25), ("word", far[1] > 0.6), ("lacks", lacks)) if hit]
         kept = not failed and (len(words) < quality.GUARD_WORDS or not bad)
         reasons.update(bad if not failed else ["base"])
@@ -587,6 +593,18 @@ def test_quality_verdicts_against_brute_force(spark, documents):
     assert sorted(r["doc_id"] for r in quality.good_rows(docs).collect()) == sorted(i for i, r in got.items() if r["kept"])
 
 
+def test_common_words_are_learnt(spark):
+    rng = np.random.default_rng(9)
+    makes = lambda words, k: [(k + i, " ".join(rng.choice(words + [f"{w}{chr(97 + x)}" for w in words[:3] for x in range(26)], 200, p=[0.5 / len(words)] * len(words) + [0.5 / 78] * 78)), "qq" if k < 1000 else "rr") for i in range(40)]
+    one, two = ["ba", "ko", "mi", "tu", "re", "sa"], ["xel", "vor", "nim", "pag", "dus", "fir"]
+    swapped = [(i + 5000, t, "rr" if lang == "qq" else "qq") for i, t, lang in (makes(one, 0)[:1] + makes(two, 1000)[:1])]
+    docs = spark.createDataFrame(makes(one, 0) + makes(two, 1000) + swapped, "doc_id bigint, text string, lang string")
+    known = {r["ref_lang"]: r for r in quality.languages(docs).collect()}
+    assert set(one) <= {bytes(w).decode() for w in known["qq"]["common"]} and len(known["qq"]["common"]) == 32 and len(known["rr"]["ref_words"]) == 33 and set(known) == {"qq", "rr", None}
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(docs).collect()}
+    assert [i for i, k in got.items() if not k] == [5000, 6000]
+
+
 def brute_quality(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -599,7 +617,7 @@ def brute_quality(text):
 
 def test_quality_counts(spark, documents, odd):
     rows = [tuple(r) for r in documents.select("doc_id", "text", "lang").collect()]
-    got = sorted(by_text(quality.features(documents).collect(), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
+    got = sorted(by_text(quality.quality_rules(documents).collect(), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
     assert got == sorted((i, *brute_quality(t)) for i, t, _ in rows)
     got = quality.quality_rules(odd).collect()
     assert sorted(by_text(got, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == sorted(brute_quality(t) for _, t, _ in ODD)
@@ -620,20 +638,20 @@ def test_junk_of_plain_letters_is_rejected(spark):
     plain = [(i, " ".join(rng.choice(["the", "of", "and", "to", "in", *(f"stone{chr(97 + x)}" for x in range(15))], 150)), "en") for i in range(80)]
     letters = lambda: "".join(rng.choice(list("abcdefghij"), 6))
     junk = [(1000, " ".join(letters() for _ in range(150)), "en"), (1001, " ".join(["the", *(letters() for _ in range(149))]), "en"), (1002, " ".join(letters() if k % 4 else "una" for k in range(150)), "en")]
-    # A language that uses none of the listed words is not judged by them.
+    # A language whose texts share no words is not judged by them; one that does is, whatever its words.
     other = [(2000 + i, " ".join(letters() for _ in range(150)), "xx") for i in range(20)]
     got = {r["doc_id"]: r for r in quality.quality_rules(spark.createDataFrame(plain + junk + other, "doc_id bigint, text string, lang string")).collect()}
     assert [i for i, r in got.items() if not r["kept"] and not r["base_failed"]] == [1000, 1001, 1002]
 
 
 def test_every_language_has_its_own_reference(spark, monkeypatch):
-    monkeypatch.setattr(quality, "SUMS_AT_ONCE", 7)
+    monkeypatch.setattr(quality, "WORDS_AT_ONCE", 7)
     rng = np.random.default_rng(9)
     text = lambda letters: " ".join("".join(rng.choice(list(letters), 5)) for _ in range(150))
     rows = [(100 * k + i, text("abcdefgh"), f"l{k:02}") for k in range(70) for i in range(3)] + [(9000 + i, text("бвгджзкл"), "zz") for i in range(2)] + [(9100, text("abcdefgh"), None), (9101, text("бвгджзкл"), None), (9102, text("abcdefgh"), "*"), (9103, text("abcdefgh"), "")]
     got = {r["doc_id"]: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)).collect()}
     assert len(got) == len(rows) and [i for i, r in got.items() if not r["kept"]] == [9101]
-    classes = {i: np.array(quality.text_features(t)[5]) for i, t, _ in rows}
+    classes = {i: np.array(quality.text_features(t, [])[5]) for i, t, _ in rows}
     assert abs(got[9000]["class_distance"] - quality.jensen_shannon(classes[9000][None], classes[9000] + classes[9001])[0]) < 1e-12
     assert abs(got[9101]["class_distance"] - quality.jensen_shannon(classes[9101][None], sum(classes.values()))[0]) < 1e-12
 
