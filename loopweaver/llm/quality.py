@@ -2,7 +2,7 @@
 
 Texts are read twice. The first pass sums, by language, the classes of bytes and how often and in how many documents each word
 stands; `languages` makes a row of each language: its class histogram, its common words and their histogram. The common words
-are learnt: those that stand in the most documents of the language, in COMMON_SHARE of them or more. The second pass joins
+are learnt: those that stand in the most documents of the language, in COMMON_SHARE of them or more and in COMMON_DOCS at least. The second pass joins
 that row to the documents of the language and takes the Jensen-Shannon distance of each one's class and common-word
 histograms from its language's. Short documents have noisy histograms, so the distances only count from a minimum length on.
 
@@ -32,8 +32,8 @@ from pyspark.sql.window import Window
 from loopweaver.llm.chunks import checked
 from loopweaver.llm.common import rows_where, stash, table, trim, trimmed, whole_rows
 
-#: Common words of a language, and the share of its documents that they stand in, at least.
-COMMON_WORDS, COMMON_SHARE = 32, 0.2
+#: Common words of a language, and the share and number of its documents that they stand in, at least.
+COMMON_WORDS, COMMON_SHARE, COMMON_DOCS = 32, 0.2, 5
 #: Classes of a text's bytes; a continuation byte of UTF-8 belongs to no class.
 CLASSES = ("blank", "newline", "lower", "upper", "digit", "stop", "quote", "mark", "symbol", "control", "latin", "wide", "astral")
 MIN_WORDS = 50
@@ -161,7 +161,7 @@ def languages(documents: DataFrame) -> DataFrame:
     total = every.where(F.col("word") == F.lit(_TOTAL)).select(F.col("lang").alias("l"), F.col("docs").alias("all_docs"), F.col("n").alias("all_words"))
     total = checked(stash(total, "languages"))
     key = F.substring("word", 1, 1) == F.lit(_TOTAL)
-    often = every.where(~key).join(total, F.col("lang").eqNullSafe(F.col("l"))).where(F.col("docs") >= COMMON_SHARE * F.col("all_docs"))
+    often = every.where(~key).join(total, F.col("lang").eqNullSafe(F.col("l"))).where((F.col("docs") >= COMMON_SHARE * F.col("all_docs")) & (F.col("docs") >= COMMON_DOCS))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("docs"), "word"))
     common = often.withColumn("rank", rank).where(F.col("rank") <= COMMON_WORDS).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("c"))
     classes = every.where(key & (F.octet_length("word") == 2)).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("word", "n")))["n"].alias("ref_classes"))

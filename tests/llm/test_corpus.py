@@ -563,7 +563,7 @@ def test_quality_verdicts_against_brute_force(spark, documents):
     for lang in {r[2] for r in rows} | {None}:
         own = [i for i, _, x in rows if lang is None or x == lang]
         found = Counter(w for i in own for w in seen[i])
-        often = [w for w in found if found[w] >= 0.2 * len(own)]
+        often = [w for w in found if found[w] >= max(5, 0.2 * len(own))]
         common[lang] = sorted(often, key=lambda w: (-found[w], w.encode()))[:32]
         for i, text, x in rows:
             if lang is None or x == lang:
