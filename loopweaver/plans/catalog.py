@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopweaver.operators import background, binning, candidates, cluster, combine, graph, jobs, normalize, stats
+from loopweaver.operators import background, binning, candidates, cluster, combine, graph, jobs, moments, normalize, stats
 from loopweaver.params import Params
 from loopweaver.plans import analysis
 from loopweaver.sources import fixture
@@ -56,6 +56,12 @@ def _sums(spark, d):
     return analysis.tested_places(analysis.from_values(_counts(spark, d), P, folded=True))
 
 
+def _outliers(spark, d):
+    """Outliers of every place, folded in the same tasks."""
+    packed = analysis.from_values(_counts(spark, d), P, folded=True)
+    return moments.places(moments.merged(packed)).select("chrom", "i", "j", F.col("outlier_count").alias("outliers"))
+
+
 def _cells(spark, d):
     return combine.cell_counts(_binned(spark, d))
 
@@ -128,7 +134,8 @@ QUERIES = {
     "diag_trimmed_zscore": lambda s, d: _rounded(normalize.diag_zscore(normalize.on_grid(_counts(s, d), P)), "z"),
     "diag_zscore_by_value": lambda s, d: _rounded(normalize.diag_zscore_by_value(normalize.on_grid(_counts(s, d), P)), "z"),
     "fused_zscore": lambda s, d: _rounded(_z(s, d).select("cell", "chrom", "i", "j", "z"), "z"),
-    "outlier_count": lambda s, d: combine.outlier_count(_z(s, d), P.outlier),
+    "outlier_count": _outliers,
+    "outlier_count_from_rows": lambda s, d: combine.outlier_count(_z(s, d), P.outlier),
     "hic_score": lambda s, d: combine.hic_score(combine.outlier_count(_z(s, d), P.outlier), _cells(s, d)),
     "hic_input": lambda s, d: combine.hic_input(combine.hic_score(combine.outlier_count(_z(s, d), P.outlier), _cells(s, d)), P),
     "hic_input_all": lambda s, d: combine.hic_input(combine.hic_score(combine.outlier_count(_z(s, d), P.outlier), _cells(s, d)), P, positive=False),
@@ -371,6 +378,7 @@ ORACLE |= {
     ),
     "validate_incomplete": _sql("zs", f"SELECT cell, chrom, count(*) FILTER (WHERE z <= {P.outlier}) AS rows, count(*) AS expected, count(*) FILTER (WHERE z <= {P.outlier}) = count(*) AS complete FROM zs GROUP BY cell, chrom HAVING count(*) FILTER (WHERE z <= {P.outlier}) > 0"),
     "paired_tstat_from_rows": ORACLE["paired_tstat"],
+    "outlier_count_from_rows": ORACLE["outlier_count"],
     "bh_fdr_chrom_ranged": ORACLE["bh_fdr_chrom"],
     "density_clusters_by_joins": ORACLE["density_clusters"],
     "summits_by_rounds": ORACLE["summit_nms"],

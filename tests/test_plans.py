@@ -14,7 +14,7 @@ from loopweaver.sources.store import MomentStore, ScoreStore
 from loopweaver.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
-CHECKED = ["bin_contacts", "distance_histogram", "graph_degree", "fused_zscore", "diag_trimmed_zscore", "hic_input", "fused_background", "local_background", "significances", "neighbor_means", "density_clusters", "bh_fdr_by_distance", "validate_counts", "student_p_values", "summit_nms", "connected_candidates", "zscore_pivot", "rwr_q1", "window_size_fractions", "hic_input_all", "paired_tstat", "paired_tstat_from_rows", "bh_fdr_chrom_ranged", "density_clusters_by_joins", "summits_by_rounds", "connected_by_stars", "summit_scores", "validate_incomplete", "knee_clusters", "diag_zscore_by_value"]
+CHECKED = ["bin_contacts", "distance_histogram", "graph_degree", "fused_zscore", "diag_trimmed_zscore", "hic_input", "fused_background", "local_background", "significances", "neighbor_means", "density_clusters", "bh_fdr_by_distance", "validate_counts", "student_p_values", "summit_nms", "connected_candidates", "zscore_pivot", "rwr_q1", "window_size_fractions", "hic_input_all", "paired_tstat", "paired_tstat_from_rows", "bh_fdr_chrom_ranged", "density_clusters_by_joins", "summits_by_rounds", "connected_by_stars", "summit_scores", "validate_incomplete", "knee_clusters", "diag_zscore_by_value", "outlier_count", "outlier_count_from_rows"]
 
 
 def rows(names, table):
