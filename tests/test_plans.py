@@ -253,3 +253,23 @@ def test_stream_is_distinct_across_batches(spark, tmp_path):
     src.limit(500).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     q()
     assert spark.read.parquet(f"{tmp_path}/out").count() == catalog.QUERIES["bin_contacts"](spark, SF).count()
+
+
+def test_hdf5_values_are_read_in_stretches(monkeypatch):
+    """By a stand-in for the file, as h5py may be missing: a partition for each stretch of each cell."""
+    import contextlib
+
+    import numpy as np
+
+    from loopweaver.sources import matrices
+
+    at = np.array([[k + d, k] if k % 2 else [k, k + d] for k in range(40) for d in (1, 3)])
+    file = {"coordinates": at, "cell_1": np.arange(80.0), "cell_20": -np.arange(80.0), "other": np.zeros(3)}
+    monkeypatch.setattr(matrices, "_hdf5_file", lambda path: contextlib.nullcontext(file))
+    monkeypatch.setattr(matrices, "files", lambda path, suffix: [f"{path}/a.h5"])
+    reader = matrices.MatrixReader({"path": "/x", "kind": "hdf5", "chrom": "chr3", "stretchbytes": "240"})
+    parts = reader.partitions()
+    assert len(parts) == 6 and {(p.cell, p.start, p.stop) for p in parts} == {(c, s, min(80, s + 30)) for c in ("cell_1", "cell_20") for s in (0, 30, 60)}
+    got = [tuple(r.values()) for p in parts for b in reader.read(p) for r in b.to_pylist()]
+    assert sorted(got) == sorted((c, "chr3", int(min(q)), int(max(q)), float(v)) for c in ("cell_1", "cell_20") for q, v in zip(at, file[c], strict=True))
+    assert [p.path for p in matrices.MatrixReader({"path": "/x", "kind": "hdf5", "chrom": "chr3", "chroms": "chr4"}).partitions()] == [""]
