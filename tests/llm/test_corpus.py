@@ -700,6 +700,19 @@ def test_partitions_grow_with_the_texts(spark, documents, monkeypatch):
     assert got.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).where("n <> t").count() == 0
 
 
+def test_pieces_follow_the_curve(spark, documents, monkeypatch):
+    """Within a partition documents begin in the order of their keys, worked out again, and partitions are ranges of keys."""
+    monkeypatch.setattr(packing, "PARTITION_BYTES", max(1, packing._bytes(documents) // 5))
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in documents.select("doc_id", "text").collect()}
+    key = dict(zip(texts, np.asarray(packing.curve_keys(list(texts.values()))).tolist(), strict=True))
+    begun: dict = {}
+    for r in sorted((r["sequence_id"], r["offset"], r["doc_id"]) for r in packing.pack(documents).where("start = 0").collect()):
+        begun.setdefault(r[0] >> 40, []).append(key[r[2]])
+    assert len(begun) > 3 and sum(map(len, begun.values())) == len(texts)
+    along = [k for p in sorted(begun) for k in begun[p]]
+    assert along == sorted(along) and len(set(along)) > len(along) / 2
+
+
 def test_equal_rows_are_spread(spark):
     from pyspark.sql import functions as F
 
