@@ -48,9 +48,11 @@ class ScoreStore:
         at = f"{self.path}/run={run}"
         named = z.select(F.col("chrom"), bucket("cell").alias("bucket"), F.col("cell").cast("string").alias("cell"), "i", "j", "z", "nb")
         named.write.partitionBy("chrom", "bucket").parquet(at)
-        if not exists(self.spark, at):
-            return None
         done = self._rows(at).groupBy("chrom", "cell").agg(F.count(F.lit(1)).alias("rows"))
+        if not done.head(1):
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(at)
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+            return None
         done.select(F.lit(run).alias("run"), "chrom", "cell", "rows").write.mode("append").parquet(self._manifest)
         return run
 

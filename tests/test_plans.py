@@ -126,6 +126,7 @@ def test_cells_keep_their_names_and_come_in_batches(spark, tmp_path):
     names_run(spark, tmp_path, "one", "bin", "rwr", "hic", "interaction", "postprocess")
     both = [[(r["chrom"], r["i"], r["j"], r["outlier_count"], round(r["tstat"], 6), round(r["fdr_chrom"], 9)) for r in spark.read.parquet(f"{tmp_path}/{d}/interactions").orderBy("chrom", "i", "j").collect()] for d in ("one", "two")]
     assert both[0] == both[1] and len(both[0]) > 10_000
+    assert store.append(store.read().limit(0)) is None and len(store.runs()) == 2 and len(list((tmp_path / "two" / "rwr").glob("run=*"))) == 2
     # A run that broke off before its manifest is not read, and a cell scored again is refused.
     before = store.read().count()
     again = store.read().where("cell = '01' and chrom = 'chr1'").select("cell", "chrom", "i", "j", "z", "nb")
