@@ -364,3 +364,33 @@ def test_rates_by_ranges(spark, ranges):
     a, b = (sorted(map(tuple, f.select("chrom", "i", "j", "q").collect())) for f in (stats.bh_fdr(t, ["chrom"], "q"), stats.bh_fdr_ranged(t, ["chrom"], "q", ranges)))
     assert a == b
     assert stats.bh_fdr_ranged(t.limit(0), ["chrom"], "q").count() == 0
+
+
+def _shuffled_last(df) -> bool:
+    """Whether rows are shuffled or joined after the last generator has made them."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "Exchange" in plan[: plan.index("Generate")] or "Join" in plan
+
+
+@pytest.mark.parametrize("by_value", [False, True])
+def test_zscores_of_values_equal_those_of_the_band(spark, by_value):
+    """Of values of either sign, explicit zeros and nulls among them; the band is never shuffled."""
+    p = replace(P, chrom_lengths={"chr1": 2_100_000, "chr2": 900_000})
+    rng = np.random.default_rng(7)
+    rows = []
+    for cell, low, count in (("a", 0, 900), ("b", -3, 4000), ("c", -3, 30_000), ("d", 5, 1)):
+        for chrom in ("chr1", "chr2"):
+            n = p.bins(chrom)
+            at = {(int(i), int(i + d)) for i, d in zip(rng.integers(0, n, count), rng.integers(-2, p.max_rwr_bins + 4, count))}
+            rows += [(cell, chrom, i, j, None if i % 17 == 3 else float(rng.integers(low, low + 6))) for i, j in sorted(at)]
+    values = spark.createDataFrame(rows, "cell string, chrom string, i bigint, j bigint, v double")
+    have = {r[:4]: r[4] or 0.0 for r in rows}
+    full = {(c, k, int(i), int(j)): have.get((c, k, int(i), int(j)), 0.0) for c in "abcd" for k in p.chrom_lengths for i, j in zip(*graph.band_places(p, p.bins(k)))}
+    dense = normalize.on_grid(values, p)
+    got = [tuple(r) for r in dense.collect()]
+    assert len(got) == len(full) and {r[:4]: r[4] for r in got} == full
+    scored = normalize.diag_zscore_of_values(values, p, by_value)
+    assert not _shuffled_last(dense) and not _shuffled_last(scored)
+    want = {tuple(r)[:4]: r["z"] for r in (normalize.diag_zscore_by_value if by_value else normalize.diag_zscore)(dense).collect()}
+    found = {tuple(r)[:4]: r["z"] for r in scored.collect()}
+    assert found.keys() == want.keys() and max(abs(found[k] - want[k]) for k in want) < 1e-9
