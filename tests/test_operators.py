@@ -394,3 +394,23 @@ def test_zscores_of_values_equal_those_of_the_band(spark, by_value):
     want = {tuple(r)[:4]: r["z"] for r in (normalize.diag_zscore_by_value if by_value else normalize.diag_zscore)(dense).collect()}
     found = {tuple(r)[:4]: r["z"] for r in scored.collect()}
     assert found.keys() == want.keys() and max(abs(found[k] - want[k]) for k in want) < 1e-9
+
+
+def test_background_of_rows_that_lie_together_is_not_shuffled(spark):
+    """Cells whose places differ, split over batches; brought together first or not, the same, and in the latter case by no
+    shuffle at all."""
+    rng = np.random.default_rng(3)
+    i, j = graph.band_places(P, 60)
+    rows, want = [], {}
+    for cell in ("a", "b", "c"):
+        some = np.flatnonzero(rng.random(len(i)) < 0.8)
+        z = rng.normal(size=len(some))
+        nb = background.background_pairs(i[some], j[some], z, 60, P)
+        rows += [(cell, "chr1", int(a), int(b), float(x)) for a, b, x in zip(i[some], j[some], z)]
+        want |= {(cell, int(a), int(b)): v for a, b, v in zip(i[some], j[some], nb) if not np.isnan(v)}
+    df = spark.createDataFrame(rows, "cell string, chrom string, i bigint, j bigint, z double")
+    there = background.local_background(df.coalesce(1), P, together=True)
+    assert "Exchange" not in there._jdf.queryExecution().executedPlan().toString()
+    for made in (there, background.local_background(df.repartition(3), P)):
+        got = {(r["cell"], r["i"], r["j"]): r["nb"] for r in made.collect()}
+        assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in want) < 1e-9
