@@ -414,3 +414,25 @@ def test_background_of_rows_that_lie_together_is_not_shuffled(spark):
     for made in (there, background.local_background(df.repartition(3), P)):
         got = {(r["cell"], r["i"], r["j"]): r["nb"] for r in made.collect()}
         assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in want) < 1e-9
+
+
+def test_links_are_made_where_the_contacts_lie(spark):
+    """Chains come with a cell's first contact, after the only shuffle, and degrees and walks need no other; partitions are as
+    many as the session's, however few bytes the contacts have."""
+    i, j, n = small_graph()
+    pairs = sorted({(cell, "chr1", int(a), int(b)) for cell in ("a", "b") for a, b in zip(i, j) if b - a >= 2 and (cell == "a" or a > 20)})
+    p = replace(P, chrom_lengths={"chr1": n * 10_000})
+    binned = spark.createDataFrame(pairs, "cell string, chrom string, i bigint, j bigint")
+    e = graph.edges(binned, p)
+    want = {cell: graph.adjacency(np.array([x[2] for x in pairs if x[0] == cell]), np.array([x[3] for x in pairs if x[0] == cell]), n) for cell in ("a", "b")}
+    assert sorted((r["cell"], r["u"], r["v"]) for r in e.collect()) == sorted((c, u, v) for c, m in want.items() for u, v in zip(*(x.tolist() for x in np.nonzero(m))))
+    made = {"degree": graph.degree(e), "p": graph.transition_matrix(e), "w": graph.laplacian_weights(e), "s": graph.rwr_iterative(e, p, 2)}
+    for name, df in made.items():
+        assert not _shuffled_last(df), name
+        for r in df.collect():
+            m = want[r["cell"]]
+            d = m.sum(1)
+            exact = {"degree": lambda: d[r["u"]], "p": lambda: 1 / d[r["u"]], "w": lambda: 1 / np.sqrt(d[r["u"]] * d[r["v"]]), "s": lambda: graph.solve_iterative(m, p.alpha, 2, 0)[r["i"], r["j"]]}[name]()
+            assert abs(r[name] - exact) < 1e-12
+    for rows in (e, jobs.dealt(binned)):
+        assert rows.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
