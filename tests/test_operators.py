@@ -436,3 +436,36 @@ def test_links_are_made_where_the_contacts_lie(spark):
             assert abs(r[name] - exact) < 1e-12
     for rows in (e, jobs.dealt(binned)):
         assert rows.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_solves_equal_their_plain_forms_without_singular_vectors(monkeypatch):
+    """iterative by doubling, also where it may stop early; nblin and blin without a singular value decomposition."""
+    i, j, n = small_graph(seed=4)
+    m = graph.adjacency(i, j, n)
+    for alpha, rounds, tolerance in ((0.05, 30, 1e-6), (0.05, 1, 1e-6), (0.05, 2, 0), (0.05, 31, 0), (0.5, 40, 1e-6), (0.5, 19, 1e-6), (0.05, 500, 1e-4)):
+        p, a = m / m.sum(1, keepdims=True), np.eye(n)
+        for _ in range(rounds):
+            b = (1 - alpha) * (p @ a) + alpha * np.eye(n)
+            gap, a = np.abs(b - a).max(), b
+            if gap <= tolerance:
+                break
+        assert np.abs(graph.solve_iterative(m, alpha, rounds, tolerance) - a - a.T).max() < 1e-12
+    products = []
+    real = graph._rows
+
+    class Counted(np.ndarray):
+        def __matmul__(self, other):
+            products.append(1)
+            return np.matmul(np.asarray(self), np.asarray(other)).view(Counted)
+
+    monkeypatch.setattr(graph, "_rows", lambda x: real(x).view(Counted))
+    graph.solve_iterative(m, 0.05, 30)
+    assert len(products) < 15
+    monkeypatch.setattr(graph, "_rows", real)
+    w = graph._scaled(m)
+    exact = 0.05 * np.linalg.inv(np.eye(n) - 0.95 * w)
+    scaled = exact / exact.sum(0)
+    monkeypatch.setattr(np.linalg, "svd", None)
+    assert np.abs(graph.solve_nblin(m, 0.05) - scaled - scaled.T).max() < 1e-12
+    for parts in (2, 4, 13):
+        assert np.abs(graph.solve_blin(m, 0.05, parts) - exact - exact.T).max() < 1e-12
