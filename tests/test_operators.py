@@ -469,3 +469,14 @@ def test_solves_equal_their_plain_forms_without_singular_vectors(monkeypatch):
     assert np.abs(graph.solve_nblin(m, 0.05) - scaled - scaled.T).max() < 1e-12
     for parts in (2, 4, 13):
         assert np.abs(graph.solve_blin(m, 0.05, parts) - exact - exact.T).max() < 1e-12
+
+
+def test_nblin_takes_the_inverse_without_any_vectors(monkeypatch):
+    i, j, n = small_graph(seed=6)
+    m = graph.adjacency(i, j, n)
+    u, s, v = np.linalg.svd(graph._scaled(m))
+    want = 0.05 * (np.eye(n) + 0.95 * u @ np.linalg.inv(np.diag(1 / s) - 0.95 * v @ u) @ v)
+    want /= want.sum(0)
+    monkeypatch.setattr(np.linalg, "eigh", None)
+    monkeypatch.setattr(np.linalg, "svd", None)
+    assert np.abs(graph.solve_nblin(m, 0.05) - want - want.T).max() < 1e-12
