@@ -480,3 +480,31 @@ def test_nblin_takes_the_inverse_without_any_vectors(monkeypatch):
     monkeypatch.setattr(np.linalg, "eigh", None)
     monkeypatch.setattr(np.linalg, "svd", None)
     assert np.abs(graph.solve_nblin(m, 0.05) - want - want.T).max() < 1e-12
+
+
+def test_range_finder_takes_small_steps(monkeypatch):
+    """Of each cell two orthogonal bases and the vectors of a small matrix; the start is drawn once."""
+    n = 120
+    i, j = contacts_of(n, 150, 10, 0.2)
+    g = graph.ScaledGraph(i, j, n)
+    q = np.random.default_rng(graph.SEED).standard_normal((n, 60 + graph.OVERSAMPLE))
+    for _ in range(graph.POWERS):
+        q, _ = np.linalg.qr(g @ q)
+    u, s, v = np.linalg.svd((g @ q).T, full_matrices=False)
+    want = (q @ u[:, :60] * s[:60]) @ v[:60]
+    calls, real = [], np.linalg.qr
+    monkeypatch.setattr(np.linalg, "qr", lambda x: calls.append(x.shape) or real(x))
+    monkeypatch.setattr(np.linalg, "svd", None)
+    u, s, v, _ = g.low_rank(60)
+    assert np.abs((u * s) @ v - want).max() < 1e-9 and len(calls) == 2
+    start = graph._drawn(n, 76)
+    assert graph._drawn(n, 76) is start
+
+
+def test_range_finder_of_few_values(monkeypatch):
+    """Where squares would lose small singular values, those of the matrix itself are taken."""
+    i = np.zeros(37, np.int64)
+    g = graph.ScaledGraph(i, np.arange(2, 39), 40)
+    w = g @ np.eye(40)
+    u, s, v, residual = g.low_rank(40)
+    assert np.abs((u * s) @ v - w).max() < 1e-9 and residual < 1e-6
