@@ -508,3 +508,35 @@ def test_range_finder_of_few_values(monkeypatch):
     w = g @ np.eye(40)
     u, s, v, residual = g.low_rank(40)
     assert np.abs((u * s) @ v - w).max() < 1e-9 and residual < 1e-6
+
+
+def test_iterative_takes_few_products_and_one_solve(monkeypatch):
+    """A power of a symmetric matrix, half of its products squares, in place of doubled sums."""
+    i, j, n = small_graph(seed=7)
+    m = graph.adjacency(i, j, n)
+    p, a = m / m.sum(1, keepdims=True), np.eye(n)
+    for _ in range(30):
+        a = 0.95 * (p @ a) + 0.05 * np.eye(n)
+    products = []
+
+    class Counted(np.ndarray):
+        def __matmul__(self, other):
+            products.append(1)
+            return np.matmul(np.asarray(self), np.asarray(other)).view(Counted)
+
+    for name in ("_rows", "_scaled"):
+        real = getattr(graph, name)
+        monkeypatch.setattr(graph, name, lambda x, real=real: real(x).view(Counted))
+    assert np.abs(np.asarray(graph.solve_iterative(m, 0.05, 30)) - a - a.T).max() < 1e-12
+    assert len(products) <= 7
+    x = graph._scaled(m)
+    for k in (1, 2, 3, 7, 9, 30, 31):
+        assert np.abs(graph._power(x, k) - np.linalg.matrix_power(np.asarray(x), k)).max() < 1e-13
+    # An isolated bin, no way on, and alpha of 0 and 1.
+    m = np.zeros((4, 4))
+    m[0, 1] = m[1, 0] = 1
+    for alpha in (0.0, 0.05, 1.0):
+        a = np.eye(4)
+        for _ in range(30):
+            a = (1 - alpha) * (m @ a) + alpha * np.eye(4)
+        assert np.abs(np.asarray(graph.solve_iterative(m, alpha, 30, 0)) - a - a.T).max() < 1e-12
