@@ -3,10 +3,12 @@
 import gzip
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
 from loopweaver.__main__ import main, params
+from loopweaver.operators import moments
 from loopweaver.params import Params
 from loopweaver.plans import analysis, catalog
 from loopweaver.sources import contacts, fixture
@@ -274,3 +276,24 @@ def test_hdf5_values_are_read_in_stretches(monkeypatch):
     got = [tuple(r.values()) for p in parts for b in reader.read(p) for r in b.to_pylist()]
     assert sorted(got) == sorted((c, "chr3", int(min(q)), int(max(q)), float(v)) for c in ("cell_1", "cell_20") for q, v in zip(at, file[c], strict=True))
     assert [p.path for p in matrices.MatrixReader({"path": "/x", "kind": "hdf5", "chrom": "chr3", "chroms": "chr4"}).partitions()] == [""]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["hic_score", "hic_input", "hic_input_all"])
+def test_scores_of_places_come_from_folded_outliers(spark, name):
+    """No row of a cell leaves its task, and backgrounds are not taken for outliers."""
+    plan = plan_of(catalog.QUERIES[name](spark, SF))
+    assert "stretch" in plan and " z#" not in plan and ",z#" not in plan.replace(" ", "")
+
+
+def test_outliers_without_background():
+    i, j = np.array([5, 5, 6, 70]), np.array([6, 7, 8, 90])
+    held = [moments.Held(fixture.PARAMS.max_rwr_bins + 1, 1.96) for _ in range(2)]
+    for z in ([3.0, 0.0, 1.0, 2.5], [2.0, -3.0, 1.97, 0.0]):
+        for h, nb in zip(held, (np.zeros(4), np.full(4, np.nan)), strict=True):
+            assert not list(h.take("chr1", i, j, np.array(z), nb, once=True))
+    for k, s in held[0].stretches.items():
+        assert np.array_equal(s.a[:2], held[1].stretches[k].a[:2]) and not held[1].stretches[k].a[2:].any()
