@@ -297,3 +297,8 @@ def test_outliers_without_background():
             assert not list(h.take("chr1", i, j, np.array(z), nb, once=True))
     for k, s in held[0].stretches.items():
         assert np.array_equal(s.a[:2], held[1].stretches[k].a[:2]) and not held[1].stretches[k].a[2:].any()
+
+
+@pytest.mark.parametrize("name", ["validate_counts", "validate_incomplete", "outlier_count_from_rows", "fused_zscore"])
+def test_queries_on_z_take_no_background(spark, name):
+    assert "nb#" not in plan_of(catalog.QUERIES[name](spark, SF))
