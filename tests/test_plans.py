@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from loopweaver.__main__ import main, params
-from loopweaver.operators import moments
+from loopweaver.operators import cluster, moments
 from loopweaver.params import Params
 from loopweaver.plans import analysis, catalog
 from loopweaver.sources import contacts, fixture
@@ -302,3 +302,15 @@ def test_outliers_without_background():
 @pytest.mark.parametrize("name", ["validate_counts", "validate_incomplete", "outlier_count_from_rows", "fused_zscore"])
 def test_queries_on_z_take_no_background(spark, name):
     assert "nb#" not in plan_of(catalog.QUERIES[name](spark, SF))
+
+
+def test_scores_at_places(spark):
+    """The scores of some places equal those of all, and no others leave the tasks; places off the band have none."""
+    values = catalog._counts(spark, SF).where("cell < 4")
+    some = [("chr1", 5, 6), ("chr1", 5, 70), ("chr1", 30, 55), ("chr1", 193, 194), ("chr2", 71, 96), ("chr2", 71, 96), ("chr1", 4, 9), ("chr1", 5, 71), ("chr1", 190, 195), ("chr1", 9, 9), ("chr3", 30, 55)]
+    places = spark.createDataFrame(some, "chrom string, i bigint, j bigint")
+    got = analysis.scores_at(values, places, fixture.PARAMS)
+    want = cluster.summit_scores(places, analysis.from_values(values, fixture.PARAMS))
+    assert rows(got.columns, got.collect()) == rows(got.columns, want.select(got.columns).collect()) and want.count() == 20
+    none = analysis.scores_at(values, places.where("i < 0"), fixture.PARAMS)
+    assert none.count() == 0 and none.schema == got.schema
