@@ -540,3 +540,57 @@ def test_iterative_takes_few_products_and_one_solve(monkeypatch):
         for _ in range(30):
             a = (1 - alpha) * (m @ a) + alpha * np.eye(4)
         assert np.abs(np.asarray(graph.solve_iterative(m, alpha, 30, 0)) - a - a.T).max() < 1e-12
+
+
+def test_inverse_by_halves():
+    """Links near the cut, across the whole, and none; pairs that repeat are one link."""
+    rng = np.random.default_rng(3)
+    for n, reach in ((30, 5), (129, 20), (200, 60), (201, 199), (150, 2)):
+        i = rng.integers(0, n - 2, 2 * n)
+        j = np.minimum(i + rng.integers(2, reach + 1, 2 * n), n - 1)
+        i, j = i[j - i >= 2], j[j - i >= 2]
+        m = np.diag(graph.adjacency(i, j, n).sum(1)) - 0.95 * graph.adjacency(i, j, n)
+        want = np.linalg.inv(m)
+        assert np.abs(graph._inverse(m) - want).max() < 1e-12 * np.abs(want).max()
+        p = replace(P, chrom_lengths={"chr1": n * P.binsize})
+        once, twice = graph.walked_band(i, j, n, p), graph.walked_band(np.r_[i, i], np.r_[j, j], n, p)
+        assert np.array_equal(once[2], twice[2])
+        assert np.allclose(once[2], graph.solve_inverse(graph.adjacency(i, j, n), p.alpha)[once[0], once[1]], rtol=1e-10, atol=0)
+        assert once[0] is twice[0]  # what follows from the places is kept from cell to cell
+    none = np.diag(np.arange(1.0, 131))
+    assert np.allclose(graph._inverse(none), np.linalg.inv(none))
+
+
+def test_cells_fold_together(monkeypatch):
+    """As many merges as cells made before; moments of cells at once equal those of one after another, gaps included."""
+    i, j = graph.band_places(P, 60)
+    rng = np.random.default_rng(4)
+    z, nb = rng.normal(1, 2, (70, len(i))), rng.normal(0, 1, (70, len(i)))
+    z[rng.random(z.shape) < 0.05] = np.nan
+    nb[:, j - i > P.max_bins] = np.nan
+    nb[3:9, 40] = np.nan
+    puts = []
+    real = moments.Stretch.put
+    monkeypatch.setattr(moments.Stretch, "put", lambda self, *a: puts.append(1) or real(self, *a))
+    held, one = moments.Held(P.max_rwr_bins + 1, 1.96), moments.Stretch(P.max_rwr_bins + 1)
+    for a, b in zip(z, nb, strict=True):
+        assert not list(held.take("chr1", i, j, a, b, once=True))
+        one.add(i * one.width + j - i, a, b, 1.96)
+    [(key, got)] = held.stretches.items()
+    assert key == ("chr1", 0) and np.array_equal(got.a[:3], one.a[:3]) and np.abs(got.a - one.a).max() < 1e-10
+    assert 1 <= len(puts) <= 3
+
+
+def test_stretches_past_the_most_are_passed_on():
+    """Cells that wait are passed on whole, whichever call makes room for them."""
+    p = replace(P, chrom_lengths={"chr1": 3_000_000})
+    i, j = graph.band_places(p, 300)
+    held = moments.Held(p.max_rwr_bins + 1, 1.96)
+    held.most = 2
+    out = [b for k in range(40) for b in held.take("chr1", i, j, np.full(len(i), float(k)), np.zeros(len(i)), once=True)]
+    out += held.rest()
+    cells = {}
+    for b in out:
+        for chrom, stretch, s in moments._unpack(b):
+            cells[stretch] = cells.get(stretch, 0) + s.a[0].max()
+    assert cells == {k: 40 for k in range(5)}

@@ -314,3 +314,19 @@ def test_scores_at_places(spark):
     assert rows(got.columns, got.collect()) == rows(got.columns, want.select(got.columns).collect()) and want.count() == 20
     none = analysis.scores_at(values, places.where("i < 0"), fixture.PARAMS)
     assert none.count() == 0 and none.schema == got.schema
+
+
+def test_loops_read_contacts_once(spark):
+    """Cells are counted from the places, and pairs that repeat aren't dropped by a shuffle of their own."""
+    read = spark.sparkContext.accumulator(0)
+    given = fixture.contacts(spark, SF)
+    schema = given.schema
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    want = given.count()
+    analysis.loops(given.mapInArrow(counted, schema), fixture.PARAMS).collect()
+    assert read.value == want
