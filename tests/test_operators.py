@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from loopweaver.functions.student import two_sided
-from loopweaver.operators import background, binning, candidates, cluster, graph, jobs, moments, normalize, partition, selected, stats
+from loopweaver.operators import background, binning, candidates, cluster, graph, jobs, moments, normalize, partition, runs, selected, stats
 from loopweaver.params import Params
 
 P = Params(dist=200_000, binsize=10_000, buffer=50_000, chrom_lengths={"chr1": 600_000})
@@ -594,3 +594,46 @@ def test_stretches_past_the_most_are_passed_on():
         for chrom, stretch, s in moments._unpack(b):
             cells[stretch] = cells.get(stretch, 0) + s.a[0].max()
     assert cells == {k: 40 for k in range(5)}
+
+
+@pytest.mark.parametrize("most", [1, 7, 250_000])
+def test_runs_of_places(spark, monkeypatch, most):
+    """Any places come back as they went, each once, with gaps, repeats and in any order, in batches of few."""
+    monkeypatch.setattr(runs, "BATCH", most)
+    rng = np.random.default_rng(1)
+    i, j = graph.band_places(P, 40)
+    shuffled = rng.permutation(len(i))
+    kind = spark.createDataFrame([], "cell string").schema["cell"].dataType
+    for some, count in ((np.arange(len(i)), 29), (np.flatnonzero(rng.random(len(i)) < 0.7), None), (shuffled, None), (np.repeat(np.arange(9), 3), 19), (np.zeros(0, int), 0)):
+        a, b, x = i[some], j[some], rng.normal(size=len(some))
+        nb = np.where(b - a > 3, np.nan, x)
+        out = list(runs.Runs(a, b).rows("c", "chr1", kind, z=x, nb=nb))
+        assert count is None or sum(r.num_rows for r in out) == count
+        assert all(len(r.column(4).flatten()) <= max(most, P.max_rwr_bins) for r in out)
+        first, last, n, z = (np.concatenate([f(r) for r in out]) if out else np.zeros(0, int) for f in (lambda r: r.column(2), lambda r: r.column(3), lambda r: r.column(4).value_lengths(), lambda r: r.column(4).flatten()))
+        got = runs.places(first, last, n)
+        assert np.array_equal(got[0], a) and np.array_equal(got[1], b) and np.array_equal(z, x)
+        rows = runs.single(spark.createDataFrame([tuple(r.values()) for t in out for r in t.to_pylist()], runs.schema(kind, "z", "nb"))).collect()
+        assert sorted((r["i"], r["j"], r["z"], r["nb"]) for r in rows if r["nb"] is not None) == sorted((*map(int, t[:2]), t[2], t[2]) for t in zip(a, b, x) if t[1] - t[0] <= 3)
+        assert len(rows) == len(a)
+
+
+def test_background_of_runs(spark):
+    """From runs as from rows, cells with other places and a score that is no number among them."""
+    rng = np.random.default_rng(5)
+    i, j = graph.band_places(P, 60)
+    rows, by_runs = [], []
+    for cell in range(4):
+        some = np.arange(len(i)) if cell % 2 else np.flatnonzero(rng.random(len(i)) < 0.8)
+        a, b, z = i[some], j[some], rng.normal(size=len(some))
+        if cell == 3:
+            z[100] = np.nan
+        rows += [(cell, "chr1", int(x), int(y), float(v)) for x, y, v in zip(a, b, z)]
+        ends = runs.Runs(a, b)
+        by_runs += [(cell, "chr1", int(x), int(y), z[s:t].tolist()) for x, y, s, t in zip(ends.i, ends.j, ends.ends[:-1], ends.ends[1:])]
+    one = background.local_background(spark.createDataFrame(rows, "cell bigint, chrom string, i bigint, j bigint, z double"), P)
+    other = background.local_background(spark.createDataFrame(by_runs, "cell bigint, chrom string, i bigint, j bigint, z array<double>").repartition(2), P)
+    assert one.schema == other.schema
+    want, got = ({tuple(r)[:4]: (r["z"], r["nb"]) for r in x.collect()} for x in (one, other))
+    assert want.keys() == got.keys() and want and max(abs(x - y) for k in want for x, y in zip(want[k], got[k])) < 1e-9
+    assert len([k for k in got if k[0] == 3]) < len([k for k in got if k[0] == 1])

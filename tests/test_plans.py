@@ -330,3 +330,26 @@ def test_loops_read_contacts_once(spark):
     want = given.count()
     analysis.loops(given.mapInArrow(counted, schema), fixture.PARAMS).collect()
     assert read.value == want
+
+
+def test_background_takes_runs(spark):
+    """What scores give the background has a row for each bin of a cell, not one for each place, and its rows are made last."""
+    by_runs = catalog._scored(spark, SF, by_runs=True)
+    each = by_runs.groupBy("cell", "chrom").count().collect()
+    assert each and {r["count"] for r in each} == {189}
+    plan = [x.strip(" :+-") for x in plan_of(catalog.QUERIES["local_background"](spark, SF)).splitlines()]
+    kinds = [x.split()[0] for x in plan if x.split()[0] in ("Generate", "MapInArrow")]
+    assert kinds == ["Generate", "MapInArrow", "MapInArrow"]
+
+
+@pytest.mark.parametrize("digits", [6, 8, 9])
+def test_rounding_is_that_of_sql(spark, digits):
+    """Halves, what is next to them, and values that are too large, too small or no numbers."""
+    half = 0.5 / 10**digits
+    near = [1 / 128, 3 / 128, 2.5, 1 / 256, 1 / 1024, 1 / 2048, half, np.nextafter(half, 0), np.nextafter(half, 1), 3 * half, 1.0000005, 0.1 + 0.2, 123456.7890125, 1e-300, 5e-324, 0.0]
+    values = [float(s * x) for x in [*near, 1e9, 2.0**52, 4.6e15, 1e300, 1.7976931348623157e308, float("inf"), *np.random.default_rng(0).normal(size=300)] for s in (1, -1)]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in values], "x double").coalesce(1).select(catalog._round(catalog.F.col("x"), digits)).collect()]
+    want = [duckdb.execute(f"SELECT round(CAST(? AS DOUBLE), {digits})", [x]).fetchone()[0] for x in values]
+    assert [x for x in zip(values, got, want) if x[1] != x[2]] == []
+    odd = spark.createDataFrame([(None,), (float("nan"),)], "x double").select(catalog._round(catalog.F.col("x"), digits)).collect()
+    assert odd[0][0] is None and np.isnan(odd[1][0])
